@@ -102,14 +102,12 @@ def rewrite_tokens(c, pairs, mode: str = "coded") -> Column:
     """Apply ``(variant, canonical)`` rewrites one after another.
 
     Each step rewrites every whole-token occurrence in one left-to-right pass,
-    like a single ``re.sub``.  A cheap ``contains`` guard skips the regex for
-    rows that cannot match.
+    like a single ``re.sub``.  Each step references the previous one once, so
+    the expression stays linear in the number of rewrites.
     """
     out = _col(c)
     for variant, canon in pairs:
-        out = F.when(out.contains(variant),
-                     F.regexp_replace(out, token_pattern(variant, mode),
-                                      _java_literal_replacement(canon))).otherwise(out)
+        out = F.regexp_replace(out, token_pattern(variant, mode), _java_literal_replacement(canon))
     return out
 
 

@@ -6,7 +6,7 @@ computes one whole diagonal with ``list_transform`` (cells on a diagonal do
 not depend on each other), and ``USING KEY`` keeps only the last two
 diagonals per pair.  Regular expressions use RE2 syntax that is also valid
 Java syntax; where Java needs look-around, the oracle consumes the boundary
-and applies the replacement twice (adjacent matches share one boundary).
+characters instead (see ``sql_rewrite``).
 """
 
 from __future__ import annotations
@@ -85,3 +85,149 @@ ORACLES = {
     "tier_counts": TIER_COUNTS,
     "tier_sample": TIER_SAMPLE,
 }
+
+
+# ── canonicalisation, cleaning, tagging ──────────────────────────────────────
+
+NW = r"[^\p{L}\p{N}_]"
+
+
+def _is_word_char(ch: str) -> bool:
+    import unicodedata
+    return ch == "_" or unicodedata.category(ch)[0] in "LN"
+
+
+def _sentinelled(s: str) -> str:
+    """SQL expression for ``s`` with chr(1) after every non-word character."""
+    parts, buf = [], ""
+    for ch in s:
+        buf += ch
+        if not _is_word_char(ch):
+            parts.append(lit(buf))
+            parts.append("chr(1)")
+            buf = ""
+    if buf:
+        parts.append(lit(buf))
+    return " || ".join(parts) if parts else "''"
+
+
+def sql_rewrite(expr: str, pairs) -> str:
+    """Whole-token rewrites with one left-to-right pass each, exactly.
+
+    RE2 has no look-around, so the boundary characters are consumed.  A
+    sentinel (chr(1), itself a non-word character) after every non-word
+    character gives each match its own left boundary, so two matches never
+    compete for one separator; the sentinels are removed at the end.
+    """
+    x = f"regexp_replace({expr}, {lit('(' + NW + ')')}, '\\1' || chr(1), 'g')"
+    for variant, canon in pairs:
+        pat = f"{lit('(^|' + NW + ')' + chr(92) + 'Q')} || {_sentinelled(variant)} || {lit(chr(92) + 'E(' + NW + '|$)')}"
+        rep = f"'\\1' || {_sentinelled(canon)} || '\\2'"
+        x = f"regexp_replace({x}, {pat}, {rep}, 'g')"
+    return f"replace({x}, chr(1), '')"
+
+
+def sql_canonicalise(expr: str, convert_number_words: bool = False) -> str:
+    from vachan.functions import lexicon as L
+    x = f"trim(regexp_replace({expr}, {lit(TX.WS + '+')}, ' ', 'g'))"
+    x = f"translate({x}, {lit(L.DEVANAGARI_DIGITS)}, {lit(L.ASCII_DIGITS)})"
+    x = sql_rewrite(x, L.ORDINAL_REWRITES)
+    if convert_number_words:
+        x = sql_rewrite(x, L.NUMBER_WORD_REWRITES)
+    x = sql_rewrite(x, L.SCHWA_REWRITES)
+    return f"trim({x})"
+
+
+def sql_clean_transcript(expr: str) -> str:
+    x = f"regexp_replace({expr}, {lit(TX.MARKUP)}, '', 'g')"
+    x = f"regexp_replace({x}, {lit(TX.NOT_SCRIPT)}, ' ', 'g')"
+    return f"coalesce(trim(regexp_replace({x}, {lit(TX.WS + '+')}, ' ', 'g')), '')"
+
+
+_R1 = sql_canonicalise("coalesce(reference, '')")
+_H1 = sql_canonicalise("coalesce(hypothesis, '')")
+BEFORE_AFTER = (BASE + f",\nres AS ({D.SQL_RESULTS}),\n"
+                f"canon AS (SELECT idx, reference, hypothesis, coalesce(reference, '') AS r0, coalesce(hypothesis, '') AS h0, "
+                f"{_R1} AS r1, {_H1} AS h1 FROM res),\n"
+                f"pb AS (SELECT idx AS pid, {jiwer_words_sql('r0')} AS a, {jiwer_words_sql('h0')} AS b FROM canon),\n"
+                f"pa AS (SELECT idx AS pid, {jiwer_words_sql('r1')} AS a, {jiwer_words_sql('h1')} AS b FROM canon),\n"
+                + edit_cte("eb", "pb") + ",\n" + edit_cte("ea", "pa") + ",\n"
+                "ba AS (SELECT c.idx, c.reference, c.hypothesis,\n"
+                "  CASE WHEN len(pb.a) > 0 THEN round(eb.edits * 100.0 / len(pb.a), 2) END AS wer_before_norm,\n"
+                "  CASE WHEN len(pa.a) > 0 THEN round(ea.edits * 100.0 / len(pa.a), 2) END AS wer_after_norm\n"
+                "  FROM canon c JOIN pb ON pb.pid = c.idx JOIN eb ON eb.pid = c.idx JOIN pa ON pa.pid = c.idx JOIN ea ON ea.pid = c.idx)\n")
+
+WER_BEFORE_AFTER = BEFORE_AFTER + ("SELECT idx, reference, hypothesis, wer_before_norm, wer_after_norm, "
+                                   "round(wer_before_norm - wer_after_norm, 2) AS wer_delta FROM ba")
+
+NORM_SUMMARY = BEFORE_AFTER + ("SELECT round(avg(wer_before_norm), 6) AS avg_wer_before, round(avg(wer_after_norm), 6) AS avg_wer_after, "
+                               "round(avg(wer_before_norm) - avg(wer_after_norm), 6) AS reduction_pp FROM ba")
+
+CLEAN_TEXT = f"SELECT page_id, {sql_clean_transcript('html')} AS cleaned FROM pages"
+
+DIGIT_MAP = ("SELECT doc_id, md5(translate(text, " + lit("०१२३४५६७८९") + ", '0123456789')) AS text_md5, "
+             "length(translate(text, " + lit("०१२३४५६७८९") + ", '0123456789')) AS n_chars FROM documents")
+
+
+def _doc_rewrites():
+    from vachan.plans.queries import DOC_REWRITES
+    return DOC_REWRITES
+
+
+TOKEN_REWRITE = ("SELECT doc_id, md5(" + sql_rewrite("text", _doc_rewrites()) + ") AS text_md5, "
+                 "length(" + sql_rewrite("text", _doc_rewrites()) + ") AS n_chars FROM documents")
+
+URL_REWRITE = (f"WITH utt AS ({D.SQL_UTT}) SELECT segment_id, url, "
+               "CASE WHEN regexp_matches(url, '/([0-9]+)/([0-9]+)_') THEN "
+               "'https://storage.example/upload/' || regexp_extract(url, '/([0-9]+)/([0-9]+)_', 1) || '/' || "
+               "regexp_extract(url, '/([0-9]+)/([0-9]+)_', 2) || '_audio.wav' END AS audio_url, "
+               "CASE WHEN regexp_matches(url, '/([0-9]+)/([0-9]+)_') THEN "
+               "'https://storage.example/upload/' || regexp_extract(url, '/([0-9]+)/([0-9]+)_', 1) || '/' || "
+               "regexp_extract(url, '/([0-9]+)/([0-9]+)_', 2) || '_transcription.json' END AS transcript_url, "
+               "CASE WHEN NOT regexp_matches(url, '/([0-9]+)/([0-9]+)_') THEN 'unparsable url' END AS reject_reason "
+               "FROM utt")
+
+SPLIT_USERS = ("WITH u AS (SELECT DISTINCT user_id FROM events), "
+               "r AS (SELECT user_id, row_number() OVER (ORDER BY md5('42|' || CAST(user_id AS VARCHAR)), user_id) - 1 AS rk, "
+               "count(*) OVER () AS n FROM u), "
+               "s AS (SELECT user_id, CASE WHEN rk < ceil(n * 0.1) THEN 'validation' ELSE 'train' END AS split FROM r) ")
+
+SPEAKER_SPLIT = SPLIT_USERS + "SELECT user_id, split FROM s"
+
+SPLIT_COUNTS = (SPLIT_USERS + "SELECT s.split, count(*) AS n_rows, count(DISTINCT e.user_id) AS n_users "
+                "FROM events e JOIN s ON e.user_id = s.user_id GROUP BY s.split")
+
+MANIFEST_TOTALS = ("SELECT count(*) AS recordings, round(sum(value) / 3600.0, 6) AS hours, "
+                   "count(DISTINCT user_id) AS speakers FROM events")
+
+
+def _code_switch_sql() -> str:
+    from vachan.functions import lexicon as L
+    lex = "[" + ", ".join(lit(w) for w in L.LOANWORDS) + "]"
+    shell = TX.SHELL
+    core = f"regexp_replace(regexp_replace(t, {lit('^' + shell + '+')}, ''), {lit(shell + '+$')}, '')"
+    pre = f"regexp_extract(t, {lit('^' + shell + '*')}, 0)"
+    suf = f"regexp_extract(regexp_replace(t, {lit('^' + shell + '+')}, ''), {lit(shell + '*$')}, 0)"
+    eng = f"(regexp_matches({core}, {lit(TX.latin_class())}) OR list_contains({lex}, {core}))"
+    toks = f"regexp_extract_all(coalesce(text, ''), {lit(TX.NON_WS + '+')}, 0)"
+    parts = (f"list_transform({toks}, lambda t: {{'out': CASE WHEN {eng} THEN {pre} || '[EN]' || {core} || '[/EN]' || {suf} "
+             f"ELSE t END, 'word': CASE WHEN {eng} THEN {core} END}})")
+    return (f"WITH p AS (SELECT doc_id, {parts} AS parts FROM documents) "
+            "SELECT doc_id, md5(array_to_string(list_transform(parts, lambda x: x.out), ' ')) AS tagged_md5, "
+            "len(list_filter(list_transform(parts, lambda x: x.word), lambda w: w IS NOT NULL)) AS n_en_words, "
+            "md5(array_to_string(list_filter(list_transform(parts, lambda x: x.word), lambda w: w IS NOT NULL), '|')) AS en_words_md5 "
+            "FROM p")
+
+
+ORACLES.update({
+    "wer_before_after": WER_BEFORE_AFTER,
+    "norm_summary": NORM_SUMMARY,
+    "clean_text": CLEAN_TEXT,
+    "digit_map": DIGIT_MAP,
+    "token_rewrite": TOKEN_REWRITE,
+    "url_rewrite": URL_REWRITE,
+    "speaker_split": SPEAKER_SPLIT,
+    "split_counts": SPLIT_COUNTS,
+    "manifest_totals": MANIFEST_TOTALS,
+    "code_switch": _code_switch_sql(),
+})

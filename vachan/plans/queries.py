@@ -64,3 +64,88 @@ QUERIES = {
     "tier_counts": q_tier_counts,
     "tier_sample": q_tier_sample,
 }
+
+
+# ── canonicalisation, cleaning, tagging, splits ─────────────────────────────
+
+from vachan.functions import codeswitch as CS  # noqa: E402
+from vachan.operators import manifest as MF  # noqa: E402
+
+# Whole-token rewrite lexicon for the document query (frequent words of the
+# driver's invented prose; the Devanagari lexicons find nothing there).
+DOC_REWRITES = [("the", "THE"), ("and", "AND"), ("und", "UND"), ("la", "LA"), ("de", "DE")]
+
+
+def before_after(spark, sf_dir):
+    return SC.with_before_after(D.results_table(spark, sf_dir)).drop("wer_before_norm_reject",
+                                                                       "wer_after_norm_reject")
+
+
+def q_wer_before_after(spark, sf_dir):
+    return before_after(spark, sf_dir).select("idx", "reference", "hypothesis", "wer_before_norm",
+                                              "wer_after_norm", "wer_delta")
+
+
+def q_norm_summary(spark, sf_dir):
+    s = SC.before_after_summary(before_after(spark, sf_dir))
+    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+
+
+def q_clean_text(spark, sf_dir):
+    p = D.text_table(spark, sf_dir, "pages")
+    return p.select("page_id", TX.clean_transcript("html").alias("cleaned"))
+
+
+def q_digit_map(spark, sf_dir):
+    d = D.text_table(spark, sf_dir, "documents").select("doc_id", TX.digits_to_ascii("text").alias("t"))
+    return d.select("doc_id", F.md5("t").alias("text_md5"), F.length("t").alias("n_chars"))
+
+
+def q_token_rewrite(spark, sf_dir):
+    d = D.text_table(spark, sf_dir, "documents").select(
+        "doc_id", TX.rewrite_tokens("text", DOC_REWRITES, mode="coded").alias("t"))
+    return d.select("doc_id", F.md5("t").alias("text_md5"), F.length("t").alias("n_chars"))
+
+
+def q_url_rewrite(spark, sf_dir):
+    u = D.utterances(spark, sf_dir)
+    return MF.rewrite_urls(u, "url", base="https://storage.example/upload").select(
+        "segment_id", "url", "audio_url", "transcript_url", "reject_reason")
+
+
+def q_speaker_split(spark, sf_dir):
+    ev = D.table(spark, sf_dir, "events")
+    return SM.speaker_split(ev, "user_id", 0.10, 42)
+
+
+def q_split_counts(spark, sf_dir):
+    ev = D.table(spark, sf_dir, "events").select("event_id", "user_id")
+    split = SM.assign_split(ev, SM.speaker_split(ev, "user_id", 0.10, 42))
+    return MF.split_counts(split)
+
+
+def q_manifest_totals(spark, sf_dir):
+    ev = D.table(spark, sf_dir, "events")
+    m = ev.select(F.col("event_id").alias("recording_id"), "user_id", F.col("value").alias("duration"))
+    t = MF.manifest_totals(m)
+    return t.select("recordings", F.round("hours", 6).alias("hours"), "speakers")
+
+
+def q_code_switch(spark, sf_dir):
+    d = D.text_table(spark, sf_dir, "documents").select("doc_id", CS.tag_english("text").alias("x"))
+    return d.select("doc_id", F.md5("x.text").alias("tagged_md5"), F.size("x.words").alias("n_en_words"),
+                    F.md5(F.array_join("x.words", "|")).alias("en_words_md5"))
+
+
+QUERIES.update({
+    "wer_before_after": q_wer_before_after,
+    "norm_summary": q_norm_summary,
+    "clean_text": q_clean_text,
+    "digit_map": q_digit_map,
+    "token_rewrite": q_token_rewrite,
+    "url_rewrite": q_url_rewrite,
+    "speaker_split": q_speaker_split,
+    "split_counts": q_split_counts,
+    "manifest_totals": q_manifest_totals,
+    "code_switch": q_code_switch,
+})

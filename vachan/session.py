@@ -32,6 +32,8 @@ def get_spark(app: str = "vachan", master: str | None = None, shuffle_partitions
     if master:
         b = b.master(master)
     conf = dict(DEFAULTS)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("VACHAN_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -149,3 +149,84 @@ QUERIES.update({
     "manifest_totals": q_manifest_totals,
     "code_switch": q_code_switch,
 })
+
+
+# ── multi-system lattice evaluation ─────────────────────────────────────────
+
+from vachan.operators import lattice as LT  # noqa: E402
+
+
+def lattice_inputs(spark, sf_dir):
+    """Scored pairs and their alignment, each computed once (checkpointed)."""
+    pairs = LT.prepare_pairs(systems_long(spark, sf_dir))
+    return pairs, LT.aligned_rows(pairs)
+
+
+def lattice_detail(spark, sf_dir, mode: str = "coded"):
+    pairs, aligned = lattice_inputs(spark, sf_dir)
+    return LT.evaluate(pairs, thresh=3, mode=mode, prepared=True, aligned=aligned)
+
+
+def q_align_ops(spark, sf_dir):
+    _, aligned = lattice_inputs(spark, sf_dir)
+    return LT.op_counts(aligned).select("segment_id", "system", "subs", "dels", "ins", "hits")
+
+
+def q_lattice_bins(spark, sf_dir):
+    _, aligned = lattice_inputs(spark, sf_dir)
+    lat = LT.build_lattice(aligned, thresh=3, mode="coded")
+    shown = F.transform("bins", lambda b: F.concat(F.array_join(b["tokens"], "/"),
+                                                    F.when(b["optional"], F.lit("|" + LT.EPS)).otherwise(F.lit(""))))
+    return lat.select("segment_id", F.size("bins").alias("n_bins"),
+                      F.size(F.filter("bins", lambda b: b["optional"])).alias("n_optional"),
+                      F.array_join(shown, " ").alias("bins"))
+
+
+def q_lattice_system_wer(spark, sf_dir):
+    s = LT.system_summary(lattice_detail(spark, sf_dir))
+    return s.select("system", "plain_edits", "plain_n", "lattice_edits", "lattice_n",
+                    F.round("plain_wer", 6).alias("plain_wer"), F.round("lattice_wer", 6).alias("lattice_wer"),
+                    F.round("delta", 6).alias("delta"), "verdict")
+
+
+def _detail_cols(df):
+    return df.select("segment_id", "url", "system", F.array_join("ref", " ").alias("ref"),
+                     F.array_join("hyp", " ").alias("hyp"), "plain_wer", "lattice_wer", "delta")
+
+
+def q_lattice_detail(spark, sf_dir):
+    return _detail_cols(lattice_detail(spark, sf_dir))
+
+
+def q_lattice_top(spark, sf_dir):
+    return _detail_cols(LT.top_improved(lattice_detail(spark, sf_dir), 15, -0.10))
+
+
+def q_lattice_unchanged(spark, sf_dir):
+    return _detail_cols(LT.unchanged_perfect(lattice_detail(spark, sf_dir), 5))
+
+
+def q_suspected_ref_errors(spark, sf_dir):
+    _, aligned = lattice_inputs(spark, sf_dir)
+    return LT.suspected_reference_errors(aligned, 3).select(
+        "segment_id", "ref_pos", "ref_tok", "hyp_tok", "n_systems")
+
+
+def q_lattice_inspect(spark, sf_dir):
+    pairs, aligned = lattice_inputs(spark, sf_dir)
+    lat = LT.build_lattice(aligned, thresh=3, mode="coded")
+    refs = pairs.where(F.col("sys_ord") == 1).select("segment_id", "ref")
+    ins = LT.inspect_bins(refs, lat)
+    return ins.select("segment_id", "bin_idx", "ref_tok", F.array_join("full_bin", "/").alias("full_bin"), "variants")
+
+
+QUERIES.update({
+    "align_ops": q_align_ops,
+    "lattice_bins": q_lattice_bins,
+    "lattice_system_wer": q_lattice_system_wer,
+    "lattice_detail": q_lattice_detail,
+    "lattice_top": q_lattice_top,
+    "lattice_unchanged": q_lattice_unchanged,
+    "suspected_ref_errors": q_suspected_ref_errors,
+    "lattice_inspect": q_lattice_inspect,
+})

@@ -231,3 +231,97 @@ ORACLES.update({
     "manifest_totals": MANIFEST_TOTALS,
     "code_switch": _code_switch_sql(),
 })
+
+
+def _pack_chunks_sql(max_dur: float = 86400.0, min_dur: float = 1.0) -> str:
+    ws = TX.WS
+    strip = lambda e: f"regexp_replace({e}, {lit('^' + ws + '+|' + ws + '+$')}, '', 'g')"
+    return f"""WITH RECURSIVE w AS (
+  SELECT user_id, ts, event_id,
+         CASE WHEN event_type = 'error' THEN '' ELSE event_type || '-' || CAST(event_id AS VARCHAR) END AS word,
+         epoch_us(ts) / 1000000.0 AS s, epoch_us(ts) / 1000000.0 + value AS e FROM events),
+nb AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k, word, s, e
+       FROM w WHERE {strip('word')} <> ''),
+st(user_id, k, cs, ce, txt, out_txt, out_s, out_e) AS (
+  SELECT user_id, k, s, e, word, NULL::VARCHAR, NULL::DOUBLE, NULL::DOUBLE FROM nb WHERE k = 1
+  UNION ALL
+  SELECT n.user_id, n.k,
+    CASE WHEN n.e - st.cs > {max_dur} THEN n.s ELSE st.cs END, n.e,
+    CASE WHEN n.e - st.cs > {max_dur} THEN n.word ELSE st.txt || ' ' || n.word END,
+    CASE WHEN n.e - st.cs > {max_dur} THEN st.txt END,
+    CASE WHEN n.e - st.cs > {max_dur} THEN st.cs END,
+    CASE WHEN n.e - st.cs > {max_dur} THEN st.ce END
+  FROM st JOIN nb n ON n.user_id = st.user_id AND n.k = st.k + 1),
+last AS (SELECT user_id, max(k) AS k FROM st GROUP BY user_id),
+chunks AS (
+  SELECT user_id, k, out_txt AS txt, out_s AS s, out_e AS e FROM st WHERE out_txt IS NOT NULL
+  UNION ALL
+  SELECT st.user_id, st.k + 1, st.txt, st.cs, st.ce FROM st JOIN last USING (user_id, k)),
+kept AS (SELECT * FROM chunks WHERE e - s >= {min_dur} AND {strip('txt')} <> '')
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY k) - 1 AS INTEGER) AS chunk_id,
+  {sql_clean_transcript('txt')} AS text, round(s, 6) AS start, round(e, 6) AS "end" FROM kept"""
+
+
+ORACLES["pack_chunks"] = _pack_chunks_sql()
+
+
+def _json_words_sql() -> str:
+    def num(j, key):
+        p = lit("$." + key)
+        return (f"CASE json_type({j}, {p}) WHEN 'BIGINT' THEN json_extract({j}, {p})::DOUBLE "
+                f"WHEN 'UBIGINT' THEN json_extract({j}, {p})::DOUBLE WHEN 'DOUBLE' THEN json_extract({j}, {p})::DOUBLE "
+                f"WHEN 'VARCHAR' THEN try_cast(json_extract_string({j}, {p}) AS DOUBLE) END")
+
+    def string(j, key):
+        p = lit("$." + key)
+        return f"CASE WHEN json_type({j}, {p}) = 'VARCHAR' THEN json_extract_string({j}, {p}) END"
+
+    def first(j, keys, getter, default):
+        whens = " ".join(f"WHEN json_exists({j}, {lit('$.' + k)}) THEN {getter(j, k)}" for k in keys)
+        return f"CASE {whens} ELSE {default} END"
+
+    def word(j, sk, ek):
+        return (f"{{'word': {first(j, ['word', 'text'], string, chr(39) * 2)}, "
+                f"'start': {first(j, sk, num, '0.0')}, 'end': {first(j, ek, num, '0.0')}}}")
+
+    k, typ, uid = "event_id", "event_type", "CAST(user_id AS VARCHAR)"
+    s = f"CAST(({k} * 7) % 1000 AS VARCHAR)"
+    e = f"CAST(({k} * 7) % 1000 + {k} % 5 AS VARCHAR)"
+    e1 = f"CAST(({k} * 7) % 1000 + {k} % 5 + 1 AS VARCHAR)"
+    s_or_null = f"CASE WHEN {typ} = 'error' THEN 'null' ELSE {s} END"
+    d0 = (f"'{{\"words\":[{{\"word\":\"' || {typ} || '\",\"start\":' || {s_or_null} || ',\"end\":' || {e} || "
+          f"'}},{{\"word\":\"u' || {uid} || '\",\"start\":' || {e} || ',\"end\":' || {e1} || '}}]}}'")
+    d1 = (f"'{{\"words\":[{{\"text\":\"' || {typ} || '\",\"start_time\":' || {s} || ',\"end_time\":' || {e} || '}}]}}'")
+    d2 = (f"'{{\"segments\":[{{\"words\":[{{\"word\":\"' || {typ} || '\",\"start\":' || {s} || ',\"end\":' || {e} || "
+          f"'}}]}},{{\"words\":[{{\"text\":\"u' || {uid} || '\",\"start\":' || {e} || ',\"end\":' || {e1} || "
+          f"'}}]}},{{\"other\":1}}]}}'")
+    d3 = (f"CASE WHEN {typ} = 'view' THEN '{{\"k\":1}}' WHEN {typ} = 'click' THEN 'not json' "
+          f"ELSE '{{\"transcript\":\"' || {typ} || '\",\"duration\":' || {s} || '}}' END")
+    doc = f"CASE WHEN {k} % 4 = 0 THEN {d0} WHEN {k} % 4 = 1 THEN {d1} WHEN {k} % 4 = 2 THEN {d2} ELSE {d3} END"
+    w1 = f"list_transform(json_extract(raw, '$.words[*]'), lambda w: {word('w', ['start', 'start_time'], ['end', 'end_time'])})"
+    w2 = ("flatten(list_transform(json_extract(raw, '$.segments[*]'), lambda g: "
+          "CASE WHEN json_exists(g, '$.words') THEN list_transform(json_extract(g, '$.words[*]'), lambda w: "
+          + word('w', ['start'], ['end']) + ") ELSE [] END))")
+    text = first("raw", ["transcript", "text"], string, "''")
+    dur = f"CASE WHEN json_exists(raw, '$.duration') THEN {num('raw', 'duration')} ELSE 30.0 END"
+    w3 = f"[{{'word': {text}, 'start': 0.0, 'end': {dur}}}]"
+    return f"""WITH docs AS (SELECT {k} AS recording_id, {doc} AS raw FROM events),
+v AS (SELECT recording_id, raw, json_valid(raw) AS ok FROM docs),
+o AS (SELECT recording_id, CASE WHEN ok THEN raw END AS raw, ok, CASE WHEN ok THEN json_type(raw) = 'OBJECT' END AS obj FROM v),
+w AS (SELECT recording_id, ok, obj,
+  CASE WHEN NOT ok OR NOT obj THEN NULL
+       WHEN json_exists(raw, '$.words') THEN CASE WHEN json_type(raw, '$.words') = 'ARRAY' THEN {w1} END
+       WHEN json_exists(raw, '$.segments') THEN CASE WHEN json_type(raw, '$.segments') = 'ARRAY' THEN {w2} END
+       WHEN json_exists(raw, '$.transcript') OR json_exists(raw, '$.text') THEN {w3}
+       ELSE [] END AS words FROM o),
+r AS (SELECT recording_id, words, CASE WHEN NOT ok THEN 'not json' WHEN NOT obj THEN 'not an object'
+  WHEN words IS NULL THEN 'malformed word list'
+  WHEN len(list_filter(words, lambda x: x.word IS NULL OR x.start IS NULL OR x."end" IS NULL)) > 0 THEN 'null word text or time'
+  END AS reject_reason FROM w)
+SELECT recording_id, CASE WHEN reject_reason IS NULL THEN len(words) END AS n_words,
+  CASE WHEN reject_reason IS NULL THEN array_to_string(list_transform(words, lambda x:
+     concat_ws('@', x.word, CAST(CAST(x.start AS BIGINT) AS VARCHAR), CAST(CAST(x."end" AS BIGINT) AS VARCHAR))), '|') END AS words,
+  reject_reason FROM r"""
+
+
+ORACLES["json_words"] = _json_words_sql()

@@ -230,3 +230,69 @@ QUERIES.update({
     "suspected_ref_errors": q_suspected_ref_errors,
     "lattice_inspect": q_lattice_inspect,
 })
+
+
+# ── chunking ────────────────────────────────────────────────────────────────
+
+from vachan.operators import chunking as CH  # noqa: E402
+
+# Events as timed words: one user's events are one recording; the word is
+# the event type and id (error events are blank words), start = epoch
+# seconds, end = start + value.  Chunks hold at most a day, at least 1 s.
+CHUNK_MAX, CHUNK_MIN = 86400.0, 1.0
+
+
+def event_words(spark, sf_dir):
+    ev = D.table(spark, sf_dir, "events")
+    # Epoch seconds of a TIMESTAMP_NTZ, independent of the session time zone.
+    start = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 1e6
+    rows = ev.select("user_id", "event_id", "ts",
+                     F.when(F.col("event_type") == "error", F.lit(""))
+                      .otherwise(F.concat_ws("-", "event_type", F.col("event_id").cast("string"))).alias("word"),
+                     start.alias("start"), (start + F.col("value")).alias("end"))
+    return CH.words_from_rows(rows, ["user_id"], ["ts", "event_id"])
+
+
+def q_pack_chunks(spark, sf_dir):
+    ch = CH.chunk_recordings(event_words(spark, sf_dir), "words", ("user_id",), CHUNK_MAX, CHUNK_MIN)
+    return ch.select("user_id", "chunk_id", "text", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
+QUERIES.update({"pack_chunks": q_pack_chunks})
+
+
+# ── transcript JSON documents ───────────────────────────────────────────────
+
+from vachan.sources import transcripts as TS  # noqa: E402
+
+
+def event_documents(spark, sf_dir):
+    """One JSON transcript document per event, in all three schemas (and a
+    few malformed ones), built by rule from the event columns."""
+    ev = D.table(spark, sf_dir, "events")
+    k, typ, uid = F.col("event_id"), F.col("event_type"), F.col("user_id").cast("string")
+    s = ((k * 7) % 1000).cast("string")
+    e = ((k * 7) % 1000 + k % 5).cast("string")
+    e1 = ((k * 7) % 1000 + k % 5 + 1).cast("string")
+    s_or_null = F.when(typ == "error", F.lit("null")).otherwise(s)
+    d0 = F.concat(F.lit('{"words":[{"word":"'), typ, F.lit('","start":'), s_or_null, F.lit(',"end":'), e,
+                  F.lit('},{"word":"u'), uid, F.lit('","start":'), e, F.lit(',"end":'), e1, F.lit("}]}"))
+    d1 = F.concat(F.lit('{"words":[{"text":"'), typ, F.lit('","start_time":'), s, F.lit(',"end_time":'), e, F.lit("}]}"))
+    d2 = F.concat(F.lit('{"segments":[{"words":[{"word":"'), typ, F.lit('","start":'), s, F.lit(',"end":'), e,
+                  F.lit('}]},{"words":[{"text":"u'), uid, F.lit('","start":'), e, F.lit(',"end":'), e1,
+                  F.lit('}]},{"other":1}]}'))
+    d3 = (F.when(typ == "view", F.lit('{"k":1}')).when(typ == "click", F.lit("not json"))
+           .otherwise(F.concat(F.lit('{"transcript":"'), typ, F.lit('","duration":'), s, F.lit("}"))))
+    doc = F.when(k % 4 == 0, d0).when(k % 4 == 1, d1).when(k % 4 == 2, d2).otherwise(d3)
+    return ev.select(k.alias("recording_id"), doc.alias("raw"))
+
+
+def q_json_words(spark, sf_dir):
+    p = event_documents(spark, sf_dir).select("recording_id", TS.parse_transcript("raw").alias("t"))
+    shown = F.transform("t.words", lambda w: F.concat_ws("@", w["word"], w["start"].cast("bigint").cast("string"),
+                                                         w["end"].cast("bigint").cast("string")))
+    return p.select("recording_id", F.size("t.words").alias("n_words"),
+                    F.array_join(shown, "|").alias("words"), F.col("t.reject_reason").alias("reject_reason"))
+
+
+QUERIES.update({"json_words": q_json_words})

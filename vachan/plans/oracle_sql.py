@@ -325,3 +325,21 @@ SELECT recording_id, CASE WHEN reject_reason IS NULL THEN len(words) END AS n_wo
 
 
 ORACLES["json_words"] = _json_words_sql()
+
+
+_MIX = """WITH e AS (SELECT vec_id, label, embedding, len(embedding) // 2 AS h FROM embeddings),
+m AS (SELECT vec_id, label, list_transform(range(0, h), lambda i: (0.0 + embedding[i + 1]::DOUBLE + embedding[h + i + 1]::DOUBLE) / 2) AS x FROM e),
+p AS (SELECT vec_id, label, x, list_max(list_transform(x, lambda v: abs(v))) AS peak FROM m),
+c AS (SELECT vec_id, label, CASE WHEN peak > 0 THEN list_transform(x, lambda v: v / peak) ELSE x END AS x FROM p)
+"""
+
+
+def _micro_sql(arr: str) -> str:
+    return f"array_to_string(list_transform({arr}, lambda v: CAST(CAST(round(v * 1e6) AS BIGINT) AS VARCHAR)), ',')"
+
+
+ORACLES["wave_condition"] = _MIX + f"SELECT vec_id, len(x) AS n_samples, {_micro_sql('x')} AS samples_e6 FROM c"
+ORACLES["wave_slice"] = (_MIX + """, s AS (SELECT vec_id, x, CAST(trunc(((vec_id % 7) / 16000.0) * 16000) AS INTEGER) AS s0,
+   CAST(trunc(((vec_id % 7) / 16000.0 + (20 + label) / 16000.0) * 16000) AS INTEGER) AS e0 FROM c),
+t AS (SELECT vec_id, CASE WHEN s0 >= len(x) THEN []::DOUBLE[] ELSE x[s0 + 1 : least(e0, len(x))] END AS x FROM s)
+SELECT vec_id, len(x) AS n_samples, """ + _micro_sql("x") + " AS samples_e6 FROM t WHERE len(x) >= 16")

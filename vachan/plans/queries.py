@@ -296,3 +296,37 @@ def q_json_words(spark, sf_dir):
 
 
 QUERIES.update({"json_words": q_json_words})
+
+
+# ── sample arrays ───────────────────────────────────────────────────────────
+
+from vachan.operators import audio as AU  # noqa: E402
+
+
+def embedding_waves(spark, sf_dir):
+    """``embeddings`` as two-channel recordings: the two halves of a vector."""
+    e = D.table(spark, sf_dir, "embeddings")
+    half = (F.size("embedding") / 2).cast("int")
+    chans = F.array(F.slice("embedding", 1, half), F.slice("embedding", half + 1, half))
+    return e.select("vec_id", "label", chans.alias("channels"))
+
+
+def _micro(arr):
+    return F.array_join(F.transform(arr, lambda v: F.round(v * 1e6).cast("bigint").cast("string")), ",")
+
+
+def q_wave_condition(spark, sf_dir):
+    w = embedding_waves(spark, sf_dir).select("vec_id", AU.condition("channels").alias("x"))
+    return w.select("vec_id", F.size("x").alias("n_samples"), _micro("x").alias("samples_e6"))
+
+
+def q_wave_slice(spark, sf_dir):
+    w = embedding_waves(spark, sf_dir)
+    start = (F.col("vec_id") % 7) / 16000.0
+    end = start + (F.lit(20) + F.col("label")) / 16000.0
+    s = w.select("vec_id", AU.slice_seconds(AU.condition("channels"), start, end).alias("x"))
+    s = AU.keep_min_samples(s, "x", 0.001)
+    return s.select("vec_id", F.size("x").alias("n_samples"), _micro("x").alias("samples_e6"))
+
+
+QUERIES.update({"wave_condition": q_wave_condition, "wave_slice": q_wave_slice})

@@ -330,3 +330,42 @@ def q_wave_slice(spark, sf_dir):
 
 
 QUERIES.update({"wave_condition": q_wave_condition, "wave_slice": q_wave_slice})
+
+
+# ── number words and code-switching on Devanagari text ──────────────────────
+
+from vachan.functions import numbers as NW  # noqa: E402
+
+# Devanagari stand-ins: every conversation token becomes one of these words,
+# chosen by its length, and every fifth-length token carries a comma, so the
+# derived text has number runs, idioms, loanwords and punctuation.
+DEVANAGARI_WORDS = ["दो", "तीन", "सौ", "हज़ार", "लोग", "चार", "सात", "आठ", "साल", "एक", "पचास", "लाख",
+                    "जॉब", "course", "है", "पाँच", "छह"]
+
+
+def devanagari_text(spark, sf_dir):
+    u = D.utterances(spark, sf_dir)
+    lex = F.array(*[F.lit(w) for w in DEVANAGARI_WORDS])
+    toks = TX.ws_tokens("Human")
+    mapped = F.transform(toks, lambda t: F.concat(
+        F.element_at(lex, (F.length(t) % len(DEVANAGARI_WORDS)) + 1),
+        F.when(F.length(t) % 5 == 0, F.lit(",")).otherwise(F.lit(""))))
+    return u.select("segment_id", F.array_join(mapped, " ").alias("raw_asr"))
+
+
+def q_number_words(spark, sf_dir):
+    x = devanagari_text(spark, sf_dir).select("segment_id", NW.normalize_numbers("raw_asr").alias("x"))
+    shown = F.transform("x.changes", lambda c: F.concat_ws("=>", c["original"], c["replacement"],
+                                                            c["position"].cast("string")))
+    return x.select("segment_id", F.md5("x.text").alias("text_md5"), F.size("x.changes").alias("n_changes"),
+                    F.array_join(shown, "|").alias("changes"))
+
+
+def q_asr_cleanup(spark, sf_dir):
+    x = devanagari_text(spark, sf_dir).select("segment_id", NW.asr_cleanup("raw_asr").alias("x"))
+    return x.select("segment_id", F.md5("x.after_num_norm").alias("num_md5"),
+                    F.md5("x.after_en_tagging").alias("tagged_md5"),
+                    F.size("x.num_changes").alias("n_changes"), F.size("x.en_words").alias("n_en_words"))
+
+
+QUERIES.update({"number_words": q_number_words, "asr_cleanup": q_asr_cleanup})

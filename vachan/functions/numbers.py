@@ -56,23 +56,78 @@ def _mask(phrase: str) -> str:
     return "".join(ch if ch.isspace() else MARK for ch in phrase)
 
 
+# Exact integers of any size as little-endian base-10^9 limb arrays (the fold
+# multiplies by powers of ten and adds small values; Python's int never
+# overflows, so neither may this).
+LIMB = 1_000_000_000
+_LIMBS = "array<long>"
+
+
+def _limbs(v: Column) -> Column:
+    return F.array(v.cast("long"))
+
+
+def _carry_fold(x: Column, per_limb) -> Column:
+    """Fold limbs low to high with a carry; ``per_limb(limb, carry)`` gives
+    the raw limb value; the final carry becomes more limbs."""
+    init = F.struct(F.array().cast(_LIMBS).alias("out"), F.lit(0).cast("long").alias("carry"))
+
+    def step(acc, limb):
+        v = per_limb(limb, acc["carry"])
+        return F.struct(F.concat(acc["out"], F.array(v % LIMB)).alias("out"), F.floor(v / LIMB).cast("long").alias("carry"))
+
+    def finish(acc):
+        # a carry is below 10^9 * 10^7 / 10^9 + 1, so at most one extra limb of it
+        return F.when(acc["carry"] > 0, F.concat(acc["out"], F.array(acc["carry"] % LIMB),
+                                                 F.when(acc["carry"] >= LIMB, F.array(F.floor(acc["carry"] / LIMB).cast("long")))
+                                                  .otherwise(F.array().cast(_LIMBS))))\
+                .otherwise(acc["out"])
+
+    return F.aggregate(x, init, step, finish)
+
+
+def _mul_small(x: Column, m: Column) -> Column:
+    return _carry_fold(x, lambda limb, carry: limb * m + carry)
+
+
+def _add(x: Column, y: Column) -> Column:
+    n = F.greatest(F.size(x), F.size(y))
+    idx = F.sequence(F.lit(1), n)
+    summed = F.transform(idx, lambda i: F.coalesce(F.try_element_at(x, i), F.lit(0).cast("long"))
+                         + F.coalesce(F.try_element_at(y, i), F.lit(0).cast("long")))
+    return _carry_fold(summed, lambda limb, carry: limb + carry)
+
+
+def _positive(x: Column) -> Column:
+    return F.exists(x, lambda l: l > 0)
+
+
+def _to_string(x: Column) -> Column:
+    hi = F.reverse(x)
+    body = F.array_join(F.transform(F.slice(hi, 2, F.greatest(F.size(hi) - 1, F.lit(0))),
+                                    lambda l: F.lpad(l.cast("string"), 9, "0")), "")
+    s = F.concat(F.element_at(hi, 1).cast("string"), body)
+    return F.coalesce(F.regexp_extract(s, "^0*([0-9]+?)$", 1), F.lit("0"))
+
+
 def words_to_int(words: Column, additive=None, multipliers=None) -> Column:
-    """N1 over an array of lexicon keys."""
+    """N1 over an array of lexicon keys, exact at any size; decimal string."""
     add = _map(L.ADDITIVE_VALUES.items() if additive is None else additive.items())
     mul = _map(L.MULTIPLIER_VALUES.items() if multipliers is None else multipliers.items())
-    init = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("current"))
+    zero = F.array(F.lit(0).cast("long"))
+    init = F.struct(zero.alias("total"), zero.alias("current"))
 
     def step(acc, w):
         a = F.try_element_at(add, w).cast("long")
         m = F.try_element_at(mul, w).cast("long")
-        base = F.when(acc["current"] > 0, acc["current"]).otherwise(F.lit(1).cast("long"))
-        return (F.when(a.isNotNull(), F.struct(acc["total"].alias("total"), (acc["current"] + a).alias("current")))
-                 .when(m >= 1000, F.struct((acc["total"] + base * m).alias("total"),
-                                           F.lit(0).cast("long").alias("current")))
-                 .when(m.isNotNull(), F.struct(acc["total"].alias("total"), (base * m).alias("current")))
+        base = F.when(_positive(acc["current"]), acc["current"]).otherwise(F.array(F.lit(1).cast("long")))
+        return (F.when(a.isNotNull(), F.struct(acc["total"].alias("total"), _add(acc["current"], _limbs(a)).alias("current")))
+                 .when(m >= 1000, F.struct(_add(acc["total"], _mul_small(base, m)).alias("total"),
+                                           zero.alias("current")))
+                 .when(m.isNotNull(), F.struct(acc["total"].alias("total"), _mul_small(base, m).alias("current")))
                  .otherwise(acc))
 
-    return F.aggregate(words, init, step, lambda acc: acc["total"] + acc["current"])
+    return F.aggregate(words, init, step, lambda acc: _to_string(_add(acc["total"], acc["current"])))
 
 
 def normalize_numbers(c, idioms=None, additive=None, multipliers=None) -> Column:
@@ -108,7 +163,7 @@ def normalize_numbers(c, idioms=None, additive=None, multipliers=None) -> Column
             keys = F.transform(raw, lambda t: TX.strip_trailing_punct(t))
             run = F.try_element_at(numbers, keys[0]).isNotNull()
             prot = F.exists(items, lambda it: it[1] == "1")
-            value = words_to_int(keys, add, mul).cast("string")
+            value = words_to_int(keys, add, mul)
             convert = run & ~prot
             return F.struct(F.when(convert, F.array(value)).otherwise(raw).alias("out"),
                             F.when(convert, F.struct(F.array_join(raw, " ").alias("original"),

@@ -40,29 +40,42 @@ SCORE_SCHEMA = "segment_id long, system string, sys_ord int, lattice_edits long,
 
 # ── kernels ─────────────────────────────────────────────────────────────────
 
-def edit_matrix(ref: list, hyp: list) -> np.ndarray:
-    """Full (R+1) x (H+1) edit-distance matrix, one vectorised step per row."""
-    r, h = len(ref), len(hyp)
+def _codes(seqs: list[list], codes: dict) -> list[np.ndarray]:
+    return [np.array([codes.setdefault(t, len(codes)) for t in q], dtype=np.int64) for q in seqs]
+
+
+def edit_matrices(ref: list, hyps: list[list]) -> np.ndarray:
+    """Edit-distance matrices of one reference against several hypotheses,
+    computed together: shape (k, R+1, Hmax+1).  Hypotheses are padded with a
+    code that matches nothing; a column only depends on the columns to its
+    left, so every hypothesis reads its exact answer at its own length."""
     codes: dict = {}
-    rc = np.array([codes.setdefault(t, len(codes)) for t in ref], dtype=np.int64)
-    hc = np.array([codes.setdefault(t, len(codes)) for t in hyp], dtype=np.int64)
-    dp = np.empty((r + 1, h + 1), dtype=np.int64)
-    ar = np.arange(h + 1, dtype=np.int64)
-    dp[0] = ar
+    rc = _codes([ref], codes)[0]
+    hcs = _codes(hyps, codes)
+    k, r = len(hyps), len(ref)
+    hmax = max((len(h) for h in hyps), default=0)
+    hc = np.full((k, hmax), -1, dtype=np.int64)
+    for i, h in enumerate(hcs):
+        hc[i, :len(h)] = h
+    dp = np.empty((k, r + 1, hmax + 1), dtype=np.int64)
+    ar = np.arange(hmax + 1, dtype=np.int64)
+    dp[:, 0, :] = ar
+    t = np.empty((k, hmax + 1), dtype=np.int64)
     for i in range(1, r + 1):
-        prev = dp[i - 1]
-        t = np.empty(h + 1, dtype=np.int64)
-        t[0] = i
-        if h:
-            t[1:] = np.minimum(prev[:-1] + (hc != rc[i - 1]), prev[1:] + 1)
-        dp[i] = np.minimum.accumulate(t - ar) + ar
+        prev = dp[:, i - 1, :]
+        t[:, 0] = i
+        if hmax:
+            np.minimum(prev[:, :-1] + (hc != rc[i - 1]), prev[:, 1:] + 1, out=t[:, 1:])
+        dp[:, i, :] = np.minimum.accumulate(t - ar, axis=1) + ar
     return dp
 
 
-def alignment(ref: list, hyp: list) -> list[tuple]:
-    """``(ref_pos, gap, ref_tok, hyp_tok, op)`` in order; tie order diagonal,
-    deletion, insertion from the end."""
-    dp = edit_matrix(ref, hyp)
+def edit_matrix(ref: list, hyp: list) -> np.ndarray:
+    """Full (R+1) x (H+1) edit-distance matrix of one pair."""
+    return edit_matrices(ref, [hyp])[0]
+
+
+def _trace(dp: np.ndarray, ref: list, hyp: list) -> list[tuple]:
     i, j = len(ref), len(hyp)
     out = []
     while i > 0 or j > 0:
@@ -83,63 +96,84 @@ def alignment(ref: list, hyp: list) -> list[tuple]:
     return out
 
 
+def alignment(ref: list, hyp: list) -> list[tuple]:
+    """``(ref_pos, gap, ref_tok, hyp_tok, op)`` in order; tie order diagonal,
+    deletion, insertion from the end."""
+    return _trace(edit_matrix(ref, hyp), ref, hyp)
+
+
 def _align_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cols = ["segment_id", "system", "sys_ord", "op_pos", "ref_pos", "gap", "ref_tok", "hyp_tok", "op"]
     for pdf in batches:
         rows = []
-        for seg, system, sys_ord, ref, hyp in zip(pdf["segment_id"], pdf["system"], pdf["sys_ord"],
-                                                  pdf["ref"], pdf["hyp"]):
-            ref = list(ref) if ref is not None else []
-            hyp = list(hyp) if hyp is not None else []
-            for k, (rp, gap, rt, ht, op) in enumerate(alignment(ref, hyp)):
-                rows.append((seg, system, sys_ord, k, rp, gap, rt, ht, op))
-        yield pd.DataFrame(rows, columns=["segment_id", "system", "sys_ord", "op_pos", "ref_pos", "gap",
-                                          "ref_tok", "hyp_tok", "op"]).astype(
+        # systems of one segment share the reference: one batched DP for them
+        for _, g in pdf.groupby("segment_id", sort=False):
+            ref = list(g["ref"].iloc[0]) if g["ref"].iloc[0] is not None else []
+            hyps = [list(h) if h is not None else [] for h in g["hyp"]]
+            dps = edit_matrices(ref, hyps)
+            for n, (seg, system, sys_ord) in enumerate(zip(g["segment_id"], g["system"], g["sys_ord"])):
+                hyp = hyps[n]
+                dp = dps[n, :, :len(hyp) + 1]
+                for k, (rp, gap, rt, ht, op) in enumerate(_trace(dp, ref, hyp)):
+                    rows.append((seg, system, sys_ord, k, rp, gap, rt, ht, op))
+        yield pd.DataFrame(rows, columns=cols).astype(
             {"ref_pos": "Int32", "gap": "Int32", "op_pos": "int32", "sys_ord": "int32"})
 
 
-def lattice_distance(bins: list, hyp: list, mode: str = "coded") -> tuple[int, int]:
-    """(edits, N) of a hypothesis against bins ``[(tokens, optional)]``.
-
-    Tokens are numbered per call; bin membership of every hypothesis token is
-    one incidence-matrix gather, so the DP rows are pure array operations.
-    """
+def lattice_distances(bins: list, hyps: list[list], mode: str = "coded") -> tuple[list[int], int]:
+    """E8 for several hypotheses against one segment's bins ``[(tokens,
+    optional)]``: edits per hypothesis and N.  Tokens are numbered once, bin
+    membership is one incidence-matrix gather, and the DP rows of all
+    hypotheses advance together (padded, each read at its own length)."""
     full = [set(toks) | ({EPS} if opt else set()) for toks, opt in bins]
     n_ref = sum(1 for s in full if EPS not in s)
-    h = len(hyp)
     codes: dict = {}
-    hc = np.array([codes.setdefault(t, len(codes)) for t in hyp], dtype=np.int64)
+    hcs = _codes(hyps, codes)
     for s in full:
         for t in s:
             codes.setdefault(t, len(codes))
-    inc = np.zeros((len(full), len(codes) + 1), dtype=bool)
+    pad = len(codes)
+    inc = np.zeros((len(full), pad + 1), dtype=bool)
     for i, s in enumerate(full):
         inc[i, [codes[t] for t in s]] = True
-    miss = ~inc[:, hc] if h else np.zeros((len(full), 0), dtype=bool)
+    k = len(hyps)
+    hmax = max((len(h) for h in hyps), default=0)
+    hc = np.full((k, hmax), pad, dtype=np.int64)
+    for i, h in enumerate(hcs):
+        hc[i, :len(h)] = h
     col0 = np.array([0 if EPS in s else 1 for s in full], dtype=np.int64)
     if mode == "coded":
         skip = np.array([0 if s == {EPS} else 1 for s in full], dtype=np.int64)
     else:
-        skip = 1 - (inc[:, codes[EPS]] if EPS in codes else np.zeros(len(full), dtype=bool)).astype(np.int64)
-    ar = np.arange(h + 1, dtype=np.int64)
-    prev = ar.copy()
-    t = np.empty(h + 1, dtype=np.int64)
+        skip = np.array([0 if EPS in s else 1 for s in full], dtype=np.int64)
+    ar = np.arange(hmax + 1, dtype=np.int64)
+    prev = np.tile(ar, (k, 1))
+    t = np.empty((k, hmax + 1), dtype=np.int64)
     for i in range(len(full)):
-        t[0] = prev[0] + col0[i]
-        if h:
-            np.minimum(prev[:-1] + miss[i], prev[1:] + skip[i], out=t[1:])
-        prev = np.minimum.accumulate(t - ar) + ar
-    return int(prev[h]), n_ref
+        t[:, 0] = prev[:, 0] + col0[i]
+        if hmax:
+            miss = ~inc[i][hc]
+            np.minimum(prev[:, :-1] + miss, prev[:, 1:] + skip[i], out=t[:, 1:])
+        prev = np.minimum.accumulate(t - ar, axis=1) + ar
+    return [int(prev[n, len(h)]) for n, h in enumerate(hyps)], n_ref
+
+
+def lattice_distance(bins: list, hyp: list, mode: str = "coded") -> tuple[int, int]:
+    """(edits, N) of one hypothesis against bins ``[(tokens, optional)]``."""
+    e, n = lattice_distances(bins, [hyp], mode)
+    return e[0], n
 
 
 def _score_batches(mode: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for seg, system, sys_ord, bins, hyp in zip(pdf["segment_id"], pdf["system"], pdf["sys_ord"],
-                                                       pdf["bins"], pdf["hyp"]):
-                b = [(list(x["tokens"]), bool(x["optional"])) for x in bins]
-                e, n = lattice_distance(b, list(hyp) if hyp is not None else [], mode)
-                out.append((seg, system, sys_ord, e, n))
+            for _, g in pdf.groupby("segment_id", sort=False):
+                b = [(list(x["tokens"]), bool(x["optional"])) for x in g["bins"].iloc[0]]
+                hyps = [list(h) if h is not None else [] for h in g["hyp"]]
+                edits, n = lattice_distances(b, hyps, mode)
+                for (seg, system, sys_ord), e in zip(zip(g["segment_id"], g["system"], g["sys_ord"]), edits):
+                    out.append((seg, system, sys_ord, e, n))
             yield pd.DataFrame(out, columns=["segment_id", "system", "sys_ord", "lattice_edits", "lattice_n"])
     return run
 
@@ -149,7 +183,8 @@ def _score_batches(mode: str):
 def align(pairs: DataFrame) -> DataFrame:
     """E5 (+ V5 surface): ``(segment_id, system, sys_ord, ref, hyp)`` token
     arrays to one row per alignment operation (ALIGN_SCHEMA)."""
-    return pairs.select("segment_id", "system", "sys_ord", "ref", "hyp").mapInPandas(_align_batches, ALIGN_SCHEMA)
+    return (pairs.select("segment_id", "system", "sys_ord", "ref", "hyp").sortWithinPartitions("segment_id")
+                 .mapInPandas(_align_batches, ALIGN_SCHEMA))
 
 
 def op_counts(aligned: DataFrame) -> DataFrame:
@@ -214,7 +249,7 @@ def lattice_scores(pairs: DataFrame, lattice: DataFrame, mode: str = "coded") ->
     """Lattice edits and N per (segment, system); one equi-join on
     ``segment_id`` brings each hypothesis to its segment's bins."""
     j = pairs.select("segment_id", "system", "sys_ord", "hyp").join(lattice, "segment_id")
-    return j.mapInPandas(_score_batches(mode), SCORE_SCHEMA)
+    return j.sortWithinPartitions("segment_id").mapInPandas(_score_batches(mode), SCORE_SCHEMA)
 
 
 def prepare_pairs(pairs: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -83,13 +83,14 @@ def with_group_index(df: DataFrame, group_cols: list[str], order_cols: list[str]
     return res.drop("__pid", "__place", "__first", "__cnt", "__offset", "__gcount")
 
 
-def interval_sample(df: DataFrame, n: int, order_cols: list[str], group_col: str = "tier") -> DataFrame:
+def interval_sample(df: DataFrame, n: int, order_cols: list[str], group_col: str = "tier",
+                    materialize: bool = True) -> DataFrame:
     """Per group, rows at positions ``0, step, 2*step, ...`` (first ``n``),
     ``step = max(1, size div n)``; the order column is an explicit argument
     (the reference used file order)."""
     if n <= 0:
         raise ValueError("n must be positive")
-    idx = with_group_index(df, [group_col], order_cols, "__i", "__c")
+    idx = with_group_index(df, [group_col], order_cols, "__i", "__c", materialize=materialize)
     step = F.greatest(F.lit(1), F.floor(F.col("__c") / n))
     return (idx.where(((F.col("__i") % step) == 0) & (F.floor(F.col("__i") / step) < n))
                .drop("__i", "__c"))
@@ -104,8 +105,10 @@ def sample_errors(results: DataFrame, n_per_tier: int = 10, order_col: str = "id
                   wer_col: str = "wer") -> DataFrame:
     """05 chain: tier, drop correct, systematic sample per tier, order by
     ``order_col``, dense ``sample_id`` (F-sample columns)."""
-    t = results.withColumn("tier", wer_tier(wer_col)).where(F.col("tier") != "correct")
-    s = interval_sample(t, n_per_tier, [order_col])
+    # Cut lineage before the filter: the tier depends on the (costly) score, and
+    # a filter pushed below the projection would compute the score twice.
+    t = cut_lineage(results.withColumn("tier", wer_tier(wer_col))).where(F.col("tier") != "correct")
+    s = interval_sample(t, n_per_tier, [order_col], materialize=False)
     s = s.withColumn("severity_rank", severity_rank("tier"))
     # At most 3 * n_per_tier rows: one ordered window over them is bounded.
     w = Window.orderBy(order_col)

@@ -369,3 +369,39 @@ def q_asr_cleanup(spark, sf_dir):
 
 
 QUERIES.update({"number_words": q_number_words, "asr_cleanup": q_asr_cleanup})
+
+
+# ── training-set assembly ───────────────────────────────────────────────────
+
+from vachan.plans import dataset as DSB  # noqa: E402
+
+
+def embedding_recordings(spark, sf_dir):
+    """Manifest, sample arrays and word timings derived from ``embeddings``:
+    every vector is a two-channel 16 kHz recording of its length, spoken by
+    speaker ``label``; its words are the vector id and its label, splitting
+    the recording in two halves."""
+    e = D.table(spark, sf_dir, "embeddings")
+    dur = (F.size("embedding") / 2) / 16000.0
+    manifest = e.select(F.col("vec_id").alias("recording_id"), F.col("label").cast("long").alias("user_id"),
+                        F.format_string("https://h/c/hq/hi/%d/%d_audio.wav", F.col("label"), F.col("vec_id"))
+                         .alias("rec_url_gcp"), dur.alias("duration"))
+    waves = embedding_waves(spark, sf_dir).select(F.col("vec_id").alias("recording_id"),
+                                                  F.lit(16000).alias("sampling_rate"), "channels")
+    words = e.select(F.col("vec_id").alias("recording_id"), F.array(
+        F.struct(F.concat(F.lit("शब्द"), F.col("vec_id").cast("string")).alias("word"), F.lit(0.0).alias("start"),
+                 (dur / 2).alias("end")),
+        F.struct(F.col("label").cast("string").alias("word"), (dur / 2).alias("start"), dur.alias("end"))
+    ).alias("words"), F.lit(None).cast("string").alias("reject_reason"))
+    return manifest, waves, words
+
+
+def q_dataset_build(spark, sf_dir):
+    manifest, waves, words = embedding_recordings(spark, sf_dir)
+    ex, _ = DSB.build_examples(manifest, waves, words, max_chunk_sec=0.001, min_chunk_sec=0.0005)
+    out, _ = DSB.assemble(ex)
+    return out.select("recording_id", "user_id", "chunk_id", "split", "sentence",
+                      F.size("audio.array").alias("n_samples"))
+
+
+QUERIES.update({"dataset_build": q_dataset_build})

@@ -103,10 +103,12 @@ def alignment(ref: list, hyp: list) -> list[tuple]:
 
 
 def _align_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows ``segment_id, system, sys_ord, ref, hyp`` sorted by segment; the
+    systems of a segment share the reference, so their DPs run together (a
+    segment cut by a batch edge is simply handled in two groups)."""
     cols = ["segment_id", "system", "sys_ord", "op_pos", "ref_pos", "gap", "ref_tok", "hyp_tok", "op"]
     for pdf in batches:
         rows = []
-        # systems of one segment share the reference: one batched DP for them
         for _, g in pdf.groupby("segment_id", sort=False):
             ref = list(g["ref"].iloc[0]) if g["ref"].iloc[0] is not None else []
             hyps = [list(h) if h is not None else [] for h in g["hyp"]]
@@ -165,19 +167,34 @@ def lattice_distance(bins: list, hyp: list, mode: str = "coded") -> tuple[int, i
 
 
 def _score_batches(mode: str):
+    """One input row per segment: bins as two parallel arrays (token lists and
+    optional flags) and the systems' hypotheses as arrays."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for _, g in pdf.groupby("segment_id", sort=False):
-                b = [(list(x["tokens"]), bool(x["optional"])) for x in g["bins"].iloc[0]]
-                hyps = [list(h) if h is not None else [] for h in g["hyp"]]
+            for seg, toks, opts, systems, sys_ords, hyps in zip(pdf["segment_id"], pdf["bin_tokens"], pdf["bin_optional"],
+                                                                 pdf["systems"], pdf["sys_ords"], pdf["hyps"]):
+                b = [(list(t), bool(o)) for t, o in zip(toks, opts)]
+                hyps = [list(h) if h is not None else [] for h in hyps]
                 edits, n = lattice_distances(b, hyps, mode)
-                for (seg, system, sys_ord), e in zip(zip(g["segment_id"], g["system"], g["sys_ord"]), edits):
+                for system, sys_ord, e in zip(systems, sys_ords, edits):
                     out.append((seg, system, sys_ord, e, n))
             yield pd.DataFrame(out, columns=["segment_id", "system", "sys_ord", "lattice_edits", "lattice_n"])
     return run
 
 
+def _per_segment(pairs: DataFrame, with_ref: bool) -> DataFrame:
+    """The systems of a segment as one row (bounded: one entry per system),
+    in system order."""
+    s = F.array_sort(F.collect_list(F.struct("sys_ord", "system", "hyp", *(["ref"] if with_ref else []))))
+    g = pairs.groupBy("segment_id").agg(s.alias("__s"))
+    cols = [F.col("segment_id"), F.col("__s.system").alias("systems"), F.col("__s.sys_ord").alias("sys_ords"),
+            F.col("__s.hyp").alias("hyps")]
+    if with_ref:
+        cols.append(F.element_at(F.col("__s.ref"), 1).alias("ref"))
+    return g.select(*cols)
+
+
 # ── Spark operators ─────────────────────────────────────────────────────────
 
 def align(pairs: DataFrame) -> DataFrame:
@@ -248,8 +265,10 @@ def build_lattice(aligned: DataFrame, thresh: int = 3, mode: str = "coded") -> D
 def lattice_scores(pairs: DataFrame, lattice: DataFrame, mode: str = "coded") -> DataFrame:
     """Lattice edits and N per (segment, system); one equi-join on
     ``segment_id`` brings each hypothesis to its segment's bins."""
-    j = pairs.select("segment_id", "system", "sys_ord", "hyp").join(lattice, "segment_id")
-    return j.sortWithinPartitions("segment_id").mapInPandas(_score_batches(mode), SCORE_SCHEMA)
+    j = _per_segment(pairs, with_ref=False).join(lattice, "segment_id")
+    j = j.select("segment_id", F.transform("bins", lambda b: b["tokens"]).alias("bin_tokens"),
+                 F.transform("bins", lambda b: b["optional"]).alias("bin_optional"), "systems", "sys_ords", "hyps")
+    return j.mapInPandas(_score_batches(mode), SCORE_SCHEMA)
 
 
 def prepare_pairs(pairs: DataFrame, partitions: int | None = None) -> DataFrame:

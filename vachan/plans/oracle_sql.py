@@ -343,3 +343,74 @@ ORACLES["wave_slice"] = (_MIX + """, s AS (SELECT vec_id, x, CAST(trunc(((vec_id
    CAST(trunc(((vec_id % 7) / 16000.0 + (20 + label) / 16000.0) * 16000) AS INTEGER) AS e0 FROM c),
 t AS (SELECT vec_id, CASE WHEN s0 >= len(x) THEN []::DOUBLE[] ELSE x[s0 + 1 : least(e0, len(x))] END AS x FROM s)
 SELECT vec_id, len(x) AS n_samples, """ + _micro_sql("x") + " AS samples_e6 FROM t WHERE len(x) >= 16")
+
+
+def _number_words_sql(select: str) -> str:
+    """X1 in DuckDB.  Python's ``\\b`` is emulated by consuming the boundary
+    character (RE2 has no look-around); a match whose left boundary was
+    consumed by the previous match is found by a second pass (mask characters
+    are not word characters, so the first pass cannot create new matches)."""
+    from vachan.functions import lexicon as L
+    from vachan.functions import numbers as NW
+    from vachan.plans.queries import DEVANAGARI_WORDS
+
+    W, NWC = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+    lex = "[" + ", ".join(lit(w) for w in DEVANAGARI_WORDS) + "]"
+    non_ws = lit(TX.NON_WS + "+")
+    trail = lit(TX.TRAILING_NUMBER_PUNCT)
+    add_k = "[" + ", ".join(lit(k) for k in L.ADDITIVE_VALUES) + "]"
+    add_v = "[" + ", ".join(f"{v}::HUGEINT" for v in L.ADDITIVE_VALUES.values()) + "]"
+    mul_k = "[" + ", ".join(lit(k) for k in L.MULTIPLIER_VALUES) + "]"
+    mul_v = "[" + ", ".join(f"{v}::HUGEINT" for v in L.MULTIPLIER_VALUES.values()) + "]"
+    all_k = "[" + ", ".join(lit(k) for k in {**L.ADDITIVE_VALUES, **L.MULTIPLIER_VALUES}) + "]"
+
+    def is_word(ch):
+        import unicodedata
+        return ch == "_" or unicodedata.category(ch)[0] in "LN"
+
+    masks = []
+    for p in L.IDIOM_PHRASES:
+        end = f"({NWC}|$)" if is_word(p[-1]) else f"({W})"
+        pat = lit(f"(^|{NWC})\\Q{p}\\E{end}")
+        rep = f"'\\1' || {lit(NW._mask(p))} || '\\2'"
+        once = f"regexp_replace(raw, {pat}, {rep}, 'g')"
+        twice = f"regexp_replace({once}, {pat}, {rep}, 'g')"
+        masks.append(f"CASE WHEN contains(raw, {lit(p)}) THEN regexp_extract_all({twice}, {non_ws}, 0) END")
+    mark, join_, cut, field = (lit(x) for x in (NW.MARK, NW.JOIN, NW.CUT, NW.FIELD))
+    isnum = lambda e: f"list_contains({all_k}, regexp_replace({e}, {trail}, ''))"
+    base = "(CASE WHEN acc.current > 0 THEN acc.current ELSE 1::HUGEINT END)"
+    a = f"{add_v}[list_position({add_k}, w)]"
+    m = f"{mul_v}[list_position({mul_k}, w)]"
+    step = (f"CASE WHEN {a} IS NOT NULL THEN {{'total': acc.total, 'current': acc.current + {a}}} "
+            f"WHEN {m} >= 1000 THEN {{'total': acc.total + {base} * {m}, 'current': 0::HUGEINT}} "
+            f"WHEN {m} IS NOT NULL THEN {{'total': acc.total, 'current': {base} * {m}}} ELSE acc END")
+    end = lit("\ufdd4")  # end-of-run marker: the fold adds the open group
+    return f"""WITH utt AS ({D.SQL_UTT}),
+dt AS (SELECT segment_id, array_to_string(list_transform(regexp_extract_all(coalesce(Human, ''), {non_ws}, 0),
+   lambda t: {lex}[(length(t) % {len(DEVANAGARI_WORDS)}) + 1] || CASE WHEN length(t) % 5 = 0 THEN ',' ELSE '' END), ' ') AS raw FROM utt),
+tk AS (SELECT segment_id, regexp_extract_all(raw, {non_ws}, 0) AS toks, [{", ".join(masks)}] AS masks FROM dt),
+enc AS (SELECT segment_id, len(toks) AS n, string_split(array_to_string(list_transform(range(0, len(toks)), lambda k:
+   CAST(k AS VARCHAR) || {field} ||
+   CASE WHEN len(list_filter(masks, lambda mt: mt IS NOT NULL AND coalesce(contains(mt[k + 1], {mark}), false))) > 0 THEN '1' ELSE '0' END
+   || {field} || toks[k + 1] ||
+   CASE WHEN k < len(toks) - 1 AND {isnum('toks[k + 1]')} AND {isnum('toks[k + 2]')} THEN {join_}
+        WHEN k < len(toks) - 1 THEN {cut} ELSE '' END), ''), {cut}) AS pieces FROM tk),
+pc AS (SELECT segment_id, n, list_transform(pieces, lambda p: list_transform(string_split(p, {join_}), lambda it: string_split(it, {field}))) AS items FROM enc),
+pv AS (SELECT segment_id, n, list_transform(items, lambda its: {{
+   'raw': list_transform(its, lambda it: it[3]),
+   'pos': CAST(its[1][1] AS INTEGER),
+   'run': {isnum('its[1][3]')},
+   'prot': len(list_filter(its, lambda it: it[2] = '1')) > 0,
+   'keys': list_transform(its, lambda it: regexp_replace(it[3], {trail}, ''))}}) AS ps FROM pc),
+pw AS (SELECT segment_id, n, list_transform(ps, lambda x: {{'raw': x.raw, 'pos': x.pos, 'conv': x.run AND NOT x.prot,
+   'value': CAST(list_reduce(list_append(x.keys, {end}), lambda acc, w: CASE WHEN w = {end} THEN {{'total': acc.total + acc.current, 'current': 0::HUGEINT}} ELSE {step} END, {{'total': 0::HUGEINT, 'current': 0::HUGEINT}}).total AS VARCHAR)}}) AS ps FROM pv),
+res AS (SELECT segment_id,
+   CASE WHEN n = 0 THEN '' ELSE array_to_string(flatten(list_transform(ps, lambda x: CASE WHEN x.conv THEN [x.value] ELSE x.raw END)), ' ') END AS text,
+   list_transform(list_filter(ps, lambda x: x.conv AND n > 0), lambda x: {{'original': array_to_string(x.raw, ' '), 'replacement': x.value, 'position': x.pos}}) AS changes
+   FROM pw)
+{select}"""
+
+
+ORACLES["number_words"] = _number_words_sql(
+    "SELECT segment_id, md5(text) AS text_md5, len(changes) AS n_changes, "
+    "array_to_string(list_transform(changes, lambda c: concat_ws('=>', c.original, c.replacement, CAST(c.position AS VARCHAR))), '|') AS changes FROM res")

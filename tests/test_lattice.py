@@ -179,3 +179,10 @@ def test_reports(spark):
     # three reference tokens zipped with the first three bins (the optional bin shifts "c")
     assert [(r["ref_tok"], r["full_bin"], r["variants"]) for r in rows] == [
         ("a", ["a"], False), ("b", ["b"], False), ("c", ["X", "ε"], True)]
+
+
+def test_suspected_reference_errors(spark):
+    ref = ["a", "b", "c"]
+    hyps = [["a", "Z", "c"]] * 3 + [["a", "b", "c"], ["a", "Q", "c"], ["a", "b", "c"]]
+    rows = LT.suspected_reference_errors(LT.align(pairs_df(spark, [(ref, hyps)])), 3).collect()
+    assert [(r["ref_pos"], r["ref_tok"], r["hyp_tok"], r["n_systems"]) for r in rows] == [(1, "b", "Z", 3)]

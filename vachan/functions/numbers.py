@@ -110,8 +110,39 @@ def _to_string(x: Column) -> Column:
     return F.coalesce(F.regexp_extract(s, "^0*([0-9]+?)$", 1), F.lit("0"))
 
 
+def _words_to_long(words: Column, add: Column, mul: Column) -> Column:
+    """N1 in 64-bit arithmetic; NULL as soon as a step would overflow."""
+    init = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("current"))
+
+    def step(acc, w):
+        a = F.try_element_at(add, w).cast("long")
+        m = F.try_element_at(mul, w).cast("long")
+        base = F.when(acc["current"] > 0, acc["current"]).otherwise(F.lit(1).cast("long"))
+        bm = F.try_multiply(base, m)
+        return (F.when(acc.isNull(), acc)
+                 .when(a.isNotNull(), F.struct(acc["total"].alias("total"), F.try_add(acc["current"], a).alias("current")))
+                 .when(m >= 1000, F.when(bm.isNull() | F.try_add(acc["total"], bm).isNull(), F.lit(None))
+                       .otherwise(F.struct(F.try_add(acc["total"], bm).alias("total"), F.lit(0).cast("long").alias("current"))))
+                 .when(m.isNotNull(), F.when(bm.isNull(), F.lit(None))
+                       .otherwise(F.struct(acc["total"].alias("total"), bm.alias("current"))))
+                 .otherwise(acc))
+
+    return F.aggregate(words, init, step, lambda acc: F.try_add(acc["total"], acc["current"]))
+
+
 def words_to_int(words: Column, additive=None, multipliers=None) -> Column:
-    """N1 over an array of lexicon keys, exact at any size; decimal string."""
+    """N1 over an array of lexicon keys, exact at any size; decimal string.
+
+    64-bit arithmetic first; only a run whose value overflows it is folded
+    again with limb arithmetic."""
+    add_m = _map(L.ADDITIVE_VALUES.items() if additive is None else additive.items())
+    mul_m = _map(L.MULTIPLIER_VALUES.items() if multipliers is None else multipliers.items())
+    return F.coalesce(_words_to_long(words, add_m, mul_m).cast("string"),
+                      _words_to_int_exact(words, additive, multipliers))
+
+
+def _words_to_int_exact(words: Column, additive=None, multipliers=None) -> Column:
+    """N1 with limb arithmetic (any size)."""
     add = _map(L.ADDITIVE_VALUES.items() if additive is None else additive.items())
     mul = _map(L.MULTIPLIER_VALUES.items() if multipliers is None else multipliers.items())
     zero = F.array(F.lit(0).cast("long"))
@@ -163,12 +194,16 @@ def normalize_numbers(c, idioms=None, additive=None, multipliers=None) -> Column
             keys = F.transform(raw, lambda t: TX.strip_trailing_punct(t))
             run = F.try_element_at(numbers, keys[0]).isNotNull()
             prot = F.exists(items, lambda it: it[1] == "1")
-            value = words_to_int(keys, add, mul)
             convert = run & ~prot
-            return F.struct(F.when(convert, F.array(value)).otherwise(raw).alias("out"),
-                            F.when(convert, F.struct(F.array_join(raw, " ").alias("original"),
-                                                     value.alias("replacement"),
-                                                     items[0][0].cast("int").alias("position"))).alias("change"))
+
+            def converted(value):
+                return F.struct(F.array(value).alias("out"),
+                                F.struct(F.array_join(raw, " ").alias("original"), value.alias("replacement"),
+                                         items[0][0].cast("int").alias("position")).alias("change"))
+
+            kept = F.struct(raw.alias("out"), F.lit(None).cast(
+                "struct<original:string,replacement:string,position:int>").alias("change"))
+            return F.when(convert, _let(words_to_int(keys, add, mul), converted)).otherwise(kept)
 
         parts = F.transform(pieces, piece)
         return F.when(n == 0, F.struct(F.lit("").alias("text"), F.array().cast(CHANGE_TYPE).alias("changes"))) \

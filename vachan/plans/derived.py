@@ -6,9 +6,11 @@ them by fixed rules that both Spark and the DuckDB oracle apply:
 * utterance: one ``conversations`` row, ``segment_id = conv_id*100 + turn``,
   reference = the **whole** text (no token cap);
 * six systems ``m = 1..6`` built from the reference tokens, 1-based position
-  ``p``: drop the token if ``(5k+3p+7m) % 13 = 0``, else replace it by
-  ``'x' || (k+p+m) % 3`` if ``(7k+13p+5m) % 11 = 0``; systems 3-5 insert
-  ``'um'`` after ``p`` if ``(k+p) % 19 = 0``; system 2 is the reference.
+  ``p``: drop the token if ``(5k+3p+7m) % 13 = 0``; else systems 4-6 replace
+  it by ``'y'`` if ``(k+p) % 23 = 0`` (a substitution three systems agree
+  on), else replace it by ``'x' || (k+p+m) % 3`` if ``(7k+13p+5m) % 11 = 0``;
+  systems 3-5 insert ``'um'`` after ``p`` if ``(k+p) % 19 = 0``; system 2 is
+  the reference.
 
 All of it is row-local (higher-order functions over the token array), so the
 derivation adds no shuffle and grows linearly with the table.
@@ -50,9 +52,11 @@ def system_tokens(ref: Column, k: Column, m: int) -> Column:
 
     def at(t, i):
         p = i + 1
-        kept = F.when(((5 * k + 3 * p + 7 * m) % 13) == 0, F.array().cast("array<string>")).otherwise(
-            F.array(F.when(((7 * k + 13 * p + 5 * m) % 11) == 0,
-                           F.concat(F.lit("x"), ((k + p + m) % 3).cast("string"))).otherwise(t)))
+        sub = F.when(((7 * k + 13 * p + 5 * m) % 11) == 0,
+                     F.concat(F.lit("x"), ((k + p + m) % 3).cast("string"))).otherwise(t)
+        if m in (4, 5, 6):
+            sub = F.when(((k + p) % 23) == 0, F.lit("y")).otherwise(sub)
+        kept = F.when(((5 * k + 3 * p + 7 * m) % 13) == 0, F.array().cast("array<string>")).otherwise(F.array(sub))
         if m in (3, 4, 5):
             return F.concat(kept, F.when(((k + p) % 19) == 0, F.array(F.lit("um"))).otherwise(
                 F.array().cast("array<string>")))
@@ -95,7 +99,8 @@ def sql_tokenise(expr: str) -> str:
 def sql_system_tokens(ref: str, k: str, m: str) -> str:
     return (f"CASE WHEN {m} = 2 THEN {ref} ELSE flatten(list_transform({ref}, lambda t, p: "
             f"(CASE WHEN (5*{k}+3*p+7*{m}) % 13 = 0 THEN []::VARCHAR[] "
-            f"ELSE [CASE WHEN (7*{k}+13*p+5*{m}) % 11 = 0 THEN 'x' || ((({k})+p+{m}) % 3)::VARCHAR ELSE t END] END)"
+            f"ELSE [CASE WHEN {m} IN (4,5,6) AND (({k})+p) % 23 = 0 THEN 'y' "
+            f"WHEN (7*{k}+13*p+5*{m}) % 11 = 0 THEN 'x' || ((({k})+p+{m}) % 3)::VARCHAR ELSE t END] END)"
             f" || (CASE WHEN {m} IN (3,4,5) AND (({k})+p) % 19 = 0 THEN ['um'] ELSE []::VARCHAR[] END))) END")
 
 

@@ -201,6 +201,20 @@ MANIFEST_TOTALS = ("SELECT count(*) AS recordings, round(sum(value) / 3600.0, 6)
                    "count(DISTINCT user_id) AS speakers FROM events")
 
 
+def _tag_parts_sql(text: str) -> str:
+    """X2 as a DuckDB list of ``{out, word}`` structs for one text expression."""
+    from vachan.functions import lexicon as L
+    lex = "[" + ", ".join(lit(w) for w in L.LOANWORDS) + "]"
+    shell = TX.SHELL
+    core = f"regexp_replace(regexp_replace(t, {lit('^' + shell + '+')}, ''), {lit(shell + '+$')}, '')"
+    pre = f"regexp_extract(t, {lit('^' + shell + '*')}, 0)"
+    suf = f"regexp_extract(regexp_replace(t, {lit('^' + shell + '+')}, ''), {lit(shell + '*$')}, 0)"
+    eng = f"(regexp_matches({core}, {lit(TX.latin_class())}) OR list_contains({lex}, {core}))"
+    toks = f"regexp_extract_all(coalesce({text}, ''), {lit(TX.NON_WS + '+')}, 0)"
+    return (f"list_transform({toks}, lambda t: {{'out': CASE WHEN {eng} THEN {pre} || '[EN]' || {core} || '[/EN]' || {suf} "
+            f"ELSE t END, 'word': CASE WHEN {eng} THEN {core} END}})")
+
+
 def _code_switch_sql() -> str:
     from vachan.functions import lexicon as L
     lex = "[" + ", ".join(lit(w) for w in L.LOANWORDS) + "]"
@@ -414,3 +428,10 @@ res AS (SELECT segment_id,
 ORACLES["number_words"] = _number_words_sql(
     "SELECT segment_id, md5(text) AS text_md5, len(changes) AS n_changes, "
     "array_to_string(list_transform(changes, lambda c: concat_ws('=>', c.original, c.replacement, CAST(c.position AS VARCHAR))), '|') AS changes FROM res")
+
+
+ORACLES["asr_cleanup"] = _number_words_sql(
+    f", tg AS (SELECT segment_id, text, changes, {_tag_parts_sql('text')} AS parts FROM res) "
+    "SELECT segment_id, md5(text) AS num_md5, "
+    "md5(array_to_string(list_transform(parts, lambda x: x.out), ' ')) AS tagged_md5, len(changes) AS n_changes, "
+    "len(list_filter(list_transform(parts, lambda x: x.word), lambda w: w IS NOT NULL)) AS n_en_words FROM tg")

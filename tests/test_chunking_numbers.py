@@ -72,3 +72,8 @@ def test_combined_golden(spark):
     assert x["after_en_tagging"] == "ये [EN]course[/EN] [EN]online[/EN] है और इसमें 300 रुपये की [EN]fees[/EN] है"
     assert x["en_words"] == ["course", "online", "fees"]
     assert F is not None
+
+
+def test_contains_idiom(spark):
+    df = spark.createDataFrame([("सात आठ साल",), ("एक दो लोग",), ("कुछ नहीं",)], "t string")
+    assert [r[0] for r in df.select(NW.contains_idiom("t")).collect()] == [True, False, False]

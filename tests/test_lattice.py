@@ -186,3 +186,11 @@ def test_suspected_reference_errors(spark):
     hyps = [["a", "Z", "c"]] * 3 + [["a", "b", "c"], ["a", "Q", "c"], ["a", "b", "c"]]
     rows = LT.suspected_reference_errors(LT.align(pairs_df(spark, [(ref, hyps)])), 3).collect()
     assert [(r["ref_pos"], r["ref_tok"], r["hyp_tok"], r["n_systems"]) for r in rows] == [(1, "b", "Z", 3)]
+
+
+def test_align_udtf(spark):
+    LT.register_align_udtf(spark)
+    spark.createDataFrame([(["a", "b"], ["a", "c", "b"])], "ref array<string>, hyp array<string>") \
+         .createOrReplaceTempView("pairs_t")
+    rows = spark.sql("SELECT a.* FROM pairs_t, LATERAL align_words(ref, hyp) a ORDER BY op_pos").collect()
+    assert [(r["op"], r["gap"]) for r in rows] == [("match", None), ("ins", 1), ("match", None)]

@@ -225,3 +225,10 @@ def asr_cleanup(c, idioms=None, loanwords=None) -> Column:
                         x["changes"].alias("num_changes"), tagged["words"].alias("en_words"))
 
     return _let(normalize_numbers(c, idioms), body)
+
+
+def contains_idiom(c, idioms=None) -> Column:
+    """the text holds any guarded phrase (Python-style word boundaries)."""
+    phrases = L.IDIOM_PHRASES if idioms is None else idioms
+    x = TX._col(c)
+    return F.coalesce(F.array_max(F.array(*[x.rlike(boundary_pattern(p)) for p in phrases])), F.lit(False))

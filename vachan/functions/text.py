@@ -238,3 +238,8 @@ def url_basename(c) -> Column:
 def join_tokens(c) -> Column:
     """tokens joined with single spaces."""
     return F.array_join(_col(c), " ")
+
+
+def display_prefix(c, n: int = 80) -> Column:
+    """the first ``n`` characters (report display)."""
+    return F.substring(_col(c), 1, n)

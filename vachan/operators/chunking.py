@@ -94,3 +94,8 @@ def words_from_rows(rows: DataFrame, key_cols, order_cols, word: str = "word", s
     return g.select(*key_cols, F.transform("__w", lambda x: F.struct(x["word"].alias("word"),
                                                                       x["start"].alias("start"),
                                                                       x["end"].alias("end"))).alias("words"))
+
+
+def chunks_per_recording(chunks: DataFrame, key_cols=("recording_id",)) -> DataFrame:
+    """Kept chunks per recording (partial aggregation)."""
+    return chunks.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n_chunks"))

@@ -363,3 +363,18 @@ def nth_segment(df: DataFrame, n: int = 2, order_col: str = "segment_id") -> Dat
     w = Window.orderBy(order_col)
     pick = ids.orderBy(order_col).limit(n).withColumn("__r", F.row_number().over(w)).where(F.col("__r") == n)
     return df.join(pick.drop("__r"), order_col, "left_semi")
+
+
+def register_align_udtf(spark, name: str = "align_words") -> None:
+    """V5: SQL surface of E5 — ``SELECT * FROM t, LATERAL align_words(ref, hyp)``
+    yields ``(op_pos, ref_pos, gap, ref_tok, hyp_tok, op)`` rows.  The bulk
+    path is ``align`` (Arrow batches); this UDTF is for ad-hoc SQL."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="op_pos int, ref_pos int, gap int, ref_tok string, hyp_tok string, op string")
+    class AlignWords:
+        def eval(self, ref, hyp):
+            for k, (rp, gap, rt, ht, op) in enumerate(alignment(list(ref or []), list(hyp or []))):
+                yield k, rp, gap, rt, ht, op
+
+    spark.udtf.register(name, AlignWords)

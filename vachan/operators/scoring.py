@@ -104,3 +104,10 @@ def before_after_summary(scored: DataFrame) -> DataFrame:
     return (scored.agg(F.avg("wer_before_norm").alias("avg_wer_before"),
                        F.avg("wer_after_norm").alias("avg_wer_after"))
                   .withColumn("reduction_pp", F.col("avg_wer_before") - F.col("avg_wer_after")))
+
+
+def preview(scored: DataFrame, order_col: str = "idx", n: int = 10) -> DataFrame:
+    """T4: the first ``n`` rows in ``order_col`` order (TakeOrdered; the limit
+    is the feature)."""
+    return scored.select("reference", "hypothesis", "wer_before_norm", "wer_after_norm", order_col) \
+                 .orderBy(order_col).limit(n)

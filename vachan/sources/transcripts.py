@@ -47,10 +47,16 @@ def _word(w: Column, start_keys, end_keys) -> Column:
 
 
 def parse_transcript(raw) -> Column:
-    """``struct<words WORD_TYPE, reject_reason STRING>`` of one JSON document."""
+    """``struct<words WORD_TYPE, reject_reason STRING>`` of one JSON document.
+
+    The document is parsed once: the VARIANT and its top-level keys are bound
+    as lambda variables and every schema branch reads them."""
     raw = F.col(raw) if isinstance(raw, str) else raw
-    v = F.try_parse_json(raw)
-    keys = F.json_object_keys(raw)
+    parsed = F.struct(F.try_parse_json(raw).alias("v"), F.json_object_keys(raw).alias("keys"))
+    return F.element_at(F.transform(F.array(parsed), lambda p: _resolve(p["v"], p["keys"])), 1)
+
+
+def _resolve(v: Column, keys: Column) -> Column:
     has = lambda k: F.coalesce(F.array_contains(keys, k), F.lit(False))
 
     words1 = F.transform(F.try_variant_get(v, "$.words", "array<variant>"),
@@ -67,10 +73,15 @@ def parse_transcript(raw) -> Column:
     words = (F.when(has("words"), words1).when(has("segments"), words2)
               .when(has("transcript") | has("text"), words3)
               .otherwise(F.array().cast(WORD_TYPE)))
-    bad = F.exists(words, lambda w: w["word"].isNull() | w["start"].isNull() | w["end"].isNull())
-    reason = (F.when(v.isNull(), F.lit("not json")).when(keys.isNull(), F.lit("not an object"))
-               .when(words.isNull(), F.lit("malformed word list")).when(bad, F.lit("null word text or time")))
-    return F.struct(F.when(reason.isNull(), words).alias("words"), reason.alias("reject_reason"))
+
+    def checked(ws):
+        bad = F.exists(ws, lambda w: w["word"].isNull() | w["start"].isNull() | w["end"].isNull())
+        reason = (F.when(v.isNull(), F.lit("not json")).when(keys.isNull(), F.lit("not an object"))
+                   .when(ws.isNull(), F.lit("malformed word list")).when(bad, F.lit("null word text or time")))
+        return F.struct(F.when(reason.isNull(), ws).alias("words"), reason.alias("reject_reason"))
+
+    # the resolved word list is bound once (it feeds the checks and the output)
+    return F.element_at(F.transform(F.array(F.struct(words.alias("w"))), lambda x: checked(x["w"])), 1)
 
 
 def read_transcripts(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)\.json$") -> DataFrame:

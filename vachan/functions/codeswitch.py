@@ -25,14 +25,25 @@ def tag_english(c, loanwords=None) -> Column:
     lex = _lexicon_array(L.LOANWORDS if loanwords is None else loanwords)
     toks = TX.ws_tokens(c)
 
-    def one(t):
-        core = TX.token_core(t)
-        eng = TX.has_latin(core) | F.array_contains(lex, core)
+    def decided(t, x):
+        # x = struct(core, eng): computed once per token, read twice
         return F.struct(
-            F.when(eng, F.concat(TX.token_prefix(t), F.lit("[EN]"), core, F.lit("[/EN]"), TX.token_suffix(t)))
+            F.when(x["eng"], F.concat(TX.token_prefix(t), F.lit("[EN]"), x["core"], F.lit("[/EN]"), TX.token_suffix(t)))
              .otherwise(t).alias("out"),
-            F.when(eng, core).alias("word"))
+            F.when(x["eng"], x["core"]).alias("word"))
+
+    def one(t):
+        core = TX.token_core(t)
+
+        def with_core(c):
+            return F.struct(c.alias("core"), (TX.has_latin(c) | F.array_contains(lex, c)).alias("eng"))
+
+        x = F.element_at(F.transform(F.array(core), with_core), 1)
+        return F.element_at(F.transform(F.array(x), lambda y: decided(t, y)), 1)
+
+    def assemble(parts):
+        return F.struct(F.array_join(F.transform(parts, lambda p: p["out"]), " ").alias("text"),
+                        F.filter(F.transform(parts, lambda p: p["word"]), lambda w: w.isNotNull()).alias("words"))
 
-    parts = F.transform(toks, one)
-    return F.struct(F.array_join(F.transform(parts, lambda p: p["out"]), " ").alias("text"),
-                    F.filter(F.transform(parts, lambda p: p["word"]), lambda w: w.isNotNull()).alias("words"))
+    # the per-token results are bound once and read twice
+    return F.element_at(F.transform(F.array(F.transform(toks, one)), assemble), 1)

@@ -205,11 +205,14 @@ def normalize_numbers(c, idioms=None, additive=None, multipliers=None) -> Column
                 "struct<original:string,replacement:string,position:int>").alias("change"))
             return F.when(convert, _let(words_to_int(keys, add, mul), converted)).otherwise(kept)
 
-        parts = F.transform(pieces, piece)
+        def assemble(parts):
+            return F.struct(F.array_join(F.flatten(F.transform(parts, lambda x: x["out"])), " ").alias("text"),
+                            F.filter(F.transform(parts, lambda x: x["change"]),
+                                     lambda ch: ch.isNotNull()).alias("changes"))
+
+        # the per-piece results are bound once and read twice
         return F.when(n == 0, F.struct(F.lit("").alias("text"), F.array().cast(CHANGE_TYPE).alias("changes"))) \
-                .otherwise(F.struct(F.array_join(F.flatten(F.transform(parts, lambda x: x["out"])), " ").alias("text"),
-                                    F.filter(F.transform(parts, lambda x: x["change"]),
-                                             lambda ch: ch.isNotNull()).alias("changes")))
+                .otherwise(_let(F.transform(pieces, piece), assemble))
 
     return _let(F.struct(TX.ws_tokens(text).alias("t"), masks.alias("m")), lambda s: per_text(s["t"], s["m"]))
 

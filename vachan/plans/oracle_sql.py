@@ -435,3 +435,126 @@ ORACLES["asr_cleanup"] = _number_words_sql(
     "SELECT segment_id, md5(text) AS num_md5, "
     "md5(array_to_string(list_transform(parts, lambda x: x.out), ' ')) AS tagged_md5, len(changes) AS n_changes, "
     "len(list_filter(list_transform(parts, lambda x: x.word), lambda w: w IS NOT NULL)) AS n_en_words FROM tg")
+
+
+# ── lattice oracles ─────────────────────────────────────────────────────────
+
+def _lattice_base() -> str:
+    """CTE chain: full anti-diagonal DP per (segment, system) kept for every
+    diagonal, a recursive traceback (diagonal, then deletion, then insertion,
+    from the end), bins by GROUP BY, the lattice as an ordered list, and a
+    lattice DP (anti-diagonal again) per (segment, system)."""
+    return BASE + f""",
+pairs AS (SELECT segment_id*10+m AS pid, segment_id, url, m, system, ref AS a, hyp AS b FROM sys WHERE len(ref) > 0),
+sys_pairs AS (SELECT pid, a, b FROM pairs),
+{edit_cte("sys_ed", "sys_pairs")},
+diag(pid, d, cur, prev) AS (
+  SELECT pid, 0, list_transform(range(0, len(a) + 1), lambda i: CASE WHEN i = 0 THEN 0 ELSE {BIG} END), []::BIGINT[] FROM pairs
+  UNION ALL
+  SELECT x.pid, x.d + 1,
+    list_transform(range(0, len(p.a) + 1), lambda i:
+      CASE WHEN x.d + 1 - i < 0 OR x.d + 1 - i > len(p.b) THEN {BIG}
+           WHEN i = 0 OR x.d + 1 - i = 0 THEN x.d + 1
+           ELSE least(x.cur[i] + 1, x.cur[i + 1] + 1,
+                      x.prev[i] + CASE WHEN p.a[i] = p.b[x.d + 1 - i] THEN 0 ELSE 1 END) END),
+    x.cur
+  FROM diag x JOIN pairs p ON x.pid = p.pid WHERE x.d < len(p.a) + len(p.b)),
+dg AS (SELECT pid, d, cur FROM diag),
+tb(pid, i, j, step, op, ref_pos, gap, ref_tok, hyp_tok) AS (
+  SELECT pid, len(a), len(b), 0, NULL::VARCHAR, NULL::INTEGER, NULL::INTEGER, NULL::VARCHAR, NULL::VARCHAR FROM pairs
+  UNION ALL
+  SELECT t.pid,
+    CASE WHEN k.dg_ok OR k.del_ok THEN t.i - 1 ELSE t.i END,
+    CASE WHEN k.dg_ok OR NOT k.del_ok THEN t.j - 1 ELSE t.j END,
+    t.step + 1,
+    CASE WHEN k.dg_ok THEN CASE WHEN k.ai = k.bj THEN 'match' ELSE 'sub' END WHEN k.del_ok THEN 'del' ELSE 'ins' END,
+    CASE WHEN k.dg_ok OR k.del_ok THEN t.i - 1 END,
+    CASE WHEN NOT (k.dg_ok OR k.del_ok) THEN t.i END,
+    CASE WHEN k.dg_ok OR k.del_ok THEN k.ai END,
+    CASE WHEN k.dg_ok OR NOT k.del_ok THEN k.bj END
+  FROM tb t JOIN LATERAL (
+    SELECT p.a[t.i] AS ai, p.b[t.j] AS bj,
+      (t.i > 0 AND t.j > 0 AND d0.cur[t.i + 1] = d2.cur[t.i] + CASE WHEN p.a[t.i] = p.b[t.j] THEN 0 ELSE 1 END) AS dg_ok,
+      (t.i > 0 AND NOT (t.i > 0 AND t.j > 0 AND d0.cur[t.i + 1] = d2.cur[t.i] + CASE WHEN p.a[t.i] = p.b[t.j] THEN 0 ELSE 1 END)
+       AND d0.cur[t.i + 1] = d1.cur[t.i] + 1) AS del_ok
+    FROM pairs p JOIN dg d0 ON d0.pid = p.pid AND d0.d = t.i + t.j
+      LEFT JOIN dg d1 ON d1.pid = p.pid AND d1.d = t.i + t.j - 1
+      LEFT JOIN dg d2 ON d2.pid = p.pid AND d2.d = t.i + t.j - 2
+    WHERE p.pid = t.pid) k ON true
+  WHERE t.i > 0 OR t.j > 0),
+ops AS (SELECT p.segment_id, p.m, p.system, t.step, t.op, t.ref_pos, t.gap, t.ref_tok, t.hyp_tok
+        FROM tb t JOIN pairs p ON p.pid = t.pid WHERE t.step > 0),
+rlen AS (SELECT segment_id, any_value(len(a)) AS r FROM pairs GROUP BY segment_id),
+rbins AS (SELECT segment_id, ref_pos, any_value(ref_tok) AS ref_tok,
+            list_sort(list_distinct(list_append(coalesce(list(hyp_tok) FILTER (WHERE hyp_tok IS NOT NULL), []::VARCHAR[]), any_value(ref_tok)))) AS tokens
+          FROM ops WHERE ref_pos IS NOT NULL GROUP BY segment_id, ref_pos),
+obins AS (SELECT o.segment_id, o.gap, o.hyp_tok, count(*) AS cnt, min(o.m * 1000000000 - o.step) AS first_key
+          FROM ops o JOIN rlen USING (segment_id) WHERE o.op = 'ins' AND o.gap < rlen.r
+          GROUP BY o.segment_id, o.gap, o.hyp_tok HAVING count(*) >= 3),
+allbins AS (SELECT segment_id, ref_pos AS pos, 0 AS kind, 0::BIGINT AS fk, tokens, false AS opt FROM rbins
+            UNION ALL SELECT segment_id, gap, 1, first_key, [hyp_tok], true FROM obins),
+lat AS (SELECT segment_id, list({{'tokens': tokens, 'opt': opt}} ORDER BY pos, kind, fk) AS bins FROM allbins GROUP BY segment_id),
+lp AS (SELECT p.pid, p.segment_id, p.url, p.m, p.system, p.a AS ref, l.bins AS a, p.b FROM pairs p JOIN lat l USING (segment_id)),
+ldp(pid, d, cur, prev) USING KEY (pid) AS (
+  SELECT pid, 0, list_transform(range(0, len(a) + 1), lambda i: CASE WHEN i = 0 THEN 0 ELSE {BIG} END), []::BIGINT[] FROM lp
+  UNION ALL
+  SELECT x.pid, x.d + 1,
+    list_transform(range(0, len(p.a) + 1), lambda i:
+      CASE WHEN x.d + 1 - i < 0 OR x.d + 1 - i > len(p.b) THEN {BIG}
+           WHEN i = 0 THEN x.d + 1
+           WHEN x.d + 1 - i = 0 THEN x.cur[i] + CASE WHEN p.a[i].opt THEN 0 ELSE 1 END
+           ELSE least(x.cur[i] + 1, x.cur[i + 1] + 1,
+                      x.prev[i] + CASE WHEN list_contains(p.a[i].tokens, p.b[x.d + 1 - i]) THEN 0 ELSE 1 END) END),
+    x.cur
+  FROM ldp x JOIN lp p ON x.pid = p.pid WHERE x.d < len(p.a) + len(p.b)),
+ledits AS (SELECT p.pid, x.cur[len(p.a) + 1] AS lattice_edits, len(list_filter(p.a, lambda z: NOT z.opt)) AS lattice_n
+           FROM ldp x JOIN lp p ON x.pid = p.pid),
+detail AS (SELECT p.segment_id, p.url, p.m, p.system, p.ref, p.b AS hyp, e.edits, len(p.ref) AS n,
+             round(e.edits / len(p.ref), 4) AS plain_wer, l.lattice_edits, l.lattice_n,
+             CASE WHEN l.lattice_n > 0 THEN round(l.lattice_edits / l.lattice_n, 4) ELSE 0.0 END AS lattice_wer
+           FROM lp p JOIN ledits l ON l.pid = p.pid JOIN sys_ed e ON e.pid = p.pid)
+"""
+
+
+def _lattice_sql(select: str) -> str:
+    return _lattice_base() + select
+
+
+ORACLES.update({
+    "align_ops": _lattice_sql("SELECT segment_id, system, count(*) FILTER (WHERE op = 'sub') AS subs, "
+                              "count(*) FILTER (WHERE op = 'del') AS dels, count(*) FILTER (WHERE op = 'ins') AS ins, "
+                              "count(*) FILTER (WHERE op = 'match') AS hits FROM ops GROUP BY segment_id, system"),
+    "lattice_bins": _lattice_sql("SELECT segment_id, len(bins) AS n_bins, len(list_filter(bins, lambda z: z.opt)) AS n_optional, "
+                                 "array_to_string(list_transform(bins, lambda z: array_to_string(z.tokens, '/') || "
+                                 "CASE WHEN z.opt THEN '|ε' ELSE '' END), ' ') AS bins FROM lat"),
+    "suspected_ref_errors": _lattice_sql("SELECT segment_id, ref_pos, ref_tok, hyp_tok, count(DISTINCT system) AS n_systems "
+                                         "FROM ops WHERE op = 'sub' GROUP BY segment_id, ref_pos, ref_tok, hyp_tok "
+                                         "HAVING count(DISTINCT system) >= 3"),
+})
+
+_DETAIL_COLS = ("segment_id, url, system, array_to_string(ref, ' ') AS ref, array_to_string(hyp, ' ') AS hyp, "
+                "plain_wer, lattice_wer, round(lattice_wer - plain_wer, 4) AS delta")
+
+ORACLES.update({
+    "lattice_detail": _lattice_sql(f"SELECT {_DETAIL_COLS} FROM detail"),
+    "lattice_system_wer": _lattice_sql(
+        "SELECT system, sum(edits) AS plain_edits, sum(n) AS plain_n, sum(lattice_edits) AS lattice_edits, "
+        "sum(lattice_n) AS lattice_n, round(sum(edits) / sum(n), 6) AS plain_wer, "
+        "round(sum(lattice_edits) / sum(lattice_n), 6) AS lattice_wer, "
+        "round(sum(lattice_edits) / sum(lattice_n) - sum(edits) / sum(n), 6) AS delta, "
+        "CASE WHEN sum(lattice_edits) / sum(lattice_n) - sum(edits) / sum(n) < -0.0001 THEN 'REDUCED' "
+        "WHEN abs(sum(lattice_edits) / sum(lattice_n) - sum(edits) / sum(n)) < 0.0001 THEN 'same' "
+        "ELSE 'INCREASED?' END AS verdict FROM detail GROUP BY system"),
+    "lattice_top": _lattice_sql(f"SELECT {_DETAIL_COLS} FROM detail WHERE round(lattice_wer - plain_wer, 4) < -0.10 "
+                                "ORDER BY round(lattice_wer - plain_wer, 4), segment_id, m LIMIT 15"),
+    "lattice_unchanged": _lattice_sql(f"SELECT {_DETAIL_COLS} FROM detail WHERE abs(round(lattice_wer - plain_wer, 4)) < 0.001 "
+                                      "AND plain_wer = 0.0 ORDER BY segment_id, m LIMIT 5"),
+    "lattice_inspect": _lattice_sql(
+        ", ins AS (SELECT p.segment_id, p.a AS ref, l.bins, unnest(range(0, least(len(p.a), len(l.bins)))) AS bin_idx "
+        "FROM pairs p JOIN lat l USING (segment_id) WHERE p.m = 1), "
+        "fb AS (SELECT segment_id, bin_idx, ref[bin_idx + 1] AS ref_tok, "
+        "list_sort(CASE WHEN bins[bin_idx + 1].opt THEN list_distinct(list_append(bins[bin_idx + 1].tokens, 'ε')) "
+        "ELSE bins[bin_idx + 1].tokens END) AS full_bin FROM ins) "
+        "SELECT segment_id, CAST(bin_idx AS INTEGER) AS bin_idx, ref_tok, array_to_string(full_bin, '/') AS full_bin, "
+        "len(list_filter(full_bin, lambda x: x <> ref_tok)) > 0 AS variants FROM fb"),
+})

@@ -558,3 +558,49 @@ ORACLES.update({
         "SELECT segment_id, CAST(bin_idx AS INTEGER) AS bin_idx, ref_tok, array_to_string(full_bin, '/') AS full_bin, "
         "len(list_filter(full_bin, lambda x: x <> ref_tok)) > 0 AS variants FROM fb"),
 })
+
+
+def _dataset_build_sql(max_dur: float = 0.001, min_dur: float = 0.0005) -> str:
+    """C4 + C5 over ``embeddings``: URL check, conditioned samples, greedy
+    packing of each recording's words (recursive CTE), per-chunk slices,
+    minimum-sample filter, speaker split by md5 rank."""
+    ws = TX.WS
+    strip = lambda e: f"regexp_replace({e}, {lit('^' + ws + '+|' + ws + '+$')}, '', 'g')"
+    return _MIX.replace("WITH ", "WITH RECURSIVE ", 1) + f""", man AS (SELECT vec_id AS recording_id, CAST(label AS BIGINT) AS user_id,
+   printf('https://h/c/hq/hi/%d/%d_audio.wav', label, vec_id) AS url, (len(embedding) / 2) / 16000.0 AS dur
+   FROM embeddings),
+w AS (SELECT recording_id, 1 AS pos, 'शब्द' || CAST(recording_id AS VARCHAR) AS word, 0.0::DOUBLE AS s, dur / 2 AS e FROM man
+      UNION ALL SELECT recording_id, 2, CAST(user_id AS VARCHAR), dur / 2, dur FROM man),
+good AS (SELECT recording_id, user_id FROM man WHERE regexp_matches(url, '/([0-9]+)/([0-9]+)_')),
+nb AS (SELECT w.recording_id, row_number() OVER (PARTITION BY w.recording_id ORDER BY pos) AS k, word, s, e
+       FROM w JOIN good USING (recording_id) WHERE {strip('word')} <> ''),
+st(recording_id, k, cs, ce, txt, out_txt, out_s, out_e) AS (
+  SELECT recording_id, k, s, e, word, NULL::VARCHAR, NULL::DOUBLE, NULL::DOUBLE FROM nb WHERE k = 1
+  UNION ALL
+  SELECT n.recording_id, n.k,
+    CASE WHEN n.e - st.cs > {max_dur} THEN n.s ELSE st.cs END, n.e,
+    CASE WHEN n.e - st.cs > {max_dur} THEN n.word ELSE st.txt || ' ' || n.word END,
+    CASE WHEN n.e - st.cs > {max_dur} THEN st.txt END,
+    CASE WHEN n.e - st.cs > {max_dur} THEN st.cs END,
+    CASE WHEN n.e - st.cs > {max_dur} THEN st.ce END
+  FROM st JOIN nb n ON n.recording_id = st.recording_id AND n.k = st.k + 1),
+lastk AS (SELECT recording_id, max(k) AS k FROM st GROUP BY recording_id),
+chunks AS (SELECT recording_id, k, out_txt AS txt, out_s AS s, out_e AS e FROM st WHERE out_txt IS NOT NULL
+           UNION ALL SELECT st.recording_id, st.k + 1, st.txt, st.cs, st.ce FROM st JOIN lastk USING (recording_id, k)),
+kept AS (SELECT recording_id, CAST(row_number() OVER (PARTITION BY recording_id ORDER BY k) - 1 AS INTEGER) AS chunk_id,
+           {sql_clean_transcript('txt')} AS sentence, s, e FROM chunks WHERE e - s >= {min_dur} AND {strip('txt')} <> ''),
+sl AS (SELECT k.recording_id, g.user_id, k.chunk_id, k.sentence,
+         CAST(trunc(k.s * 16000) AS INTEGER) AS s0, CAST(trunc(k.e * 16000) AS INTEGER) AS e0, c.x
+       FROM kept k JOIN good g USING (recording_id) JOIN c ON c.vec_id = k.recording_id),
+ex AS (SELECT recording_id, user_id, chunk_id, sentence,
+         len(CASE WHEN s0 >= len(x) THEN []::DOUBLE[] ELSE x[s0 + 1 : least(e0, len(x))] END) AS n_samples FROM sl),
+ex2 AS (SELECT * FROM ex WHERE n_samples >= {int(min_dur * 16000)}),
+u AS (SELECT DISTINCT user_id FROM ex2),
+r AS (SELECT user_id, row_number() OVER (ORDER BY md5('42|' || CAST(user_id AS VARCHAR)), user_id) - 1 AS rk,
+        count(*) OVER () AS n FROM u)
+SELECT ex2.recording_id, ex2.user_id, ex2.chunk_id,
+  CASE WHEN r.rk < ceil(r.n * 0.1) THEN 'validation' ELSE 'train' END AS split, ex2.sentence, ex2.n_samples
+FROM ex2 JOIN r USING (user_id)"""
+
+
+ORACLES["dataset_build"] = _dataset_build_sql()

@@ -272,15 +272,21 @@ def lattice_scores(pairs: DataFrame, lattice: DataFrame, mode: str = "coded") ->
 
 
 def prepare_pairs(pairs: DataFrame, partitions: int | None = None) -> DataFrame:
-    """P7 + E2 once: drop empty references, hash-partition on ``segment_id``,
-    add plain ``edits, n, wer``, and write the result to the checkpoint folder
-    (it feeds the alignment, the lattice join and the detail join)."""
+    """P7 + E2 once: drop empty references, add plain ``edits, n, wer``, and
+    write the result to the checkpoint folder (it feeds the alignment, the
+    lattice join and the detail join).
+
+    No shuffle here: the systems of a segment come from one unpivoted sheet
+    row, so they already sit together in one task, which is all the batched
+    alignment kernel wants (a re-read table forgets hash partitioning anyway).
+    ``partitions`` is kept for callers that pass long-format pairs from
+    elsewhere: it then hash-partitions on ``segment_id`` first."""
     from vachan.operators.scoring import with_plain_wer
     from vachan.session import cut_lineage
 
-    spark = pairs.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.where(F.size("ref") > 0).repartition(n_parts, "segment_id")
+    pairs = pairs.where(F.size("ref") > 0)
+    if partitions:
+        pairs = pairs.repartition(partitions, "segment_id")
     return cut_lineage(with_plain_wer(pairs, "ref", "hyp"))
 
 

@@ -77,3 +77,12 @@ def test_combined_golden(spark):
 def test_contains_idiom(spark):
     df = spark.createDataFrame([("सात आठ साल",), ("एक दो लोग",), ("कुछ नहीं",)], "t string")
     assert [r[0] for r in df.select(NW.contains_idiom("t")).collect()] == [True, False, False]
+
+
+def test_nfc_option(spark):
+    # precomposed U+095B (ज़) misses the lexicon's ज + nukta unless NFC runs first
+    text = "एक हज़ार"
+    df = spark.createDataFrame([(text,)], "t string")
+    raw = df.select(NW.normalize_numbers("t").alias("x")).first()["x"]["text"]
+    nfc = df.select(NW.normalize_numbers("t", normalise_unicode=True).alias("x")).first()["x"]["text"]
+    assert raw == "1 " + text.split(" ")[1] and nfc == "1000"

@@ -161,9 +161,12 @@ def _words_to_int_exact(words: Column, additive=None, multipliers=None) -> Colum
     return F.aggregate(words, init, step, lambda acc: _to_string(_add(acc["total"], acc["current"])))
 
 
-def normalize_numbers(c, idioms=None, additive=None, multipliers=None) -> Column:
-    """``struct<text STRING, changes CHANGE_TYPE>``."""
+def normalize_numbers(c, idioms=None, additive=None, multipliers=None, normalise_unicode: bool = False) -> Column:
+    """``struct<text STRING, changes CHANGE_TYPE>``.  ``normalise_unicode``
+    applies NFC first (off by default: raw code points are looked up)."""
     text = F.coalesce(TX._col(c), F.lit(""))
+    if normalise_unicode:
+        text = TX.nfc(text)
     phrases = L.IDIOM_PHRASES if idioms is None else idioms
     add = L.ADDITIVE_VALUES if additive is None else additive
     mul = L.MULTIPLIER_VALUES if multipliers is None else multipliers

@@ -112,14 +112,20 @@ def rewrite_tokens(c, pairs, mode: str = "coded") -> Column:
 
 
 def canonicalise(c, convert_number_words: bool = False, mode: str = "coded",
-                 null_as: str = "empty", ordinals=None, numerals=None, schwa=None) -> Column:
+                 null_as: str = "empty", ordinals=None, numerals=None, schwa=None,
+                 normalise_unicode: bool = False) -> Column:
     """whitespace, digits, ordinals, [number words], schwa variants, trim.
 
     ``null_as='empty'`` maps NULL to ``''``; ``'nan'`` maps it to the word
     ``nan`` (what a string cast of a missing spreadsheet cell yields).
+    ``normalise_unicode=True`` applies NFC first, so precomposed nukta letters
+    (U+0958..U+095F) meet the lexicons' letter + nukta form; off by default,
+    as the original looked up raw code points.
     """
     x = _col(c)
     x = F.coalesce(x, F.lit("" if null_as == "empty" else "nan"))
+    if normalise_unicode:
+        x = nfc(x)
     x = collapse_ws(x)
     x = digits_to_ascii(x)
     x = rewrite_tokens(x, L.ORDINAL_REWRITES if ordinals is None else ordinals, mode)

@@ -54,3 +54,12 @@ def test_speaker_split_disjoint(spark):
     joined = SM.assign_split(df, split)
     per_user = joined.groupBy("user_id").agg(F.countDistinct("split").alias("k")).collect()
     assert all(r["k"] == 1 for r in per_user)
+
+
+def test_group_index_many_groups(spark, monkeypatch):
+    # above the broadcast bound the offset table is shuffle-joined; same result
+    monkeypatch.setattr(SM, "MAX_INDEX_GROUPS", 3)
+    df = spark.range(600).select((F.col("id") % 7).alias("g"), F.col("id").alias("k"))
+    rows = SM.with_group_index(df, ["g"], ["k"], "i", "c", partitions=8).collect()
+    for r in rows:
+        assert r["i"] == r["k"] // 7 and r["c"] == len(range(r["g"], 600, 7))

@@ -26,8 +26,8 @@ from vachan.session import cut_lineage
 TIER_ORDER = ["low", "medium", "high"]
 SEVERITY = {"low": 1, "medium": 2, "high": 3}
 
-# A group column with more distinct values than this is refused by
-# ``with_group_index`` (use a plain window: such groups are small).
+# Up to this many groups the offset table is broadcast (at most
+# partitions + groups rows); beyond it, it is joined with a shuffle.
 MAX_INDEX_GROUPS = 10_000
 
 
@@ -68,15 +68,18 @@ def with_group_index(df: DataFrame, group_cols: list[str], order_cols: list[str]
                 .withColumn("__place", F.monotonically_increasing_id()))
     stats = (ranged.groupBy("__pid", *group_cols)
                    .agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__cnt")))
+    small = True
     if group_cols:
+        # the offset table has at most partitions + groups - 1 rows
         n_groups = stats.select(*group_cols).distinct().count()
-        if n_groups > MAX_INDEX_GROUPS:
-            raise ValueError(f"{n_groups} groups: use a window partitioned by the group instead")
+        small = n_groups <= MAX_INDEX_GROUPS
     w_prev = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*group_cols)
     stats = (stats.withColumn("__offset", F.coalesce(F.sum("__cnt").over(w_prev), F.lit(0)))
                   .withColumn("__gcount", F.sum("__cnt").over(w_all)))
-    res = (ranged.join(F.broadcast(stats), on=["__pid", *group_cols], how="inner")
+    # broadcast only under the proven bound; beyond it a shuffle join on
+    # (partition, group) keeps every hot group split over its partitions
+    res = (ranged.join(F.broadcast(stats) if small else stats, on=["__pid", *group_cols], how="inner")
                  .withColumn(out, F.col("__offset") + F.col("__place") - F.col("__first")))
     if count_out:
         res = res.withColumn(count_out, F.col("__gcount"))

@@ -12,8 +12,10 @@ inside low-cardinality groups with a range shuffle and a small offset table:
 4. the offset table is joined back with a broadcast, its size bounded by the
    partition count times the (checked) group count.
 
-The ordering columns must be unique within a group so that a recomputed
-partition numbers its rows identically (executor loss, cache eviction).
+The ordering columns must be unique within a group.  Range bounds are drawn
+from a sample seeded per execution, so partition numbers and places are
+written once (a table under the checkpoint folder) before they are used
+twice.
 """
 
 from __future__ import annotations
@@ -66,6 +68,11 @@ def with_group_index(df: DataFrame, group_cols: list[str], order_cols: list[str]
     ranged = (df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__place", F.monotonically_increasing_id()))
+    # Range bounds come from a sample seeded per execution, and the two
+    # branches below would each run their own (column-pruned) exchange: the
+    # partition numbers and places are therefore written once and read back,
+    # so both branches — and any recomputation — see the same ids.
+    ranged = cut_lineage(ranged)
     stats = (ranged.groupBy("__pid", *group_cols)
                    .agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__cnt")))
     small = True

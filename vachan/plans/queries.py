@@ -235,6 +235,7 @@ QUERIES.update({
 # ── chunking ────────────────────────────────────────────────────────────────
 
 from vachan.operators import chunking as CH  # noqa: E402
+from vachan.operators import packing as PK  # noqa: E402
 
 # Events as timed words: one user's events are one recording; the word is
 # the event type and id (error events are blank words), start = epoch
@@ -253,7 +254,25 @@ def event_words(spark, sf_dir):
     return CH.words_from_rows(rows, ["user_id"], ["ts", "event_id"])
 
 
+def event_word_rows(spark, sf_dir):
+    ev = D.table(spark, sf_dir, "events")
+    # Epoch seconds of a TIMESTAMP_NTZ, independent of the session time zone.
+    start = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 1e6
+    return ev.select("user_id", "ts", "event_id",
+                     F.when(F.col("event_type") == "error", F.lit(""))
+                      .otherwise(F.concat_ws("-", "event_type", F.col("event_id").cast("string"))).alias("word"),
+                     start.alias("start"), (start + F.col("value")).alias("end"))
+
+
 def q_pack_chunks(spark, sf_dir):
+    """C1 over every user's events: the distributed packer (a user holding a
+    third of all events is split over many tasks); same result as folding
+    each user's word array (``chunking.chunk_recordings``)."""
+    ch = PK.pack_rows(event_word_rows(spark, sf_dir), "user_id", ["ts", "event_id"], CHUNK_MAX, CHUNK_MIN)
+    return ch.select("user_id", "chunk_id", "text", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
+def q_pack_chunks_fold(spark, sf_dir):
     ch = CH.chunk_recordings(event_words(spark, sf_dir), "words", ("user_id",), CHUNK_MAX, CHUNK_MIN)
     return ch.select("user_id", "chunk_id", "text", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 

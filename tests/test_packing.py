@@ -24,3 +24,16 @@ def test_distributed_packing_matches_fold(spark):
     got = sorted(tuple(r) for r in PK.pack_rows(df, "rec", ["i"], 10.0, 0.5, partitions=13).collect())
     assert got == want and len(want) > 20
     assert F is not None
+
+
+def test_hot_recording_uniform_spacing(spark):
+    # one recording over many partitions; evenly spaced words never let two
+    # greedy chains meet, so every piece's entry state must be exact
+    rows = [(1, i, "क", i * 1.0, i * 1.0 + 0.8) for i in range(3000)] + \
+           [(2, i, "ख", i * 0.5, i * 0.5 + 0.4) for i in range(50)]
+    df = spark.createDataFrame(rows, "rec long, i long, word string, start double, end double")
+    words = CH.words_from_rows(df, ["rec"], ["i"])
+    want = sorted(tuple(r) for r in CH.chunk_recordings(words, "words", ("rec",), 29.0, 0.5).collect())
+    got = sorted(tuple(r) for r in PK.pack_rows(df, "rec", ["i"], 29.0, 0.5, partitions=16).collect())
+    assert len(want) == 104 + 1  # 29-word chunks, then the short recording
+    assert got == want

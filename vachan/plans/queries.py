@@ -15,13 +15,11 @@ from vachan.plans import derived as D
 
 
 def systems_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D10 sheet melted to ``(segment_id, url, system, sys_ord, ref, hyp)``
-    token arrays (ref normalised once per segment, hyps once per system)."""
-    wide = D.systems_wide(spark, sf_dir).withColumn("ref", TX.tokenise("Human"))
-    order = F.create_map(*[F.lit(x) for i, s in enumerate(L.SYSTEMS, start=1) for x in (s, i)])
-    long = wide.unpivot(["segment_id", "url", "ref"], L.SYSTEMS, "system", "hyp_text")
-    return long.select("segment_id", "url", "system", F.element_at(order, F.col("system")).alias("sys_ord"),
-                       "ref", TX.tokenise("hyp_text").alias("hyp"))
+    """The derived D10 sheet melted to ``(segment_id, url, system,
+    sys_ord, ref, hyp)`` token arrays (``sources.files.systems_long``)."""
+    from vachan.sources.files import systems_long as melt
+
+    return melt(D.systems_wide(spark, sf_dir), L.SYSTEMS)
 
 
 def plain_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,20 @@ def test_streaming_equals_batch(spark, tmpdir_path):
     streamed = sorted(tuple(r) for r in spark.read.parquet(f"{tmpdir_path}/out").collect())
     batch = sorted(tuple(r) for r in utterance_scores(spark.createDataFrame(rows, schema)).collect())
     assert streamed == batch and len(streamed) == 30
+
+
+def test_systems_sheet_by_position(spark, tmpdir_path):
+    from vachan.operators import lattice as LT
+
+    header = "link,reference,A,B,C,D,E,F\n"
+    rows = ["https://h/x/ch_1.wav,a b c,a b c,a x c,a b c,,a b c d,a b c\n",
+            "https://h/x/ch_2.wav,,p q,p q,p q,p q,p q,p q\n"]
+    write(f"{tmpdir_path}/sheet.csv", header + "".join(rows))
+    sheet = FS.read_systems_sheet(spark, f"{tmpdir_path}/sheet.csv")
+    assert sheet.columns[:3] == ["url", "Human", "Model H"]
+    long = FS.systems_long(sheet)
+    empty = {r["system"]: r["hyp"] for r in long.collect() if r["url"].endswith("ch_1.wav")}
+    assert empty["Model l"] == []  # an empty cell is the empty string
+    detail = {r["system"]: r for r in LT.evaluate(long).collect()}
+    # the segment with an empty reference is dropped; six systems remain
+    assert len(detail) == 6 and detail["Model i"]["edits"] == 1 and detail["Model l"]["edits"] == 3

@@ -108,3 +108,14 @@ def test_systems_sheet_by_position(spark, tmpdir_path):
     detail = {r["system"]: r for r in LT.evaluate(long).collect()}
     # the segment with an empty reference is dropped; six systems remain
     assert len(detail) == 6 and detail["Model i"]["edits"] == 1 and detail["Model l"]["edits"] == 3
+
+
+def test_read_assets_pairs_ids(spark, tmpdir_path):
+    for rid in (11, 12):
+        write(f"{tmpdir_path}/audio/{rid}.wav", "RIFF")
+    write(f"{tmpdir_path}/transc/11.json", "{}")
+    audio = FS.read_assets(spark, f"{tmpdir_path}/audio/*.wav")
+    trans = FS.read_assets(spark, f"{tmpdir_path}/transc/*.json")
+    paired = audio.join(trans.withColumnRenamed("path", "t_path").drop("length"), "recording_id", "left")
+    got = {r["recording_id"]: r["t_path"] is not None for r in paired.collect()}
+    assert got == {11: True, 12: False}

@@ -119,3 +119,17 @@ def test_read_assets_pairs_ids(spark, tmpdir_path):
     paired = audio.join(trans.withColumnRenamed("path", "t_path").drop("length"), "recording_id", "left")
     got = {r["recording_id"]: r["t_path"] is not None for r in paired.collect()}
     assert got == {11: True, 12: False}
+
+
+def test_error_paths(spark, tmpdir_path):
+    import pytest
+
+    from vachan.operators import manifest as MF
+
+    write(f"{tmpdir_path}/bad.csv", "idx,text\n1,a\n")
+    with pytest.raises(ValueError):
+        FS.read_results(spark, f"{tmpdir_path}/bad.csv")
+    m = spark.createDataFrame([(1, "no-ids")], "recording_id long, rec_url_gcp string")
+    assert MF.rewrite_urls(m).first()["reject_reason"] == "unparsable url"
+    with pytest.raises(Exception):
+        MF.rewrite_urls(m, strict=True).collect()

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vachan.session import ensure_checkpoint_dir
@@ -155,3 +155,37 @@ def n_words(text) -> F.Column:
     flat = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
     runs = F.regexp_replace(F.trim(flat), " +", " ")
     return F.when(runs == "", F.lit(0)).otherwise(F.length(runs) - F.length(F.translate(runs, " ", "")) + 1).cast("long")
+
+
+def rank_within(df: DataFrame, group: str, order: list[str], name: str = "rank") -> DataFrame:
+    """Add the 0-based position of each row in its group (order: ``order``), as ``name``.
+
+    Rows are range-partitioned by (group, order) and written once, so a hot group
+    spans many tasks; each (group, task) run gets the offset of the runs before it
+    from a table of at most groups + tasks rows.  Rows should be narrow.
+    """
+    at = F.monotonically_increasing_id()
+    rows, _ = store(df.repartitionByRange(group, *order).sortWithinPartitions(group, *order).withColumn("__at", at), "ranked")
+    part = F.shiftright("__at", 33)
+    runs = rows.groupBy(group, part.alias("__part")).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col(group).alias("__group"), "__part", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    joined = rows.withColumn("__p", part).join(runs, F.col(group).eqNullSafe(F.col("__group")) & (F.col("__p") == F.col("__part")))
+    return joined.withColumn(name, F.col("__before") + F.col("__at") - F.col("__first")).drop("__at", "__p", "__group", "__part", "__first", "__before")
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, row: str, part: int = 10_000) -> DataFrame:
+    """Left join of ``rows`` with ``groups`` (one row per ``key``; ``size`` counts the rows
+    of the key) as a struct column ``g``, safe for a key that holds a third of all rows.
+
+    Keys with more than 1/part of the rows, of which there are fewer than ``part``,
+    are settled by a broadcast join.  Their rows then carry a key of their own
+    (``row``, a column that tells rows apart) into the join with all the other keys.
+    """
+    fields = [c for c in groups.columns if c != key]
+    heavy = groups.filter(F.col(size) * part > total).select(F.col(key).alias("__hk"), F.struct(*fields).alias("__h"))
+    light = groups.select(F.col(key).alias("__lk"), F.struct(*fields).alias("__l"))
+    joined = rows.join(F.broadcast(heavy), F.col(key) == F.col("__hk"), "left")
+    joined = joined.withColumn("__k", F.when(F.col("__h").isNull(), F.col(key)).otherwise(F.concat(F.lit("row "), F.col(row).cast("string"))))
+    joined = joined.join(light, F.col("__k") == F.col("__lk"), "left").withColumn("g", F.coalesce("__h", "__l"))
+    return joined.drop("__hk", "__h", "__lk", "__l", "__k")

@@ -19,14 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm.common import store
+from vachan.llm.common import join_hot, store
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# A digest with more than 1/HEAVY of a batch's rows is resolved by a broadcast
-# join; there are fewer than HEAVY of those, whatever the input.
-HEAVY = 10_000
-
 
 def digest(text) -> F.Column:
     """SHA-256 (lowercase hex) of the text with A-Z, and nothing else, lowered."""
@@ -61,18 +57,9 @@ def dedup_batch(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id",
 
     known = spark.table(table).select("digest", "keep_id", F.when(F.col("batch") == batch, F.col("keep_row")).alias("keep_row"))
     resolved = groups.select("digest", "group_size").join(known.hint("merge"), "digest")
-    heavy = resolved.filter(F.col("group_size") * HEAVY > total)
-    fields = ("keep_id", "keep_row", "group_size")
-    heavy = heavy.select(F.col("digest").alias("h_digest"), F.struct(*fields).alias("h"))
-    light = resolved.select(F.col("digest").alias("l_digest"), F.struct(*fields).alias("l"))
-    # a row that the heavy digests settle gets a key of its own, so that a hot digest isn't dealt to one task
-    key = F.when(F.col("h").isNull(), F.col("digest")).otherwise(F.col("row").cast("string"))
-    out = (rows.join(F.broadcast(heavy), F.col("digest") == F.col("h_digest"), "left")
-           .withColumn("key", key)
-           .join(light, F.col("key") == F.col("l_digest"), "left")
-           .withColumn("r", F.coalesce("h", "l")))
-    return out.select("row", "id", "digest", F.col("r.keep_id").alias("keep_id"), F.col("r.group_size").alias("group_size"),
-                      (F.col("row").eqNullSafe(F.col("r.keep_row"))).alias("kept"))
+    out = join_hot(rows, resolved, "digest", "group_size", total, "row")
+    return out.select("row", "id", "digest", F.col("g.keep_id").alias("keep_id"), F.col("g.group_size").alias("group_size"),
+                      (F.col("row").eqNullSafe(F.col("g.keep_row"))).alias("kept"))
 
 
 def keep_rows(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

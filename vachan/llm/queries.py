@@ -6,22 +6,35 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm import exact_dedup, mixing, quality
+from vachan.llm import exact_dedup, mixing, packing, quality, token_files, warc
+from vachan.llm.common import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return p.withColumnRenamed("id", "doc_id")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = quality.score(table(spark, sf_dir, "documents"))
     return s.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", "distance2")
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "sequences")
+    token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, folder).withColumnRenamed("id", "doc_id")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents"))
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -33,8 +46,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder)
+
+
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_quality": op2_quality,
+    "op3_token_files": op3_token_files,
     "op6_mixing": op6_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_warc": op9_warc,
 }

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm import exact_dedup, mixing, packing, pii, quality, token_files, warc
+from vachan.llm import exact_dedup, html_extract, mixing, packing, pii, quality, token_files, warc
 from vachan.llm.common import scratch_path
 
 
@@ -35,6 +35,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder).withColumnRenamed("id", "doc_id")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = html_extract.extract_pages(table(spark, sf_dir, "pages"))
+    return t.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pii.find(table(spark, sf_dir, "documents"))
     return p.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
@@ -61,6 +66,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
+    "op4_html_extract": op4_html_extract,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
     "op8_exact_dedup": op8_exact_dedup,

@@ -184,8 +184,52 @@ def join_hot(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int
     """
     fields = [c for c in groups.columns if c != key]
     heavy = groups.filter(F.col(size) * part > total).select(F.col(key).alias("__hk"), F.struct(*fields).alias("__h"))
-    light = groups.select(F.col(key).alias("__lk"), F.struct(*fields).alias("__l"))
+    light = groups.select(F.col(key).cast("string").alias("__lk"), F.struct(*fields).alias("__l"))
     joined = rows.join(F.broadcast(heavy), F.col(key) == F.col("__hk"), "left")
-    joined = joined.withColumn("__k", F.when(F.col("__h").isNull(), F.col(key)).otherwise(F.concat(F.lit("row "), F.col(row).cast("string"))))
+    joined = joined.withColumn("__k", F.when(F.col("__h").isNull(), F.col(key).cast("string")).otherwise(F.concat(F.lit("row "), F.col(row).cast("string"))))
     joined = joined.join(light, F.col("__k") == F.col("__lk"), "left").withColumn("g", F.coalesce("__h", "__l"))
     return joined.drop("__hk", "__h", "__lk", "__l", "__k")
+
+
+# ---------------------------------------------------------------- bounded membership filter
+
+BLOOM_BITS = 1 << 26  # 8 MB, whatever the input; a full filter passes everything and stays right
+_SEGMENT = 1 << 20  # bits built by one group
+
+
+def _bloom_bits(key: np.ndarray) -> np.ndarray:
+    h = mix(key.astype(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+    return np.concatenate([h >> np.uint64(38), (h << np.uint64(20)) >> np.uint64(38)])
+
+
+class Bloom:
+    """May-contain filter of a column of longs.  Its bits are set on the executors and
+    only the fixed-size bit array reaches the driver, which broadcasts it.  It saves
+    work before an exact join; it never decides alone."""
+
+    def __init__(self, df: DataFrame, col: str):
+        def bits(batches):
+            for b in batches:
+                at = np.unique(_bloom_bits(b.column(0).to_numpy()))
+                yield pa.RecordBatch.from_arrays([pa.array((at // _SEGMENT).astype(np.int64)), pa.array((at % _SEGMENT).astype(np.int32))], names=["segment", "bit"])
+
+        def build(table: pa.Table) -> pa.Table:
+            flags = np.zeros(_SEGMENT, bool)
+            flags[table.column("bit").to_numpy()] = True
+            return pa.table({"segment": table.column("segment")[:1], "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+        set_ = df.select(F.col(col).cast("long")).mapInArrow(bits, "segment long, bit int").distinct()
+        rows = set_.groupBy("segment").applyInArrow(build, "segment long, bits binary").collect()
+        whole = np.zeros(BLOOM_BITS // 8, np.uint8)
+        for r in rows:
+            at = r["segment"] * _SEGMENT // 8
+            whole[at:at + _SEGMENT // 8] = np.frombuffer(r["bits"], np.uint8)
+        self.bits = df.sparkSession.sparkContext.broadcast(whole)
+
+    def __getstate__(self):
+        return {"bits": self.bits}
+
+    def may_contain(self, key: np.ndarray) -> np.ndarray:
+        at = _bloom_bits(key)
+        hit = (self.bits.value[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1)
+        return hit[:len(key)].astype(bool) & hit[len(key):].astype(bool)

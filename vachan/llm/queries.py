@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm import exact_dedup, html_extract, mixing, packing, pii, quality, token_files, warc
+from vachan.llm import exact_dedup, html_extract, mixing, ngram_join, packing, pii, quality, token_files, warc
 from vachan.llm.common import scratch_path
 
 
@@ -50,6 +50,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = ngram_join.cluster(table(spark, sf_dir, "documents"))
+    return c.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = f"llm_digest_index_{uuid.uuid4().hex}"
     d = exact_dedup.dedup_batch(table(spark, sf_dir, "documents"), index, "batch-0")
@@ -69,6 +74,7 @@ QUERIES = {
     "op4_html_extract": op4_html_extract,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
+    "op7_ngram_join": op7_ngram_join,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
 }

@@ -13,8 +13,9 @@ padded.  Beside it lies a small Arrow file with (id, start, n_tokens) of the
 shard's documents, and the manifest, a Parquet table, lists the committed
 shards; shard starts in the whole stream are running sums over it.
 
-Only documents' compressed ids are shuffled (range partitioning by id), and a
-writer streams its sorted partition with one batch in memory.  A task writes
+Shards are ranges of ids between quantiles, found on narrow rows beforehand so
+that texts are encoded once.  Only documents' compressed ids are shuffled, and
+a writer streams its sorted shards with one batch in memory.  A task writes
 temporary names and renames them, so lost executors and repeated attempts
 leave the same files.
 
@@ -26,10 +27,10 @@ table gives an empty manifest and result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,12 +40,24 @@ from vachan.llm.tokens import TOKEN_SLICE, encoder
 
 SEQ_LEN = 2048
 BATCH = 64
+SHARD_TEXT = 16 << 20  # bytes of text per shard, on average
 
 MANIFEST = "shard long, n_docs long, n_tokens long, n_sequences long"
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int, width: str, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, tie, n_tokens, ids): ids as zstd-compressed little-endian integers."""
+def bounds(docs: DataFrame, id_col: str, text_col: str, shard_text: int) -> np.ndarray:
+    """Least keys of the shards after the first: quantiles of the ids."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    shards = max(1, -(-size // shard_text))
+    if shards == 1:
+        return np.zeros(0, np.int64)
+    at = docs.agg(F.percentile_approx(key, [i / shards for i in range(1, shards)], 20 * shards)).first()[0]
+    return np.unique(np.array(at, np.int64))
+
+
+def encode(docs: DataFrame, tokenizer: str, end_id: int, width: str, id_col: str, text_col: str, cuts: np.ndarray) -> DataFrame:
+    """(shard, id, key, tie, n_tokens, ids): ids as zstd-compressed little-endian integers."""
 
     def run(batches):
         enc, codec = encoder(tokenizer), pa.Codec("zstd", 1)
@@ -56,12 +69,13 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, width: str, id_col: str
                 ends = np.cumsum(total) * out.itemsize
                 view = memoryview(out).cast("B")
                 blobs = [codec.compress(view[a:b], asbytes=True) for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("key"), rows.column("tie"), pa.array(total), pa.array(blobs, pa.binary())],
-                                                 names=["id", "key", "tie", "n_tokens", "ids"])
+                shard = np.searchsorted(cuts, rows.column("key").to_numpy(), "right")
+                yield pa.RecordBatch.from_arrays([pa.array(shard), rows.column("id"), rows.column("key"), rows.column("tie"), pa.array(total), pa.array(blobs, pa.binary())],
+                                                 names=["shard", "id", "key", "tie", "n_tokens", "ids"])
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
                     F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string").alias("text"))
-    return d.mapInArrow(run, "id long, key long, tie long, n_tokens long, ids binary")
+    return d.mapInArrow(run, "shard long, id long, key long, tie long, n_tokens long, ids binary")
 
 
 class ShardWriter:
@@ -102,21 +116,15 @@ class ShardWriter:
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, seq_len: int = SEQ_LEN, width: str = "<u2",
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", shard_text: int = SHARD_TEXT) -> DataFrame:
     """Write the shards and the manifest below ``folder``; return the manifest.
     ``width`` is <u2 for vocabularies up to 65,536 ids, else <u4."""
 
-    def run(batches):
-        shard = TaskContext.get().partitionId()
-        codec, index = pa.Codec("zstd", 1), {"id": [], "start": [], "n_tokens": []}
-        batches = (b for b in batches if b.num_rows)
-        head = next(batches, None)
-        if head is None:
-            return
-        at = 0
+    def one(shard: int, batches) -> pa.RecordBatch:
+        codec, index, at = pa.Codec("zstd", 1), {"id": [], "start": [], "n_tokens": []}, 0
         with committed(folder, f"shard-{shard:06d}.arrow") as sink:
             w = ShardWriter(sink, seq_len, width)
-            for b in (x for g in ((head,), batches) for x in g):
+            for b in batches:
                 n = b.column("n_tokens").to_numpy()
                 for k, blob in zip(n.tolist(), b.column("ids"), strict=True):
                     w.write(np.frombuffer(codec.decompress(blob.as_buffer(), k * np.dtype(width).itemsize), width))
@@ -125,13 +133,26 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, seq_len
                 index["n_tokens"].append(n)
                 at += int(n.sum())
             w.close()
-        docs_ = pa.table({"id": pa.chunked_array(index["id"], pa.int64()), "start": np.concatenate(index["start"]), "n_tokens": np.concatenate(index["n_tokens"])})
-        with committed(folder, f"shard-{shard:06d}.docs.arrow") as sink, pa.ipc.new_file(sink, docs_.schema) as out:
-            out.write_table(docs_, max_chunksize=1 << 16)
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [docs_.num_rows], "n_tokens": [at], "n_sequences": [w.sequences]})
+        rows = pa.table({"id": pa.chunked_array(index["id"], pa.int64()), "start": np.concatenate(index["start"]), "n_tokens": np.concatenate(index["n_tokens"])})
+        with committed(folder, f"shard-{shard:06d}.docs.arrow") as sink, pa.ipc.new_file(sink, rows.schema) as out:
+            out.write_table(rows, max_chunksize=1 << 16)
+        return pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [rows.num_rows], "n_tokens": [at], "n_sequences": [w.sequences]})
+
+    def runs(batches):
+        """(shard, batch) for each run of rows of one shard."""
+        for b in batches:
+            shard = b.column("shard").to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else []
+            for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+                yield int(shard[lo]), b.slice(lo, hi - lo)
+
+    def run(batches):
+        for shard, group in groupby(runs(batches), key=lambda x: x[0]):
+            yield one(shard, (b for _, b in group))
 
-    rows = encode(docs, tokenizer, end_id, width, id_col, text_col)
-    rows = rows.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie").select("id", "n_tokens", "ids")
+    cuts = bounds(docs, id_col, text_col, shard_text)
+    rows = encode(docs, tokenizer, end_id, width, id_col, text_col, cuts).repartition(len(cuts) + 1, "shard")
+    rows = rows.sortWithinPartitions("shard", "key", "tie").select("shard", "id", "n_tokens", "ids")
     rows.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 

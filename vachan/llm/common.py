@@ -191,6 +191,33 @@ def join_hot(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int
     return joined.drop("__hk", "__h", "__lk", "__l", "__k")
 
 
+# ---------------------------------------------------------------- packed pairs
+
+def pack_pairs(key: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """(key, node) pairs dealt to buckets by key, one row of packed arrays per bucket."""
+    bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
+    at = np.argsort(bucket, kind="stable")
+    key, node, bucket = key[at], node[at], bucket[at]
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(key) else np.zeros(1, np.int64)
+    keys, nodes = [], []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        u, inverse = np.unique(node[a:b], return_inverse=True)
+        keys.append(key[a:b].tobytes())
+        nodes.append(len(u).to_bytes(8, "little") + u.astype(np.int64).tobytes() + inverse.astype(np.int32).tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), pa.array(keys, pa.binary()), pa.array(nodes, pa.binary())], names=["bucket", "keys", "nodes"])
+
+
+def unpack_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of all rows of a bucket."""
+    keys, nodes = [], []
+    for kb, nb in zip(table.column("keys"), table.column("nodes"), strict=True):
+        k, raw = np.frombuffer(kb.as_buffer(), np.uint64), nb.as_buffer()
+        m = int(np.frombuffer(raw, np.int64, 1)[0])
+        keys.append(k)
+        nodes.append(np.frombuffer(raw, np.int64, m, 8)[np.frombuffer(raw, np.int32, len(k), 8 + 8 * m)])
+    return np.concatenate(keys), np.concatenate(nodes)
+
+
 # ---------------------------------------------------------------- bounded membership filter
 
 BLOOM_BITS = 1 << 26  # 8 MB, whatever the input; a full filter passes everything and stays right

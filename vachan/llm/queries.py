@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm import exact_dedup, html_extract, mixing, ngram_join, packing, pii, quality, token_files, warc
+from vachan.llm import exact_dedup, html_extract, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
 from vachan.llm.common import scratch_path
 
 
@@ -67,6 +67,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, folder)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return d.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -77,4 +82,5 @@ QUERIES = {
     "op7_ngram_join": op7_ngram_join,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }

@@ -65,9 +65,9 @@ def dedup_batch(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id",
 def keep_rows(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.  Ids may repeat:
     of equal rows one is kept."""
-    kept = (dedup_batch(docs, table, batch, id_col, text_col).filter("kept")
-            .select(F.col("id").alias("__id"), F.col("digest").alias("__digest")))
+    judged, _ = store(dedup_batch(docs, table, batch, id_col, text_col).filter("kept").select(F.col("id").alias("__id"), F.col("digest").alias("__digest")), "kept")
     rows = docs.withColumn("__d", digest(F.col(text_col)))
-    same = rows.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")), "left_semi")
-    # rows that repeat both id and text all match: one of them stays
-    return same.dropDuplicates([id_col, "__d"]).drop("__d")
+    same = rows.join(judged, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")), "left_semi")
+    # rows that repeat id and text all match the one that was kept: only then is text shuffled to single one out
+    repeats = rows.groupBy(id_col, "__d").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
+    return (same.dropDuplicates([id_col, "__d"]) if repeats else same).drop("__d")

@@ -116,49 +116,59 @@ class Roller:
             self.sink, self.part = None, self.part + 1
 
 
-def shard_of(pages: DataFrame, shard_bytes: int, min_bytes: int) -> DataFrame:
-    """One row per (key, sha): shard and the key of the response to its payload."""
+def describe(pages: DataFrame, shard_bytes: int, min_bytes: int) -> tuple[DataFrame, list[int]]:
+    """One row per (key, sha) with the key of the response to its payload; and the
+    least key of each shard after the first, from running sums of payload bytes in
+    key order (one number per shard)."""
     narrow = pages.select("key", F.sha1(F.coalesce("html", F.lit(""))).alias("sha"), F.coalesce(F.octet_length("html"), F.lit(0)).alias("n"))
     rows = narrow.groupBy("key", "sha").agg(F.sum("n").alias("bytes"), F.max("n").alias("n"))
     rows, _ = store(rows.repartitionByRange("key", "sha").sortWithinPartitions("key", "sha").withColumn("at", F.monotonically_increasing_id()), "records")
     part = F.shiftright("at", 33)
-    before = Window.orderBy("part").partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
     parts = rows.groupBy(part.alias("part")).agg(F.sum("bytes").alias("b"))
     parts = parts.select("part", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("first"))
-    running = F.sum("bytes").over(Window.partitionBy("p").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("p", part).withColumn("running", running).join(F.broadcast(parts), F.col("p") == F.col("part"))
-    rows = rows.select("at", "key", "sha", "n", F.floor((F.col("first") + F.col("running") - 1) / shard_bytes).cast("long").alias("shard"))
-    rows, _ = store(rows, "shards")
+    running = F.sum("bytes").over(Window.partitionBy("p").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.withColumn("p", part).withColumn("running", F.coalesce(running, F.lit(0))).join(F.broadcast(parts), F.col("p") == F.col("part"))
+    shard = F.floor((F.col("first") + F.col("running")) / shard_bytes)
+    cuts = [r["key"] for r in placed.groupBy(shard.alias("shard")).agg(F.min("key").alias("key")).orderBy("shard").collect()]
     first = rows.filter(F.col("n") >= min_bytes).groupBy("sha").agg(F.min("key").alias("first_key"), F.count("*").alias("n_equal"))
     joined = join_hot(rows, first, "sha", "n_equal", rows.count(), "at")
-    return joined.select("key", "sha", F.greatest("shard", F.lit(0)).alias("shard"), F.col("g.first_key").alias("first_key"))
+    return joined.select("key", "sha", F.col("g.first_key").alias("first_key")), sorted(set(cuts))[1:]
+
+
+def shard_of(key, cuts: list[int]) -> F.Column:
+    """Number of ``cuts`` that are not above ``key``, by binary search."""
+    if not cuts:
+        return F.lit(0)
+    steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
+    table = F.lit(cuts)
+    return F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when((at + step <= len(cuts)) & (F.get(table, at + step - 1) <= key), at + step).otherwise(at))
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
           shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, min_bytes: int = 0) -> DataFrame:
     """Write the archives and the manifest below ``folder``; return the manifest."""
     d = pages.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    info, _ = store(shard_of(d, shard_bytes, min_bytes), "info")
-    shards = int(info.agg(F.max("shard")).first()[0] or 0) + 1
-    info = info.select(F.col("key").alias("i_key"), F.col("sha").alias("i_sha"), "shard", "first_key")
-    sha = F.sha1(F.coalesce("html", F.lit("")))
-    rows = (d.withColumn("sha", sha).join(info, (F.col("key") == F.col("i_key")) & (F.col("sha") == F.col("i_sha")))
-            .select("shard", "key", "sha", "url", "html", "first_key")
-            .repartition(shards, "shard").sortWithinPartitions("shard", "key", "sha", "url"))
+    info, cuts = describe(d, shard_bytes, min_bytes)
+    shard = shard_of(F.col("key"), cuts).cast("long").alias("shard")
+    # what is known of a payload comes just before its pages; html is shuffled once
+    heads = info.select(shard, "key", "sha", F.lit(0).alias("kind"), "first_key", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
+    bodies = d.select(shard, "key", F.sha1(F.coalesce("html", F.lit(""))).alias("sha"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first_key"), "url", "html")
+    rows = heads.unionByName(bodies).repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "key", "sha", "kind", "url")
 
     def run(batches):
-        out, last, nth = Roller(folder, roll_bytes), None, 0
+        out, first, nth = Roller(folder, roll_bytes), None, 0
         for b in batches:
             html = pc.fill_null(b.column("html"), "")
-            cols = [b.column(c).to_pylist() for c in ("shard", "key", "sha", "url", "first_key")]
-            for shard, key, sha_, url, first, text in zip(*cols, html, strict=True):
-                nth = nth + 1 if last == (key, sha_) else 0
-                last = (key, sha_)
-                payload = text.as_buffer().to_pybytes()
-                digest = base64.b32encode(bytes.fromhex(sha_)).decode()
-                page = None if key == NO_ID else key
-                revisit = first is not None and (first != key or nth > 0)
-                out.add(shard, record(page, url, payload, digest, ((None if first == NO_ID else first),) if revisit else None, nth))
+            cols = [b.column(c).to_pylist() for c in ("shard", "key", "sha", "kind", "first_key", "url")]
+            for shard_, key, sha, kind, first_key, url, text in zip(*cols, html, strict=True):
+                if not kind:
+                    first, nth = first_key, 0
+                    continue
+                digest = base64.b32encode(bytes.fromhex(sha)).decode()
+                refers = ((None if first == NO_ID else first),) if first is not None and (first != key or nth) else None
+                out.add(shard_, record(None if key == NO_ID else key, url, text.as_buffer().to_pybytes(), digest, refers, nth))
+                nth += 1
         out.close()
         if out.files:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out.files, strict=True)], names=["shard", "part", "name", "records", "bytes", "sha1"])

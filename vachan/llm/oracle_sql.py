@@ -8,3 +8,47 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
        sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)
 """
+
+# A document's set: 5-word shingles, or the whole sequence of a shorter text.  Pairs that
+# share a shingle are counted; components spread the least id over the links.
+ORACLES["op7_ngram_join"] = r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                          ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+l AS (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e),
+r(u, v) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.v) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.u = d.doc_id GROUP BY d.doc_id
+"""
+
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, strlen(h) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         list_sum(list_transform(range(5), lambda j: (1 << (4 - j)) * CAST(substr(CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR), CAST(5 * i + j + 1 AS INT), 1) AS INT)))::INT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> f THEN f END AS refers_to, url
+FROM g
+"""
+
+# Bytes as pairs of hex digits; every window of 100 bytes, its first place, and the
+# bytes that a later one covers.
+ORACLES["op10_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, unnest(range(len(h) // 2)) AS i, h FROM d),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS c, CASE WHEN 2 * i + 200 <= len(h) THEN substr(h, 2 * i + 1, 200) END AS s FROM b),
+f AS (SELECT doc_id, i, c, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS again FROM w),
+x AS (SELECT doc_id, i, c, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS 99 PRECEDING) AS gone FROM f),
+y AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS opens FROM x),
+z AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+             coalesce(string_agg(c, '' ORDER BY i) FILTER (NOT gone), '') AS rest FROM y GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM d LEFT JOIN z USING (doc_id)
+"""

@@ -11,27 +11,32 @@ work is split where that dependency is small:
    *continued* — at most one of each per partition boundary, so this flag
    table has at most ``partitions + recordings`` rows and the continuing /
    continued subset at most ``2 * partitions`` rows (broadcast);
-3. per continuing piece (Arrow kernel): the first boundary inside the piece
-   for an open chunk that started at time ``s`` is the first word whose
-   running-maximum end exceeds ``s + max_dur``; it can only be one of the
-   record positions of that running maximum up to ``latest start before the
-   piece + max_dur`` (plus one).  For each such candidate the kernel follows
-   the greedy chain to the piece end (one backward pass) and keeps the last
-   chunk start: a summary of at most the words in the first ``max_dur``
-   seconds of the piece.  A continued piece that is its recording's first
-   keeps its own last chunk start;
-4. per recording (Spark ``aggregate`` fold over at most ``partitions``
-   summaries, a bounded group): every continuing piece's entry state;
-5. per piece (Arrow kernel): words are assigned to chunks (a chunk is named
-   by its first word); chunks are grouped by that name, and numbered per
-   recording with the distributed index of ``sampling.with_group_index``.
-
-Blank words are dropped first (the greedy rule skips them); a recording with
-a NULL word text or time is left out (see ``chunking.chunk_rejects``).
+3. per continuing piece (Arrow kernel): a *summary*, the map from the start of
+   the chunk that is open before the piece to the start of the one that is
+   open after it.  The first boundary inside the piece for an open chunk that
+   started at ``s`` is the first word with ``end - s > max_dur``, and that is
+   a record of the running maximum of ends; so the map is a step function
+   over those records.  Steps with the same outcome are merged.  A continued
+   piece that is its recording's first has a constant summary;
+4. summaries are composed in a tree of FAN_IN pieces per task and level, and
+   entry states run back down it.  A composed summary has steps only for words
+   within ``max_dur`` of its first, however many pieces it covers, so no
+   task holds more than FAN_IN times the words of one chunk;
+5. per piece (Arrow kernel, batch by batch with carried state): words are
+   assigned to chunks (a chunk is named by its first word); chunks are grouped
+   by that name, and numbered per recording with the distributed index of
+   ``sampling.with_group_index``.
+
+Every comparison is ``end - start > max_dur`` in doubles, as in the fold
+(``chunking.pack_words``); subtraction is monotone, so searching for the first
+such word is exact.  Blank words are dropped first (the greedy rule skips
+them); a recording with a NULL word text or time is left out (see
+``chunking.chunk_rejects``).
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,102 +47,194 @@ from pyspark.sql import functions as F
 from vachan.functions import text as TX
 from vachan.session import cut_lineage
 
+FAN_IN = 16
 
-def _chain_exits(s: np.ndarray, e: np.ndarray, max_dur: float) -> np.ndarray:
-    """For every word j of a piece: the last chunk start inside the piece when
-    a chunk starts at j (greedy chain followed to the piece end)."""
-    import bisect
+STATE = "struct<pid:long,local:long,start:double>"  # names a chunk by its first word
+
+
+def _first_beyond(ends: list, start: float, max_dur: float) -> int:
+    """Index of the first of ascending ``ends`` with ``end - start > max_dur``."""
+    return bisect.bisect_left(ends, True, key=lambda e: e - start > max_dur)
 
+
+def _chain_exits(s: np.ndarray, e: np.ndarray, max_dur: float) -> np.ndarray:
+    """For every word of a piece: the last chunk start inside the piece if a
+    chunk starts at that word.  One pass from the back; ``far`` holds the words
+    that can still be the first beyond some start, their ends ascending
+    towards the back of the list being the nearest word's."""
     n = len(s)
-    nxt = np.full(n, n, dtype=np.int64)
-    # Words right of j that can still be "the first end beyond a threshold":
-    # kept with ends decreasing from bottom to top (nearest word on top);
-    # ``neg`` holds the negated ends, ascending, for binary search.
-    idx: list[int] = []
-    neg: list[float] = []
+    exits = np.arange(n, dtype=np.int64)
+    far: list[int] = []          # nearest word last, ends descending from first to last
     for j in range(n - 1, -1, -1):
-        t = bisect.bisect_left(neg, -(s[j] + max_dur)) - 1   # last entry with end > threshold
-        nxt[j] = idx[t] if t >= 0 else n
-        while neg and neg[-1] >= -e[j]:
-            neg.pop()
-            idx.pop()
-        idx.append(j)
-        neg.append(-e[j])
-    ex = np.arange(n, dtype=np.int64)
-    for j in range(n - 1, -1, -1):
-        if nxt[j] < n:
-            ex[j] = ex[nxt[j]]
-    return ex
+        # words whose end is beyond: a prefix of ``far``; its last entry is the nearest of them
+        k = bisect.bisect_left(far, True, key=lambda w: not e[w] - s[j] > max_dur)
+        if k:
+            exits[j] = exits[far[k - 1]]
+        while far and e[far[-1]] <= e[j]:
+            far.pop()
+        far.append(j)
+    return exits
+
+
+def _merged(ends: list, states: list) -> tuple[list, list]:
+    """Drop a step whose successor has the same outcome."""
+    keep = [i for i in range(len(states)) if i + 1 == len(states) or states[i] != states[i + 1]]
+    return [ends[i] for i in keep], [states[i] for i in keep]
+
+
+def piece_summary(s: np.ndarray, e: np.ndarray, names: list[tuple], before: float, max_dur: float) -> tuple[list, list]:
+    """Steps (end, state after the piece) for chunks that are open before it;
+    none of those starts after ``before``."""
+    exits = _chain_exits(s, e, max_dur)
+    top = np.maximum.accumulate(e)
+    records = np.flatnonzero(np.concatenate([[True], top[1:] > top[:-1]]))
+    last = np.flatnonzero(top[records] - before > max_dur)   # beyond it every open chunk has ended
+    records = records[:last[0] + 1] if len(last) else records
+    return _merged([float(top[r]) for r in records], [names[exits[r]] for r in records])
+
+
+def advance(state: tuple | None, steps: tuple[list, list], max_dur: float) -> tuple | None:
+    """State after a piece, from the state before it."""
+    if state is None:
+        return None
+    i = _first_beyond(steps[0], state[2], max_dur)
+    return steps[1][i] if i < len(steps[0]) else state
+
+
+def compose(parts: list[tuple[list, list]], before: float, max_dur: float) -> tuple[list, list]:
+    """Summary of consecutive pieces."""
+    ends, states, top = [], [], -np.inf
+    for i, (e, st) in enumerate(parts):
+        for end, state in zip(e, st, strict=True):
+            if end <= top:
+                continue
+            for later in parts[i + 1:]:
+                state = advance(state, later, max_dur)
+            ends.append(end)
+            states.append(state)
+            top = end
+            if end - before > max_dur:
+                return _merged(ends, states)
+    return _merged(ends, states)
 
 
-def _pieces(pdf: pd.DataFrame, key: str):
-    """Consecutive rows with the same (stored partition, key)."""
-    if len(pdf) == 0:
-        return
-    keys = pdf[key].to_numpy()
-    pids = pdf["__pid"].to_numpy()
-    cut = np.flatnonzero((keys[1:] != keys[:-1]) | (pids[1:] != pids[:-1])) + 1
-    bounds = np.concatenate([[0], cut, [len(pdf)]])
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        yield pdf.iloc[a:b]
+def _runs(batches: Iterator[pd.DataFrame], key: str):
+    """(key, pid, first of its piece, rows) for each run of a piece inside a batch."""
+    last = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        keys, pids = pdf[key].to_numpy(), pdf["__pid"].to_numpy()
+        cut = np.flatnonzero((keys[1:] != keys[:-1]) | (pids[1:] != pids[:-1])) + 1
+        for a, b in zip([0, *cut], [*cut, len(pdf)], strict=True):
+            name = (keys[a], int(pids[a]))
+            yield *name, name != last, pdf.iloc[a:b]
+            last = name
 
 
 def _summaries(key: str, max_dur: float):
+    """Times of one piece at a time (a piece is inside one partition)."""
+    columns = [key, "pid", "cont", "before", "ends", "states"]
+
+    def row(k, pid, parts):
+        s, e, local = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("start", "end", "__local"))
+        names = [(pid, int(i), float(x)) for i, x in zip(local, s, strict=True)]
+        cont, before = bool(parts[0]["__cont"].iloc[0]), parts[0]["__s_before"].iloc[0]
+        if cont:
+            ends, states = piece_summary(s.astype(float), e.astype(float), names, float(before), max_dur)
+        else:
+            ends, states = [], [names[_chain_exits(s.astype(float), e.astype(float), max_dur)[0]]]
+        return k, pid, cont, float(before) if cont else None, ends, [dict(zip(("pid", "local", "start"), x, strict=True)) for x in states]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        pdf = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
-        out = []
-        for piece in _pieces(pdf, key):
-            if not (piece["__cont"].iloc[0] or piece["__contd"].iloc[0]):
-                continue
-            s = piece["start"].to_numpy(dtype=float)
-            e = piece["end"].to_numpy(dtype=float)
-            ex = _chain_exits(s, e, max_dur)
-            pid = int(piece["__pid"].iloc[0])
-            local = piece["__local"].to_numpy()
-            if piece["__cont"].iloc[0]:
-                bound = float(piece["__s_before"].iloc[0]) + max_dur
-                m = np.maximum.accumulate(e)
-                rec = np.flatnonzero(np.concatenate([[True], m[1:] > m[:-1]]))
-                keep = rec[m[rec] <= bound]
-                beyond = rec[m[rec] > bound]
-                cand = np.concatenate([keep, beyond[:1]])
-                out.append((piece[key].iloc[0], pid, True, [float(m[c]) for c in cand],
-                            [int(local[ex[c]]) for c in cand], [float(s[ex[c]]) for c in cand], None, None))
-            else:
-                out.append((piece[key].iloc[0], pid, False, [], [], [], int(local[ex[0]]), float(s[ex[0]])))
-        if out:   # a task without continuing / continued pieces yields nothing
-            yield pd.DataFrame(out, columns=[key, "pid", "cont", "cand_m", "cand_local", "cand_s",
-                                             "fresh_local", "fresh_s"])
+        held, name = [], None
+        for k, pid, new, rows in _runs(batches, key):
+            if new and held:
+                yield pd.DataFrame([row(*name, held)], columns=columns)
+                held = []
+            name = (k, pid)
+            if rows["__cont"].iloc[0] or rows["__contd"].iloc[0]:
+                held.append(rows[["start", "end", "__local", "__cont", "__s_before"]])
+        if held:
+            yield pd.DataFrame([row(*name, held)], columns=columns)
     return run
 
 
+def _steps(ends, states) -> tuple[list, list]:
+    return list(ends), [(int(x["pid"]), int(x["local"]), float(x["start"])) for x in states]
+
+
+def _compose_group(key: str, max_dur: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pid")
+        first = pdf.iloc[0]
+        parts = [_steps(r.ends, r.states) for r in pdf.itertuples()]
+        if first["cont"]:
+            ends, states = compose(parts, float(first["before"]), max_dur)
+        else:   # starts with its recording's first piece: one outcome
+            state = parts[0][1][0]
+            for p in parts[1:]:
+                state = advance(state, p, max_dur)
+            ends, states = [], [state]
+        out = [dict(zip(("pid", "local", "start"), x, strict=True)) for x in states]
+        return pd.DataFrame([(first[key], int(first["block"]), bool(first["cont"]), first["before"], ends, out)],
+                            columns=[key, "pid", "cont", "before", "ends", "states"])
+    return run
+
+
+def _entries_group(key: str, max_dur: float):
+    """Entry states of a block's parts, from the block's own entry state (carried
+    on every row; NULL where the block starts its recording)."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pid")
+        name, entry, out = pdf[key].iloc[0], pdf["entry"].iloc[0], []
+        state = None if entry is None else (int(entry["pid"]), int(entry["local"]), float(entry["start"]))
+        for r in pdf.itertuples():
+            if state is not None:
+                out.append((name, int(r.pid), dict(zip(("pid", "local", "start"), state, strict=True))))
+            steps = _steps(r.ends, r.states)
+            state = advance(state, steps, max_dur) if r.cont else steps[1][0]
+        return pd.DataFrame(out, columns=[key, "pid", "entry"])
+    return run
+
+
+def entry_states(summaries: DataFrame, key: str, key_type: str, n_parts: int, max_dur: float) -> DataFrame:
+    """``(key, pid, entry)`` of every continuing piece: up the tree and down again."""
+    one = f"{key} {key_type}, pid long, cont boolean, before double, ends array<double>, states array<{STATE}>"
+    down = f"{key} {key_type}, pid long, entry {STATE}"
+    levels, width = [cut_lineage(summaries)], n_parts
+    while width > FAN_IN:
+        up = levels[-1].withColumn("block", F.floor(F.col("pid") / FAN_IN).cast("long"))
+        levels.append(cut_lineage(up.groupBy(key, "block").applyInPandas(_compose_group(key, max_dur), one)))
+        width = -(-width // FAN_IN)
+    above = None
+    for level in reversed(levels):
+        rows = level.withColumn("block", F.floor(F.col("pid") / FAN_IN).cast("long") if above is not None else F.lit(0).cast("long"))
+        if above is None:
+            rows = rows.withColumn("entry", F.lit(None).cast(STATE))
+        else:
+            rows = rows.join(above.select(key, F.col("pid").alias("block"), "entry"), [key, "block"], "left")
+        above = rows.groupBy(key, "block").applyInPandas(_entries_group(key, max_dur), down)
+    return above
+
+
 def _assign(key: str, max_dur: float):
+    """Name the chunk of every word, batch by batch."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        pdf = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
-        outs = []
-        for piece in _pieces(pdf, key):
-            s = piece["start"].to_numpy(dtype=float)
-            e = piece["end"].to_numpy(dtype=float)
-            local = piece["__local"].to_numpy()
-            pid = int(piece["__pid"].iloc[0])
-            if piece["__cont"].iloc[0]:
-                cpid, cloc, cs = int(piece["__e_pid"].iloc[0]), int(piece["__e_local"].iloc[0]), float(piece["__e_s"].iloc[0])
-                open_ = True
-            else:
-                cpid, cloc, cs, open_ = -1, -1, 0.0, False
-            c_pid = np.empty(len(s), dtype=np.int64)
-            c_loc = np.empty(len(s), dtype=np.int64)
+        state = None
+        for _, pid, new, rows in _runs(batches, key):
+            if new:
+                state = tuple(rows[c].iloc[0] for c in ("__e_pid", "__e_local", "__e_s")) if rows["__cont"].iloc[0] else None
+            s, e, local = rows["start"].tolist(), rows["end"].tolist(), rows["__local"].tolist()
+            named = []
             for i in range(len(s)):
-                if not open_ or e[i] - cs > max_dur:
-                    cpid, cloc, cs, open_ = pid, int(local[i]), float(s[i]), True
-                c_pid[i], c_loc[i] = cpid, cloc
-            outs.append(pd.DataFrame({key: piece[key].to_numpy(), "chunk_pid": c_pid, "chunk_local": c_loc,
-                                      "pid": pid, "local": local, "word": piece["word"].to_numpy(),
-                                      "start": s, "end": e}))
-        if outs:
-            yield pd.concat(outs, ignore_index=True)
+                if state is None or e[i] - state[2] > max_dur:
+                    state = (pid, local[i], s[i])
+                named.append(state[:2])
+            out = rows[[key, "word", "start", "end"]].copy()
+            out["chunk_pid"], out["chunk_local"] = (np.array(c, dtype=np.int64) for c in zip(*named, strict=True))
+            out["pid"], out["local"] = pid, rows["__local"]
+            yield out[[key, "chunk_pid", "chunk_local", "pid", "local", "word", "start", "end"]]
     return run
 
 
@@ -176,39 +273,20 @@ def pack_rows(rows: DataFrame, key: str, order_cols: list[str], max_dur: float =
                     .fillna(False, subset=["__cont", "__contd"]))
 
     # 3. summaries of continuing / continued pieces
-    summ = tagged.mapInPandas(_summaries(key, max_dur),
-                              f"{key} long, pid int, cont boolean, cand_m array<double>, cand_local array<long>, "
-                              "cand_s array<double>, fresh_local long, fresh_s double")
-
-    # 4. entry state of every continuing piece: fold per recording
-    st = F.struct(F.lit(-1).alias("b_pid"), F.lit(-1).cast("long").alias("b_local"),
-                  F.lit(0.0).alias("b_s"), F.array().cast("array<struct<pid:int,e_pid:int,e_local:bigint,e_s:double>>").alias("out"))
-
-    def step(acc, p):
-        x = acc["b_s"] + F.lit(max_dur)
-        idx = F.array_position(F.transform(p["cand_m"], lambda m: m > x), True)
-        entry = F.struct(p["pid"].alias("pid"), acc["b_pid"].alias("e_pid"), acc["b_local"].alias("e_local"),
-                         acc["b_s"].alias("e_s"))
-        moved = F.struct(p["pid"].alias("b_pid"), F.element_at(p["cand_local"], idx.cast("int")).alias("b_local"),
-                         F.element_at(p["cand_s"], idx.cast("int")).alias("b_s"),
-                         F.concat(acc["out"], F.array(entry)).alias("out"))
-        stay = F.struct(acc["b_pid"].alias("b_pid"), acc["b_local"].alias("b_local"), acc["b_s"].alias("b_s"),
-                        F.concat(acc["out"], F.array(entry)).alias("out"))
-        fresh = F.struct(p["pid"].alias("b_pid"), p["fresh_local"].alias("b_local"), p["fresh_s"].alias("b_s"),
-                         acc["out"].alias("out"))
-        return F.when(~p["cont"], fresh).when(idx > 0, moved).otherwise(stay)
-
-    per_rec = summ.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pid", "cont", "cand_m", "cand_local",
-                                                                          "cand_s", "fresh_local", "fresh_s"))).alias("ps"))
-    entries = per_rec.select(key, F.explode(F.aggregate("ps", st, step)["out"]).alias("x")).select(
-        key, F.col("x.pid").alias("__pid"), F.col("x.e_pid").alias("__e_pid"), F.col("x.e_local").alias("__e_local"),
-        F.col("x.e_s").alias("__e_s"))
+    key_type = rows.schema[key].dataType.simpleString()
+    summ = tagged.where("__cont OR __contd").mapInPandas(
+        _summaries(key, max_dur), f"{key} {key_type}, pid long, cont boolean, before double, ends array<double>, states array<{STATE}>")
+
+    # 4. entry state of every continuing piece
+    entries = entry_states(summ, key, key_type, n_parts, max_dur).select(
+        key, F.col("pid").cast("int").alias("__pid"), F.col("entry.pid").alias("__e_pid"),
+        F.col("entry.local").alias("__e_local"), F.col("entry.start").alias("__e_s"))
 
     # 5. assign words to chunks, group chunks, number them per recording
     final_in = (by_pid.join(F.broadcast(entries.withColumn("__cont", F.lit(True))), [key, "__pid"], "left")
                       .fillna(False, subset=["__cont"]))
     assigned = final_in.mapInPandas(_assign(key, max_dur),
-                                    f"{key} long, chunk_pid long, chunk_local long, pid long, local long, "
+                                    f"{key} {key_type}, chunk_pid long, chunk_local long, pid long, local long, "
                                     "word string, start double, end double")
     chunks = (assigned.groupBy(key, "chunk_pid", "chunk_local")
                       .agg(F.array_sort(F.collect_list(F.struct("pid", "local", "word", "start", "end"))).alias("w")))

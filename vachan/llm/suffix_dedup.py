@@ -124,20 +124,25 @@ def shifts() -> np.ndarray:
 SHIFT = shifts()
 
 
-def ranked_sample(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def ranked_sample(text: np.ndarray, near: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rank of each sample position (-1 elsewhere) by its suffix's first ``length``
-    bytes, and the common prefix of each ranked suffix with the one before."""
-    position = np.arange(len(text) - length)
-    sample = position[np.isin(position % PERIOD, COVER)]
+    bytes, and the common prefix of each ranked suffix with the one before.  Only
+    sample positions within PERIOD after one of ``near`` are needed."""
+    reach = np.zeros(len(text) + 1, np.int64)
+    np.add.at(reach, near, 1)
+    np.add.at(reach, near + PERIOD, -1)
+    position = np.flatnonzero(np.cumsum(reach[:-1]) > 0)
+    inside = np.zeros(PERIOD, bool)
+    inside[list(COVER)] = True
+    sample = position[inside[position % PERIOD]]
     wide = -(-length // 8) * 8
-    grams = np.lib.stride_tricks.sliding_window_view(text, length)[sample]
     padded = np.zeros((len(sample), wide), np.uint8)
-    padded[:, :length] = grams
-    key = padded.view(">u8").astype(np.uint64)
-    order = np.lexsort(key.T[::-1])
+    padded[:, :length] = np.lib.stride_tricks.sliding_window_view(text, length)[sample]
+    order = np.lexsort(padded.view(">u8").astype(np.uint64).T[::-1])
     rank = np.full(len(text), -1, np.int64)
     rank[sample[order]] = np.arange(len(sample))
-    apart = grams[order[1:]] != grams[order[:-1]]
+    padded = padded[order]
+    apart = padded[1:] != padded[:-1]
     common = np.where(apart.any(axis=1), apart.argmax(axis=1), length)
     return rank, np.concatenate([[0], common])
 
@@ -145,16 +150,21 @@ def ranked_sample(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
 def equal_windows(text: np.ndarray, start: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Class number of each window text[start:start + length]; equal windows share one."""
     padded = np.concatenate([text, np.zeros(length + PERIOD, np.uint8)])
-    rank, common = ranked_sample(padded, length)
     head = -(-PERIOD // 8) * 8
     key = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, head)[start]).view(">u8").astype(np.uint64)
     order = np.lexsort(key.T[::-1])
-    same = (key[order[1:]] == key[order[:-1]]).all(axis=1)
+    same = np.zeros(len(start) + 1, bool)
+    same[1:-1] = (key[order[1:]] == key[order[:-1]]).all(axis=1)
     group = np.empty(len(start), np.int64)
-    group[order] = np.concatenate([[0], np.cumsum(~same)])
-    out = np.full(len(start), -1, np.int64)
-    done = 0
-    open_ = np.arange(len(start))
+    group[order] = np.cumsum(~same[:-1]) - 1
+    out = group.copy()  # right for windows whose first bytes are theirs alone
+    tied = same[:-1] | same[1:]
+    open_ = order[tied]
+    if not len(open_):
+        return out
+    rank, common = ranked_sample(padded, start[open_], length)
+    levels: dict[int, np.ndarray] = {}
+    done = len(start)
     draw = np.random.default_rng(7)
     while len(open_):
         # each group of ties: a pivot, and every member below, equal or above by cover ranks
@@ -168,10 +178,11 @@ def equal_windows(text: np.ndarray, start: np.ndarray, length: int = LENGTH) ->
         mine = start[open_]
         d = SHIFT[mine % PERIOD, pivot % PERIOD]
         sign = np.zeros(len(open_), np.int64)
-        for shift in np.unique(d):
+        for shift in np.unique(d).tolist():
             own = np.flatnonzero(d == shift)
-            level = np.cumsum(common < length - shift)  # ranks that agree so far share a level
-            sign[own] = np.sign(level[rank[mine[own] + shift]] - level[rank[pivot[own] + shift]])
+            if shift not in levels:  # ranks that agree for length - shift bytes share a level
+                levels[shift] = np.cumsum(common < length - shift, dtype=np.int32)
+            sign[own] = np.sign(levels[shift][rank[mine[own] + shift]] - levels[shift][rank[pivot[own] + shift]])
         equal = sign == 0
         out[open_[equal]] = done + number[equal]
         done += len(lead)
@@ -260,8 +271,8 @@ def write_table(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
 
 
 def frequent_anchors(texts: DataFrame, size: int, length: int) -> DataFrame:
-    """(row, anchors): hashes of the row's anchors that occur again, each with a flag
-    for the very frequent, as bytes."""
+    """(row, anchors, hot): hashes of the row's anchors that occur again, and which of
+    those are very frequent."""
     buckets = max(1, -(-size // (36 * BUCKET_ANCHORS)))
 
     def deal(batches):
@@ -280,34 +291,18 @@ def frequent_anchors(texts: DataFrame, size: int, length: int) -> DataFrame:
 
     def again(table: pa.Table) -> pa.Table:
         k, row = unpack_pairs(table)
-        order = np.argsort(k, kind="stable")
+        order = np.lexsort((row, k))
         k, row = k[order], row[order]
         start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         count = np.diff(np.append(start, len(k)))
         times = np.repeat(count, count)
-        use = times > 1
-        k, row, times = k[use], row[use], times[use]
-        order = np.lexsort((k, row))
-        k, row, hot = k[order], row[order], times[order] > HOT_ANCHOR
-        keep = np.ones(len(k), bool)
-        keep[1:] = (k[1:] != k[:-1]) | (row[1:] != row[:-1])
-        k, row, hot = k[keep], row[keep], hot[keep]
-        cut = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]])) if len(row) else np.zeros(1, np.int64)
-        blobs = [len(k[a:b]).to_bytes(4, "little") + k[a:b].tobytes() + np.packbits(hot[a:b]).tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        return pa.table({"row": row[cut[:-1]], "anchors": pa.array(blobs, pa.binary())})
+        keep = times > 1
+        keep[1:] &= (k[1:] != k[:-1]) | (row[1:] != row[:-1])
+        return pa.table({"row": row[keep], "anchor": k[keep].view(np.int64), "hot": times[keep] > HOT_ANCHOR})
 
     dealt = texts.select("row", "text").mapInArrow(deal, "bucket long, keys binary, nodes binary")
-    found = dealt.groupBy("bucket").applyInArrow(again, "row long, anchors binary")
-    return found.groupBy("row").agg(F.collect_list("anchors").alias("anchors"))
-
-
-def read_anchors(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    k, hot = [], []
-    for b in blobs:
-        m = int.from_bytes(b[:4], "little")
-        k.append(np.frombuffer(b, np.uint64, m, 4))
-        hot.append(np.unpackbits(np.frombuffer(b, np.uint8, offset=4 + 8 * m), count=m).astype(bool))
-    return np.concatenate(k), np.concatenate(hot)
+    found = dealt.groupBy("bucket").applyInArrow(again, "row long, anchor long, hot boolean")
+    return found.groupBy("row").agg(F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))
 
 
 def segments(texts: DataFrame, wanted: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -341,11 +336,9 @@ def segments(texts: DataFrame, wanted: DataFrame, buckets: int, length: int) ->
     def run(batches):
         held, count = [], 0
         for batch in batches:
-            lists = batch.column("anchors")
             for i in range(batch.num_rows):
-                known, hot = read_anchors(lists[i].as_py())
-                order = np.argsort(known)
-                known, hot = known[order], hot[order]
+                known = np.sort(batch.column("anchors")[i].values.to_numpy().view(np.uint64))
+                hot = np.isin(known, batch.column("hot")[i].values.to_numpy().view(np.uint64))
                 row, key = batch.column("row")[i].as_py(), batch.column("key")[i].as_py()
                 for _, data, off, base in chunks(batch.slice(i, 1), length=length):
                     k, _, lo, hi, place, spans = anchors(data, off, length)
@@ -396,7 +389,7 @@ def repeated_intervals(packed: DataFrame, length: int) -> DataFrame:
         begin = np.cumsum(size) - size
         keep, again = collapse(seg)
         out = [(seg["row"][again], seg["pos"][again], seg["pos"][again] + seg["n"][again] - 1)]
-        # an anchor with one segment left has nothing to tie with, unless the text repeats in itself
+        # an anchor with one segment left has nothing to tie with: its windows differ in their distance to it
         k = seg["k"][keep]
         same = k[1:] == k[:-1]
         several = np.zeros(len(k), bool)
@@ -448,8 +441,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     single = texts.join(search.hint("merge"), "row", "left_semi")
 
     wanted, _ = store(frequent_anchors(single, size, length), "anchors")
-    entries = wanted.agg(F.sum(F.aggregate("anchors", F.lit(0).cast("long"), lambda s, b: s + F.octet_length(b)))).first()[0] or 0
-    packed, _ = store(segments(single, wanted, max(1, -(-entries // (8 * BUCKET_SEGMENTS))), length), "segments")
+    entries = wanted.agg(F.sum(F.size("anchors"))).first()[0] or 0
+    packed, _ = store(segments(single, wanted, max(1, -(-entries // BUCKET_SEGMENTS)), length), "segments")
     found = packed.filter("bucket = -1").select("row", "first", "last").unionByName(repeated_intervals(packed.filter("bucket >= 0").select("bucket", "segments", "head", "body"), length))
     intervals, _ = store(found, "intervals")
 

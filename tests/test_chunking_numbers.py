@@ -86,3 +86,11 @@ def test_nfc_option(spark):
     raw = df.select(NW.normalize_numbers("t").alias("x")).first()["x"]["text"]
     nfc = df.select(NW.normalize_numbers("t", normalise_unicode=True).alias("x")).first()["x"]["text"]
     assert raw == "1 " + text.split(" ")[1] and nfc == "1000"
+
+
+def test_noncharacters_pass_through(spark):
+    from vachan.functions import numbers as NW
+
+    texts = ["a \ufdd3 b", "\ufdd0दो\ufdd0 तीन सौ", "दो \ufdd1 \ufdd2 तीन", "\ufdd0\ufdd0 सौ", "\ufdd0\ufdd0-\ufdd0\ufdd0\ufdd0 दो"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", NW.normalize_numbers("t").alias("x")).orderBy("i")
+    assert [r["x"]["text"] for r in df.collect()] == ["a \ufdd3 b", "\ufdd0दो\ufdd0 300", "2 \ufdd1 \ufdd2 3", "\ufdd0\ufdd0 100", "\ufdd0\ufdd0-\ufdd0\ufdd0\ufdd0 2"]

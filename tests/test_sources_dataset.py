@@ -43,7 +43,7 @@ def test_manifest_results_csv_roundtrip(spark, tmpdir_path):
     write(f"{tmpdir_path}/m.csv", "recording_id,user_id,rec_url_gcp,duration,extra\n"
           "11,7,https://h/x/hq/hi/123/11_audio.wav,40.5,a\n12,8,https://h/bad,3,b\n")
     m = FS.read_manifest(spark, f"{tmpdir_path}/m.csv")
-    assert m.columns == ["recording_id", "user_id", "rec_url_gcp", "duration"]
+    assert m.columns == ["recording_id", "user_id", "rec_url_gcp", "duration", "reject_reason"]
     assert m.agg(F.sum("duration")).first()[0] == 43.5
     df = spark.createDataFrame([(1, "a, \"b\"", "a b", 50.0)], "idx int, reference string, hypothesis string, wer double")
     FS.write_csv(df, f"{tmpdir_path}/res")
@@ -133,3 +133,72 @@ def test_error_paths(spark, tmpdir_path):
     assert MF.rewrite_urls(m).first()["reject_reason"] == "unparsable url"
     with pytest.raises(Exception):
         MF.rewrite_urls(m, strict=True).collect()
+
+
+def test_csv_dialect_of_python(spark, tmpdir_path):
+    import csv
+    import glob
+
+    rows = [(1, 'he said "hi", ok', 'x "y", z', 1.0), (2, "plain", "a, b", 2.5), (3, 'ends with "', "back\\slash", 0.0), (4, "two\nlines", "ok", 3.0)]
+    path = f"{tmpdir_path}/py/results.csv"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([("idx", "reference", "hypothesis", "wer"), *rows])
+    assert sorted(tuple(r) for r in FS.read_results(spark, path, multi_line=True).collect()) == rows
+    # and back: what Spark writes, Python's csv reads
+    df = spark.createDataFrame(rows[:3], "idx int, reference string, hypothesis string, wer double").coalesce(1)
+    FS.write_csv(df, f"{tmpdir_path}/sp")
+    with open(glob.glob(f"{tmpdir_path}/sp/part-*.csv")[0], newline="", encoding="utf-8") as f:
+        back = list(csv.reader(f))
+    assert back[0] == ["idx", "reference", "hypothesis", "wer"]
+    assert [(int(a), b, c, float(d)) for a, b, c, d in back[1:]] == rows[:3]
+
+
+def test_quoted_cells_keep_their_column(spark, tmpdir_path):
+    import csv
+
+    path = f"{tmpdir_path}/sheet/s.csv"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([["link", "reference", *"ABCDEF"], ["u", 'a "b", c', *[f'm{i} "q", r' for i in range(6)]]])
+    r = FS.read_systems_sheet(spark, path).first()
+    assert r["Human"] == 'a "b", c' and r["Model n"] == 'm5 "q", r'
+
+
+def test_bad_manifest_values_have_a_reason(spark, tmpdir_path):
+    write(f"{tmpdir_path}/bad/m.csv", "recording_id,user_id,rec_url_gcp,duration\n11,7,u,4.5\nx,7,u,long\n,8,u,1\n")
+    rows = {r["duration"]: r["reject_reason"] for r in FS.read_manifest(spark, f"{tmpdir_path}/bad/m.csv").collect()}
+    assert rows == {4.5: None, None: "bad recording_id, duration", 1.0: "bad recording_id"}
+
+
+def test_words_and_segments_must_be_objects(spark):
+    docs = ['{"words":["a","b"]}', '{"segments":["x"]}', '{"segments":[{"words":["x"]}]}', '{"segments":[{"words":5}]}', '{"words":5}', "[1]", "5", '{"words":[]}', '{"segments":[{}]}']
+    rows = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, raw string").select("i", TS.parse_transcript("raw").alias("t")).orderBy("i").collect()
+    assert [r["t"]["reject_reason"] for r in rows] == ["malformed word list"] * 5 + ["not an object"] * 2 + [None, None]
+    assert rows[7]["t"]["words"] == [] and rows[8]["t"]["words"] == []
+
+
+def test_dataset_split_needs_no_audio(spark):
+    manifest = spark.createDataFrame([(i, i % 5, f"https://h/c/hq/hi/55/{i}_audio.wav", 1.0) for i in range(20)],
+                                     "recording_id long, user_id long, rec_url_gcp string, duration double")
+    waves = spark.createDataFrame([(i, 16000, [[0.5] * (16000 if i % 4 else 100)]) for i in range(20)], FS.WAVE_SCHEMA)
+    trans = spark.createDataFrame([(i, [("क", 0.0, 0.9)], None) for i in range(20)],
+                                  "recording_id long, words array<struct<word:string,start:double,end:double>>, reject_reason string")
+    out, counts, rejects = DS.build_dataset(manifest, waves, trans)
+    rows = out.collect()
+    assert sorted(r["recording_id"] for r in rows) == [i for i in range(20) if i % 4] and rejects.count() == 0
+    want = {}
+    for r in rows:
+        want.setdefault(r["split"], []).append(r["user_id"])
+    assert {r["split"]: (r["n_rows"], r["n_users"]) for r in counts.collect()} == {k: (len(v), len(set(v))) for k, v in want.items()}
+    assert "channels" not in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sql_name_of_the_canonicaliser(spark):
+    from vachan.functions import text as TX
+    from vachan.plans import derived as D
+
+    TX.register_normalise(spark, "normalise_t")
+    df = spark.createDataFrame([(" ".join(x[0] for x in D.FORMS),), ("plain $1 \\ text",), (None,)], "x string")
+    for r in df.select(F.expr("normalise_t(x)").alias("a"), TX.canonicalise("x").alias("b")).collect():
+        assert r["a"] == r["b"]

@@ -146,17 +146,3 @@ SCHWA_REWRITES = [(_nfc(a), _nfc(b)) for a, b in SCHWA_REWRITES]
 ADDITIVE_VALUES = dict(UNIT_WORDS + TEN_WORDS)
 MULTIPLIER_VALUES = dict(MULTIPLIER_WORDS)
 NUMBER_WORDS = {**ADDITIVE_VALUES, **MULTIPLIER_VALUES}
-
-
-def lexicon_rows() -> list[tuple[str, int, str, str]]:
-    """All lexicons as ``(kind, ord, key, value)`` rows (FIXTURES F-lexicon)."""
-    rows: list[tuple[str, int, str, str]] = []
-    for kind, items in (("unit", UNIT_WORDS), ("ten", TEN_WORDS),
-                        ("multiplier", MULTIPLIER_WORDS)):
-        rows += [(kind, i, w, str(v)) for i, (w, v) in enumerate(items)]
-    rows += [("idiom", i, p, "") for i, p in enumerate(IDIOM_PHRASES)]
-    rows += [("loanword", i, w, "") for i, w in enumerate(LOANWORDS)]
-    for kind, items in (("ordinal", ORDINAL_REWRITES), ("numeral", NUMBER_WORD_REWRITES),
-                        ("schwa", SCHWA_REWRITES)):
-        rows += [(kind, i, a, b) for i, (a, b) in enumerate(items)]
-    return rows

@@ -9,10 +9,10 @@ Built from Spark built-ins only, in one row:
    a Python-style ``\\b`` boundary; each match is overwritten in a copy of the
    text by a same-shaped marker string (whitespace kept), so the copy
    tokenises exactly like the text and a token is protected when its copy
-   holds a marker.  Phrases are matched independently, as separate searches;
-4. runs (W4): tokens are joined with one separator inside a run of number
-   words and another elsewhere, then split on the latter — every piece is a
-   maximal run or a single other token;
+   differs.  Phrases are matched independently, as separate searches;
+4. runs (W4): a piece starts at every token that does not continue a run of
+   number words, so every piece is a maximal run or a single other token,
+   a slice of the token array (no character of the text is special);
 5. a run touching a protected token stays as it is; otherwise it becomes the
    digits of the N1 fold (units/tens add, ``सौ`` multiplies the current
    group, multipliers >= 1000 close a group) and its other tokens vanish;
@@ -28,10 +28,7 @@ from pyspark.sql import functions as F
 from vachan.functions import lexicon as L
 from vachan.functions import text as TX
 
-MARK = "﷐"     # noncharacters: never part of interchange text
-JOIN = "﷑"
-CUT = "﷒"
-FIELD = "﷓"
+MARK = "﷐"     # not in any idiom, so a marked token always differs
 
 CHANGE_TYPE = "array<struct<original:string,replacement:string,position:int>>"
 
@@ -177,36 +174,33 @@ def normalize_numbers(c, idioms=None, additive=None, multipliers=None, normalise
 
     def per_text(toks, masked):
         n = F.size(toks)
-        idx = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-        def is_num(k):
-            return F.try_element_at(numbers, TX.strip_trailing_punct(toks[k])).isNotNull()
+        idx = F.sequence(F.lit(0), n - 1)
+        keys = F.transform(toks, lambda t: TX.strip_trailing_punct(t))
+        flags = F.struct(keys.alias("keys"), F.transform(keys, lambda k: F.try_element_at(numbers, k).isNotNull()).alias("num"),
+                         F.transform(idx, lambda k: F.exists(masked, lambda mt: mt.isNotNull() & (mt[k] != toks[k]))).alias("kept"))
+        return F.when(n == 0, F.struct(F.lit("").alias("text"), F.array().cast(CHANGE_TYPE).alias("changes"))) \
+                .otherwise(_let(flags, lambda f: per_piece(toks, n, idx, f)))
 
-        def enc(k):
-            prot = F.exists(masked, lambda mt: mt.isNotNull() & F.coalesce(mt[k].contains(MARK), F.lit(False)))
-            sep = F.when((k < n - 1) & is_num(k) & is_num(k + 1), F.lit(JOIN)).when(k < n - 1, F.lit(CUT)) \
-                   .otherwise(F.lit(""))
-            return F.concat(k.cast("string"), F.lit(FIELD), F.when(prot, F.lit("1")).otherwise(F.lit("0")),
-                            F.lit(FIELD), toks[k], sep)
+    def per_piece(toks, n, idx, f):
+        starts = F.filter(idx, lambda k: ~(f["num"][k] & F.coalesce(F.get(f["num"], k - 1), F.lit(False))))
 
-        pieces = F.split(F.array_join(F.transform(idx, enc), ""), CUT)
+        def cut(st):
+            ends = F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), F.array(n))
+            return F.transform(F.arrays_zip(st.alias("a"), ends.alias("b")), piece)
 
-        def piece(p):
-            items = F.transform(F.split(p, JOIN), lambda it: F.split(it, FIELD))
-            raw = F.transform(items, lambda it: it[2])
-            keys = F.transform(raw, lambda t: TX.strip_trailing_punct(t))
-            run = F.try_element_at(numbers, keys[0]).isNotNull()
-            prot = F.exists(items, lambda it: it[1] == "1")
-            convert = run & ~prot
+        def piece(x):
+            at, size = x["a"], x["b"] - x["a"]
+            raw = F.slice(toks, at + 1, size)
+            convert = f["num"][at] & ~F.exists(F.slice(f["kept"], at + 1, size), lambda p: p)
 
             def converted(value):
                 return F.struct(F.array(value).alias("out"),
                                 F.struct(F.array_join(raw, " ").alias("original"), value.alias("replacement"),
-                                         items[0][0].cast("int").alias("position")).alias("change"))
+                                         at.cast("int").alias("position")).alias("change"))
 
             kept = F.struct(raw.alias("out"), F.lit(None).cast(
                 "struct<original:string,replacement:string,position:int>").alias("change"))
-            return F.when(convert, _let(words_to_int(keys, add, mul), converted)).otherwise(kept)
+            return F.when(convert, _let(words_to_int(F.slice(f["keys"], at + 1, size), add, mul), converted)).otherwise(kept)
 
         def assemble(parts):
             return F.struct(F.array_join(F.flatten(F.transform(parts, lambda x: x["out"])), " ").alias("text"),
@@ -214,8 +208,7 @@ def normalize_numbers(c, idioms=None, additive=None, multipliers=None, normalise
                                      lambda ch: ch.isNotNull()).alias("changes"))
 
         # the per-piece results are bound once and read twice
-        return F.when(n == 0, F.struct(F.lit("").alias("text"), F.array().cast(CHANGE_TYPE).alias("changes"))) \
-                .otherwise(_let(F.transform(pieces, piece), assemble))
+        return _let(_let(starts, cut), assemble)
 
     return _let(F.struct(TX.ws_tokens(text).alias("t"), masks.alias("m")), lambda s: per_text(s["t"], s["m"]))
 

@@ -105,10 +105,13 @@ def rewrite_tokens(c, pairs, mode: str = "coded") -> Column:
     like a single ``re.sub``.  Each step references the previous one once, so
     the expression stays linear in the number of rewrites.
     """
-    out = _col(c)
+    x = _col(c)
+    out = x
     for variant, canon in pairs:
         out = F.regexp_replace(out, token_pattern(variant, mode), _java_literal_replacement(canon))
-    return out
+    # one search for any variant decides whether the chain has anything to do: a
+    # rewrite can only make a later one match if some variant was there before
+    return F.when(x.rlike("|".join(java_quote(v) for v, _ in pairs)), out).otherwise(x) if pairs else out
 
 
 def canonicalise(c, convert_number_words: bool = False, mode: str = "coded",
@@ -241,11 +244,17 @@ def url_basename(c) -> Column:
     return F.element_at(F.split(_col(c), "/"), -1)
 
 
-def join_tokens(c) -> Column:
-    """tokens joined with single spaces."""
-    return F.array_join(_col(c), " ")
-
-
 def display_prefix(c, n: int = 80) -> Column:
     """the first ``n`` characters (report display)."""
     return F.substring(_col(c), 1, n)
+
+
+def register_normalise(spark, name: str = "normalise") -> None:
+    """V4: F9 (with its defaults) under a SQL name, as a SQL function of built-ins."""
+    def quoted(t: str) -> str:
+        return "'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    x = f"translate(trim(regexp_replace(coalesce(s, ''), {quoted(WS + '+')}, ' ')), {quoted(L.DEVANAGARI_DIGITS)}, {quoted(L.ASCII_DIGITS)})"
+    for variant, canon in [*L.ORDINAL_REWRITES, *L.SCHWA_REWRITES]:
+        x = f"regexp_replace({x}, {quoted(token_pattern(variant))}, {quoted(_java_literal_replacement(canon))})"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS STRING RETURN trim({x})")

@@ -48,6 +48,12 @@ def condition(channels) -> Column:
     return peak_normalise(downmix(channels))
 
 
+def slice_length(start_sec, end_sec, n_samples, rate: int = TARGET_SR) -> Column:
+    """Number of samples that ``slice_seconds`` gives, without the samples."""
+    s, e = ((_col(t) * rate).cast("int") for t in (start_sec, end_sec))
+    return F.when(s >= n_samples, F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(e, n_samples) - s))
+
+
 def slice_seconds(samples, start_sec, end_sec, rate: int = TARGET_SR) -> Column:
     """``samples[int(start*rate):int(end*rate)]`` (truncation toward
     zero, end clamped to the length)."""
@@ -63,10 +69,3 @@ def slice_seconds(samples, start_sec, end_sec, rate: int = TARGET_SR) -> Column:
 def keep_min_samples(df: DataFrame, samples: str, min_sec: float, rate: int = TARGET_SR) -> DataFrame:
     """P5: keep slices with at least ``int(min_sec*rate)`` samples."""
     return df.where(F.size(samples) >= int(min_sec * rate))
-
-
-def reject_rate(df: DataFrame, rate_col: str = "sampling_rate") -> DataFrame:
-    """Rows whose sampling rate is not the target rate (resampling is out of
-    scope): ``reject_reason`` set, else NULL."""
-    return df.withColumn("reject_reason", F.when(F.col(rate_col) != TARGET_SR,
-                                                 F.lit("sampling rate is not 16 kHz")))

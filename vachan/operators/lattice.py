@@ -1,19 +1,21 @@
 """Multi-system alignment, lattice construction and lattice WER.
 
-Spark does the relational work; two small Arrow kernels do what SQL cannot
-state cheaply:
-
-* ``align`` (E5) — ``mapInPandas``: one word alignment per (segment, system)
-  row, exploded into one row per operation.  The DP is vectorised per row
-  (running minimum for insertions); the traceback prefers diagonal, then
-  deletion, then insertion, walking back from the end.
-* bins (E7, A8) — ``groupBy(segment_id, ref_pos)``: reference token plus every
-  system token aligned there; consensus substitutions (A9) and insertions
-  (A10) are ``groupBy ... HAVING count >= thresh``; the lattice is the sorted
-  ``collect_list`` of bins per segment.  Every grouping key starts with
-  ``segment_id``, so one hash partitioning on it serves them all.
-* ``lattice_scores`` (E8) — ``mapInPandas`` DP of a hypothesis against its
-  segment's bins.
+A segment's reference and its systems' hypotheses sit in one row, so the whole
+evaluation is one narrow stage: ``segment_reports`` (``mapInPandas``) aligns
+the systems of a segment, builds its bins, and scores every system against
+them; only small per-segment results leave it, and the only exchange of a
+summary is its final aggregation.
+
+* E5 alignment — the dynamic program keeps one direction byte per cell and
+  two rows of distances; it is vectorised over the systems of a segment and
+  along each row (running minimum for insertions).  Directions prefer
+  diagonal, then deletion, then insertion, followed back from the end.
+* E7/A8 bins — reference token plus every system token aligned there; A9
+  consensus substitutions and A10 insertions are counts over systems.
+* E8 lattice edits — a dynamic program of all hypotheses against the bins.
+
+The relational form of the same definitions (``align`` to one row per
+operation, then ``groupBy``) stays for ad-hoc SQL and as an independent check.
 
 ``mode='coded'`` reproduces the executable definition: an optional bin
 follows the reference bin of its gap, trailing insertions make no bin, and
@@ -35,7 +37,6 @@ EPS = "ε"
 
 ALIGN_SCHEMA = ("segment_id long, system string, sys_ord int, op_pos int, ref_pos int, gap int, "
                 "ref_tok string, hyp_tok string, op string")
-SCORE_SCHEMA = "segment_id long, system string, sys_ord int, lattice_edits long, lattice_n long"
 
 
 # ── kernels ─────────────────────────────────────────────────────────────────
@@ -44,11 +45,13 @@ def _codes(seqs: list[list], codes: dict) -> list[np.ndarray]:
     return [np.array([codes.setdefault(t, len(codes)) for t in q], dtype=np.int64) for q in seqs]
 
 
-def edit_matrices(ref: list, hyps: list[list]) -> np.ndarray:
-    """Edit-distance matrices of one reference against several hypotheses,
-    computed together: shape (k, R+1, Hmax+1).  Hypotheses are padded with a
-    code that matches nothing; a column only depends on the columns to its
-    left, so every hypothesis reads its exact answer at its own length."""
+DIAGONAL, DELETION, INSERTION = 0, 1, 2
+
+
+def directions(ref: list, hyps: list[list]) -> list[np.ndarray]:
+    """Per hypothesis the best last step of every prefix pair, as bytes (R+1, H+1).
+    All hypotheses advance together, padded with a code that matches nothing;
+    a cell depends only on cells to its left and above."""
     codes: dict = {}
     rc = _codes([ref], codes)[0]
     hcs = _codes(hyps, codes)
@@ -57,49 +60,53 @@ def edit_matrices(ref: list, hyps: list[list]) -> np.ndarray:
     hc = np.full((k, hmax), -1, dtype=np.int64)
     for i, h in enumerate(hcs):
         hc[i, :len(h)] = h
-    dp = np.empty((k, r + 1, hmax + 1), dtype=np.int64)
-    ar = np.arange(hmax + 1, dtype=np.int64)
-    dp[:, 0, :] = ar
-    t = np.empty((k, hmax + 1), dtype=np.int64)
+    steps = np.empty((k, r + 1, hmax + 1), dtype=np.uint8)
+    steps[:, 0, :], steps[:, :, 0] = INSERTION, DELETION
+    ar = np.arange(hmax + 1, dtype=np.int32)
+    above = np.tile(ar, (k, 1))
     for i in range(1, r + 1):
-        prev = dp[:, i - 1, :]
-        t[:, 0] = i
-        if hmax:
-            np.minimum(prev[:, :-1] + (hc != rc[i - 1]), prev[:, 1:] + 1, out=t[:, 1:])
-        dp[:, i, :] = np.minimum.accumulate(t - ar, axis=1) + ar
-    return dp
-
-
-def edit_matrix(ref: list, hyp: list) -> np.ndarray:
-    """Full (R+1) x (H+1) edit-distance matrix of one pair."""
-    return edit_matrices(ref, [hyp])[0]
-
-
-def _trace(dp: np.ndarray, ref: list, hyp: list) -> list[tuple]:
-    i, j = len(ref), len(hyp)
+        both = above[:, :-1] + (hc != rc[i - 1])
+        drop = above[:, 1:] + 1
+        here = np.empty_like(above)
+        here[:, 0] = i
+        np.minimum(both, drop, out=here[:, 1:])
+        here = np.minimum.accumulate(here - ar, axis=1) + ar
+        now = here[:, 1:]
+        steps[:, i, 1:] = np.where(now == both, DIAGONAL, np.where(now == drop, DELETION, INSERTION))
+        above = here
+    return [steps[n, :, :len(h) + 1] for n, h in enumerate(hyps)]
+
+
+def path(steps: np.ndarray) -> np.ndarray:
+    """Step codes from the first to the last operation."""
+    back = []
+    r, h = steps.shape[0] - 1, steps.shape[1] - 1
+    while r or h:
+        back.append(int(steps[r, h]))
+        r -= back[-1] != INSERTION
+        h -= back[-1] != DELETION
+    return np.array(back[::-1], dtype=np.int64)
+
+
+def operations(ref: list, hyp: list, steps: np.ndarray) -> list[tuple]:
+    """``(ref_pos, gap, ref_tok, hyp_tok, op)`` of one alignment."""
+    codes = path(steps)
+    used, said = np.cumsum(codes != INSERTION), np.cumsum(codes != DELETION)
     out = []
-    while i > 0 or j > 0:
-        if i > 0 and j > 0:
-            same = ref[i - 1] == hyp[j - 1]
-            if dp[i, j] == dp[i - 1, j - 1] + (0 if same else 1):
-                out.append((i - 1, None, ref[i - 1], hyp[j - 1], "match" if same else "sub"))
-                i -= 1
-                j -= 1
-                continue
-        if i > 0 and dp[i, j] == dp[i - 1, j] + 1:
+    for c, i, j in zip(codes.tolist(), used.tolist(), said.tolist(), strict=True):
+        if c == INSERTION:
+            out.append((None, i, None, hyp[j - 1], "ins"))
+        elif c == DELETION:
             out.append((i - 1, None, ref[i - 1], None, "del"))
-            i -= 1
         else:
-            out.append((None, i, None, hyp[j - 1], "ins"))
-            j -= 1
-    out.reverse()
+            out.append((i - 1, None, ref[i - 1], hyp[j - 1], "match" if ref[i - 1] == hyp[j - 1] else "sub"))
     return out
 
 
 def alignment(ref: list, hyp: list) -> list[tuple]:
     """``(ref_pos, gap, ref_tok, hyp_tok, op)`` in order; tie order diagonal,
     deletion, insertion from the end."""
-    return _trace(edit_matrix(ref, hyp), ref, hyp)
+    return operations(ref, hyp, directions(ref, [hyp])[0])
 
 
 def _align_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,12 +119,8 @@ def _align_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, g in pdf.groupby("segment_id", sort=False):
             ref = list(g["ref"].iloc[0]) if g["ref"].iloc[0] is not None else []
             hyps = [list(h) if h is not None else [] for h in g["hyp"]]
-            dps = edit_matrices(ref, hyps)
-            for n, (seg, system, sys_ord) in enumerate(zip(g["segment_id"], g["system"], g["sys_ord"])):
-                hyp = hyps[n]
-                dp = dps[n, :, :len(hyp) + 1]
-                for k, (rp, gap, rt, ht, op) in enumerate(_trace(dp, ref, hyp)):
-                    rows.append((seg, system, sys_ord, k, rp, gap, rt, ht, op))
+            for seg, system, sys_ord, hyp, steps in zip(g["segment_id"], g["system"], g["sys_ord"], hyps, directions(ref, hyps), strict=True):
+                rows += [(seg, system, sys_ord, k, *op) for k, op in enumerate(operations(ref, hyp, steps))]
         yield pd.DataFrame(rows, columns=cols).astype(
             {"ref_pos": "Int32", "gap": "Int32", "op_pos": "int32", "sys_ord": "int32"})
 
@@ -166,33 +169,90 @@ def lattice_distance(bins: list, hyp: list, mode: str = "coded") -> tuple[int, i
     return e[0], n
 
 
-def _score_batches(mode: str):
-    """One input row per segment: bins as two parallel arrays (token lists and
-    optional flags) and the systems' hypotheses as arrays."""
+BIN = "struct<pos:int,kind:int,first_sys:int,first_pos:int,tokens:array<string>,optional:boolean>"
+SCORE = "struct<sys_ord:int,subs:bigint,dels:bigint,ins:bigint,hits:bigint,lattice_edits:bigint,lattice_n:bigint>"
+SUSPECT = "struct<ref_pos:int,ref_tok:string,hyp_tok:string,n_systems:bigint>"
+
+
+def segment_report(ref: list, hyps: list[list], thresh: int = 3, mode: str = "coded") -> tuple[list, list, list]:
+    """(bins, scores per system, suspected reference errors) of one segment."""
+    heard = [{} for _ in ref]          # per reference position: token -> systems
+    added: dict = {}                   # (gap, token) -> [count, first system, first place]
+    counts = []
+    for m, (hyp, steps) in enumerate(zip(hyps, directions(ref, hyps), strict=True), start=1):
+        tally = dict.fromkeys(("sub", "del", "ins", "match"), 0)
+        for place, (pos, gap, _, token, op) in enumerate(operations(ref, hyp, steps)):
+            tally[op] += 1
+            if op == "ins":
+                added.setdefault((gap, token), [0, m, place])[0] += 1
+            elif op != "del":
+                heard[pos][token] = heard[pos].get(token, 0) + 1
+        counts.append(tally)
+    bins = [(p, 0, 0, 0, sorted({ref[p], *heard[p]}), False) for p in range(len(ref))]
+    for (gap, token), (n, m, place) in added.items():
+        if n >= thresh and not (mode == "coded" and gap >= len(ref)):
+            bins.append((gap, 1 if mode == "coded" else -1, m, place, [token], True))
+    bins.sort(key=lambda b: b[:5])
+    edits, n_ref = lattice_distances([(b[4], b[5]) for b in bins], hyps, mode)
+    scores = [(m, t["sub"], t["del"], t["ins"], t["match"], e, n_ref) for m, (t, e) in enumerate(zip(counts, edits, strict=True), start=1)]
+    suspects = [(p, ref[p], token, n) for p, said in enumerate(heard) for token, n in said.items() if token != ref[p] and n >= thresh]
+    return bins, scores, suspects
+
+
+def _named(spec: str, rows: list) -> list[dict]:
+    names = [f.split(":")[0] for f in spec.removeprefix("struct<").removesuffix(">").split(",")]
+    return [dict(zip(names, r, strict=True)) for r in rows]
+
+
+def segment_reports(wide: DataFrame, thresh: int = 3, mode: str = "coded", keep: list[str] | None = None) -> DataFrame:
+    """``(segment_id, ref, hyps, ...)`` plus ``bins``, ``scores`` and ``suspects``;
+    ``keep`` names the input columns that pass through (all by default).
+    Segments with an empty reference are left out (P7)."""
+    keep = wide.columns if keep is None else keep
+    fields = {f.name: f.dataType.simpleString() for f in wide.schema.fields}
+    schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + f", bins array<{BIN}>, scores array<{SCORE}>, suspects array<{SUSPECT}>"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for seg, toks, opts, systems, sys_ords, hyps in zip(pdf["segment_id"], pdf["bin_tokens"], pdf["bin_optional"],
-                                                                 pdf["systems"], pdf["sys_ords"], pdf["hyps"]):
-                b = [(list(t), bool(o)) for t, o in zip(toks, opts)]
-                hyps = [list(h) if h is not None else [] for h in hyps]
-                edits, n = lattice_distances(b, hyps, mode)
-                for system, sys_ord, e in zip(systems, sys_ords, edits):
-                    out.append((seg, system, sys_ord, e, n))
-            yield pd.DataFrame(out, columns=["segment_id", "system", "sys_ord", "lattice_edits", "lattice_n"])
-    return run
-
-
-def _per_segment(pairs: DataFrame, with_ref: bool) -> DataFrame:
-    """The systems of a segment as one row (bounded: one entry per system),
-    in system order."""
-    s = F.array_sort(F.collect_list(F.struct("sys_ord", "system", "hyp", *(["ref"] if with_ref else []))))
-    g = pairs.groupBy("segment_id").agg(s.alias("__s"))
-    cols = [F.col("segment_id"), F.col("__s.system").alias("systems"), F.col("__s.sys_ord").alias("sys_ords"),
-            F.col("__s.hyp").alias("hyps")]
-    if with_ref:
-        cols.append(F.element_at(F.col("__s.ref"), 1).alias("ref"))
-    return g.select(*cols)
+            found = [segment_report(list(r), [list(h) if h is not None else [] for h in hs], thresh, mode)
+                     for r, hs in zip(pdf["ref"], pdf["hyps"], strict=True)]
+            out = pdf[keep].copy()
+            for i, (name, spec) in enumerate((("bins", BIN), ("scores", SCORE), ("suspects", SUSPECT))):
+                out[name] = [_named(spec, f[i]) for f in found]
+            yield out
+    return wide.where(F.size("ref") > 0).mapInPandas(run, schema)
+
+
+def wide_segments(sheet: DataFrame, systems=None) -> DataFrame:
+    """Sheet rows (texts by system column) to ``(segment_id, url, ref, systems, hyps)``
+    token arrays; no shuffle."""
+    from vachan.functions import lexicon as L
+    from vachan.functions import text as TX
+
+    systems = list(systems or L.SYSTEMS)
+    return sheet.select("segment_id", "url", TX.tokenise("Human").alias("ref"), F.array(*[F.lit(n) for n in systems]).alias("systems"),
+                        F.array(*[TX.tokenise(F.col(f"`{n}`")) for n in systems]).alias("hyps"))
+
+
+def detail_rows(reports: DataFrame) -> DataFrame:
+    """E9/E11 rows from reports that kept ``segment_id, url, ref, systems, hyps``: one
+    per (segment, system) with plain and lattice scores."""
+    each = F.transform("scores", lambda s: F.struct(
+        F.element_at("systems", s["sys_ord"]).alias("system"), s["sys_ord"].alias("sys_ord"), F.element_at("hyps", s["sys_ord"]).alias("hyp"),
+        (s["subs"] + s["dels"] + s["ins"]).alias("edits"), s["lattice_edits"].alias("lattice_edits"), s["lattice_n"].alias("lattice_n")))
+    rows = reports.select("segment_id", "url", "ref", F.explode(each).alias("s")).select("segment_id", "url", "ref", "s.*")
+    rows = rows.withColumn("n", F.size("ref"))
+    return (rows.withColumn("plain_wer", F.when(F.col("n") > 0, F.round(F.col("edits") / F.col("n"), 4)).otherwise(F.lit(0.0)))
+                .withColumn("lattice_wer", F.when(F.col("lattice_n") > 0, F.round(F.col("lattice_edits") / F.col("lattice_n"), 4)).otherwise(F.lit(0.0)))
+                .withColumn("delta", F.round(F.col("lattice_wer") - F.col("plain_wer"), 4)))
+
+
+def _per_segment(pairs: DataFrame) -> DataFrame:
+    """Long pairs to one row per segment, systems in order (bounded: one entry per system)."""
+    s = F.array_sort(F.collect_list(F.struct("sys_ord", "system", "hyp", "ref", "url")))
+    g = pairs.groupBy("segment_id").agg(s.alias("s"))
+    return g.select("segment_id", F.element_at(F.col("s.url"), 1).alias("url"), F.element_at(F.col("s.ref"), 1).alias("ref"),
+                    F.col("s.system").alias("systems"), F.col("s.hyp").alias("hyps"))
 
 
 # ── Spark operators ─────────────────────────────────────────────────────────
@@ -226,7 +286,7 @@ def suspected_reference_errors(aligned: DataFrame, thresh: int = 3) -> DataFrame
     reference position (the reference itself is probably wrong there)."""
     return (aligned.where((F.col("op") == "sub"))
                    .groupBy("segment_id", "ref_pos", "ref_tok", "hyp_tok")
-                   .agg(F.countDistinct("system").alias("n_systems"))
+                   .agg(F.count(F.lit(1)).alias("n_systems"))
                    .where(F.col("n_systems") >= thresh))
 
 
@@ -262,62 +322,11 @@ def build_lattice(aligned: DataFrame, thresh: int = 3, mode: str = "coded") -> D
          .alias("bins"))
 
 
-def lattice_scores(pairs: DataFrame, lattice: DataFrame, mode: str = "coded") -> DataFrame:
-    """Lattice edits and N per (segment, system); one equi-join on
-    ``segment_id`` brings each hypothesis to its segment's bins."""
-    j = _per_segment(pairs, with_ref=False).join(lattice, "segment_id")
-    j = j.select("segment_id", F.transform("bins", lambda b: b["tokens"]).alias("bin_tokens"),
-                 F.transform("bins", lambda b: b["optional"]).alias("bin_optional"), "systems", "sys_ords", "hyps")
-    return j.mapInPandas(_score_batches(mode), SCORE_SCHEMA)
-
-
-def prepare_pairs(pairs: DataFrame, partitions: int | None = None) -> DataFrame:
-    """P7 + E2 once: drop empty references, add plain ``edits, n, wer``, and
-    write the result to the checkpoint folder (it feeds the alignment, the
-    lattice join and the detail join).
-
-    No shuffle here: the systems of a segment come from one unpivoted sheet
-    row, so they already sit together in one task, which is all the batched
-    alignment kernel wants (a re-read table forgets hash partitioning anyway).
-    ``partitions`` is kept for callers that pass long-format pairs from
-    elsewhere: it then hash-partitions on ``segment_id`` first."""
-    from vachan.operators.scoring import with_plain_wer
-    from vachan.session import cut_lineage
-
-    pairs = pairs.where(F.size("ref") > 0)
-    if partitions:
-        pairs = pairs.repartition(partitions, "segment_id")
-    return cut_lineage(with_plain_wer(pairs, "ref", "hyp"))
-
-
-def aligned_rows(pairs: DataFrame) -> DataFrame:
-    """E5 once, written to the checkpoint folder (bins, consensus counts and
-    reports all read it)."""
-    from vachan.session import cut_lineage
-
-    return cut_lineage(align(pairs))
-
-
-def evaluate(pairs: DataFrame, thresh: int = 3, mode: str = "coded", partitions: int | None = None,
-             prepared: bool = False, aligned: DataFrame | None = None) -> DataFrame:
-    """Per (segment, system) plain and lattice scores.
-
-    ``pairs``: ``segment_id, url, system, sys_ord, ref, hyp`` token arrays
-    (segments with an empty reference are dropped, P7).  Output adds
-    ``edits, n, plain_wer, lattice_edits, lattice_n, lattice_wer, delta``.
-    """
-    if not prepared:
-        pairs = prepare_pairs(pairs, partitions)
-    if aligned is None:
-        aligned = aligned_rows(pairs)
-    lattice = build_lattice(aligned, thresh, mode)
-    scores = lattice_scores(pairs, lattice, mode)
-    out = pairs.join(scores, ["segment_id", "system", "sys_ord"])
-    return (out.withColumn("plain_wer", F.col("wer")).drop("wer")
-               .withColumn("lattice_wer", F.when(F.col("lattice_n") > 0,
-                                                 F.round(F.col("lattice_edits") / F.col("lattice_n"), 4))
-                           .otherwise(F.lit(0.0)))
-               .withColumn("delta", F.round(F.col("lattice_wer") - F.col("plain_wer"), 4)))
+def evaluate(pairs: DataFrame, thresh: int = 3, mode: str = "coded") -> DataFrame:
+    """E9/E11 on long pairs ``segment_id, url, system, sys_ord, ref, hyp``: gathers the
+    systems of a segment, then one narrow stage.  A sheet needs no gathering:
+    ``detail_rows(segment_reports(wide_segments(sheet)))``."""
+    return detail_rows(segment_reports(_per_segment(pairs), thresh, mode, ["segment_id", "url", "ref", "systems", "hyps"]))
 
 
 def system_summary(detail: DataFrame) -> DataFrame:
@@ -353,7 +362,11 @@ def inspect_bins(ref_tokens: DataFrame, lattice: DataFrame) -> DataFrame:
     (truncated at the shorter list, so optional bins shift later pairs, as in
     the original display), the sorted full bin (optional bins show ``ε``) and
     a variants flag (bin minus the reference token is non-empty)."""
-    j = ref_tokens.join(lattice, "segment_id")
+    return zip_bins(ref_tokens.join(lattice, "segment_id"))
+
+
+def zip_bins(j: DataFrame) -> DataFrame:
+    """``inspect_bins`` on rows that hold both ``ref`` and ``bins``."""
     full = F.transform("bins", lambda b: F.array_sort(
         F.when(b["optional"], F.array_union(b["tokens"], F.array(F.lit(EPS)))).otherwise(b["tokens"])))
     z = j.select("segment_id", F.arrays_zip(F.col("ref").alias("ref_tok"), full.alias("full_bin")).alias("z"),
@@ -364,11 +377,10 @@ def inspect_bins(ref_tokens: DataFrame, lattice: DataFrame) -> DataFrame:
 
 
 def nth_segment(df: DataFrame, n: int = 2, order_col: str = "segment_id") -> DataFrame:
-    """T5: rows of the ``n``-th segment in sheet order."""
-    ids = df.select(order_col).distinct()
-    w = Window.orderBy(order_col)
-    pick = ids.orderBy(order_col).limit(n).withColumn("__r", F.row_number().over(w)).where(F.col("__r") == n)
-    return df.join(pick.drop("__r"), order_col, "left_semi")
+    """T5: rows of the ``n``-th segment in sheet order; none if there are fewer."""
+    first = df.select(order_col).distinct().orderBy(order_col).limit(n)
+    pick = first.agg(F.max(order_col).alias(order_col), F.count(F.lit(1)).alias("__k")).where(F.col("__k") == n)
+    return df.join(pick.drop("__k"), order_col, "left_semi")
 
 
 def register_align_udtf(spark, name: str = "align_words") -> None:

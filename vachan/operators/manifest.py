@@ -26,7 +26,7 @@ def rewrite_urls(df: DataFrame, url_col: str = "rec_url_gcp", base: str = DEFAUL
                                                          F.concat(rec, F.lit("_" + suffix)))))
     reason = F.when(~ok | u.isNull(), F.lit("unparsable url"))
     if strict:
-        reason = F.when(~ok | u.isNull(), F.raise_error(F.concat(F.lit("Cannot parse folder/rec_id from URL: "),
+        reason = F.when(~ok | u.isNull(), F.raise_error(F.concat(F.lit("asset URL without folder and recording ids: "),
                                                                  F.coalesce(u, F.lit("NULL")))))
     return df.withColumn("reject_reason", reason)
 

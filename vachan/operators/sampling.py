@@ -9,8 +9,9 @@ inside low-cardinality groups with a range shuffle and a small offset table:
 3. a per-(partition, group) count/first-place table (at most partitions +
    groups - 1 rows: every partition holds a contiguous key range) turns that
    place into the index within the group via running sums;
-4. the offset table is joined back with a broadcast, its size bounded by the
-   partition count times the (checked) group count.
+4. the offset table is joined back on ``(partition, group)``; the optimizer
+   picks the join from the table's measured size, and either way a hot group
+   stays split over its partitions.
 
 The ordering columns must be unique within a group.  Range bounds are drawn
 from a sample seeded per execution, so partition numbers and places are
@@ -28,19 +29,15 @@ from vachan.session import cut_lineage
 TIER_ORDER = ["low", "medium", "high"]
 SEVERITY = {"low": 1, "medium": 2, "high": 3}
 
-# Up to this many groups the offset table is broadcast (at most
-# partitions + groups rows); beyond it, it is joined with a shuffle.
-MAX_INDEX_GROUPS = 10_000
-
 
 def wer_tier(c) -> Column:
     """``<=0`` correct, ``<=15`` low, ``<=50`` medium, else high.
 
-    NaN and NULL fall through every comparison and land in ``high``.
+    NaN falls through every comparison and lands in ``high``; a NULL score (an
+    utterance without a reference) has no tier, see ``scoring.score_rejects``.
     """
     x = F.col(c) if isinstance(c, str) else c
-    bad = x.isNull() | F.isnan(x)
-    return (F.when(bad, F.lit("high")).when(x <= 0, F.lit("correct")).when(x <= 15, F.lit("low"))
+    return (F.when(x.isNull(), F.lit(None).cast("string")).when(F.isnan(x), F.lit("high")).when(x <= 0, F.lit("correct")).when(x <= 15, F.lit("low"))
              .when(x <= 50, F.lit("medium")).otherwise(F.lit("high")))
 
 
@@ -75,18 +72,11 @@ def with_group_index(df: DataFrame, group_cols: list[str], order_cols: list[str]
     ranged = cut_lineage(ranged)
     stats = (ranged.groupBy("__pid", *group_cols)
                    .agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__cnt")))
-    small = True
-    if group_cols:
-        # the offset table has at most partitions + groups - 1 rows
-        n_groups = stats.select(*group_cols).distinct().count()
-        small = n_groups <= MAX_INDEX_GROUPS
     w_prev = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*group_cols)
     stats = (stats.withColumn("__offset", F.coalesce(F.sum("__cnt").over(w_prev), F.lit(0)))
                   .withColumn("__gcount", F.sum("__cnt").over(w_all)))
-    # broadcast only under the proven bound; beyond it a shuffle join on
-    # (partition, group) keeps every hot group split over its partitions
-    res = (ranged.join(F.broadcast(stats) if small else stats, on=["__pid", *group_cols], how="inner")
+    res = (ranged.join(stats, on=["__pid", *group_cols], how="inner")
                  .withColumn(out, F.col("__offset") + F.col("__place") - F.col("__first")))
     if count_out:
         res = res.withColumn(count_out, F.col("__gcount"))
@@ -108,18 +98,28 @@ def interval_sample(df: DataFrame, n: int, order_cols: list[str], group_col: str
 
 def tier_counts(scored: DataFrame, wer_col: str = "wer") -> DataFrame:
     """A3: rows per tier (partial aggregation before the shuffle)."""
-    return scored.groupBy(wer_tier(wer_col).alias("tier")).agg(F.count(F.lit(1)).alias("n"))
+    return scored.where(F.col(wer_col).isNotNull()).groupBy(wer_tier(wer_col).alias("tier")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def tier_report(scored: DataFrame, n_per_tier: int = 10, wer_col: str = "wer") -> DataFrame:
+    """A3: per error tier the rows available and sampled, and all errors."""
+    t = tier_counts(scored, wer_col).where(F.col("tier") != "correct")
+    total = Window.partitionBy(F.lit(0))   # three rows at most
+    return t.select("tier", F.col("n").alias("available"), F.least("n", F.lit(n_per_tier).cast("long")).alias("sampled"),
+                    F.sum("n").over(total).alias("total_errors"))
 
 
 def sample_errors(results: DataFrame, n_per_tier: int = 10, order_col: str = "idx",
                   wer_col: str = "wer") -> DataFrame:
     """05 chain: tier, drop correct, systematic sample per tier, order by
     ``order_col``, dense ``sample_id`` (F-sample columns)."""
-    # Cut lineage before the filter: the tier depends on the (costly) score, and
-    # a filter pushed below the projection would compute the score twice.
-    t = cut_lineage(results.withColumn("tier", wer_tier(wer_col))).where(F.col("tier") != "correct")
+    # Only (order, score, tier) is written, numbered and shuffled; the texts of the
+    # few rows that are drawn come back by a join on the order column.  The cut
+    # comes before the filter, which would otherwise compute the score twice.
+    t = cut_lineage(results.select(order_col, wer_col, wer_tier(wer_col).alias("tier"))).where(F.col("tier") != "correct")
     s = interval_sample(t, n_per_tier, [order_col], materialize=False)
     s = s.withColumn("severity_rank", severity_rank("tier"))
+    s = results.select(order_col, "reference", "hypothesis").join(s, order_col)
     # At most 3 * n_per_tier rows: one ordered window over them is bounded.
     w = Window.orderBy(order_col)
     return s.select(F.row_number().over(w).cast("int").alias("sample_id"), order_col, "tier",

@@ -2,8 +2,8 @@
 
 Edit distance runs on Spark's built-in ``levenshtein``: the distinct words of
 one (reference, hypothesis) pair are numbered, every word becomes one
-supplementary-plane code point (up to 1,048,576 distinct words per pair, so no
-cap in practice), and the two code strings are compared character by
+supplementary-plane code point (a pair with more than 1,048,576 distinct words
+stops the job with an error: there is no code point left for it), and the two code strings are compared character by
 character in the JVM.  The numbering array is bound once per row as a lambda
 variable (``transform(array(dict), d -> ...)``): Catalyst cannot inline a
 lambda variable, so the array is never rebuilt per word even when a filter
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from vachan.functions import text as TX
 
 _CODE_BASE = 0x10000  # first supplementary code point; avoids surrogates
+_CODES = 0x10FFFF - _CODE_BASE  # array positions start at 1
 
 
 def _coded(arr: Column, dictionary: Column) -> Column:
@@ -29,7 +30,8 @@ def edit_distance(ref, hyp) -> Column:
     """Word-level Levenshtein distance of two token arrays."""
     r, h = TX._col(ref), TX._col(hyp)
     per_row = F.transform(F.array(F.array_distinct(F.concat(r, h))),
-                          lambda d: F.levenshtein(_coded(r, d), _coded(h, d)))
+                          lambda d: F.when(F.size(d) <= _CODES, F.levenshtein(_coded(r, d), _coded(h, d)))
+                          .otherwise(F.raise_error(F.lit("edit_distance: over 1,048,575 distinct words in a pair")).cast("int")))
     return F.element_at(per_row, 1)
 
 
@@ -74,6 +76,11 @@ def with_utterance_wer(df: DataFrame, reference: str = "reference", hypothesis:
     return df if keep_counts else df.drop(e, n)
 
 
+def score_rejects(scored: DataFrame, out: str = "wer") -> DataFrame:
+    """Rows of ``with_utterance_wer`` without a score, and why."""
+    return scored.where(F.col(f"{out}_reject").isNotNull()).withColumnRenamed(f"{out}_reject", "reject_reason")
+
+
 def corpus_wer(df: DataFrame, edits: str = "edits", n: str = "n", by: list[str] | None = None) -> DataFrame:
     """Micro-averaged WER = sum(edits) / sum(n) (one partial+final hash agg)."""
     aggs = [F.sum(edits).alias("total_edits"), F.sum(n).alias("total_words")]

@@ -1,12 +1,12 @@
 """Training-set assembly from a manifest, sample arrays and
 transcripts (SURVEY §2.11, §3.1), with rejects instead of skipped loops.
 
-Plan: manifest (small: one row per recording) joins the transcript table and
-the sample table on ``recording_id`` (AQE broadcasts the manifest side when
-it measures it small, otherwise both sides shuffle on the key once); every
-recording row then packs its words, conditions its samples and slices them
-per chunk inside the row (the samples are never copied per chunk); chunks are
-exploded only after slicing.  The user split is one more equi-join.
+Plan: everything but the samples comes first.  Transcripts are packed into
+chunks in their own rows; manifest, chunk lists and sample *headers* (rate and
+number of samples) are joined as narrow rows, which already decides rejects,
+chunks that are long enough, speakers and their split.  Samples take part in
+one join, at the end, and are conditioned and sliced in their row (never
+copied per chunk); chunks are exploded after slicing.
 """
 
 from __future__ import annotations
@@ -18,6 +18,46 @@ from vachan.operators import audio as AU
 from vachan.operators import chunking as CH
 from vachan.operators import manifest as MF
 from vachan.operators import sampling as SM
+from vachan.session import cut_lineage
+
+
+def plan_chunks(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame,
+                max_chunk_sec: float = 29.0, min_chunk_sec: float = 0.5) -> DataFrame:
+    """One narrow row per recording: ``recording_id, user_id, chunks, reject_reason``;
+    ``chunks`` are those with at least ``min_chunk_sec`` of samples.  Written once."""
+    m = MF.rewrite_urls(manifest, "rec_url_gcp").select("recording_id", "user_id", F.col("reject_reason").alias("m_reason"))
+    w = waves.select("recording_id", "sampling_rate", F.col("channels").isNotNull().alias("has_audio"),
+                     F.coalesce(F.size(F.try_element_at("channels", F.lit(1))), F.lit(0)).alias("n_samples"))
+    bad = CH.bad_words("words")
+    packed = F.transform(CH.pack_words("words", max_chunk_sec, min_chunk_sec), lambda c, i: F.struct(
+        i.alias("chunk_id"), c["text"].alias("text"), c["start"].alias("start"), c["end"].alias("end")))
+    t = transcripts.select("recording_id", F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
+                           .when(F.col("words").isNull(), F.lit("missing transcript"))
+                           .when(bad, F.lit("null word text or time")).alias("t_reason"),
+                           F.when(F.col("words").isNotNull() & ~bad, packed).alias("packed"), F.lit(True).alias("has_words"))
+    j = m.join(w, "recording_id", "left").join(t, "recording_id", "left")
+    reason = (F.when(F.col("m_reason").isNotNull(), F.col("m_reason"))
+               .when(~F.coalesce("has_audio", F.lit(False)), F.lit("missing audio"))
+               .when(F.col("sampling_rate") != AU.TARGET_SR, F.lit("sampling rate is not 16 kHz"))
+               .when(F.col("has_words").isNull(), F.lit("missing transcript")).otherwise(F.col("t_reason")))
+    need = int(min_chunk_sec * AU.TARGET_SR)
+    long_enough = F.filter("packed", lambda c: AU.slice_length(c["start"], c["end"], F.col("n_samples")) >= need)
+    return cut_lineage(j.select("recording_id", "user_id", F.when(reason.isNull(), long_enough).alias("chunks"), reason.alias("reject_reason")))
+
+
+def rejects_of(plan: DataFrame) -> DataFrame:
+    """``recording_id, reject_reason``."""
+    return plan.where(F.col("reject_reason").isNotNull()).select("recording_id", "reject_reason")
+
+
+def with_audio(plan: DataFrame, waves: DataFrame, extra: tuple = ()) -> DataFrame:
+    """The one join with samples: an example per chunk of ``plan`` rows."""
+    rows = plan.where(F.size("chunks") > 0).select("recording_id", "user_id", "chunks", *extra)
+    j = rows.join(waves.select("recording_id", "channels"), "recording_id")
+    sliced = AU.let(AU.condition("channels"), lambda x: F.transform("chunks", lambda c: F.struct(
+        c["chunk_id"].alias("chunk_id"), c["start"].alias("chunk_start"), c["end"].alias("chunk_end"), c["text"].alias("sentence"),
+        F.struct(AU.slice_seconds(x, c["start"], c["end"]).alias("array"), F.lit(AU.TARGET_SR).alias("sampling_rate")).alias("audio"))))
+    return j.select("recording_id", "user_id", *extra, F.explode(sliced).alias("c")).select("recording_id", "user_id", "c.*", *extra)
 
 
 def build_examples(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame,
@@ -28,32 +68,19 @@ def build_examples(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame
     sentence, audio STRUCT<array ARRAY<DOUBLE>, sampling_rate INT>``;
     rejects: ``recording_id, reject_reason``.
     """
-    m = MF.rewrite_urls(manifest, "rec_url_gcp")
-    w = waves.select("recording_id", "sampling_rate", "channels")
-    t = transcripts.select("recording_id", "words", F.col("reject_reason").alias("t_reason"))
-    j = (m.join(w, "recording_id", "left").join(t, "recording_id", "left"))
-    reason = (F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
-               .when(F.col("channels").isNull(), F.lit("missing audio"))
-               .when(F.col("sampling_rate") != AU.TARGET_SR, F.lit("sampling rate is not 16 kHz"))
-               .when(F.col("t_reason").isNotNull(), F.col("t_reason"))
-               .when(F.col("words").isNull(), F.lit("missing transcript"))
-               .when(CH.bad_words("words"), F.lit("null word text or time")))
-    j = j.withColumn("__reason", reason)
-    rejects = j.where(F.col("__reason").isNotNull()).select("recording_id", F.col("__reason").alias("reject_reason"))
-    good = j.where(F.col("__reason").isNull())
-
-    chunks = CH.pack_words("words", max_chunk_sec, min_chunk_sec)
-    samples = AU.condition("channels")
-    sliced = AU.let(samples, lambda x: F.transform(chunks, lambda c: F.struct(
-        c["text"].alias("text"), c["start"].alias("start"), c["end"].alias("end"),
-        AU.slice_seconds(x, c["start"], c["end"]).alias("audio"))))
-    ex = good.select("recording_id", "user_id", F.posexplode(sliced).alias("chunk_id", "c"))
-    ex = ex.where(F.size("c.audio") >= int(min_chunk_sec * AU.TARGET_SR))
-    examples = ex.select("recording_id", "user_id", "chunk_id", F.col("c.start").alias("chunk_start"),
-                         F.col("c.end").alias("chunk_end"), F.col("c.text").alias("sentence"),
-                         F.struct(F.col("c.audio").alias("array"),
-                                  F.lit(AU.TARGET_SR).alias("sampling_rate")).alias("audio"))
-    return examples, rejects
+    plan = plan_chunks(manifest, waves, transcripts, max_chunk_sec, min_chunk_sec)
+    return with_audio(plan, waves), rejects_of(plan)
+
+
+def build_dataset(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame, max_chunk_sec: float = 29.0, min_chunk_sec: float = 0.5,
+                  val_fraction: float = 0.10, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C4 + C5: ``(examples with split, counts, rejects)``; split and counts come from the
+    narrow plan, so the samples are read and joined once."""
+    plan = plan_chunks(manifest, waves, transcripts, max_chunk_sec, min_chunk_sec)
+    kept = plan.where(F.size("chunks") > 0)
+    placed = SM.assign_split(kept, SM.speaker_split(kept, "user_id", val_fraction, seed), "user_id")
+    counts = MF.split_counts(placed.select("user_id", "split", F.explode("chunks")))
+    return with_audio(placed, waves, ("split",)), counts, rejects_of(plan)
 
 
 def assemble(examples: DataFrame, val_fraction: float = 0.10, seed: int = 42) -> tuple[DataFrame, DataFrame]:

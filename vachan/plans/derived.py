@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from vachan.functions import lexicon as L
 from vachan.functions import text as TX
-from vachan.session import spread
+from vachan.session import input_partitions
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table feeding CPU-heavy row work, spread over the cores if it is
     one small file (no-op for a many-file input)."""
-    return spread(table(spark, sf_dir, name))
+    return input_partitions(table(spark, sf_dir, name))
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,36 @@ def results_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join(hyp, " ").alias("hypothesis"))
 
 
+# Forms on which every canonicaliser rule acts, and what a second recogniser writes
+# for them: list variants and their canonical words, Devanagari digits, a variant
+# inside a longer word (a vowel sign follows it), decomposed letters.
+def _forms() -> list[tuple[str, str]]:
+    lists = [L.ORDINAL_REWRITES[i] for i in (0, 1, 3)] + [L.SCHWA_REWRITES[i] for i in (0, 7, 8, 22)] + [L.NUMBER_WORD_REWRITES[i] for i in (0, 5, 9, -1)]
+    inside = L.SCHWA_REWRITES[0][0] + "\u0940"
+    return [*lists, ("१२", "12"), ("२०२४", "2024"), (inside, inside), ("घर", "घर"), ("e\u0301tude", "\u00e9tude"), ("क\u093cलम", "कलम")]
+
+
+FORMS = _forms()
+
+
+def hindi_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``idx, reference, hypothesis``: every token becomes one of FORMS by length and
+    position; every third one is canonical in the hypothesis.  Some references
+    are empty or NULL."""
+    u = utterances(spark, sf_dir)
+    k = F.col("segment_id")
+    ref, hyp = (F.array(*[F.lit(x[i]) for x in FORMS]) for i in (0, 1))
+    toks = TX.ws_tokens("Human")
+
+    def form(lex, t, i):
+        return F.element_at(lex, ((F.length(t) + i + 1) % len(FORMS) + 1).cast("int"))
+
+    reference = F.array_join(F.transform(toks, lambda t, i: form(ref, t, i)), " ")
+    hypothesis = F.array_join(F.transform(toks, lambda t, i: F.when((k + i + 1) % 3 == 0, form(hyp, t, i)).otherwise(form(ref, t, i))), " ")
+    return u.select(k.alias("idx"), F.when(k % 29 == 0, F.lit("")).when(k % 31 == 0, F.lit(None)).otherwise(reference).alias("reference"),
+                    hypothesis.alias("hypothesis"))
+
+
 # ── SQL text of the same derivations, for the DuckDB oracles ─────────────────
 
 def sql_lit(s: str) -> str:
@@ -116,3 +146,13 @@ SQL_SYSTEMS = ("SELECT segment_id, url, ref, m, "
 SQL_RESULTS = ("SELECT segment_id AS idx, array_to_string(ref, ' ') AS reference, "
                "array_to_string(CASE WHEN segment_id % 10 = 0 THEN list_reverse(ref) ELSE "
                + sql_system_tokens("ref", "segment_id", "3") + " END, ' ') AS hypothesis FROM utt")
+
+
+def _sql_forms(i: int) -> str:
+    return "[" + ", ".join(sql_lit(x[i]) for x in FORMS) + f"][(length(t) + p) % {len(FORMS)} + 1]"
+
+
+SQL_HINDI = (f"SELECT segment_id AS idx, CASE WHEN segment_id % 29 = 0 THEN '' WHEN segment_id % 31 = 0 THEN NULL ELSE "
+             f"array_to_string(list_transform(toks, lambda t, p: {_sql_forms(0)}), ' ') END AS reference, "
+             f"array_to_string(list_transform(toks, lambda t, p: CASE WHEN (segment_id + p) % 3 = 0 THEN {_sql_forms(1)} ELSE {_sql_forms(0)} END), ' ') AS hypothesis "
+             f"FROM (SELECT segment_id, regexp_extract_all(coalesce(Human, ''), {sql_lit(TX.NON_WS + '+')}, 0) AS toks FROM utt)")

@@ -144,18 +144,24 @@ def sql_clean_transcript(expr: str) -> str:
     return f"coalesce(trim(regexp_replace({x}, {lit(TX.WS + '+')}, ' ', 'g')), '')"
 
 
-_R1 = sql_canonicalise("coalesce(reference, '')")
-_H1 = sql_canonicalise("coalesce(hypothesis, '')")
-BEFORE_AFTER = (BASE + f",\nres AS ({D.SQL_RESULTS}),\n"
-                f"canon AS (SELECT idx, reference, hypothesis, coalesce(reference, '') AS r0, coalesce(hypothesis, '') AS h0, "
-                f"{_R1} AS r1, {_H1} AS h1 FROM res),\n"
-                f"pb AS (SELECT idx AS pid, {jiwer_words_sql('r0')} AS a, {jiwer_words_sql('h0')} AS b FROM canon),\n"
-                f"pa AS (SELECT idx AS pid, {jiwer_words_sql('r1')} AS a, {jiwer_words_sql('h1')} AS b FROM canon),\n"
-                + edit_cte("eb", "pb") + ",\n" + edit_cte("ea", "pa") + ",\n"
-                "ba AS (SELECT c.idx, c.reference, c.hypothesis,\n"
-                "  CASE WHEN len(pb.a) > 0 THEN round(eb.edits * 100.0 / len(pb.a), 2) END AS wer_before_norm,\n"
-                "  CASE WHEN len(pa.a) > 0 THEN round(ea.edits * 100.0 / len(pa.a), 2) END AS wer_after_norm\n"
-                "  FROM canon c JOIN pb ON pb.pid = c.idx JOIN eb ON eb.pid = c.idx JOIN pa ON pa.pid = c.idx JOIN ea ON ea.pid = c.idx)\n")
+def before_after_sql(results: str, numbers: bool = False) -> str:
+    """CTE ``ba``: scores of ``results`` before and after canonicalisation."""
+    r1, h1 = (sql_canonicalise(f"coalesce({c}, '')", numbers) for c in ("reference", "hypothesis"))
+    return (BASE + f",\nres AS ({results}),\n"
+            f"canon AS (SELECT idx, reference, hypothesis, coalesce(reference, '') AS r0, coalesce(hypothesis, '') AS h0, "
+            f"{r1} AS r1, {h1} AS h1 FROM res),\n"
+            f"pb AS (SELECT idx AS pid, {jiwer_words_sql('r0')} AS a, {jiwer_words_sql('h0')} AS b FROM canon),\n"
+            f"pa AS (SELECT idx AS pid, {jiwer_words_sql('r1')} AS a, {jiwer_words_sql('h1')} AS b FROM canon),\n"
+            + edit_cte("eb", "pb") + ",\n" + edit_cte("ea", "pa") + ",\n"
+            "ba AS (SELECT c.idx, c.reference, c.hypothesis,\n"
+            "  CASE WHEN len(pb.a) > 0 THEN round(eb.edits * 100.0 / len(pb.a), 2) END AS wer_before_norm,\n"
+            "  CASE WHEN len(pa.a) > 0 THEN round(ea.edits * 100.0 / len(pa.a), 2) END AS wer_after_norm\n"
+            "  FROM canon c JOIN pb ON pb.pid = c.idx JOIN eb ON eb.pid = c.idx JOIN pa ON pa.pid = c.idx JOIN ea ON ea.pid = c.idx)\n")
+
+
+BEFORE_AFTER = before_after_sql(D.SQL_RESULTS)
+HINDI_BEFORE_AFTER = before_after_sql(D.SQL_HINDI, True)
+HINDI = f"WITH utt AS ({D.SQL_UTT}), res AS ({D.SQL_HINDI})"
 
 WER_BEFORE_AFTER = BEFORE_AFTER + ("SELECT idx, reference, hypothesis, wer_before_norm, wer_after_norm, "
                                    "round(wer_before_norm - wer_after_norm, 2) AS wer_delta FROM ba")
@@ -360,68 +366,60 @@ SELECT vec_id, len(x) AS n_samples, """ + _micro_sql("x") + " AS samples_e6 FROM
 
 
 def _number_words_sql(select: str) -> str:
-    """X1 in DuckDB.  Python's ``\\b`` is emulated by consuming the boundary
-    character (RE2 has no look-around); a match whose left boundary was
-    consumed by the previous match is found by a second pass (mask characters
-    are not word characters, so the first pass cannot create new matches)."""
+    """X1 in DuckDB, from the rule: one row per token, idioms matched token by token,
+    runs as gaps and islands, values as a fold per run.  Word characters and
+    trailing punctuation are spelled out here, not taken from the package."""
+    import unicodedata
+
     from vachan.functions import lexicon as L
-    from vachan.functions import numbers as NW
     from vachan.plans.queries import DEVANAGARI_WORDS
 
-    W, NWC = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
-    lex = "[" + ", ".join(lit(w) for w in DEVANAGARI_WORDS) + "]"
-    non_ws = lit(TX.NON_WS + "+")
-    trail = lit(TX.TRAILING_NUMBER_PUNCT)
-    add_k = "[" + ", ".join(lit(k) for k in L.ADDITIVE_VALUES) + "]"
-    add_v = "[" + ", ".join(f"{v}::HUGEINT" for v in L.ADDITIVE_VALUES.values()) + "]"
-    mul_k = "[" + ", ".join(lit(k) for k in L.MULTIPLIER_VALUES) + "]"
-    mul_v = "[" + ", ".join(f"{v}::HUGEINT" for v in L.MULTIPLIER_VALUES.values()) + "]"
-    all_k = "[" + ", ".join(lit(k) for k in {**L.ADDITIVE_VALUES, **L.MULTIPLIER_VALUES}) + "]"
-
-    def is_word(ch):
-        import unicodedata
-        return ch == "_" or unicodedata.category(ch)[0] in "LN"
-
-    masks = []
+    word, other = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+
+    def matches(expr, left, body, right):
+        return f"regexp_matches({expr}, {lit(left + chr(92) + 'Q' + body + chr(92) + 'E' + right)})"
+
+    def end(phrase):   # a boundary lies where word characters begin or end
+        return f"({other}|$)" if unicodedata.category(phrase[-1])[0] in "LN" else word
+
+    start = f"(^|{other})"
+    guards = []
     for p in L.IDIOM_PHRASES:
-        end = f"({NWC}|$)" if is_word(p[-1]) else f"({W})"
-        pat = lit(f"(^|{NWC})\\Q{p}\\E{end}")
-        rep = f"'\\1' || {lit(NW._mask(p))} || '\\2'"
-        once = f"regexp_replace(raw, {pat}, {rep}, 'g')"
-        twice = f"regexp_replace({once}, {pat}, {rep}, 'g')"
-        masks.append(f"CASE WHEN contains(raw, {lit(p)}) THEN regexp_extract_all({twice}, {non_ws}, 0) END")
-    mark, join_, cut, field = (lit(x) for x in (NW.MARK, NW.JOIN, NW.CUT, NW.FIELD))
-    isnum = lambda e: f"list_contains({all_k}, regexp_replace({e}, {trail}, ''))"
-    base = "(CASE WHEN acc.current > 0 THEN acc.current ELSE 1::HUGEINT END)"
-    a = f"{add_v}[list_position({add_k}, w)]"
-    m = f"{mul_v}[list_position({mul_k}, w)]"
-    step = (f"CASE WHEN {a} IS NOT NULL THEN {{'total': acc.total, 'current': acc.current + {a}}} "
-            f"WHEN {m} >= 1000 THEN {{'total': acc.total + {base} * {m}, 'current': 0::HUGEINT}} "
-            f"WHEN {m} IS NOT NULL THEN {{'total': acc.total, 'current': {base} * {m}}} ELSE acc END")
-    end = lit("\ufdd4")  # end-of-run marker: the fold adds the open group
+        parts = p.split()
+        if len(parts) == 1:
+            guards.append(matches("tok", start, p, end(p)))
+        else:
+            first, second = parts
+            guards.append(f"({matches('tok', start, first, '$')} AND {matches('nxt', '^', second, end(p))})")
+            guards.append(f"({matches('prv', start, first, '$')} AND {matches('tok', '^', second, end(p))})")
+
+    def table(values):
+        return "[" + ", ".join(lit(k) for k in values) + "]", "[" + ", ".join(f"{v}::HUGEINT" for v in values.values()) + "]"
+
+    (add_k, add_v), (mul_k, mul_v) = table(L.ADDITIVE_VALUES), table(L.MULTIPLIER_VALUES)
+    lex = "[" + ", ".join(lit(w) for w in DEVANAGARI_WORDS) + "]"
+    non_ws = lit(r"[^ \t\n\x0B\f\r]+")
+    a, m = f"{add_v}[list_position({add_k}, w)]", f"{mul_v}[list_position({mul_k}, w)]"
+    group = "(CASE WHEN acc.current > 0 THEN acc.current ELSE 1::HUGEINT END)"
+    fold = (f"list_reduce(list_append(keys, ''), lambda acc, w: CASE WHEN w = '' THEN {{'total': acc.total + acc.current, 'current': 0::HUGEINT}} "
+            f"WHEN {a} IS NOT NULL THEN {{'total': acc.total, 'current': acc.current + {a}}} "
+            f"WHEN {m} >= 1000 THEN {{'total': acc.total + {group} * {m}, 'current': 0::HUGEINT}} "
+            f"ELSE {{'total': acc.total, 'current': {group} * {m}}} END, {{'total': 0::HUGEINT, 'current': 0::HUGEINT}}).total")
     return f"""WITH utt AS ({D.SQL_UTT}),
 dt AS (SELECT segment_id, array_to_string(list_transform(regexp_extract_all(coalesce(Human, ''), {non_ws}, 0),
    lambda t: {lex}[(length(t) % {len(DEVANAGARI_WORDS)}) + 1] || CASE WHEN length(t) % 5 = 0 THEN ',' ELSE '' END), ' ') AS raw FROM utt),
-tk AS (SELECT segment_id, regexp_extract_all(raw, {non_ws}, 0) AS toks, [{", ".join(masks)}] AS masks FROM dt),
-enc AS (SELECT segment_id, len(toks) AS n, string_split(array_to_string(list_transform(range(0, len(toks)), lambda k:
-   CAST(k AS VARCHAR) || {field} ||
-   CASE WHEN len(list_filter(masks, lambda mt: mt IS NOT NULL AND coalesce(contains(mt[k + 1], {mark}), false))) > 0 THEN '1' ELSE '0' END
-   || {field} || toks[k + 1] ||
-   CASE WHEN k < len(toks) - 1 AND {isnum('toks[k + 1]')} AND {isnum('toks[k + 2]')} THEN {join_}
-        WHEN k < len(toks) - 1 THEN {cut} ELSE '' END), ''), {cut}) AS pieces FROM tk),
-pc AS (SELECT segment_id, n, list_transform(pieces, lambda p: list_transform(string_split(p, {join_}), lambda it: string_split(it, {field}))) AS items FROM enc),
-pv AS (SELECT segment_id, n, list_transform(items, lambda its: {{
-   'raw': list_transform(its, lambda it: it[3]),
-   'pos': CAST(its[1][1] AS INTEGER),
-   'run': {isnum('its[1][3]')},
-   'prot': len(list_filter(its, lambda it: it[2] = '1')) > 0,
-   'keys': list_transform(its, lambda it: regexp_replace(it[3], {trail}, ''))}}) AS ps FROM pc),
-pw AS (SELECT segment_id, n, list_transform(ps, lambda x: {{'raw': x.raw, 'pos': x.pos, 'conv': x.run AND NOT x.prot,
-   'value': CAST(list_reduce(list_append(x.keys, {end}), lambda acc, w: CASE WHEN w = {end} THEN {{'total': acc.total + acc.current, 'current': 0::HUGEINT}} ELSE {step} END, {{'total': 0::HUGEINT, 'current': 0::HUGEINT}}).total AS VARCHAR)}}) AS ps FROM pv),
-res AS (SELECT segment_id,
-   CASE WHEN n = 0 THEN '' ELSE array_to_string(flatten(list_transform(ps, lambda x: CASE WHEN x.conv THEN [x.value] ELSE x.raw END)), ' ') END AS text,
-   list_transform(list_filter(ps, lambda x: x.conv AND n > 0), lambda x: {{'original': array_to_string(x.raw, ' '), 'replacement': x.value, 'position': x.pos}}) AS changes
-   FROM pw)
+tl AS (SELECT segment_id, regexp_extract_all(raw, {non_ws}, 0) AS toks FROM dt),
+tk AS (SELECT segment_id, unnest(range(0, len(toks))) AS k, unnest(toks) AS tok FROM tl),
+nb AS (SELECT *, coalesce(lag(tok) OVER s, '') AS prv, coalesce(lead(tok) OVER s, '') AS nxt, rtrim(tok, ',।!?') AS key FROM tk WINDOW s AS (PARTITION BY segment_id ORDER BY k)),
+fl AS (SELECT *, list_contains({add_k}, key) OR list_contains({mul_k}, key) AS num, {" OR ".join(guards)} AS guarded FROM nb),
+rn AS (SELECT *, sum(CASE WHEN num AND before THEN 0 ELSE 1 END) OVER (PARTITION BY segment_id ORDER BY k) AS run
+   FROM (SELECT *, coalesce(lag(num) OVER (PARTITION BY segment_id ORDER BY k), false) AS before FROM fl)),
+pc AS (SELECT segment_id, run, min(k) AS pos, bool_and(num) AND NOT bool_or(guarded) AS conv, string_agg(tok, ' ' ORDER BY k) AS original, list(key ORDER BY k) AS keys
+   FROM rn GROUP BY segment_id, run),
+pv AS (SELECT *, CASE WHEN conv THEN CAST({fold} AS VARCHAR) END AS value FROM pc),
+ag AS (SELECT segment_id, string_agg(coalesce(value, original), ' ' ORDER BY pos) AS text,
+   list({{'original': original, 'replacement': value, 'position': CAST(pos AS INTEGER)}} ORDER BY pos) FILTER (conv) AS changes FROM pv GROUP BY segment_id),
+res AS (SELECT segment_id, coalesce(text, '') AS text, coalesce(changes, []) AS changes FROM dt LEFT JOIN ag USING (segment_id))
 {select}"""
 
 
@@ -437,6 +435,25 @@ ORACLES["asr_cleanup"] = _number_words_sql(
     "len(list_filter(list_transform(parts, lambda x: x.word), lambda w: w IS NOT NULL)) AS n_en_words FROM tg")
 
 
+_SCORED_HINDI = "SELECT idx, wer_before_norm AS wer FROM ba"
+ORACLES.update({
+    "hindi_canonical": HINDI + ", c AS (SELECT idx, reference, " + sql_canonicalise("coalesce(reference, '')") + " AS plain, "
+                       + sql_canonicalise("coalesce(reference, '')", True) + " AS numbers, " + sql_canonicalise("coalesce(reference, 'nan')")
+                       + " AS nan FROM res) SELECT idx, md5(plain) AS plain_md5, md5(numbers) AS numbers_md5, md5(nan) AS nan_md5, "
+                       "coalesce(reference, '') <> plain AS changed FROM c",
+    "hindi_before_after": HINDI_BEFORE_AFTER + "SELECT idx, wer_before_norm, wer_after_norm, round(wer_before_norm - wer_after_norm, 2) AS wer_delta FROM ba",
+    "hindi_norm_summary": HINDI_BEFORE_AFTER + "SELECT round(avg(wer_before_norm), 6) AS avg_wer_before, round(avg(wer_after_norm), 6) AS avg_wer_after, "
+                          "round(avg(wer_before_norm) - avg(wer_after_norm), 6) AS reduction_pp FROM ba",
+    "hindi_preview": HINDI_BEFORE_AFTER + "SELECT idx, wer_before_norm, wer_after_norm FROM (SELECT *, row_number() OVER (ORDER BY idx) AS r FROM ba "
+                     "WHERE wer_before_norm IS NOT NULL AND wer_after_norm IS NOT NULL) WHERE r <= 10",
+    "scoring_rejects": HINDI + " SELECT idx, CAST(NULL AS DOUBLE) AS wer, 'empty reference' AS reject_reason FROM res WHERE trim(coalesce(reference, '')) = ''",
+    "tier_report": HINDI_BEFORE_AFTER + ", t AS (SELECT CASE WHEN wer <= 15 THEN 'low' WHEN wer <= 50 THEN 'medium' ELSE 'high' END AS tier, count(*) AS available "
+                   f"FROM ({_SCORED_HINDI}) WHERE wer > 0 GROUP BY 1) "
+                   "SELECT tier, available, least(available, 10) AS sampled, CAST(sum(available) OVER () AS BIGINT) AS total_errors FROM t",
+    "nfc_tokens": HINDI + f", t AS (SELECT idx, {D.sql_tokenise('hypothesis')} AS t FROM res) SELECT idx, len(t) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM t",
+})
+
+
 # ── lattice oracles ─────────────────────────────────────────────────────────
 
 def _lattice_base() -> str:
@@ -520,6 +537,19 @@ def _lattice_sql(select: str) -> str:
     return _lattice_base() + select
 
 
+def _documented_sql(select: str) -> str:
+    """Documented mode: optional bins lie at their gap, the trailing one included, and
+    every skip of one is free."""
+    sql = _lattice_base()
+    for old, new in (("WHERE o.op = 'ins' AND o.gap < rlen.r", "WHERE o.op = 'ins'"),
+                     ("SELECT segment_id, gap, 1, first_key", "SELECT segment_id, gap, -1, first_key"),
+                     ("least(x.cur[i] + 1, x.cur[i + 1] + 1,\n                      x.prev[i] + CASE WHEN list_contains",
+                      "least(x.cur[i] + CASE WHEN p.a[i].opt THEN 0 ELSE 1 END, x.cur[i + 1] + 1,\n                      x.prev[i] + CASE WHEN list_contains")):
+        assert sql.count(old) == 1, old
+        sql = sql.replace(old, new)
+    return sql + select
+
+
 ORACLES.update({
     "align_ops": _lattice_sql("SELECT segment_id, system, count(*) FILTER (WHERE op = 'sub') AS subs, "
                               "count(*) FILTER (WHERE op = 'del') AS dels, count(*) FILTER (WHERE op = 'ins') AS ins, "
@@ -545,6 +575,9 @@ ORACLES.update({
         "CASE WHEN sum(lattice_edits) / sum(lattice_n) - sum(edits) / sum(n) < -0.0001 THEN 'REDUCED' "
         "WHEN abs(sum(lattice_edits) / sum(lattice_n) - sum(edits) / sum(n)) < 0.0001 THEN 'same' "
         "ELSE 'INCREASED?' END AS verdict FROM detail GROUP BY system"),
+    "lattice_documented": _documented_sql(
+        "SELECT system, sum(edits) AS plain_edits, sum(n) AS plain_n, sum(lattice_edits) AS lattice_edits, sum(lattice_n) AS lattice_n, "
+        "count(*) FILTER (lattice_edits > edits) AS n_worse FROM detail GROUP BY system"),
     "lattice_top": _lattice_sql(f"SELECT {_DETAIL_COLS} FROM detail WHERE round(lattice_wer - plain_wer, 4) < -0.10 "
                                 "ORDER BY round(lattice_wer - plain_wer, 4), segment_id, m LIMIT 15"),
     "lattice_unchanged": _lattice_sql(f"SELECT {_DETAIL_COLS} FROM detail WHERE abs(round(lattice_wer - plain_wer, 4)) < 0.001 "
@@ -604,3 +637,21 @@ FROM ex2 JOIN r USING (user_id)"""
 
 
 ORACLES["dataset_build"] = _dataset_build_sql()
+
+
+def _over(key: str, select: str) -> str:
+    """Another query's SQL as a table ``q``."""
+    return f"SELECT {select.format(q='(' + ORACLES[key] + ')')}"
+
+
+ORACLES.update({
+    "chunk_counts": _over("pack_chunks", "user_id, count(*) AS n_chunks FROM {q} GROUP BY user_id"),
+    "second_segment": _over("lattice_inspect", "segment_id, bin_idx, left(ref_tok, 3) AS ref_tok, full_bin, variants "
+                            "FROM (SELECT *, dense_rank() OVER (ORDER BY segment_id) AS r FROM {q}) WHERE r = 2"),
+    "asset_paths": "SELECT event_id AS recording_id, 'cache/audio/' || event_id || '.wav' AS audio_path, 'cache/transc/' || event_id || '.json' AS transcript_path FROM events",
+    "sql_normalise": HINDI + " SELECT idx, md5(" + sql_canonicalise("coalesce(reference, '')") + ") AS plain_md5 FROM res",
+    "dataset_rejects": "SELECT vec_id AS recording_id, r AS reject_reason FROM (SELECT vec_id, CASE WHEN vec_id % 11 = 0 THEN 'unparsable url' "
+                       "WHEN vec_id % 13 = 0 THEN 'missing audio' WHEN vec_id % 17 = 0 THEN 'sampling rate is not 16 kHz' "
+                       "WHEN vec_id % 29 = 0 THEN 'missing transcript' WHEN vec_id % 23 = 0 THEN 'not json' "
+                       "WHEN vec_id % 19 = 0 THEN 'null word text or time' END AS r FROM embeddings) WHERE r IS NOT NULL",
+})

@@ -122,6 +122,18 @@ def q_split_counts(spark, sf_dir):
     return MF.split_counts(split)
 
 
+def q_asset_paths(spark, sf_dir):
+    """Local asset paths of every recording."""
+    ev = D.table(spark, sf_dir, "events").select(F.col("event_id").alias("recording_id"))
+    return MF.asset_paths(ev, root="cache")
+
+
+def q_sql_normalise(spark, sf_dir):
+    """V4: the canonicaliser by its SQL name."""
+    TX.register_normalise(spark, "normalise")
+    return D.hindi_results(spark, sf_dir).select("idx", F.md5(F.expr("normalise(reference)")).alias("plain_md5"))
+
+
 def q_manifest_totals(spark, sf_dir):
     ev = D.table(spark, sf_dir, "events")
     m = ev.select(F.col("event_id").alias("recording_id"), "user_id", F.col("value").alias("duration"))
@@ -135,7 +147,55 @@ def q_code_switch(spark, sf_dir):
                     F.md5(F.array_join("x.words", "|")).alias("en_words_md5"))
 
 
+def hindi_before_after(spark, sf_dir):
+    return SC.with_before_after(D.hindi_results(spark, sf_dir), convert_number_words=True)
+
+
+def q_hindi_canonical(spark, sf_dir):
+    """F5-F9 on text where every rule acts; NULL as empty and as the word nan."""
+    h = D.hindi_results(spark, sf_dir).select(
+        "idx", "reference", TX.canonicalise("reference").alias("plain"), TX.canonicalise("reference", True).alias("numbers"),
+        TX.canonicalise("reference", null_as="nan").alias("nan"))
+    return h.select("idx", F.md5("plain").alias("plain_md5"), F.md5("numbers").alias("numbers_md5"), F.md5("nan").alias("nan_md5"),
+                    (F.coalesce("reference", F.lit("")) != F.col("plain")).alias("changed"))
+
+
+def q_hindi_before_after(spark, sf_dir):
+    return hindi_before_after(spark, sf_dir).select("idx", "wer_before_norm", "wer_after_norm", "wer_delta")
+
+
+def q_hindi_norm_summary(spark, sf_dir):
+    s = SC.before_after_summary(hindi_before_after(spark, sf_dir))
+    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+
+
+def q_hindi_preview(spark, sf_dir):
+    """T4: a fixed number of rows for the eye; the limit is the feature."""
+    return SC.preview(hindi_before_after(spark, sf_dir).where(F.col("wer_delta").isNotNull())).select("idx", "wer_before_norm", "wer_after_norm")
+
+
+def q_scoring_rejects(spark, sf_dir):
+    """Utterances without a reference: a reject row instead of a score."""
+    return SC.score_rejects(SC.with_utterance_wer(D.hindi_results(spark, sf_dir))).select("idx", "wer", "reject_reason")
+
+
+def q_tier_report(spark, sf_dir):
+    return SM.tier_report(SC.with_utterance_wer(D.hindi_results(spark, sf_dir)), 10)
+
+
+def q_nfc_tokens(spark, sf_dir):
+    h = D.hindi_results(spark, sf_dir).select("idx", TX.tokenise("hypothesis").alias("t"))
+    return h.select("idx", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens_md5"))
+
+
 QUERIES.update({
+    "hindi_canonical": q_hindi_canonical,
+    "hindi_before_after": q_hindi_before_after,
+    "hindi_norm_summary": q_hindi_norm_summary,
+    "hindi_preview": q_hindi_preview,
+    "scoring_rejects": q_scoring_rejects,
+    "tier_report": q_tier_report,
+    "nfc_tokens": q_nfc_tokens,
     "wer_before_after": q_wer_before_after,
     "norm_summary": q_norm_summary,
     "clean_text": q_clean_text,
@@ -144,6 +204,8 @@ QUERIES.update({
     "url_rewrite": q_url_rewrite,
     "speaker_split": q_speaker_split,
     "split_counts": q_split_counts,
+    "asset_paths": q_asset_paths,
+    "sql_normalise": q_sql_normalise,
     "manifest_totals": q_manifest_totals,
     "code_switch": q_code_switch,
 })
@@ -154,25 +216,26 @@ QUERIES.update({
 from vachan.operators import lattice as LT  # noqa: E402
 
 
-def lattice_inputs(spark, sf_dir):
-    """Scored pairs and their alignment, each computed once (checkpointed)."""
-    pairs = LT.prepare_pairs(systems_long(spark, sf_dir))
-    return pairs, LT.aligned_rows(pairs)
+DETAIL = ["segment_id", "url", "ref", "systems", "hyps"]
+
+
+def reports(spark, sf_dir, keep: list[str], mode: str = "coded"):
+    """Alignment, bins and scores of every segment in one narrow stage."""
+    return LT.segment_reports(LT.wide_segments(D.systems_wide(spark, sf_dir)), 3, mode, keep)
 
 
 def lattice_detail(spark, sf_dir, mode: str = "coded"):
-    pairs, aligned = lattice_inputs(spark, sf_dir)
-    return LT.evaluate(pairs, thresh=3, mode=mode, prepared=True, aligned=aligned)
+    return LT.detail_rows(reports(spark, sf_dir, DETAIL, mode))
 
 
 def q_align_ops(spark, sf_dir):
-    _, aligned = lattice_inputs(spark, sf_dir)
-    return LT.op_counts(aligned).select("segment_id", "system", "subs", "dels", "ins", "hits")
+    r = reports(spark, sf_dir, ["segment_id", "systems"])
+    return r.select("segment_id", "systems", F.explode("scores").alias("s")).select(
+        "segment_id", F.element_at("systems", F.col("s.sys_ord")).alias("system"), "s.subs", "s.dels", "s.ins", "s.hits")
 
 
 def q_lattice_bins(spark, sf_dir):
-    _, aligned = lattice_inputs(spark, sf_dir)
-    lat = LT.build_lattice(aligned, thresh=3, mode="coded")
+    lat = reports(spark, sf_dir, ["segment_id"])
     shown = F.transform("bins", lambda b: F.concat(F.array_join(b["tokens"], "/"),
                                                     F.when(b["optional"], F.lit("|" + LT.EPS)).otherwise(F.lit(""))))
     return lat.select("segment_id", F.size("bins").alias("n_bins"),
@@ -205,20 +268,30 @@ def q_lattice_unchanged(spark, sf_dir):
 
 
 def q_suspected_ref_errors(spark, sf_dir):
-    _, aligned = lattice_inputs(spark, sf_dir)
-    return LT.suspected_reference_errors(aligned, 3).select(
-        "segment_id", "ref_pos", "ref_tok", "hyp_tok", "n_systems")
+    r = reports(spark, sf_dir, ["segment_id"])
+    return r.select("segment_id", F.explode("suspects").alias("s")).select("segment_id", "s.*")
+
+
+def q_lattice_documented(spark, sf_dir):
+    """Documented mode: the lattice never scores worse than the plain reference."""
+    d = lattice_detail(spark, sf_dir, "documented")
+    s = LT.system_summary(d)
+    worse = d.groupBy("system").agg(F.count_if(F.col("lattice_edits") > F.col("edits")).alias("n_worse"))
+    return s.join(worse, "system").select("system", "plain_edits", "plain_n", "lattice_edits", "lattice_n", "n_worse")
 
 
 def q_lattice_inspect(spark, sf_dir):
-    pairs, aligned = lattice_inputs(spark, sf_dir)
-    lat = LT.build_lattice(aligned, thresh=3, mode="coded")
-    refs = pairs.where(F.col("sys_ord") == 1).select("segment_id", "ref")
-    ins = LT.inspect_bins(refs, lat)
-    return ins.select("segment_id", "bin_idx", "ref_tok", F.array_join("full_bin", "/").alias("full_bin"), "variants")
+    r = reports(spark, sf_dir, ["segment_id", "ref"])
+    return LT.zip_bins(r).select("segment_id", "bin_idx", "ref_tok", F.array_join("full_bin", "/").alias("full_bin"), "variants")
+
+
+def q_second_segment(spark, sf_dir):
+    """T5: the bins of the second segment of the sheet, for display (F21: prefixes)."""
+    return LT.nth_segment(q_lattice_inspect(spark, sf_dir), 2).withColumn("ref_tok", TX.display_prefix("ref_tok", 3))
 
 
 QUERIES.update({
+    "second_segment": q_second_segment,
     "align_ops": q_align_ops,
     "lattice_bins": q_lattice_bins,
     "lattice_system_wer": q_lattice_system_wer,
@@ -227,6 +300,7 @@ QUERIES.update({
     "lattice_unchanged": q_lattice_unchanged,
     "suspected_ref_errors": q_suspected_ref_errors,
     "lattice_inspect": q_lattice_inspect,
+    "lattice_documented": q_lattice_documented,
 })
 
 
@@ -270,12 +344,12 @@ def q_pack_chunks(spark, sf_dir):
     return ch.select("user_id", "chunk_id", "text", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
 
 
-def q_pack_chunks_fold(spark, sf_dir):
-    ch = CH.chunk_recordings(event_words(spark, sf_dir), "words", ("user_id",), CHUNK_MAX, CHUNK_MIN)
-    return ch.select("user_id", "chunk_id", "text", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+def q_chunk_counts(spark, sf_dir):
+    """Kept chunks per recording."""
+    return CH.chunks_per_recording(q_pack_chunks(spark, sf_dir), ("user_id",))
 
 
-QUERIES.update({"pack_chunks": q_pack_chunks})
+QUERIES.update({"pack_chunks": q_pack_chunks, "chunk_counts": q_chunk_counts})
 
 
 # ── transcript JSON documents ───────────────────────────────────────────────
@@ -415,10 +489,21 @@ def embedding_recordings(spark, sf_dir):
 
 def q_dataset_build(spark, sf_dir):
     manifest, waves, words = embedding_recordings(spark, sf_dir)
-    ex, _ = DSB.build_examples(manifest, waves, words, max_chunk_sec=0.001, min_chunk_sec=0.0005)
-    out, _ = DSB.assemble(ex)
+    out, _, _ = DSB.build_dataset(manifest, waves, words, max_chunk_sec=0.001, min_chunk_sec=0.0005)
     return out.select("recording_id", "user_id", "chunk_id", "split", "sentence",
                       F.size("audio.array").alias("n_samples"))
 
 
-QUERIES.update({"dataset_build": q_dataset_build})
+def q_dataset_rejects(spark, sf_dir):
+    """S11 of the assembly, over inputs with faults of every kind by rule."""
+    manifest, waves, words = embedding_recordings(spark, sf_dir)
+    k = F.col("recording_id")
+    manifest = manifest.withColumn("rec_url_gcp", F.when(k % 11 == 0, F.lit("no-ids-here")).otherwise(F.col("rec_url_gcp")))
+    waves = waves.where(k % 13 != 0).withColumn("sampling_rate", F.when(k % 17 == 0, F.lit(8000)).otherwise(F.col("sampling_rate")))
+    broken = F.transform("words", lambda w: w.withField("word", F.lit(None).cast("string")))
+    words = words.where(k % 29 != 0).withColumn("words", F.when(k % 19 == 0, broken).otherwise(F.col("words")))
+    words = words.withColumn("reject_reason", F.when(k % 23 == 0, F.lit("not json")).otherwise(F.col("reject_reason")))
+    return DSB.rejects_of(DSB.plan_chunks(manifest, waves, words, 0.001, 0.0005))
+
+
+QUERIES.update({"dataset_build": q_dataset_build, "dataset_rejects": q_dataset_rejects})

@@ -35,6 +35,8 @@ def get_spark(app: str = "vachan", master: str | None = None, shuffle_partitions
     conf = dict(DEFAULTS)
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = os.environ.get("VACHAN_DRIVER_MEMORY", "16g")
+        if shuffle_partitions:  # local tables are single files: deal them over the cores
+            conf["spark.vachan.input.partitions"] = str(shuffle_partitions)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -81,11 +83,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Round-robin a DataFrame that has fewer partitions than the cluster has
-    cores (a small file feeding CPU-heavy row work).  Inputs that already
-    have enough partitions are returned unchanged: no shuffle at scale."""
-    want = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() < want // factor:
-        return df.repartition(want)
-    return df
+def input_partitions(df: DataFrame) -> DataFrame:
+    """Deal a small single-file input over as many tasks as the session asks for in
+    ``spark.vachan.input.partitions``; without that setting (on a cluster, where inputs
+    have many splits) nothing is shuffled."""
+    n = df.sparkSession.conf.get("spark.vachan.input.partitions", None)
+    return df.repartition(int(n)) if n else df

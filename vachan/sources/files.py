@@ -1,7 +1,10 @@
 """File sources and sinks.
 
 Schemas are declared, never inferred: a manifest of a million rows is read
-with one pass and no sampling job.
+with one pass and no sampling job.  CSV is RFC 4180 in both directions: a quote
+inside a quoted field is doubled (not escaped by a backslash), as Python's
+``csv`` and pandas read and write it.  A field that holds a line end needs
+``multi_line=True``, which makes each file one task; Parquet is the bulk form.
 """
 
 from __future__ import annotations
@@ -16,22 +19,28 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("recording_id", T.LongType()), T.StructField("user_id", T.LongType()),
     T.StructField("rec_url_gcp", T.StringType()), T.StructField("duration", T.DoubleType())])
 
+CSV = {"header": True, "quote": '"', "escape": '"'}
+
 WAVE_SCHEMA = "recording_id long, sampling_rate int, channels array<array<float>>"
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with the D1 columns (other columns are ignored)."""
-    raw = spark.read.option("header", True).csv(path)
+    """Header CSV with the D1 columns (other columns are ignored).  A value that
+    isn't of its column's type becomes NULL, named in ``reject_reason``."""
+    raw = spark.read.options(**CSV).csv(path)
     missing = [f.name for f in MANIFEST_SCHEMA.fields if f.name not in raw.columns]
     if missing:
         raise ValueError(f"manifest lacks columns {missing}")
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in MANIFEST_SCHEMA.fields])
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in MANIFEST_SCHEMA.fields}
+    bad = F.concat_ws(", ", *[F.when(F.col(c).isNotNull() & t.isNull(), F.lit(c)) for c, t in typed.items()],
+                      F.when(F.col("recording_id").isNull(), F.lit("recording_id")))
+    return raw.select(*[t.alias(c) for c, t in typed.items()], F.when(bad != "", F.concat(F.lit("bad "), bad)).alias("reject_reason"))
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
+def read_results(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Per-utterance results CSV; ``reference`` and ``hypothesis`` are
     required, ``idx``/``wer`` are typed when present."""
-    raw = spark.read.option("header", True).option("multiLine", True).csv(path)
+    raw = spark.read.options(**CSV, multiLine=multi_line).csv(path)
     if "reference" not in raw.columns or "hypothesis" not in raw.columns:
         raise ValueError("results table must have 'reference' and 'hypothesis' columns")
     cols = []
@@ -45,12 +54,12 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*cols)
 
 
-def read_systems_sheet(spark: SparkSession, path: str, fmt: str = "csv", systems=None) -> DataFrame:
+def read_systems_sheet(spark: SparkSession, path: str, fmt: str = "csv", systems=None, multi_line: bool = False) -> DataFrame:
     """The multi-system sheet read by **position** (url, reference, one
     column per system); empty or missing cells become ``''``.  A
     ``segment_id`` (sheet row order) is added for ordering."""
     systems = systems or L.SYSTEMS
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    reader = spark.read.options(**CSV, multiLine=multi_line) if fmt == "csv" else spark.read
     raw = reader.format(fmt).load(path)
     names = ["url", "Human", *systems]
     cols = raw.columns[:len(names)]
@@ -74,7 +83,7 @@ def systems_long(sheet: DataFrame, systems=None) -> DataFrame:
 def read_eval_set(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """S5 (re-aimed): an evaluation table ``(idx, reference, hypothesis)``;
     model inference is out of scope, hypotheses arrive as data."""
-    df = spark.read.format(fmt).option("header", True).load(path)
+    df = (spark.read.options(**CSV) if fmt == "csv" else spark.read).format(fmt).load(path)
     return df.select(F.col("idx").try_cast("int").alias("idx"), "reference", "hypothesis")
 
 
@@ -94,7 +103,7 @@ def read_assets(spark: SparkSession, pattern: str, id_pattern: str = r"([0-9]+)\
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV, no index column."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV).csv(path)
 
 
 def write_split_dataset(examples: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -7,9 +7,9 @@ VARIANT.  Schema priority is by key **presence**: ``words`` > ``segments`` >
 ``start_time`` (``end`` / ``end_time``) in the top-level schema, only
 ``start`` / ``end`` inside segments, else 0.  The text schema yields one word
 spanning ``[0, duration or 30]``.  A document with none of the keys has no
-words (not an error).  A present key holding JSON null, a word that is not a
-string or a time that is not a number makes the document a reject, as do
-non-JSON text and non-object JSON.
+words (not an error).  A present key holding JSON null, a word or segment that
+is not an object, a word text that is not a string or a time that is not a
+number makes the document a reject, as do non-JSON text and non-object JSON.
 """
 
 from __future__ import annotations
@@ -49,23 +49,32 @@ def _word(w: Column, start_keys, end_keys) -> Column:
 def parse_transcript(raw) -> Column:
     """``struct<words WORD_TYPE, reject_reason STRING>`` of one JSON document.
 
-    The document is parsed once: the VARIANT and its top-level keys are bound
-    as lambda variables and every schema branch reads them."""
+    The document is parsed once: the VARIANT is bound as a lambda variable and
+    every schema branch reads it."""
     raw = F.col(raw) if isinstance(raw, str) else raw
-    parsed = F.struct(F.try_parse_json(raw).alias("v"), F.json_object_keys(raw).alias("keys"))
-    return F.element_at(F.transform(F.array(parsed), lambda p: _resolve(p["v"], p["keys"])), 1)
+    return F.element_at(F.transform(F.array(F.struct(F.try_parse_json(raw).alias("v"))), lambda p: _resolve(p["v"])), 1)
 
 
-def _resolve(v: Column, keys: Column) -> Column:
-    has = lambda k: F.coalesce(F.array_contains(keys, k), F.lit(False))
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
-    words1 = F.transform(F.try_variant_get(v, "$.words", "array<variant>"),
+
+def _objects(items: Column) -> Column:
+    """The array if all of its items are objects, else NULL."""
+    return F.when(~F.exists(items, lambda x: ~_is_object(x)), items)
+
+
+def _resolve(v: Column) -> Column:
+    has = lambda k: F.coalesce(_present(v, k), F.lit(False))
+
+    words1 = F.transform(_objects(F.try_variant_get(v, "$.words", "array<variant>")),
                          lambda w: _word(w, ["start", "start_time"], ["end", "end_time"]))
-    segs = F.try_variant_get(v, "$.segments", "array<variant>")
-    words2 = F.flatten(F.transform(segs, lambda s: F.transform(
-        F.when(_present(s, "words"), F.try_variant_get(s, "$.words", "array<variant>"))
-         .otherwise(F.array().cast("array<variant>")),
-        lambda w: _word(w, ["start"], ["end"]))))
+    segs = _objects(F.try_variant_get(v, "$.segments", "array<variant>"))
+    lists = F.transform(segs, lambda s: F.when(_present(s, "words"), F.try_variant_get(s, "$.words", "array<variant>"))
+                        .otherwise(F.array().cast("array<variant>")))
+    # a segment without a list, or with an item that isn't an object, spoils the document
+    words2 = F.transform(_objects(F.when(~F.exists(lists, lambda x: x.isNull()), F.flatten(lists))),
+                         lambda w: _word(w, ["start"], ["end"]))
     text = _first(v, ["transcript", "text"], _string, F.lit(""))
     dur = F.when(_present(v, "duration"), _number(v, "duration")).otherwise(F.lit(30.0))
     words3 = F.array(F.struct(text.alias("word"), F.lit(0.0).alias("start"), dur.alias("end")))
@@ -76,7 +85,7 @@ def _resolve(v: Column, keys: Column) -> Column:
 
     def checked(ws):
         bad = F.exists(ws, lambda w: w["word"].isNull() | w["start"].isNull() | w["end"].isNull())
-        reason = (F.when(v.isNull(), F.lit("not json")).when(keys.isNull(), F.lit("not an object"))
+        reason = (F.when(v.isNull(), F.lit("not json")).when(~_is_object(v), F.lit("not an object"))
                    .when(ws.isNull(), F.lit("malformed word list")).when(bad, F.lit("null word text or time")))
         return F.struct(F.when(reason.isNull(), ws).alias("words"), reason.alias("reject_reason"))
 

@@ -149,14 +149,6 @@ def per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     return c[off[1:]] - c[off[:-1]]
 
 
-def n_words(text) -> F.Column:
-    """Words [^\\x20\\x09-\\x0D]+ of a text column, null as 0 (long): a word starts
-    where a non-space follows a space or the start.  Built-in functions only."""
-    flat = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    runs = F.regexp_replace(F.trim(flat), " +", " ")
-    return F.when(runs == "", F.lit(0)).otherwise(F.length(runs) - F.length(F.translate(runs, " ", "")) + 1).cast("long")
-
-
 def rank_within(df: DataFrame, group: str, order: list[str], name: str = "rank") -> DataFrame:
     """Add the 0-based position of each row in its group (order: ``order``), as ``name``.
 

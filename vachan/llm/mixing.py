@@ -25,10 +25,11 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, n_words, store
+from vachan.llm.common import NO_ID, slices, store, words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -91,14 +92,27 @@ def settle(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(row, id, key, tie, source, size): size is the number of words, tie a hash of the text."""
+    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
+                    F.xxhash64(text_col).alias("tie"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
+    keep = ["row", "id", "key", "tie", "source"]
+
+    def run(batches):
+        for batch in batches:
+            for rows, data, off in slices(batch, "text"):
+                _, _, first = words(data, off)
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), pa.array(np.diff(first))], names=[*keep, "size"])
+
+    return d.mapInArrow(run, "row long, id long, key long, tie long, source string, size long")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 17, block: int = BLOCK) -> DataFrame:
-    """(row, id, source, size, source_size, target, whole, part, taken) for every row of
+    """(row, id, tie, source, size, source_size, target, whole, part, taken) for every row of
     ``docs``: ``whole`` copies of the document, then its first ``part`` words; taken
     counts the words of both.  ``row`` tells apart rows that repeat an id."""
-    spark = docs.sparkSession
-    base, _ = store(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
-                                F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size")), "sizes")
+    base, _ = store(word_counts(docs, id_col, text_col, source_col), "sizes")
     sizes, _ = store(targets(base.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size")), weights, share, cap), "targets")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     s = sizes.withColumn("copies", copies).withColumnRenamed("source", "s_source")
@@ -127,7 +141,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     whole = (F.floor("copies") + F.floor("p")).cast("long")
     part = F.round((F.col("p") - F.floor("p")) * F.col("size")).cast("long")
     return (out.withColumn("whole", F.when(F.col("size") > 0, whole).otherwise(F.lit(0).cast("long"))).withColumn("part", part)
-            .select("row", "id", "source", "size", "source_size", "target", "whole", "part",
+            .select("row", "id", "tie", "source", "size", "source_size", "target", "whole", "part",
                     (F.col("whole") * F.col("size") + F.col("part")).alias("taken")))
 
 
@@ -139,12 +153,13 @@ def _bounded(sizes: DataFrame, limit: int = 100_000) -> bool:
 def expand(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The mix itself: each document ``whole`` times, then cut to its first ``part``
     words, with the columns of ``docs``.  Only (id, copies) rows are joined."""
-    m = mixed.filter("whole > 0 OR part > 0").select(F.col("id").alias("__id"), F.struct("whole", "part").alias("__n"))
-    # rows that repeat an id share their copies list in order of their numbers
-    m = m.groupBy("__id").agg(F.sort_array(F.collect_list("__n"), asc=False).alias("__ns"))
-    nth = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    rows = docs.withColumn("__k", F.row_number().over(nth)).join(m, F.col(id_col).cast("long").eqNullSafe(F.col("__id")))
-    rows = rows.withColumn("__n", F.get("__ns", F.col("__k") - 1))
+    m = mixed.filter("whole > 0 OR part > 0").select(F.col("id").alias("__id"), F.col("tie").alias("__tie"), F.struct("whole", "part").alias("__n"))
+    # rows that repeat an id are told apart by text; equal rows share their copies in any order
+    m = m.groupBy("__id", "__tie").agg(F.sort_array(F.collect_list("__n"), asc=False).alias("__ns"))
+    nth = Window.partitionBy(id_col, "__t").orderBy(F.lit(0))
+    rows = docs.withColumn("__t", F.xxhash64(text_col)).withColumn("__k", F.row_number().over(nth))
+    rows = rows.join(m, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__tie")))
+    rows = rows.withColumn("__n", F.get("__ns", F.col("__k") - 1)).filter("__n IS NOT NULL")
     # pieces of the form white space, word; the text is the pieces joined
     pieces = F.split(F.col(text_col), "(?<=[^ \\t-\\r])(?=[ \\t-\\r])")
     head = F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.col("__n.part"), F.lit(1)).cast("int")), "")

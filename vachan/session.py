@@ -48,6 +48,22 @@ def get_spark(app: str = "vachan", master: str | None = None, shuffle_partitions
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (``addPyFile`` of a zip), for clusters on
+    which it isn't installed; workers import the kernels by module name."""
+    import zipfile
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="vachan-pkg-"), "vachan.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; set a scratch one only if unset.
 

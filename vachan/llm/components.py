@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        big = both.join(least, F.col("u") == F.col("k")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        big = both.join(least, F.col("u") == F.col("k")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         least = big.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
         small = big.join(least, F.col("u") == F.col("k"))
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct()

@@ -6,21 +6,25 @@ globally ordered: by hash, with the most frequent shingles last.
 1. Nodes.  Equal sets are one node, found on signatures of the sets; a text
    that a third of all rows repeat is one node.
 2. Prefixes.  Two sets with Jaccard similarity t or more share a shingle among
-   the first |A| - ceil(t |A|) + 1 of each.  Prefix shingles are dealt to
-   buckets as packed arrays; a bucket yields, per shingle with several nodes,
-   star rows (hub, node), so a shingle of g nodes costs g rows, not g * g.
-   Any two linked nodes meet in some hub's group.
-3. Candidates.  Groups are split into blocks.  A node is paired with its hub or,
-   if they can't link, with its nearest fellow.  What can't link is known from
+   the first |A| - ceil(t |A|) + 1 of each, and for the smaller set it lies
+   among a shorter prefix still.  Prefix shingles are dealt to buckets as
+   packed arrays; a bucket sorts the nodes of a shingle by size, splits them
+   where sizes are too far apart, and yields star rows (hub, node), so a
+   shingle of g nodes costs g rows, not g * g.  Any two linked nodes meet in
+   some hub's group.
+3. Candidates.  Groups are split into blocks.  A node is paired with its hub and
+   with the NEAR nearest fellows of its block.  What can't link is known from
    sizes and from parity bitmaps: |A xor B| is at least the Hamming distance
-   of the bitmaps, so this prunes without loss.
+   of the bitmaps, so this prunes without loss.  A bitmap has about as many
+   bits as its set has shingles; two of different lengths are compared after
+   folding the longer one.
 4. Verification by prefix tree.  The candidates of one probe are put into a tree
    of their ordered sets; paths are walked once, partial overlaps are shared
    by all sets below, and a subtree is left as soon as the overlap so far plus
    the remaining length of the shorter side can't reach what is required.
-5. Components of the verified links.  Then, for groups that still hold several
+5. Components of the verified links.  Then, in groups that still hold several
    components, all pairs across components that sizes and bitmaps allow are
-   verified too: no link between different components can be missed.
+   verified: no link between different components can be missed.
 
 Sets are hashes of 63 bits per shingle; nodes are 64-bit hashes of sets, and a
 run raises if two different sets share one.
@@ -44,11 +48,12 @@ from vachan.llm.components import components
 
 N = 5
 PERCENT = 80
-BITMAP = 1024  # bits of a parity bitmap
+LEAST_BITS = 128  # bits of the shortest parity bitmap
 HOT = 1 << 16  # most frequent shingles that are ordered last
 HOT_IN_TASK = 4  # documents of one task that a shingle needs to be counted
-BUCKET_TOKENS = 100_000  # prefix shingles of a bucket, on average
+BUCKET_TOKENS = 1_000_000  # prefix shingles of a bucket, on average
 BLOCK = 2_000  # nodes of a block of a hub's group
+NEAR = 3  # nearest fellows that a node is tried with before all remaining pairs
 FLUSH_TOKENS = 600_000  # prefix shingles that a task holds before it writes blobs
 
 TOP = np.uint64(1 << 63)
@@ -102,11 +107,45 @@ def signatures(g: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return a.view(np.int64), b.view(np.int64)
 
 
-def bitmaps(g: np.ndarray, o: np.ndarray, docs: int) -> np.ndarray:
-    """Parity bitmap of each set, BITMAP bits, as bytes (docs, BITMAP / 8)."""
-    bit = (mix(g ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(BITMAP)).astype(np.int64)
-    odd = np.bincount(o * BITMAP + bit, minlength=docs * BITMAP) & 1
-    return np.packbits(odd.astype(bool)).reshape(docs, BITMAP // 8)
+def bitmaps(g: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Parity bitmap of each set: bit b is set if an odd number of shingles hash to
+    b.  It has LEAST_BITS * 2**i bits, the least that are no fewer than the shingles."""
+    bits = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    base = np.cumsum(bits) - bits
+    h = (mix(g ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(20)).astype(np.int64)
+    at = np.repeat(base, size) + (h & (np.repeat(bits, size) - 1))
+    packed = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(bool), bitorder="little").tobytes()
+    return [packed[x:y] for x, y in zip((base // 8).tolist(), ((base + bits) // 8).tolist(), strict=True)]
+
+
+class Maps:
+    """Bitmaps of several lengths; distances of one to many."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.width = np.array([len(x) for x in blobs], np.int64)
+        self.place = np.zeros(len(blobs), np.int64)
+        self.rows = {}
+        for w in np.unique(self.width).tolist():
+            own = np.flatnonzero(self.width == w)
+            self.place[own] = np.arange(len(own))
+            self.rows[w] = np.frombuffer(b"".join(blobs[i] for i in own), np.uint64).reshape(len(own), w // 8)
+
+    @staticmethod
+    def fold(x: np.ndarray, words: int) -> np.ndarray:
+        while x.shape[-1] > words:
+            half = x.shape[-1] // 2
+            x = x[..., :half] ^ x[..., half:]
+        return x
+
+    def distance(self, i: int, js: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(js), np.int64)
+        mine = self.rows[int(self.width[i])][self.place[i]]
+        for w in np.unique(self.width[js]).tolist():
+            own = self.width[js] == w
+            words = min(w // 8, len(mine))
+            theirs = self.fold(self.rows[w][self.place[js[own]]], words)
+            out[own] = np.bitwise_count(theirs ^ self.fold(mine, words)).sum(-1, dtype=np.int64)
+        return out
 
 
 def required(a, b, percent: int = PERCENT):
@@ -174,7 +213,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def describe(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """(row, id, size, node, check) per document; (node, size, bitmap) per distinct set;
     the HOT most frequent shingles, ascending by frequency."""
-    schema = "kind int, row long, id long, size long, node long, check long, bitmap binary"
+    schema = "kind int, row long, id long, size long, node long, check long, bitmap binary, text_hash long"
 
     def run(batches):
         seen: set[int] = set()
@@ -190,10 +229,10 @@ def describe(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]
                     if x not in seen:
                         seen.add(x)
                         fresh[i] = True
-                maps = bitmaps(g, o, docs_)
-                blob = [maps[i].tobytes() if fresh[i] and size[i] else None for i in range(docs_)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(docs_, np.int32)), rows.column("row"), rows.column("id"), pa.array(size), pa.array(a), pa.array(b), pa.array(blob, pa.binary())],
-                                                 names=["kind", "row", "id", "size", "node", "check", "bitmap"])
+                blob = [m if f else None for m, f in zip(bitmaps(g, size), (fresh & (size > 0)).tolist(), strict=True)]
+                whole = pa.array(text_hashes(data, off).view(np.int64), mask=~fresh)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(docs_, np.int32)), rows.column("row"), rows.column("id"), pa.array(size), pa.array(a), pa.array(b), pa.array(blob, pa.binary()), whole],
+                                                 names=["kind", "row", "id", "size", "node", "check", "bitmap", "text_hash"])
                 h = np.sort(g[fresh[o]])
                 cut = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, int)
                 k = np.diff(cut)
@@ -205,19 +244,23 @@ def describe(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]
             h, k = _sum_counts(counts)
             h, k = h[k >= HOT_IN_TASK], k[k >= HOT_IN_TASK]
             none = pa.nulls(len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(h), np.int32)), none, none, pa.array(k), pa.array(h.view(np.int64)), none, pa.nulls(len(h), pa.binary())],
-                                             names=["kind", "row", "id", "size", "node", "check", "bitmap"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(h), np.int32)), none, none, pa.array(k), pa.array(h.view(np.int64)), none, pa.nulls(len(h), pa.binary()), none],
+                                             names=["kind", "row", "id", "size", "node", "check", "bitmap", "text_hash"])
 
     found, _ = store(docs.mapInArrow(run, schema), "sets")
     rows = found.filter("kind = 0")
     sets = rows.filter("size > 0")
-    nodes, _ = store(sets.groupBy("node").agg(F.min("check").alias("check"), F.max("check").alias("check2"), F.min("size").alias("size"), F.max("bitmap").alias("bitmap"),
+    nodes, _ = store(sets.groupBy("node").agg(F.min("check").alias("check"), F.max("check").alias("check2"), F.min("size").alias("size"), F.max("bitmap").alias("bitmap"), F.min("text_hash").alias("text_hash"),
                                               F.min(F.coalesce("id", F.lit(NO_ID))).alias("least_id"), F.count("*").alias("copies")), "nodes")
     if nodes.filter("check <> check2").limit(1).count():
         raise RuntimeError("two different sets share a 64-bit signature; change the constants of mix()")
     hot = (found.filter("kind = 1").groupBy("node").agg(F.sum("size").alias("k")).orderBy(F.col("k").desc(), "node").limit(HOT).collect())
     hot = np.array([r["node"] for r in hot][::-1], np.int64).view(np.uint64)
-    return rows.select("row", "id", "size", "node"), nodes.select("node", "size", "bitmap", "least_id", "copies"), hot
+    return rows.select("row", "id", "size", "node"), nodes.select("node", "size", "bitmap", "text_hash", "least_id", "copies"), hot
+
+
+def text_hashes(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    return Spans(data).hash(off[:-1], off[1:])
 
 
 def _sum_counts(counts):
@@ -258,68 +301,97 @@ def ordered_sets(data, off, n: int, order: Order) -> tuple[np.ndarray, np.ndarra
     return k, o, size, node
 
 
+def pack_postings(k: np.ndarray, node: np.ndarray, size: np.ndarray, inner: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Postings in text order, dealt to buckets: 40 bits of each shingle's hash beside
+    its bucket (a chance equality only adds a candidate), the flag ``inner``, and
+    runs of (node, size, count)."""
+    h = mix(k)
+    bucket, rest = (h % np.uint64(buckets)).astype(np.int64), h // np.uint64(buckets)
+    at = np.argsort(bucket, kind="stable")
+    bucket, rest, node, size, inner = bucket[at], rest[at], node[at], size[at], inner[at]
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    low = np.ascontiguousarray(rest.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+    blobs = []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        run = np.flatnonzero(np.concatenate([[True], node[a + 1:b] != node[a:b - 1]]))
+        count = np.diff(np.append(run, b - a))
+        blobs.append(np.array([b - a, len(run)], np.int64).tobytes() + node[a:b][run].tobytes() + size[a:b][run].astype(np.int32).tobytes() + count.astype(np.int32).tobytes()
+                     + np.packbits(inner[a:b]).tobytes() + low[a:b].tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "postings"])
+
+
+def unpack_postings(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, node, size, inner) of one blob."""
+    m, r = np.frombuffer(blob, np.int64, 2).tolist()
+    at = 16
+    node = np.frombuffer(blob, np.int64, r, at)
+    size = np.frombuffer(blob, np.int32, r, at + 8 * r)
+    count = np.frombuffer(blob, np.int32, r, at + 12 * r)
+    at += 16 * r
+    inner = np.unpackbits(np.frombuffer(blob, np.uint8, -(-m // 8), at), count=m).astype(bool)
+    key = np.zeros((m, 8), np.uint8)
+    key[:, :5] = np.frombuffer(blob, np.uint8, 5 * m, at + -(-m // 8)).reshape(m, 5)
+    return key.view("<u8").ravel(), np.repeat(node, count), np.repeat(size, count).astype(np.int64), inner
+
+
+def star_pairs(k: np.ndarray, node: np.ndarray, size: np.ndarray, inner: np.ndarray, percent: int) -> np.ndarray:
+    """Distinct (hub, node) of the groups of a bucket: nodes that share a shingle, split
+    where the next size is out of reach; a group needs an inner member, since the
+    smaller set of a linked pair has the shared shingle in its shorter prefix."""
+    order = np.lexsort((node, size, k))
+    k, node, size, inner = k[order], node[order], size[order], inner[order]
+    keep = np.ones(len(k), bool)
+    keep[1:] = (k[1:] != k[:-1]) | (node[1:] != node[:-1])
+    k, node, size, inner = k[keep], node[keep], size[keep], inner[keep]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (100 * size[:-1] < percent * size[1:])
+    start = np.flatnonzero(new)
+    count = np.diff(np.append(start, len(k)))
+    good = (count > 1) & np.logical_or.reduceat(inner, start) if len(start) else np.zeros(0, bool)
+    hub = np.minimum.reduceat(node, start) if len(start) else node
+    use = np.repeat(good, count)
+    pair = np.stack([np.repeat(hub, count)[use], node[use]], 1)
+    return np.unique(pair, axis=0) if len(pair) else pair
+
+
 def star_rows(docs: DataFrame, order, buckets: int, n: int, percent: int) -> DataFrame:
-    """(hub, node): for every prefix shingle with several nodes, its least node and each."""
+    """(hub, node) of all groups."""
 
     def deal(batches):
         seen: set[int] = set()
-        keys, nodes, held = [], [], 0
+        held, count = [], 0
 
         def blobs():
-            k, d = np.concatenate(keys), np.concatenate(nodes)
-            bucket = (mix(k) % np.uint64(buckets)).astype(np.int64)
-            at = np.argsort(bucket, kind="stable")
-            k, d, bucket = k[at], d[at], bucket[at]
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            kb, nb, names = [], [], bucket[cut[:-1]]
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                kb.append(k[a:b].tobytes())
-                u, inverse = np.unique(d[a:b], return_inverse=True)
-                nb.append(np.int64(len(u)).tobytes() + u.tobytes() + inverse.astype(np.int32).tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(kb, pa.binary()), pa.array(nb, pa.binary())], names=["bucket", "keys", "nodes"])
+            return pack_postings(*(np.concatenate(x) for x in zip(*held, strict=True)), buckets)
 
         for batch in batches:
             for _, data, off in slices(batch, "text"):
                 k, o, size, node = ordered_sets(data, off, n, order.value)
                 first = np.cumsum(size) - size
                 prefix = size - (-(-percent * size // 100)) + 1
+                # a larger partner needs an overlap of 2t / (1 + t) of this set at least
+                short = size - (-(-2 * percent * size // (100 + percent))) + 1
                 fresh = np.zeros(len(size), bool)
                 for i, x in enumerate(node.tolist()):
                     if x not in seen:
                         seen.add(x)
                         fresh[i] = True
-                use = (np.arange(len(k)) - first[o] < prefix[o]) & fresh[o]
-                keys.append(k[use])
-                nodes.append(node[o[use]])
-                held += int(use.sum())
-                if held >= FLUSH_TOKENS:
+                place = np.arange(len(k)) - first[o]
+                use = (place < prefix[o]) & fresh[o]
+                held.append((k[use], node[o[use]], size[o[use]], place[use] < short[o[use]]))
+                count += int(use.sum())
+                if count >= FLUSH_TOKENS:
                     yield blobs()
-                    keys, nodes, held = [], [], 0
-        if held:
+                    held, count = [], 0
+        if count:
             yield blobs()
 
     def stars(table: pa.Table) -> pa.Table:
-        keys, nodes = [], []
-        for kb, nb in zip(table.column("keys"), table.column("nodes"), strict=True):
-            k, raw = np.frombuffer(kb.as_buffer(), np.uint64), nb.as_buffer()
-            m = int(np.frombuffer(raw, np.int64, 1)[0])
-            u = np.frombuffer(raw, np.int64, m, 8)
-            keys.append(k)
-            nodes.append(u[np.frombuffer(raw, np.int32, len(k), 8 + 8 * m)])
-        k, d = np.concatenate(keys), np.concatenate(nodes)
-        at = np.lexsort((d, k))
-        k, d = k[at], d[at]
-        keep = np.ones(len(k), bool)
-        keep[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
-        k, d = k[keep], d[keep]
-        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        size = np.diff(np.append(start, len(k)))
-        many = np.repeat(size > 1, size)
-        pair = np.stack([np.repeat(d[start], size)[many], d[many]], 1)
-        pair = np.unique(pair, axis=0) if len(pair) else pair
+        found = [unpack_postings(x.as_buffer()) for x in table.column("postings")]
+        pair = star_pairs(*(np.concatenate(x) for x in zip(*found, strict=True)), percent)
         return pa.table({"hub": pair[:, 0], "node": pair[:, 1]})
 
-    dealt = docs.select("text").mapInArrow(deal, "bucket long, keys binary, nodes binary")
+    dealt = docs.select("text").mapInArrow(deal, "bucket long, postings binary")
     return dealt.groupBy("bucket").applyInArrow(stars, "hub long, node long").distinct()
 
 
@@ -339,56 +411,57 @@ def _dealt(df: DataFrame, rows: int) -> DataFrame:
     return df.withColumn("task", F.pmod(F.xxhash64("hub", "block"), F.lit(tasks)))
 
 
-def _maps(column: pa.ChunkedArray) -> np.ndarray:
-    flat = np.frombuffer(b"".join(x.as_py() for x in column), np.uint64)
-    return flat.reshape(len(column), BITMAP // 64)
+PAIRS = "a long, b long, part long"  # part: the block a pair comes from; it bounds what one probe meets in a task
 
 
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
+def once(pairs: DataFrame) -> DataFrame:
+    """Each pair with one of its blocks."""
+    return pairs.groupBy("a", "b").agg(F.min("part").alias("part"))
 
 
-PAIRS = "a long, b long"
+def pair_table(pairs: list[np.ndarray], part: list[int]) -> pa.Table:
+    """Ordered pairs of each block as a table."""
+    p = np.sort(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=1)
+    of = np.repeat(np.array(part, np.int64), [len(x) for x in pairs])
+    return pa.table({"a": p[:, 0], "b": p[:, 1], "part": of})
 
 
 def first_pairs(members: DataFrame, rows: int, percent: int) -> DataFrame:
-    """For each node of a group: its hub if they may link, else its nearest fellow of
-    the block that may (distinct unordered pairs)."""
+    """For each node of a group: its hub and the nearest fellows of the block, as far as
+    they may link (distinct unordered pairs)."""
     hubs = members.filter("hub = node AND blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = _dealt(members.filter("NOT (hub = node AND blocks > 1)").unionByName(hubs), rows)
 
     def run(table: pa.Table) -> pa.Table:
-        hub, block, node = (table.column(c).to_numpy() for c in ("hub", "block", "node"))
+        hub, block, node, size = (table.column(c).to_numpy() for c in ("hub", "block", "node", "size"))
         order = np.lexsort((node != hub, block, hub))  # the hub leads its block
-        hub, block, node = hub[order], block[order], node[order]
-        size, maps = table.column("size").to_numpy()[order], _maps(table.column("bitmap"))[order]
+        hub, block, node, size = hub[order], block[order], node[order], size[order]
+        maps = Maps(table.column("bitmap").take(pa.array(order)).to_pylist())
         start = np.flatnonzero(np.concatenate([[True], (hub[1:] != hub[:-1]) | (block[1:] != block[:-1])]))
-        lead = np.repeat(start, np.diff(np.append(start, len(hub))))
-        ok = may_link(size, size[lead], _distance(maps, maps[lead]), percent) & (lead != np.arange(len(hub)))
-        pairs = [np.stack([hub[ok], node[ok]], 1)]
-        alone = ~ok & (lead != np.arange(len(hub)))
+        pairs, part = [], []
         for s, e in zip(start.tolist(), np.append(start[1:], len(hub)).tolist(), strict=True):
-            if e - s < 3:
-                continue
-            for i in np.flatnonzero(alone[s:e]) + s:
-                d = _distance(maps[s + 1:e], maps[i])
-                can = may_link(size[s + 1:e], size[i], d, percent)
-                can[i - s - 1] = False
-                if can.any():
-                    j = int(np.argmin(np.where(can, d, BITMAP + 1))) + s + 1
-                    pairs.append(np.array([[node[i], node[j]]]))
-        p = np.sort(np.concatenate(pairs), axis=1)
-        p = np.unique(p, axis=0) if len(p) else p
-        return pa.table({"a": p[:, 0], "b": p[:, 1]})
-
-    return dealt.groupBy("task").applyInArrow(run, PAIRS).distinct()
+            rest = np.arange(s + 1, e)
+            ok = rest[may_link(size[rest], size[s], maps.distance(s, rest), percent)]
+            found = [np.stack([np.full(len(ok), node[s]), node[ok]], 1)]
+            for i in rest if len(rest) > 1 else ():
+                fit = rest[(rest != i) & (required(size[rest], size[i], percent) <= np.minimum(size[rest], size[i]))]
+                if len(fit):
+                    d = maps.distance(i, fit)
+                    can = may_link(size[fit], size[i], d, percent)
+                    fit = fit[can][np.argsort(d[can], kind="stable")[:NEAR]]
+                    found.append(np.stack([np.full(len(fit), node[i]), node[fit]], 1))
+            pairs.append(np.concatenate(found))
+            part.append(int(hub[s]) ^ int(block[s]))
+        return pair_table(pairs, part)
+
+    return once(dealt.groupBy("task").applyInArrow(run, PAIRS))
 
 
 def cross_pairs(members: DataFrame, labels: DataFrame, rows: int, percent: int) -> DataFrame:
     """All pairs of a group's nodes in different components that may link.  Nodes outside
     the group's largest component go to every block, the others to their own."""
     own = members.join(labels.select(F.col("node").alias("l_node"), "component"), F.col("node") == F.col("l_node"), "left")
-    own = own.withColumn("component", F.coalesce("component", "node")).drop("l_node")
+    own, _ = store(own.withColumn("component", F.coalesce("component", "node")).drop("l_node"), "labelled")
     sizes = own.groupBy("hub", "component").agg(F.count("*").alias("k"))
     # the largest component of each group, and whether there is another
     main = sizes.groupBy(F.col("hub").alias("m_hub")).agg(F.max(F.struct("k", "component")).alias("m"), F.count("*").alias("parts")).filter("parts > 1")
@@ -401,51 +474,63 @@ def cross_pairs(members: DataFrame, labels: DataFrame, rows: int, percent: int)
     def run(table: pa.Table) -> pa.Table:
         hub, block, node, size, comp = (table.column(c).to_numpy() for c in ("hub", "block", "node", "size", "component"))
         minor, guest = (table.column(c).to_numpy() for c in ("minor", "guest"))
-        maps = _maps(table.column("bitmap"))
         order = np.lexsort((block, hub))
-        hub, block, node, size, comp, minor, guest, maps = (x[order] for x in (hub, block, node, size, comp, minor, guest, maps))
+        hub, block, node, size, comp, minor, guest = (x[order] for x in (hub, block, node, size, comp, minor, guest))
+        maps = Maps(table.column("bitmap").take(pa.array(order)).to_pylist())
         start = np.flatnonzero(np.concatenate([[True], (hub[1:] != hub[:-1]) | (block[1:] != block[:-1])]))
-        out = [np.zeros((0, 2), np.int64)]
+        pairs, part = [], []
         for s, e in zip(start.tolist(), np.append(start[1:], len(hub)).tolist(), strict=True):
             home = np.flatnonzero(~guest[s:e]) + s
+            found = [np.zeros((0, 2), np.int64)]
             for i in np.flatnonzero(minor[s:e]) + s:
                 fit = home[(comp[home] != comp[i]) & (required(size[home], size[i], percent) <= np.minimum(size[home], size[i]))]
                 if len(fit):
-                    fit = fit[may_link(size[fit], size[i], _distance(maps[fit], maps[i]), percent)]
-                    if len(fit):
-                        out.append(np.stack([np.full(len(fit), node[i]), node[fit]], 1))
-        p = np.sort(np.concatenate(out), axis=1)
-        p = np.unique(p, axis=0) if len(p) else p
-        return pa.table({"a": p[:, 0], "b": p[:, 1]})
+                    fit = fit[may_link(size[fit], size[i], maps.distance(i, fit), percent)]
+                    found.append(np.stack([np.full(len(fit), node[i]), node[fit]], 1))
+            pairs.append(np.concatenate(found))
+            part.append(int(hub[s]) ^ int(block[s]))
+        return pair_table(pairs, part)
 
-    return dealt.groupBy("task").applyInArrow(run, PAIRS).distinct()
+    return once(dealt.groupBy("task").applyInArrow(run, PAIRS))
 
 
-def verify(docs: DataFrame, pairs: DataFrame, order, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by prefix trees of the candidates of each probe a."""
+def candidate_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, known: DataFrame | None, order, n: int) -> DataFrame:
+    """(x, keys): ordered sets of all nodes in ``pairs``, those of ``known`` included."""
     wanted = pairs.select(F.col("a").alias("x")).union(pairs.select(F.col("b").alias("x"))).distinct()
-    bloom = Bloom(wanted, "x")
+    if known is not None:
+        wanted = wanted.join(known.select("x"), "x", "left_anti")
+    texts = wanted.join(nodes.select("node", "text_hash"), F.col("x") == F.col("node")).select("x", "text_hash")
+    texts, _ = store(texts, "wanted")
+    if known is not None and not texts.limit(1).count():
+        return known
+    bloom = Bloom(texts, "text_hash")  # tells by a text's hash whether its set is worth computing
 
     def sets(batches):
         seen: set[int] = set()
         for batch in batches:
             for _, data, off in slices(batch, "text"):
-                k, o, size, node = ordered_sets(data, off, n, order.value)
-                use = bloom.may_contain(node.view(np.uint64)) & (size > 0)
-                first = np.cumsum(size) - size
-                pick = [i for i in np.flatnonzero(use).tolist() if node[i] not in seen and not seen.add(int(node[i]))]
-                if pick:
-                    yield pa.RecordBatch.from_arrays([pa.array(node[pick]), pa.array([k[first[i]:first[i] + size[i]].tobytes() for i in pick], pa.binary())], names=["x", "keys"])
-
-    found = docs.select("text").mapInArrow(sets, "x long, keys binary").join(wanted, "x", "left_semi").dropDuplicates(["x"])
-    found, path = store(found, "candidates")
-    # a probe with very many candidates is split; each part gets the probe's set
-    part = F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("g.k") / F.lit(500)))).cast("long")
+                pick = np.flatnonzero(bloom.may_contain(text_hashes(data, off)))
+                if not len(pick):
+                    continue
+                size = off[pick + 1] - off[pick]
+                end = np.cumsum(size)
+                few = data[np.repeat(off[pick] - (end - size), size) + np.arange(int(end[-1]))]
+                k, _, count, node = ordered_sets(few, np.concatenate([[0], end]), n, order.value)
+                first = np.cumsum(count) - count
+                new = [i for i, x in enumerate(node.tolist()) if count[i] and x not in seen and not seen.add(x)]
+                yield pa.RecordBatch.from_arrays([pa.array(node[new]), pa.array([k[first[i]:first[i] + count[i]].tobytes() for i in new], pa.binary())], names=["x", "keys"])
+
+    found = docs.select("text").mapInArrow(sets, "x long, keys binary").join(texts.select("x"), "x", "left_semi").dropDuplicates(["x"])
+    found, _ = store(found, "candidates")
+    return found if known is None else known.unionByName(found)
+
+
+def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by prefix trees of the candidates of each probe a."""
+    # a probe meets the candidates of one block in a task; each part gets the probe's set
     total = pairs.count()
-    sized = join_hot(pairs.withColumn("at", F.concat_ws("/", "a", "b")), pairs.groupBy("a").agg(F.count("*").alias("k")), "a", "k", total, "at")
-    dealt, _ = store(sized.select("a", "b", part.alias("part")), "dealt")
-    below = dealt.join(found, F.col("b") == F.col("x")).select("a", "part", "b", "keys")
-    probes = dealt.select("a", "part").distinct().join(found, F.col("a") == F.col("x")).select("a", "part", F.lit(None).cast("long").alias("b"), "keys")
+    below = pairs.join(found, F.col("b") == F.col("x")).select("a", "part", "b", "keys")
+    probes = pairs.select("a", "part").distinct().join(found, F.col("a") == F.col("x")).select("a", "part", F.lit(None).cast("long").alias("b"), "keys")
     tasks = max(1, -(-total // 2_000))
     rows = below.unionByName(probes).withColumn("task", F.pmod(F.xxhash64("a", "part"), F.lit(tasks)))
 
@@ -466,10 +551,21 @@ def verify(docs: DataFrame, pairs: DataFrame, order, n: int, percent: int) -> Da
                     right.append(y)
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    links, _ = store(rows.groupBy("task").applyInArrow(run, PAIRS), "links")
+    links, _ = store(rows.groupBy("task").applyInArrow(run, "a long, b long"), "links")
     return links
 
 
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: only components that a link touches are merged."""
+    name = labels.select(F.col("node").alias("n"), "component")
+    ends = (links.join(name, F.col("a") == F.col("n"), "left").withColumn("a", F.coalesce("component", "a")).drop("n", "component")
+            .join(name, F.col("b") == F.col("n"), "left").withColumn("b", F.coalesce("component", "b")).select("a", "b"))
+    merged, _ = store(components(ends).select(F.col("node").alias("old"), F.col("component").alias("new")), "merged")
+    moved = labels.join(merged, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
+    # nodes that had no label: those of merged that aren't a node of labels
+    return moved.unionByName(merged.join(labels.select(F.col("node").alias("old")), "old", "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component")))
+
+
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """(row, id, n_shingles, component_id, n_copies) for every row of ``docs``."""
     spark: SparkSession = docs.sparkSession
@@ -482,12 +578,12 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     members, _ = store(in_blocks(stars, nodes), "members")
     count = members.count()
     pairs, _ = store(first_pairs(members, count, percent), "pairs")
-    links = verify(source, pairs, order, n, percent)
-    labels, _ = store(components(links), "labels")
+    sets = candidate_sets(source, nodes, pairs, None, order, n)
+    labels, _ = store(components(verify(pairs, sets, percent)), "labels")
     more, _ = store(cross_pairs(members, labels, count, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if more.limit(1).count():
-        links = links.union(verify(source, more, order, n, percent))
-        labels, _ = store(components(links), "labels")
+        linked = verify(more, candidate_sets(source, nodes, more, sets, order, n), percent)
+        labels, _ = store(joined_labels(labels, linked), "labels")
     # from nodes to documents: the least id of any node of the component
     named = nodes.join(labels.select(F.col("node").alias("l_node"), "component"), F.col("node") == F.col("l_node"), "left")
     named = named.select("node", "least_id", "copies", F.coalesce("component", "node").alias("component"))

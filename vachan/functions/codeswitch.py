@@ -15,14 +15,10 @@ from vachan.functions import lexicon as L
 from vachan.functions import text as TX
 
 
-def _lexicon_array(words) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
 def tag_english(c, loanwords=None) -> Column:
     """``struct<text STRING, words ARRAY<STRING>>``: tagged text (tokens
     rejoined with single spaces) and the detected English cores in order."""
-    lex = _lexicon_array(L.LOANWORDS if loanwords is None else loanwords)
+    lex = list(L.LOANWORDS if loanwords is None else loanwords)   # isin: a hash set, not a scan per token
     toks = TX.ws_tokens(c)
 
     def decided(t, x):
@@ -36,7 +32,7 @@ def tag_english(c, loanwords=None) -> Column:
         core = TX.token_core(t)
 
         def with_core(c):
-            return F.struct(c.alias("core"), (TX.has_latin(c) | F.array_contains(lex, c)).alias("eng"))
+            return F.struct(c.alias("core"), (TX.has_latin(c) | c.isin(lex)).alias("eng"))
 
         x = F.element_at(F.transform(F.array(core), with_core), 1)
         return F.element_at(F.transform(F.array(x), lambda y: decided(t, y)), 1)

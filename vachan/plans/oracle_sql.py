@@ -650,6 +650,7 @@ ORACLES.update({
                             "FROM (SELECT *, dense_rank() OVER (ORDER BY segment_id) AS r FROM {q}) WHERE r = 2"),
     "asset_paths": "SELECT event_id AS recording_id, 'cache/audio/' || event_id || '.wav' AS audio_path, 'cache/transc/' || event_id || '.json' AS transcript_path FROM events",
     "sql_normalise": HINDI + " SELECT idx, md5(" + sql_canonicalise("coalesce(reference, '')") + ") AS plain_md5 FROM res",
+    "dataset_round_trip": _over("dataset_build", "recording_id, chunk_id, sentence FROM {q} WHERE split = 'validation'"),
     "dataset_rejects": "SELECT vec_id AS recording_id, r AS reject_reason FROM (SELECT vec_id, CASE WHEN vec_id % 11 = 0 THEN 'unparsable url' "
                        "WHEN vec_id % 13 = 0 THEN 'missing audio' WHEN vec_id % 17 = 0 THEN 'sampling rate is not 16 kHz' "
                        "WHEN vec_id % 29 = 0 THEN 'missing transcript' WHEN vec_id % 23 = 0 THEN 'not json' "

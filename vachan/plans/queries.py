@@ -4,6 +4,8 @@ names match the oracle in ``oracle_sql.py``."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -506,4 +508,14 @@ def q_dataset_rejects(spark, sf_dir):
     return DSB.rejects_of(DSB.plan_chunks(manifest, waves, words, 0.001, 0.0005))
 
 
-QUERIES.update({"dataset_build": q_dataset_build, "dataset_rejects": q_dataset_rejects})
+def q_dataset_round_trip(spark, sf_dir):
+    """The dataset written by split, and its validation part read back."""
+    from vachan.session import ensure_checkpoint_dir
+    from vachan.sources import files as FS
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/datasets/{uuid.uuid4().hex}"
+    FS.write_split_dataset(q_dataset_build(spark, sf_dir), path, mode="error")
+    return FS.read_split(spark, path, "validation").select("recording_id", "chunk_id", "sentence")
+
+
+QUERIES.update({"dataset_build": q_dataset_build, "dataset_rejects": q_dataset_rejects, "dataset_round_trip": q_dataset_round_trip})

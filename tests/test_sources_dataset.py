@@ -202,3 +202,25 @@ def test_sql_name_of_the_canonicaliser(spark):
     df = spark.createDataFrame([(" ".join(x[0] for x in D.FORMS),), ("plain $1 \\ text",), (None,)], "x string")
     for r in df.select(F.expr("normalise_t(x)").alias("a"), TX.canonicalise("x").alias("b")).collect():
         assert r["a"] == r["b"]
+
+
+def test_eval_set_and_waves(spark, tmpdir_path):
+    import csv
+
+    path = f"{tmpdir_path}/eval/e.csv"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([("idx", "reference", "hypothesis", "more"), (1, 'a "b", c', "d", 2)])
+    assert [tuple(r) for r in FS.read_eval_set(spark, path, "csv").collect()] == [(1, 'a "b", c', "d")]
+    spark.createDataFrame([(1, 16000, [[0.5, 1.0]])], FS.WAVE_SCHEMA).write.parquet(f"{tmpdir_path}/waves")
+    assert [tuple(r) for r in FS.read_waves(spark, f"{tmpdir_path}/waves").collect()] == [(1, 16000, [[0.5, 1.0]])]
+
+
+def test_asset_paths_and_chunk_counts(spark):
+    from vachan.operators import chunking as CH
+    from vachan.operators import manifest as MF
+
+    df = spark.createDataFrame([(7, 0), (7, 1), (8, 0)], "recording_id long, chunk_id int")
+    assert {r["recording_id"]: r["n_chunks"] for r in CH.chunks_per_recording(df).collect()} == {7: 2, 8: 1}
+    r = MF.asset_paths(df.limit(1), root="cache").first()
+    assert (r["audio_path"], r["transcript_path"]) == ("cache/audio/7.wav", "cache/transc/7.json")

@@ -317,17 +317,6 @@ from vachan.operators import packing as PK  # noqa: E402
 CHUNK_MAX, CHUNK_MIN = 86400.0, 1.0
 
 
-def event_words(spark, sf_dir):
-    ev = D.table(spark, sf_dir, "events")
-    # Epoch seconds of a TIMESTAMP_NTZ, independent of the session time zone.
-    start = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") / 1e6
-    rows = ev.select("user_id", "event_id", "ts",
-                     F.when(F.col("event_type") == "error", F.lit(""))
-                      .otherwise(F.concat_ws("-", "event_type", F.col("event_id").cast("string"))).alias("word"),
-                     start.alias("start"), (start + F.col("value")).alias("end"))
-    return CH.words_from_rows(rows, ["user_id"], ["ts", "event_id"])
-
-
 def event_word_rows(spark, sf_dir):
     ev = D.table(spark, sf_dir, "events")
     # Epoch seconds of a TIMESTAMP_NTZ, independent of the session time zone.

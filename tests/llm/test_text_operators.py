@@ -70,6 +70,10 @@ def test_pages_without_article_use_ratios():
     assert "Home" not in text and "Link one" not in text and "Site" not in text
 
 
+def test_layout_classes_do_not_drop_content():
+    assert html_extract.extract("<body class='no-js has-sidebar'><div class='content with-sidebar'><p>Kept, all of it.</p></div><div class='sidebar'>gone</div>") == "Kept, all of it."
+
+
 @pytest.mark.parametrize(("page", "text"), [("", ""), ("   ", ""), ("just text", "just text"), ("<article>a &am b", "a &am b"), ("<article><p>cut off &quo", "cut off &quo"),
                                             ("<article>a<!-- b", "a"), ("<article>x <a href='y>z'>w</a>", "x w"), ("<p>a &nbsp; b", "a b"), ("<script>never closed", "")])
 def test_small_pages(page, text):

@@ -52,6 +52,7 @@ DROP_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adverti
               "notification", "pagination", "pager", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "share", "sharing", "sidebar",
               "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget", "widgets", "disclaimer", "alert", "login", "search"}
 TOP_WORDS = {"header"}
+MODIFIERS = {"has", "with", "without", "no", "is", "js"}
 CONTENT_NAMES = {"article", "main"}
 CONTENT_WORDS = {"article", "content", "post", "entry", "story", "body", "text", "main"}
 # End of fixed values.
@@ -88,7 +89,10 @@ def node(name: str, attrs: str, parent: Node | None) -> Node:
         for m in ATTRIBUTE.finditer(attrs):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
-                words.update(w.lower() for w in WORD.findall(value))
+                for token in value.split():
+                    parts = [w.lower() for w in WORD.findall(token)]
+                    if parts and parts[0] not in MODIFIERS:  # has-sidebar says what stands beside the element
+                        words.update(parts)
             elif key == "role":
                 role = value.lower()
             elif key == "hidden" and value in ("", "hidden") or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from vachan.session import ensure_checkpoint_dir
 
 # Bytes of text handled at once inside a task; bounds the numpy temporaries.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # Odd multiplier of the polynomial byte hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -49,6 +49,18 @@ def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+BATCH_ROWS = 1_000  # documents of one Arrow batch
+
+
+def modest_batches(df: DataFrame) -> DataFrame:
+    """Documents are long: unless the session sets its own size, Arrow batches hold
+    BATCH_ROWS rows instead of Spark's default, ten times as many."""
+    key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder that no later step reads."""
     jvm = spark.sparkContext._jvm

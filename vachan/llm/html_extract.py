@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vachan.llm.common import modest_batches
+
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -248,5 +250,5 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             out = [extract(h.as_py() or "") for h in b.column("html")]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(out, pa.string())], names=["id", "url", "text"])
 
-    d = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    d = modest_batches(pages).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     return d.mapInArrow(run, "id long, url string, text string")

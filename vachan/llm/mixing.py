@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, slices, store, words
+from vachan.llm.common import NO_ID, modest_batches, slices, store, words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -94,7 +94,7 @@ def settle(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """(row, id, key, tie, source, size): size is the number of words, tie a hash of the text."""
-    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
+    d = modest_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
                     F.xxhash64(text_col).alias("tie"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
     keep = ["row", "id", "key", "tie", "source"]
 

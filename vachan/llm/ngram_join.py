@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, Bloom, Spans, join_hot, mix, slices, store, words
+from vachan.llm.common import NO_ID, Bloom, Spans, join_hot, mix, modest_batches, slices, store, words
 from vachan.llm.components import components
 
 N = 5
@@ -207,7 +207,7 @@ def tree_overlaps(probe: np.ndarray, sets: list[np.ndarray], percent: int = PERC
 # ---------------------------------------------------------------- Spark stages
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return modest_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
 def describe(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vachan.llm.common import NO_ID, rank_within, slices, store
+from vachan.llm.common import NO_ID, modest_batches, rank_within, slices, store
 from vachan.llm.tokens import TOKEN_SLICE, encoder
 
 SEQ_LEN = 2048
@@ -183,7 +183,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, seq_len: int, id_co
                     cols.append(pa.ListArray.from_arrays(pa.array(np.append(lo, len(out)).astype(np.int32)), pa.array(out.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=["id", "key", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
 
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(text_col).cast("string").alias("text"))
+    d = modest_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(text_col).cast("string").alias("text"))
     return d.mapInArrow(run, schema)
 
 

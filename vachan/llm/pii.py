@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vachan.llm.common import modest_batches
+
 KINDS = ("email", "ip", "card", "phone")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 
@@ -287,7 +289,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))],
                                              names=["id", "n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
 
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    d = modest_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return d.mapInArrow(run, "id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vachan.llm.common import store
+from vachan.llm.common import modest_batches, store
 from vachan.llm.text_stats import STATS, stat_batches
 
 MIN_WORDS = 50
@@ -83,7 +83,7 @@ def stat(name: str) -> str:
 
 def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the word statistics as columns ``__stat_*`` (no shuffle)."""
-    names = docs.columns
+    names = modest_batches(docs).columns
     schema = T.StructType([*docs.schema.fields, *(T.StructField(stat(s), T.LongType()) for s in STATS)])
 
     def run(batches):

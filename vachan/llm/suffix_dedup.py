@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, SLICE_BYTES, Spans, join_hot, mix, pack_pairs, slices, store, unpack_pairs
+from vachan.llm.common import NO_ID, SLICE_BYTES, Spans, join_hot, mix, modest_batches, pack_pairs, slices, store, unpack_pairs
 
 LENGTH = 100
 GRAM = 30
@@ -262,7 +262,7 @@ def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 def write_table(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     """Texts as a table bucketed by row: (row, id, key, text)."""
     spark = docs.sparkSession
-    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
+    d = modest_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
                     F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(text_col).cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets, name = max(1, -(-size // TABLE_BYTES)), f"llm_texts_{uuid.uuid4().hex}"

@@ -17,8 +17,8 @@ import pyarrow as pa
 
 from vachan.llm.common import SPACE
 
-CACHE_PIECES = 700_000  # pieces that a worker remembers; above, it starts anew
-TOKEN_SLICE = 8 << 20  # bytes of text per call; longer slices repeat more words
+CACHE_PIECES = 600_000  # pieces that a worker remembers; above, it starts anew
+TOKEN_SLICE = 4 << 20  # bytes of text per call; longer slices repeat more words
 GROUP = 100  # new pieces per call of the library
 
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -59,8 +59,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.path, self.single = path, None
         # a special token is a wall: what stands on its sides is encoded on its own
         self.walled = Tokenizer.from_file(path)
         special = {t.content: i for i, t in self.walled.get_added_tokens_decoder().items() if t.special}
@@ -89,7 +88,12 @@ class Encoder:
             walls = np.flatnonzero(ids == self.wall_id)
             self.append(pieces, np.diff(walls, prepend=-1) - 1, np.delete(ids, walls))
         if odd:
-            single = [e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+            if self.single is None:
+                from tokenizers import Tokenizer
+
+                self.single = Tokenizer.from_file(self.path)
+                self.single.encode_special_tokens = True  # their strings in a text are ordinary text
+            single = [e.ids for e in self.single.encode_batch_fast(odd, add_special_tokens=False)]
             lens = np.fromiter(map(len, single), np.int64, len(single))
             self.append(odd, lens, np.fromiter((i for x in single for i in x), np.uint32, int(lens.sum())))
 

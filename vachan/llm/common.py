@@ -49,12 +49,12 @@ def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-BATCH_ROWS = 1_000  # documents of one Arrow batch
+BATCH_ROWS = 2_000  # documents of one Arrow batch
 
 
 def modest_batches(df: DataFrame) -> DataFrame:
     """Documents are long: unless the session sets its own size, Arrow batches hold
-    BATCH_ROWS rows instead of Spark's default, ten times as many."""
+    BATCH_ROWS rows instead of Spark's default, five times as many."""
     key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
     if not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, str(BATCH_ROWS))

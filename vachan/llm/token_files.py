@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, slices, store
+from vachan.llm.common import NO_ID, modest_batches, slices, store
 from vachan.llm.files import committed, open_input
 from vachan.llm.tokens import TOKEN_SLICE, encoder
 
@@ -73,7 +73,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, width: str, id_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(shard), rows.column("id"), rows.column("key"), rows.column("tie"), pa.array(total), pa.array(blobs, pa.binary())],
                                                  names=["shard", "id", "key", "tie", "n_tokens", "ids"])
 
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
+    d = modest_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
                     F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string").alias("text"))
     return d.mapInArrow(run, "shard long, id long, key long, tie long, n_tokens long, ids binary")
 
@@ -151,7 +151,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, seq_len
             yield one(shard, (b for _, b in group))
 
     cuts = bounds(docs, id_col, text_col, shard_text)
-    rows = encode(docs, tokenizer, end_id, width, id_col, text_col, cuts).repartition(len(cuts) + 1, "shard")
+    rows = encode(docs, tokenizer, end_id, width, id_col, text_col, cuts).repartitionById(len(cuts) + 1, F.col("shard").cast("int"))
     rows = rows.sortWithinPartitions("shard", "key", "tie").select("shard", "id", "n_tokens", "ids")
     rows.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")

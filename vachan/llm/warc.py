@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, join_hot, store
+from vachan.llm.common import NO_ID, join_hot, modest_batches, store
 from vachan.llm.files import committed, open_input
 
 SHARD_BYTES = 16 << 20  # payload bytes of a shard
@@ -148,13 +148,13 @@ def shard_of(key, cuts: list[int]) -> F.Column:
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
           shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, min_bytes: int = 0) -> DataFrame:
     """Write the archives and the manifest below ``folder``; return the manifest."""
-    d = pages.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    d = modest_batches(pages).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     info, cuts = describe(d, shard_bytes, min_bytes)
     shard = shard_of(F.col("key"), cuts).cast("long").alias("shard")
     # what is known of a payload comes just before its pages; html is shuffled once
     heads = info.select(shard, "key", "sha", F.lit(0).alias("kind"), "first_key", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     bodies = d.select(shard, "key", F.sha1(F.coalesce("html", F.lit(""))).alias("sha"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first_key"), "url", "html")
-    rows = heads.unionByName(bodies).repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "key", "sha", "kind", "url")
+    rows = heads.unionByName(bodies).repartitionById(len(cuts) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "key", "sha", "kind", "url")
 
     def run(batches):
         out, first, nth = Roller(folder, roll_bytes), None, 0

@@ -259,6 +259,22 @@ def test_keep_one_of_each_group(awkward, none):
     assert ngram_join.cluster(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
+def test_keep_one_counts_rows(spark, awkward):
+    """One row of each component, and every row with an empty set."""
+    parts = R.components([(k, r.text) for k, r in enumerate(awkward.collect())])  # a component's id is its own
+    assert ngram_join.keep_one(awkward).count() == sum(n == 0 for _, n, _ in parts) + len({c for _, n, c in parts if n})
+    rnd = random.Random(4)
+    near = [R.prose(rnd, 120, 3000).split() for _ in range(3)]
+    a, b, c = (" ".join(w) for w in near)
+    a2, b2, c2 = (" ".join(w[:60] + ["zz"] + w[61:]) for w in near)
+    # null ids; id 5 repeated, first of its component with b and a copy of c's; equal rows; empty sets
+    data = [(None, a), (None, a2), (None, a), (5, b), (5, c2), (6, b2), (2, c), (2, c), (None, ""), (None, ""), (9, None)]
+    d = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in ngram_join.keep_one(d).collect())
+    first = next(t for t in (a, a2) if (None, t) in got)
+    assert got == Counter([(None, first), (5, b), (2, c), (None, ""), (None, ""), (9, None)])
+
+
 def test_tree_shares_and_prunes_exactly():
     rnd = np.random.default_rng(4)
     for _ in range(60):

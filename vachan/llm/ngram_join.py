@@ -211,9 +211,10 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def describe(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """(row, id, size, node, check) per document; (node, size, bitmap) per distinct set;
-    the HOT most frequent shingles, ascending by frequency."""
-    schema = "kind int, row long, id long, size long, node long, check long, bitmap binary, text_hash long"
+    """(row, id, tie, size, node) per document, tie a hash of its text; (node, size, bitmap)
+    per distinct set with its least row by (id, tie, row); the HOT most frequent shingles,
+    ascending by frequency."""
+    schema = "kind int, row long, id long, tie long, size long, node long, check long, bitmap binary, text_hash long"
 
     def run(batches):
         seen: set[int] = set()
@@ -231,8 +232,8 @@ def describe(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]
                         fresh[i] = True
                 blob = [m if f else None for m, f in zip(bitmaps(g, size), (fresh & (size > 0)).tolist(), strict=True)]
                 whole = pa.array(text_hashes(data, off).view(np.int64), mask=~fresh)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(docs_, np.int32)), rows.column("row"), rows.column("id"), pa.array(size), pa.array(a), pa.array(b), pa.array(blob, pa.binary()), whole],
-                                                 names=["kind", "row", "id", "size", "node", "check", "bitmap", "text_hash"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(docs_, np.int32)), rows.column("row"), rows.column("id"), rows.column("tie"), pa.array(size), pa.array(a), pa.array(b), pa.array(blob, pa.binary()), whole],
+                                                 names=["kind", "row", "id", "tie", "size", "node", "check", "bitmap", "text_hash"])
                 h = np.sort(g[fresh[o]])
                 cut = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, int)
                 k = np.diff(cut)
@@ -244,19 +245,19 @@ def describe(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame, np.ndarray]
             h, k = _sum_counts(counts)
             h, k = h[k >= HOT_IN_TASK], k[k >= HOT_IN_TASK]
             none = pa.nulls(len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(h), np.int32)), none, none, pa.array(k), pa.array(h.view(np.int64)), none, pa.nulls(len(h), pa.binary()), none],
-                                             names=["kind", "row", "id", "size", "node", "check", "bitmap", "text_hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(h), np.int32)), none, none, none, pa.array(k), pa.array(h.view(np.int64)), none, pa.nulls(len(h), pa.binary()), none],
+                                             names=["kind", "row", "id", "tie", "size", "node", "check", "bitmap", "text_hash"])
 
-    found, _ = store(docs.mapInArrow(run, schema), "sets")
+    found, _ = store(docs.withColumn("tie", F.xxhash64("text")).mapInArrow(run, schema), "sets")
     rows = found.filter("kind = 0")
     sets = rows.filter("size > 0")
     nodes, _ = store(sets.groupBy("node").agg(F.min("check").alias("check"), F.max("check").alias("check2"), F.min("size").alias("size"), F.max("bitmap").alias("bitmap"), F.min("text_hash").alias("text_hash"),
-                                              F.min(F.coalesce("id", F.lit(NO_ID))).alias("least_id"), F.count("*").alias("copies")), "nodes")
+                                              F.min(F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "tie", "row")).alias("least"), F.count("*").alias("copies")), "nodes")
     if nodes.filter("check <> check2").limit(1).count():
         raise RuntimeError("two different sets share a 64-bit signature; change the constants of mix()")
     hot = (found.filter("kind = 1").groupBy("node").agg(F.sum("size").alias("k")).orderBy(F.col("k").desc(), "node").limit(HOT).collect())
     hot = np.array([r["node"] for r in hot][::-1], np.int64).view(np.uint64)
-    return rows.select("row", "id", "size", "node"), nodes.select("node", "size", "bitmap", "text_hash", "least_id", "copies"), hot
+    return rows.select("row", "id", "tie", "size", "node"), nodes.select("node", "size", "bitmap", "text_hash", "least", "copies"), hot
 
 
 def text_hashes(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -567,7 +568,9 @@ def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """(row, id, n_shingles, component_id, n_copies) for every row of ``docs``."""
+    """(row, id, tie, n_shingles, component_id, n_copies, kept) for every row of ``docs``.
+    ``row`` holds for this read of ``docs`` only; (id, tie), tie a hash of the text, finds
+    a row in the next one.  ``kept`` marks one row of each component, and all empty sets."""
     spark: SparkSession = docs.sparkSession
     source = _source(docs, id_col, text_col)
     rows, nodes, hot = describe(source, n)
@@ -584,21 +587,28 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     if more.limit(1).count():
         linked = verify(more, candidate_sets(source, nodes, more, sets, order, n), percent)
         labels, _ = store(joined_labels(labels, linked), "labels")
-    # from nodes to documents: the least id of any node of the component
+    # from nodes to documents: the least row of any node of the component
     named = nodes.join(labels.select(F.col("node").alias("l_node"), "component"), F.col("node") == F.col("l_node"), "left")
-    named = named.select("node", "least_id", "copies", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy(F.col("component").alias("c")).agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, F.col("component") == F.col("c")).select("node", "copies", "component_id")
+    named = named.select("node", "least", "copies", F.coalesce("component", "node").alias("component"))
+    least = named.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("first"))
+    named = named.join(least, F.col("component") == F.col("c")).select("node", "copies", F.col("first.id").alias("component_id"), F.col("first.row").alias("keep_row"))
     out = join_hot(rows, named, "node", "copies", rows.count(), "row")
     component = F.when(F.col("size") == 0, F.col("id")).otherwise(F.when(F.col("g.component_id") != NO_ID, F.col("g.component_id")))
-    return out.select("row", "id", F.col("size").alias("n_shingles"), component.alias("component_id"), F.coalesce("g.copies", F.lit(1)).cast("long").alias("n_copies"))
+    kept = (F.col("size") == 0) | F.col("row").eqNullSafe(F.col("g.keep_row"))
+    return out.select("row", "id", "tie", F.col("size").alias("n_shingles"), component.alias("component_id"), F.coalesce("g.copies", F.lit(1)).cast("long").alias("n_copies"), kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the least id
-    stays (of rows that repeat it, the first by text hash); empty sets all stay."""
-    c = cluster(docs, id_col, text_col)
-    keep = c.filter((F.col("n_shingles") == 0) | F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__id"), (F.col("n_shingles") > 0).alias("__full")).distinct()
-    keep = keep.groupBy("__id").agg(F.max("__full").alias("__full"))
-    rows = docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__id")))
-    return rows.drop("__id", "__full")
+    """The rows of ``docs`` without near duplicates: of each component one row stays, the
+    first by id, a null id before all others, and text hash; of rows equal in both, any
+    one.  Empty sets all stay."""
+    judged, _ = store(cluster(docs, id_col, text_col).select("id", "tie", "n_shingles", "kept"), "judged")
+    full = F.col("n_shingles") > 0
+    keys = judged.groupBy("id", "tie").agg(F.max("kept").alias("kept"), (F.max(full) & (F.count("*") > 1)).alias("__many")).filter("kept")
+    keys, _ = store(keys.select(F.col("id").alias("__id"), F.col("tie").alias("__tie"), "__many"), "kept")
+    rows = docs.withColumn("__t", F.xxhash64(F.col(text_col).cast("string")))
+    rows = rows.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__tie")))
+    # rows that repeat id and text all match the one that is kept: only those are shuffled to single one out
+    if keys.filter("__many").limit(1).count():
+        rows = rows.filter("NOT __many").unionByName(rows.filter("__many").dropDuplicates(["__id", "__tie"]))
+    return rows.drop("__id", "__tie", "__many", "__t")

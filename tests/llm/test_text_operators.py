@@ -39,6 +39,32 @@ def test_outliers_go_and_clean_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, k in sorted(verdict.items()) if k]
 
 
+def test_one_statistic_alone_rejects(spark):
+    rnd = random.Random(2)
+    clean = [R.prose(rnd, rnd.randrange(60, 400), 3000) for _ in range(400)]
+
+    def line(n):
+        return R.prose(rnd, n, 3000).replace("\n", "")
+
+    def half_again(t):
+        w = t.split()
+        return " ".join(w[:20] + w[20:80] + w[:20])
+
+    planted = {
+        "words": lambda: re.sub(r"(\w+)", r"\1xx", line(100)),
+        "symbols": lambda: " ".join(w + "#" * (i % 10 == 0) for i, w in enumerate(line(100).split())),
+        "lines": lambda: "".join(f"again\n{line(8)}\n" for _ in range(12)),
+        "repeats": lambda: half_again(line(80)),
+    }
+    data = [(i, t, "en", "hot") for i, t in enumerate(clean)]
+    data += [(1000 * k + i, make(), "en", "hot") for k, make in enumerate(planted.values(), 1) for i in range(20)]
+    d = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    found = quality.score(d).collect()
+    assert not any(r.base_failed for r in found)
+    kept = Counter(r.id // 1000 for r in found if r.kept)
+    assert kept == Counter({0: 400})
+
+
 def test_quality_without_rows(none):
     assert quality.score(none).count() == 0
     assert quality.keep_clean(none).columns == none.columns

@@ -13,7 +13,9 @@ A step is two aggregations of narrow rows: a histogram of distances per group
 the cut.  Both pre-aggregate in the tasks, so a hot source costs no more than
 a small one; estimates stay a table with one row per group.  Statistics
 that are constant in clean text (symbols, repeated lines) have no scatter, so
-each coordinate has a noise floor that is added to the diagonal.
+each coordinate has a noise floor that is added to the diagonal.  Floors are
+small against the range of their coordinate, and shares go through a logit, so
+that a document far out in one statistic alone is rejected.
 
 Defined results: null text has no words and fails the base rules; null
 language or source is a group of its own; groups below MIN_ROWS rows are
@@ -38,14 +40,15 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 # coordinate: (transform of the statistics, noise floor of its standard deviation)
-FLOORS = {"x0": 0.08, "x1": 0.20, "x2": 0.20, "x3": 0.20}
+FLOORS = {"x0": 0.05, "x1": 0.10, "x2": 0.50, "x3": 0.50}
+NEAR_ZERO = 0.05  # added to a share and to its rest before the logit
 X = list(FLOORS)
 P = len(X)
 GRID = 1024.0  # coordinates are rounded to 1/1024, which keeps their sums exact
 SUPPORT = 0.75
 STEPS = 3
 MIN_ROWS = 60
-TAIL = 1e-6
+TAIL = 1e-3
 BINS = 32.0  # histogram bins per doubling of the squared distance
 MAX_BROADCAST_GROUPS = 100_000  # an estimate is below 300 bytes
 
@@ -98,13 +101,17 @@ def base_failed() -> F.Column:
     return (n < MIN_WORDS) | (100 * F.col(stat("n_repeat_words")) > MAX_REPEAT_PERCENT * n)
 
 
+def logit(share: F.Column) -> F.Column:
+    return F.log((share + NEAR_ZERO) / (1 + NEAR_ZERO - share))
+
+
 def coordinates() -> list[F.Column]:
-    """x0 log mean word length, x1 log symbols per word, x2 root of the repeated
-    lines' share, x3 root of the repeated words' share."""
+    """x0 log mean word length, x1 log symbols per word, x2 logit of the repeated
+    lines' share, x3 logit of the repeated words' share."""
     n = F.greatest(F.col(stat("n_words")), F.lit(1))
     lines = F.greatest(F.col(stat("n_lines")), F.lit(1))
     raw = (F.log(F.greatest(F.col(stat("word_chars")), F.lit(1)) / n), F.log1p(10 * F.col(stat("n_symbols")) / n),
-           F.sqrt(F.col(stat("n_dup_lines")) / lines), F.sqrt(F.col(stat("n_repeat_words")) / n))
+           logit(F.col(stat("n_dup_lines")) / lines), logit(F.col(stat("n_repeat_words")) / n))
     return [(F.round(x * GRID) / GRID).alias(name) for name, x in zip(X, raw, strict=True)]
 
 

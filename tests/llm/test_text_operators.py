@@ -161,6 +161,42 @@ def test_disguises_map_back(text, found):
     assert [text[a:b] for a, b, _ in both] == found
 
 
+@pytest.mark.parametrize(("text", "base", "more"), [
+    ("to \u0430dmin@example.com now", ["dmin@example.com"], ["\u0430dmin@example.com"]),
+    ("to admin@example.com\u2024au now", ["admin@example.com"], ["admin@example.com\u2024au"]),
+    ("+1 555 123 456\uff17 x", ["+1 555 123 456"], ["+1 555 123 456\uff17"]),
+    ("10.0.0.1\uff12 x", ["10.0.0.1"], ["10.0.0.1\uff12"]),
+    ("jane dot doe at example dot com", [], ["jane dot doe at example dot com"]),
+    ("ask j dot r dot doe [at] example [dot] com", [], ["j dot r dot doe [at] example [dot] com"]),
+    ("jane punto doe arroba example punto com", [], ["jane punto doe arroba example punto com"]),
+    ("jane dot doe@example.com", ["doe@example.com"], ["jane dot doe@example.com"]),
+    ("at this point doe@example.com wrote", ["doe@example.com"], []),
+    ("one zero dot zero dot zero dot one", [], ["one zero dot zero dot zero dot one"]),
+    ("is one dot two dot three dot four up", [], ["one dot two dot three dot four"]),
+    ("one zero [dot] zero [dot] zero [dot] one", [], ["one zero [dot] zero [dot] zero [dot] one"]),
+    ("one. two. three. four", [], []),
+    ("nine nine nine dot one dot one dot one", [], []),
+    ("one dot two and three dot four", [], []),
+])
+def test_disguises_beyond_plain_spans(text, base, more):
+    found, both = pii.scan(text)
+    assert [text[a:b] for a, b, _ in found] == base
+    assert [text[a:b] for a, b, _ in sorted(set(both) - set(found))] == more
+    assert set(found) <= set(both)
+    for t in base + more:
+        assert t not in pii.mask(text, both)
+
+
+def test_mask_covers_overlapping_spans():
+    text = "+1 555 123 456\uff17 x"
+    assert pii.mask(text, pii.scan(text)[1]) == "<phone> x"
+
+
+def test_spaced_dots_are_linear():
+    for t in ("a dot " * 50_000 + "b@c.de", "a dot b@c.de " * 20_000, " " * 200_000 + "dot b@c.de", "one dot " * 30_000 + "one two"):
+        pii.scan(t)
+
+
 def test_pii_table(spark, awkward):
     d = awkward.select("doc_id", "text").union(spark.createDataFrame([(900, "x a.b@c.de 10.0.0.1 +1 (555) 123-4567 4111 1111 1111 1111")], "doc_id long, text string"))
     got = {(r.id, r.base, r.spans) for r in pii.find(d).collect()}

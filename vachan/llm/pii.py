@@ -4,10 +4,12 @@ Plain identifiers (email, ip, card, phone) are found in the text itself.  For
 disguised ones the text goes through a chain of transducers: look-alike
 characters become the ASCII ones they imitate and invisible ones vanish; "at"
 and "dot" in brackets, or in the shape name at host dot tld, become @ and a
-dot; runs of spelled digits become digits.  Each transducer keeps, for every
+dot, spaced dots of its name included ("dot", or a word that its host uses
+too); runs of spelled digits become digits.  Each transducer keeps, for every
 character that it writes, the source span it stands for, so identifiers found
 in the normalised text map back to the source exactly.  A span found this way
-is added unless a plain one of its kind overlaps it.
+is added unless a plain one of its kind covers it; one that extends a plain
+span stands beside it.
 
 All work is row-local and linear in the text; a text without a trigger for a
 transducer skips the chain, which could not change it.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -179,15 +182,41 @@ NAMED = re.compile(rf"(?<=[A-Za-z0-9])[ \t]+(?P<at>{AT})[ \t]+(?=(?:[A-Za-z0-9-]
 DOTTED = re.compile(rf"(?<=@)[A-Za-z0-9-]+(?:(?:\.|[ \t]+(?:{DOT})[ \t]+)[A-Za-z0-9-]+)+", re.I)
 SPACED_DOT = re.compile(rf"[ \t]+(?:{DOT})[ \t]+", re.I)
 MIN_SPELLED = 7
+MIN_PARTS = 4  # spelled digits of an address of three dots, which may be fewer
+
+
+def local_dots(text: str, at: int, least: int, words: set[str]) -> list[tuple[int, int, str]]:
+    """Edits of the spaced dots (one of ``words``) in the name that ends before ``at``."""
+    out, end = [], at
+    while True:
+        start = end
+        while start > least and text[start - 1] in NAME:
+            start -= 1
+        right = start
+        while right > least and text[right - 1] in " \t":
+            right -= 1
+        left = right
+        while left > least and text[left - 1].isalpha():
+            left -= 1
+        end = left
+        while end > least and text[end - 1] in " \t":
+            end -= 1
+        if not (end < left < right < start < at and text[left:right].lower() in words and end > least
+                and text[start].isalnum() and text[end - 1] in NAME and text[end - 1].isalnum()):
+            return out[::-1]
+        out.append((end, start, "."))
 
 
 def unveil(m: Mapped) -> Mapped:
     """At and dot disguises."""
     m = m.rewrite([(x.start(), x.end(), "@" if x["at"] else ".") for x in BRACKETED.finditer(m.text)])
     m = m.rewrite([(x.start(), x.end(), "@") for x in NAMED.finditer(m.text)])
-    edits = []
+    edits, done = [], 0
     for host in DOTTED.finditer(m.text):
-        edits += [(x.start(), x.end(), ".") for x in SPACED_DOT.finditer(m.text, host.start(), host.end())]
+        dots = list(SPACED_DOT.finditer(m.text, host.start(), host.end()))
+        edits += local_dots(m.text, host.start() - 1, done, {"dot", *(x[0].strip().lower() for x in dots)})
+        edits += [(x.start(), x.end(), ".") for x in dots]
+        done = host.end()
     return m.rewrite(edits)
 
 
@@ -196,8 +225,8 @@ def _spelled(words: list[str]) -> tuple[re.Pattern, re.Pattern, dict[str, str]]:
     if words[0] == "zero":
         value["oh"] = "0"
     one = "(?:" + "|".join(sorted(value, key=len, reverse=True)) + "|[0-9])"
-    run = re.compile(rf"(?:\bplus[ -]+|\+[ ]?)?\b{one}(?:(?:[ ]*[,.-]?[ ]*|[ ]+(?:{DOT})[ ]+)\b{one}\b){{{MIN_SPELLED - 1},}}", re.I)
-    part = re.compile(rf"plus|\+|{DOT}|{'|'.join(sorted(value, key=len, reverse=True))}|[0-9]", re.I)
+    run = re.compile(rf"(?:\bplus[ -]+|\+[ ]?)?\b{one}(?:(?:[ ]*[,.-]?[ ]*|[ ]+(?:{DOT})[ ]+)\b{one}\b){{{MIN_PARTS - 1},}}", re.I)
+    part = re.compile(rf"plus|\+|\.|{DOT}|{'|'.join(sorted(value, key=len, reverse=True))}|[0-9]", re.I)
     return run, part, value
 
 
@@ -221,10 +250,14 @@ def count_digits(m: Mapped) -> Mapped:
     for run, part, value in SPELLED:
         edits = []
         for r in run.finditer(m.text):
-            found = [p[0].lower() for p in part.finditer(r[0])]
-            if sum(p in value for p in found) * 2 < len(found):
+            # a full stop is a dot only if it was a disguised one
+            found = [p[0].lower() for p in part.finditer(r[0]) if p[0] != "." or m.new[r.start() + p.start()]]
+            digits = sum(p in value or p.isdigit() for p in found)
+            if sum(p in value for p in found) * 2 < digits:
                 continue  # mostly digits already
             put = "".join("+" if p in ("plus", "+") else value.get(p, p if p.isdigit() else ".") for p in found)
+            if digits < MIN_SPELLED and not any(k == "ip" for _, _, k in plain(put)):
+                continue
             edits.append((r.start(), r.end(), put))
         m = m.rewrite(edits)
     return m
@@ -254,10 +287,14 @@ def disguised(text: str, known: list[Span]) -> list[Span]:
                 and not any(a < d.end() and d.start() < b for a, b in taken):
             found.append((d.start(), d.end(), "phone"))
     out = []
+    # plain spans of one kind are disjoint: only the last that starts no later can cover another
+    starts = {kind: [a for a, _, k in known if k == kind] for kind in KINDS}
+    ends = {kind: [b for _, b, k in known if k == kind] for kind in KINDS}
     for a, b, kind in found:
         if any(m.new[a:b]) or m.end[b - 1] - m.start[a] != b - a:
             s, e = m.start[a], m.end[b - 1]
-            if not any(k == kind and x < e and s < y for x, y, k in known):
+            i = bisect_right(starts[kind], s)
+            if not i or ends[kind][i - 1] < e:
                 out.append((s, e, kind))
     return out
 
@@ -294,11 +331,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def mask(text: str, spans: list[Span]) -> str:
-    """The text with every span replaced by its kind in angle brackets."""
+    """The text with every span replaced by its kind in angle brackets; spans that
+    overlap are one."""
     out, at = [], 0
-    for a, b, kind in sorted(spans):
+    for a, b, kind in sorted(spans, key=lambda s: (s[0], -s[1], ORDER[s[2]])):
         if a >= at:
             out += [text[at:a], f"<{kind}>"]
-            at = b
+        at = max(at, b)
     return "".join([*out, text[at:]])
 

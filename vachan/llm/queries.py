@@ -5,12 +5,14 @@ from the operator's output here."""
 from __future__ import annotations
 
 import uuid
+import zlib
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm import exact_dedup, html_extract, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_files, warc
+from vachan.llm import exact_dedup, html_extract, line_dedup, merkle, mixing, ngram_join, packing, period_runs, pii, quality, suffix_dedup, token_files, warc
 from vachan.llm.common import scratch_path
 
 
@@ -72,6 +74,41 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The contract's repetition: in every tenth document (by checksum of its id) the
+    words from a on repeat the p words that stand there."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = period_runs.find(table(spark, sf_dir, "documents"), rewrite=planted)
+    line = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    d = found.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best.alias("b"), F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return d.select("doc_id", "n_runs", (-F.col("b.start")).alias("start"), F.col("b.length").alias("length"), (-F.col("b.period")).alias("period"),
+                    F.floor(1000 * F.col("b.length") / -F.col("b.period")).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    doc_id, source, lang, n_chars, text = (F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    tampered = merkle.leaf(doc_id, source, lang, n_chars.cast("decimal(20,0)") + 1, text)
+    proved = merkle.prove(docs, "lang", "doc_id", merkle.leaf(doc_id, source, lang, n_chars, text), F.when(F.crc32(doc_id.cast("string")) % 7 == 0, tampered))
+    return proved.withColumnRenamed("item", "doc_id")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return d.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -83,4 +120,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_period_runs": op11_period_runs,
+    "op12_merkle": op12_merkle,
+    "op13_line_dedup": op13_line_dedup,
 }

@@ -422,6 +422,31 @@ def test_suffix_dedup_returns_the_rest(spark, none):
     assert suffix_dedup.dedup(none).count() == 0
 
 
+def test_touching_windows_are_one_interval():
+    rnd = random.Random(4)
+    for _ in range(50):
+        data = [(rnd.randrange(3), a := rnd.randrange(40), a + rnd.randrange(6)) for _ in range(rnd.randrange(12))]
+        want = {(r, p) for r, a, z in data for p in range(a, z + 1)}
+        row, first, last = (x.tolist() for x in suffix_dedup.join_windows(*(np.array([d[k] for d in data], np.int64) for k in range(3))))
+        assert {(r, p) for r, a, z in zip(row, first, last, strict=True) for p in range(a, z + 1)} == want
+        assert len(row) == sum((r, p - 1) not in want for r, p in want)
+
+
+def test_a_frequent_passage_is_one_interval_a_text(spark, monkeypatch):
+    """Interval rows don't grow with the windows of a passage, however frequent its anchors are."""
+    rnd = random.Random(5)
+    line = R.prose(rnd, 60, 5000)[:260]
+    d = spark.createDataFrame([(i, f"{R.prose(rnd, 8)} {line} {R.prose(rnd, 8)}") for i in range(120)], "doc_id long, text string").coalesce(1)
+    counts = {}
+    for hot in (3, 20_000):
+        monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
+        texts, name = suffix_dedup.write_table(d, "doc_id", "text")
+        wanted = suffix_dedup.frequent_anchors(texts, 40_000, suffix_dedup.LENGTH)
+        counts[hot] = suffix_dedup.segments(texts, wanted, 2, suffix_dedup.LENGTH).filter("bucket = -1").count()
+        spark.sql(f"DROP TABLE {name}")
+    assert counts[3] <= 2 * 120 and counts[20_000] <= 12 * 120
+
+
 def test_sorting_by_difference_cover():
     rnd = np.random.default_rng(8)
     for letters, n in ((2, 600), (1, 300), (4, 3000)):

@@ -259,6 +259,22 @@ def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return data[np.repeat(start - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)]
 
 
+def join_windows(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals of window starts (both ends inclusive) with those of a row that overlap or
+    touch joined to one."""
+    if not len(row):
+        return row, first, last
+    order = np.lexsort((first, row))
+    row, first, last = row[order], first[order], last[order]
+    turn = np.concatenate([[False], row[1:] != row[:-1]])
+    shift = np.cumsum(turn) * (int(last.max()) + 2)  # rows apart from each other on one axis
+    reach = np.maximum.accumulate(last + shift)
+    new = np.ones(len(row), bool)
+    new[1:] = turn[1:] | (first[1:] + shift[1:] > reach[:-1] + 1)
+    end = np.append(np.flatnonzero(new)[1:], len(row)) - 1
+    return row[new], first[new], (reach - shift)[end]
+
+
 def write_table(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     """Texts as a table bucketed by row: (row, id, key, text)."""
     spark = docs.sparkSession
@@ -307,7 +323,8 @@ def frequent_anchors(texts: DataFrame, size: int, length: int) -> DataFrame:
 
 def segments(texts: DataFrame, wanted: DataFrame, buckets: int, length: int) -> DataFrame:
     """(bucket, head, body): packed segments; bucket -1 holds intervals that a task
-    found repeated by itself."""
+    found repeated by itself, those of one row that touch joined to one: a passage that
+    a task meets again is one row, whatever number of windows it has."""
 
     def emit(held: list[tuple[dict, np.ndarray]]):
         seg = {c: np.concatenate([s[c] for s, _ in held]) for c in SEGMENT}
@@ -328,10 +345,11 @@ def segments(texts: DataFrame, wanted: DataFrame, buckets: int, length: int) ->
             bodies.append(codec.compress(gather(text, begin[own], size[own]).tobytes(), asbytes=True))
         out = [pa.array(names, pa.int64()), pa.array([int(x) for x in np.diff(cut)], pa.int64()), pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())]
         yield pa.RecordBatch.from_arrays([*out, *[pa.nulls(len(names), pa.int64())] * 3], names=["bucket", "segments", "head", "body", "row", "first", "last"])
-        m = len(again)
+        row, first, last = join_windows(seg["row"][again], seg["pos"][again], seg["pos"][again] + seg["n"][again] - 1)
+        m = len(row)
         if m:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, -1)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array(seg["row"][again]),
-                                              pa.array(seg["pos"][again]), pa.array(seg["pos"][again] + seg["n"][again] - 1)], names=["bucket", "segments", "head", "body", "row", "first", "last"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, -1)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array(row), pa.array(first), pa.array(last)],
+                                             names=["bucket", "segments", "head", "body", "row", "first", "last"])
 
     def run(batches):
         held, count = [], 0
@@ -408,7 +426,7 @@ def repeated_intervals(packed: DataFrame, length: int) -> DataFrame:
             first = at[new]
             last = at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] if len(at) else at
             out.append((own["row"][owner[first]], own["pos"][owner[first]] + step[first], own["pos"][owner[last]] + step[last]))
-        row, first, last = (np.concatenate(x) for x in zip(*out, strict=True))
+        row, first, last = join_windows(*(np.concatenate(x) for x in zip(*out, strict=True)))
         return pa.table({"row": row, "first": first, "last": last})
 
     return packed.groupBy("bucket").applyInArrow(run, INTERVAL)

@@ -407,6 +407,7 @@ def test_suffix_dedup_of_repeated_rows(spark):
 @pytest.mark.parametrize("hot", [3, 20_000])
 def test_suffix_dedup_of_periodic_and_common_text(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(suffix_dedup, "FLUSH_ANCHORS", 30 if hot == 3 else 400_000)
     rnd = random.Random(11)
     passage = R.prose(rnd, 40)
     data = [(i, R.prose(rnd, rnd.randrange(60), 50) + passage[rnd.randrange(20):] + R.prose(rnd, rnd.randrange(60), 50)) for i in range(40)]
@@ -441,8 +442,8 @@ def test_a_frequent_passage_is_one_interval_a_text(spark, monkeypatch):
     for hot in (3, 20_000):
         monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
         texts, name = suffix_dedup.write_table(d, "doc_id", "text")
-        wanted = suffix_dedup.frequent_anchors(texts, 40_000, suffix_dedup.LENGTH)
-        counts[hot] = suffix_dedup.segments(texts, wanted, 2, suffix_dedup.LENGTH).filter("bucket = -1").count()
+        wanted, filt = suffix_dedup.frequent_anchors(texts, 40_000, suffix_dedup.LENGTH)
+        counts[hot] = suffix_dedup.segments(texts, wanted, filt, 2, suffix_dedup.LENGTH).filter("bucket = -1").count()
         spark.sql(f"DROP TABLE {name}")
     assert counts[3] <= 2 * 120 and counts[20_000] <= 12 * 120
 

@@ -10,7 +10,8 @@ and then sorted one suffix bucket at a time in bounded memory:
 2. Anchors: in every window of LENGTH bytes the gram of GRAM bytes with the
    least hash (leftmost of equals) is its anchor; equal windows have equal
    anchors at equal distance.  Anchors, one in some 36 bytes, are dealt out
-   by hash as packed arrays; windows whose anchor occurs once are unique.
+   by hash as packed arrays, those that a task met twice as one entry with a
+   count; windows whose anchor occurs once are unique.
 3. Segments: for each anchor that occurs again, the text of its windows goes to
    the anchor's suffix bucket.  An anchor that is very frequent is cut into
    single windows, dealt by their own hash, so that no bucket depends on one
@@ -43,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, SLICE_BYTES, Spans, join_hot, mix, modest_batches, pack_pairs, slices, store, unpack_pairs
+from vachan.llm.common import NO_ID, SLICE_BYTES, Bloom, Spans, join_hot, mix, modest_batches, pack_pairs, slices, store, unpack_pairs
 
 LENGTH = 100
 GRAM = 30
@@ -286,11 +287,31 @@ def write_table(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     return spark.table(name), name
 
 
-def frequent_anchors(texts: DataFrame, size: int, length: int) -> DataFrame:
-    """(row, anchors, hot): hashes of the row's anchors that occur again, and which of
-    those are very frequent."""
+def frequent_anchors(texts: DataFrame, size: int, length: int) -> tuple[DataFrame, Bloom]:
+    """(row, anchors): hashes of the row's anchors that occur again; and a filter that
+    holds those that are very frequent.
+
+    A task settles what it meets twice: those (row, anchor) pairs don't travel, and of
+    the anchor one entry with its count does, so a bucket gets an anchor at most
+    once per FLUSH_ANCHORS, however many texts hold it.
+    """
     buckets = max(1, -(-size // (36 * BUCKET_ANCHORS)))
 
+    def settle(keys: list[np.ndarray], rows: list[np.ndarray]):
+        k, row = np.concatenate(keys), np.concatenate(rows)
+        order = np.lexsort((row, k))
+        k, row = k[order], row[order]
+        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        count = np.diff(np.append(start, len(k)))
+        several = np.repeat(count > 1, count)
+        lead = start[count > 1]  # a negative node is a number of pairs settled here
+        yield pack_pairs(np.concatenate([k[~several], k[lead]]), np.concatenate([row[~several], -count[count > 1]]), buckets)
+        if len(lead):
+            own = several.copy()
+            own[1:] &= (k[1:] != k[:-1]) | (row[1:] != row[:-1])
+            done = pack_pairs(k[own], row[own], 1)
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), done.column("keys"), done.column("nodes")], names=["bucket", "keys", "nodes"])
+
     def deal(batches):
         keys, rows, held = [], [], 0
         for batch in batches:
@@ -300,28 +321,36 @@ def frequent_anchors(texts: DataFrame, size: int, length: int) -> DataFrame:
                 rows.append(r.column("row").to_numpy()[doc])
                 held += len(k)
                 if held >= FLUSH_ANCHORS:
-                    yield pack_pairs(np.concatenate(keys), np.concatenate(rows), buckets)
+                    yield from settle(keys, rows)
                     keys, rows, held = [], [], 0
         if held:
-            yield pack_pairs(np.concatenate(keys), np.concatenate(rows), buckets)
+            yield from settle(keys, rows)
 
     def again(table: pa.Table) -> pa.Table:
-        k, row = unpack_pairs(table)
-        order = np.lexsort((row, k))
-        k, row = k[order], row[order]
+        k, node = unpack_pairs(table)
+        order = np.lexsort((node, k))
+        k, node = k[order], node[order]
         start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        count = np.diff(np.append(start, len(k)))
-        times = np.repeat(count, count)
-        keep = times > 1
-        keep[1:] &= (k[1:] != k[:-1]) | (row[1:] != row[:-1])
-        return pa.table({"row": row[keep], "anchor": k[keep].view(np.int64), "hot": times[keep] > HOT_ANCHOR})
+        times = np.add.reduceat(np.where(node < 0, -node, 1), start)
+        keep = np.repeat(times > 1, np.diff(np.append(start, len(k)))) & (node >= 0)
+        keep[1:] &= (k[1:] != k[:-1]) | (node[1:] != node[:-1])
+        hot = k[start[times > HOT_ANCHOR]]  # row -1: the anchor itself, as very frequent
+        return pa.table({"row": np.concatenate([node[keep], np.full(len(hot), -1)]), "anchor": np.concatenate([k[keep], hot]).view(np.int64)})
+
+    def settled(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                k, row = unpack_pairs(pa.Table.from_batches([b.slice(i, 1)]))
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(k.view(np.int64))], names=["row", "anchor"])
 
-    dealt = texts.select("row", "text").mapInArrow(deal, "bucket long, keys binary, nodes binary")
-    found = dealt.groupBy("bucket").applyInArrow(again, "row long, anchor long, hot boolean")
-    return found.groupBy("row").agg(F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))
+    dealt, _ = store(texts.select("row", "text").mapInArrow(deal, "bucket long, keys binary, nodes binary"), "anchor-pairs")
+    found, _ = store(dealt.filter("bucket >= 0").groupBy("bucket").applyInArrow(again, "row long, anchor long"), "anchors-again")
+    hot = Bloom(found.filter("row < 0"), "anchor")
+    pairs = found.filter("row >= 0").unionByName(dealt.filter("bucket < 0").mapInArrow(settled, "row long, anchor long"))
+    return pairs.groupBy("row").agg(F.collect_list("anchor").alias("anchors")), hot
 
 
-def segments(texts: DataFrame, wanted: DataFrame, buckets: int, length: int) -> DataFrame:
+def segments(texts: DataFrame, wanted: DataFrame, hot: Bloom, buckets: int, length: int) -> DataFrame:
     """(bucket, head, body): packed segments; bucket -1 holds intervals that a task
     found repeated by itself, those of one row that touch joined to one: a passage that
     a task meets again is one row, whatever number of windows it has."""
@@ -356,7 +385,6 @@ def segments(texts: DataFrame, wanted: DataFrame, buckets: int, length: int) ->
         for batch in batches:
             for i in range(batch.num_rows):
                 known = np.sort(batch.column("anchors")[i].values.to_numpy().view(np.uint64))
-                hot = np.isin(known, batch.column("hot")[i].values.to_numpy().view(np.uint64))
                 row, key = batch.column("row")[i].as_py(), batch.column("key")[i].as_py()
                 for _, data, off, base in chunks(batch.slice(i, 1), length=length):
                     k, _, lo, hi, place, spans = anchors(data, off, length)
@@ -364,7 +392,8 @@ def segments(texts: DataFrame, wanted: DataFrame, buckets: int, length: int) ->
                         continue
                     j = np.minimum(np.searchsorted(known, k), len(known) - 1)
                     use = known[j] == k
-                    k, lo, hi, place, often = k[use], lo[use], hi[use], place[use], hot[j[use]]
+                    k, lo, hi, place = k[use], lo[use], hi[use], place[use]
+                    often = hot.may_contain(k)  # one passed by mistake is so everywhere, and only costs more
                     if often.any():  # single windows, by their own hash
                         n = (hi - lo + 1)[often]
                         one = np.repeat(lo[often] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -447,7 +476,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     remaining bytes come too."""
     spark = docs.sparkSession
     texts, name = write_table(docs, id_col, text_col)
-    spark.sparkContext._jvm.System.gc()  # shuffle files of the table's writing may go
     # whole copies: one row of each text stays in the search
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
     digests, _ = store(texts.select("row", "key", sha.alias("sha"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")), "digests")
@@ -458,9 +486,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     search = marked.filter((F.col("n_bytes") >= length) & ~F.col("copy")).select("row")
     single = texts.join(search.hint("merge"), "row", "left_semi")
 
-    wanted, _ = store(frequent_anchors(single, size, length), "anchors")
+    repeated_anchors, hot = frequent_anchors(single, size, length)
+    wanted, _ = store(repeated_anchors, "anchors")
     entries = wanted.agg(F.sum(F.size("anchors"))).first()[0] or 0
-    packed, _ = store(segments(single, wanted, max(1, -(-entries // BUCKET_SEGMENTS)), length), "segments")
+    packed, _ = store(segments(single, wanted, hot, max(1, -(-entries // BUCKET_SEGMENTS)), length), "segments")
     found = packed.filter("bucket = -1").select("row", "first", "last").unionByName(repeated_intervals(packed.filter("bucket >= 0").select("bucket", "segments", "head", "body"), length))
     intervals, _ = store(found, "intervals")
 

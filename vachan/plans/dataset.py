@@ -1,12 +1,12 @@
 """Training-set assembly from a manifest, sample arrays and
 transcripts (SURVEY §2.11, §3.1), with rejects instead of skipped loops.
 
-Plan: everything but the samples comes first.  Transcripts are packed into
-chunks in their own rows; manifest, chunk lists and sample *headers* (rate and
-number of samples) are joined as narrow rows, which already decides rejects,
-chunks that are long enough, speakers and their split.  Samples take part in
-one join, at the end, and are conditioned and sliced in their row (never
-copied per chunk); chunks are exploded after slicing.
+Plan: samples come in fixed-size blocks (``audio_blocks``), are scanned once and
+written as mono blocks.  Everything else follows from narrow rows: transcripts
+are packed into chunks in their own rows; manifest, chunk lists and sample
+*headers* (rate, number of samples, peak) are joined, which already decides
+rejects, chunks that are long enough, speakers and their split.  Samples take
+part in one join, at the end: chunks, dealt to the blocks they touch.
 """
 
 from __future__ import annotations
@@ -15,19 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vachan.operators import audio as AU
+from vachan.operators import audio_blocks as AB
 from vachan.operators import chunking as CH
 from vachan.operators import manifest as MF
 from vachan.operators import sampling as SM
 from vachan.session import cut_lineage
 
 
-def plan_chunks(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame,
+def sample_blocks(waves: DataFrame) -> DataFrame:
+    """Mono blocks of recordings given as BLOCK_SCHEMA rows, or as whole rows (WAVE_SCHEMA)."""
+    return AB.mono(waves if "block" in waves.columns else AB.to_blocks(waves))
+
+
+def plan_chunks(manifest: DataFrame, heads: DataFrame, transcripts: DataFrame,
                 max_chunk_sec: float = 29.0, min_chunk_sec: float = 0.5) -> DataFrame:
-    """One narrow row per recording: ``recording_id, user_id, chunks, reject_reason``;
-    ``chunks`` are those with at least ``min_chunk_sec`` of samples.  Written once."""
+    """One narrow row per recording: ``recording_id, user_id, chunks, peak, reject_reason``;
+    ``chunks`` are those with at least ``min_chunk_sec`` of samples.  Written once.
+
+    ``heads`` are ``audio_blocks.headers``: no sample is read here."""
     m = MF.rewrite_urls(manifest, "rec_url_gcp").select("recording_id", "user_id", F.col("reject_reason").alias("m_reason"))
-    w = waves.select("recording_id", "sampling_rate", F.col("channels").isNotNull().alias("has_audio"),
-                     F.coalesce(F.size(F.try_element_at("channels", F.lit(1))), F.lit(0)).alias("n_samples"))
+    w = heads.select("recording_id", "sampling_rate", "n_samples", "peak", F.lit(True).alias("has_audio"))
     bad = CH.bad_words("words")
     packed = F.transform(CH.pack_words("words", max_chunk_sec, min_chunk_sec), lambda c, i: F.struct(
         i.alias("chunk_id"), c["text"].alias("text"), c["start"].alias("start"), c["end"].alias("end")))
@@ -37,12 +44,15 @@ def plan_chunks(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame,
                            F.when(F.col("words").isNotNull() & ~bad, packed).alias("packed"), F.lit(True).alias("has_words"))
     j = m.join(w, "recording_id", "left").join(t, "recording_id", "left")
     reason = (F.when(F.col("m_reason").isNotNull(), F.col("m_reason"))
-               .when(~F.coalesce("has_audio", F.lit(False)), F.lit("missing audio"))
+               .when(F.col("has_audio").isNull(), F.lit("missing audio"))
                .when(F.col("sampling_rate") != AU.TARGET_SR, F.lit("sampling rate is not 16 kHz"))
+               .when(F.col("n_samples").isNull(), F.lit("channels differ in length"))
                .when(F.col("has_words").isNull(), F.lit("missing transcript")).otherwise(F.col("t_reason")))
     need = int(min_chunk_sec * AU.TARGET_SR)
-    long_enough = F.filter("packed", lambda c: AU.slice_length(c["start"], c["end"], F.col("n_samples")) >= need)
-    return cut_lineage(j.select("recording_id", "user_id", F.when(reason.isNull(), long_enough).alias("chunks"), reason.alias("reject_reason")))
+    placed = F.transform("packed", lambda c: F.struct(c["chunk_id"].alias("chunk_id"), c["text"].alias("text"), c["start"].alias("start"), c["end"].alias("end"), *[
+        x.alias(n) for x, n in zip(AB.sample_range(c["start"], c["end"], F.col("n_samples")), ("first", "stop"), strict=True)]))
+    planned = j.select("recording_id", "user_id", "peak", reason.alias("reject_reason"), F.when(reason.isNull(), placed).alias("chunks"))
+    return cut_lineage(planned.select("recording_id", "user_id", F.filter("chunks", lambda c: c["stop"] - c["first"] >= need).alias("chunks"), "peak", "reject_reason"))
 
 
 def rejects_of(plan: DataFrame) -> DataFrame:
@@ -50,14 +60,13 @@ def rejects_of(plan: DataFrame) -> DataFrame:
     return plan.where(F.col("reject_reason").isNotNull()).select("recording_id", "reject_reason")
 
 
-def with_audio(plan: DataFrame, waves: DataFrame, extra: tuple = ()) -> DataFrame:
-    """The one join with samples: an example per chunk of ``plan`` rows."""
-    rows = plan.where(F.size("chunks") > 0).select("recording_id", "user_id", "chunks", *extra)
-    j = rows.join(waves.select("recording_id", "channels"), "recording_id")
-    sliced = AU.let(AU.condition("channels"), lambda x: F.transform("chunks", lambda c: F.struct(
-        c["chunk_id"].alias("chunk_id"), c["start"].alias("chunk_start"), c["end"].alias("chunk_end"), c["text"].alias("sentence"),
-        F.struct(AU.slice_seconds(x, c["start"], c["end"]).alias("array"), F.lit(AU.TARGET_SR).alias("sampling_rate")).alias("audio"))))
-    return j.select("recording_id", "user_id", *extra, F.explode(sliced).alias("c")).select("recording_id", "user_id", "c.*", *extra)
+def with_audio(plan: DataFrame, mono: DataFrame, extra: tuple = (), size: int = AB.BLOCK) -> DataFrame:
+    """An example per chunk of ``plan`` rows, its samples cut out of the blocks they lie in."""
+    c = plan.where(F.size("chunks") > 0).select("recording_id", "user_id", "peak", *extra, F.explode("chunks").alias("c"))
+    rest = F.struct("user_id", *extra, F.col("c.start").alias("chunk_start"), F.col("c.end").alias("chunk_end"), F.col("c.text").alias("sentence"))
+    cut = AB.cut(mono, c.select("recording_id", F.col("c.chunk_id").alias("chunk_id"), F.col("c.first").alias("first"), F.col("c.stop").alias("end"), "peak", rest.alias("rest")), size)
+    return cut.select("recording_id", "rest.user_id", "chunk_id", "rest.chunk_start", "rest.chunk_end", "rest.sentence",
+                      F.struct("array", F.lit(AU.TARGET_SR).alias("sampling_rate")).alias("audio"), *[f"rest.{x}" for x in extra])
 
 
 def build_examples(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame,
@@ -65,22 +74,24 @@ def build_examples(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame
     """C4: ``(examples, rejects)``.
 
     examples: ``recording_id, user_id, chunk_id, chunk_start, chunk_end,
-    sentence, audio STRUCT<array ARRAY<DOUBLE>, sampling_rate INT>``;
+    sentence, audio STRUCT<array ARRAY<FLOAT>, sampling_rate INT>``;
     rejects: ``recording_id, reject_reason``.
     """
-    plan = plan_chunks(manifest, waves, transcripts, max_chunk_sec, min_chunk_sec)
-    return with_audio(plan, waves), rejects_of(plan)
+    mono = sample_blocks(waves)
+    plan = plan_chunks(manifest, AB.headers(mono), transcripts, max_chunk_sec, min_chunk_sec)
+    return with_audio(plan, mono), rejects_of(plan)
 
 
 def build_dataset(manifest: DataFrame, waves: DataFrame, transcripts: DataFrame, max_chunk_sec: float = 29.0, min_chunk_sec: float = 0.5,
                   val_fraction: float = 0.10, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
     """C4 + C5: ``(examples with split, counts, rejects)``; split and counts come from the
-    narrow plan, so the samples are read and joined once."""
-    plan = plan_chunks(manifest, waves, transcripts, max_chunk_sec, min_chunk_sec)
+    narrow plan, so the samples are read once and joined once."""
+    mono = sample_blocks(waves)
+    plan = plan_chunks(manifest, AB.headers(mono), transcripts, max_chunk_sec, min_chunk_sec)
     kept = plan.where(F.size("chunks") > 0)
     placed = SM.assign_split(kept, SM.speaker_split(kept, "user_id", val_fraction, seed), "user_id")
     counts = MF.split_counts(placed.select("user_id", "split", F.explode("chunks")))
-    return with_audio(placed, waves, ("split",)), counts, rejects_of(plan)
+    return with_audio(placed, mono, ("split",)), counts, rejects_of(plan)
 
 
 def assemble(examples: DataFrame, val_fraction: float = 0.10, seed: int = 42) -> tuple[DataFrame, DataFrame]:

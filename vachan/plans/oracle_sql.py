@@ -348,20 +348,22 @@ ORACLES["json_words"] = _json_words_sql()
 
 
 _MIX = """WITH e AS (SELECT vec_id, label, embedding, len(embedding) // 2 AS h FROM embeddings),
-m AS (SELECT vec_id, label, list_transform(range(0, h), lambda i: (0.0 + embedding[i + 1]::DOUBLE + embedding[h + i + 1]::DOUBLE) / 2) AS x FROM e),
+m AS (SELECT vec_id, label, list_transform(range(0, h), lambda i: (embedding[i + 1]::FLOAT + embedding[h + i + 1]::FLOAT) / 2::FLOAT) AS x FROM e),
 p AS (SELECT vec_id, label, x, list_max(list_transform(x, lambda v: abs(v))) AS peak FROM m),
 c AS (SELECT vec_id, label, CASE WHEN peak > 0 THEN list_transform(x, lambda v: v / peak) ELSE x END AS x FROM p)
 """
 
 
 def _micro_sql(arr: str) -> str:
-    return f"array_to_string(list_transform({arr}, lambda v: CAST(CAST(round(v * 1e6) AS BIGINT) AS VARCHAR)), ',')"
+    return f"array_to_string(list_transform({arr}, lambda v: CAST(CAST(round(v::DOUBLE * 1e6::DOUBLE) AS BIGINT) AS VARCHAR)), ',')"
 
 
-ORACLES["wave_condition"] = _MIX + f"SELECT vec_id, len(x) AS n_samples, {_micro_sql('x')} AS samples_e6 FROM c"
+ORACLES["wave_condition"] = _MIX + f""", b AS (SELECT vec_id, x, unnest(range(0, (len(x) + 12) // 13)) AS block FROM c),
+s AS (SELECT vec_id, block, x[block * 13 + 1 : block * 13 + 13] AS x FROM b)
+SELECT vec_id, block, len(x) AS n_samples, {_micro_sql('x')} AS samples_e6 FROM s"""
 ORACLES["wave_slice"] = (_MIX + """, s AS (SELECT vec_id, x, CAST(trunc(((vec_id % 7) / 16000.0) * 16000) AS INTEGER) AS s0,
    CAST(trunc(((vec_id % 7) / 16000.0 + (20 + label) / 16000.0) * 16000) AS INTEGER) AS e0 FROM c),
-t AS (SELECT vec_id, CASE WHEN s0 >= len(x) THEN []::DOUBLE[] ELSE x[s0 + 1 : least(e0, len(x))] END AS x FROM s)
+t AS (SELECT vec_id, CASE WHEN s0 >= len(x) THEN []::FLOAT[] ELSE x[s0 + 1 : least(e0, len(x))] END AS x FROM s)
 SELECT vec_id, len(x) AS n_samples, """ + _micro_sql("x") + " AS samples_e6 FROM t WHERE len(x) >= 16")
 
 
@@ -626,7 +628,7 @@ sl AS (SELECT k.recording_id, g.user_id, k.chunk_id, k.sentence,
          CAST(trunc(k.s * 16000) AS INTEGER) AS s0, CAST(trunc(k.e * 16000) AS INTEGER) AS e0, c.x
        FROM kept k JOIN good g USING (recording_id) JOIN c ON c.vec_id = k.recording_id),
 ex AS (SELECT recording_id, user_id, chunk_id, sentence,
-         len(CASE WHEN s0 >= len(x) THEN []::DOUBLE[] ELSE x[s0 + 1 : least(e0, len(x))] END) AS n_samples FROM sl),
+         len(CASE WHEN s0 >= len(x) THEN []::FLOAT[] ELSE x[s0 + 1 : least(e0, len(x))] END) AS n_samples FROM sl),
 ex2 AS (SELECT * FROM ex WHERE n_samples >= {int(min_dur * 16000)}),
 u AS (SELECT DISTINCT user_id FROM ex2),
 r AS (SELECT user_id, row_number() OVER (ORDER BY md5('42|' || CAST(user_id AS VARCHAR)), user_id) - 1 AS rk,

@@ -383,6 +383,7 @@ QUERIES.update({"json_words": q_json_words})
 # ── sample arrays ───────────────────────────────────────────────────────────
 
 from vachan.operators import audio as AU  # noqa: E402
+from vachan.operators import audio_blocks as AB  # noqa: E402
 
 
 def embedding_waves(spark, sf_dir):
@@ -394,21 +395,34 @@ def embedding_waves(spark, sf_dir):
 
 
 def _micro(arr):
-    return F.array_join(F.transform(arr, lambda v: F.round(v * 1e6).cast("bigint").cast("string")), ",")
+    return F.array_join(F.transform(arr, lambda v: F.round(v.cast("double") * 1e6).cast("bigint").cast("string")), ",")
+
+
+# A vector is 32 samples a channel: blocks of 13 make every recording several rows.
+WAVE_BLOCK = 13
+
+
+def embedding_blocks(spark, sf_dir):
+    w = embedding_waves(spark, sf_dir).select(F.col("vec_id").alias("recording_id"), F.lit(16000).alias("sampling_rate"), "channels")
+    return AB.mono(AB.to_blocks(w, WAVE_BLOCK))
 
 
 def q_wave_condition(spark, sf_dir):
-    w = embedding_waves(spark, sf_dir).select("vec_id", AU.condition("channels").alias("x"))
-    return w.select("vec_id", F.size("x").alias("n_samples"), _micro("x").alias("samples_e6"))
+    """C2 on blocks: one row per block, none per recording."""
+    mono = embedding_blocks(spark, sf_dir)
+    x = AB.condition(mono, AB.headers(mono))
+    return x.select(F.col("recording_id").alias("vec_id"), "block", F.size("samples").alias("n_samples"), _micro("samples").alias("samples_e6"))
 
 
 def q_wave_slice(spark, sf_dir):
-    w = embedding_waves(spark, sf_dir)
-    start = (F.col("vec_id") % 7) / 16000.0
-    end = start + (F.lit(20) + F.col("label")) / 16000.0
-    s = w.select("vec_id", AU.slice_seconds(AU.condition("channels"), start, end).alias("x"))
-    s = AU.keep_min_samples(s, "x", 0.001)
-    return s.select("vec_id", F.size("x").alias("n_samples"), _micro("x").alias("samples_e6"))
+    """C3 on blocks: a chunk's samples from the blocks that it touches."""
+    mono = embedding_blocks(spark, sf_dir)
+    e = D.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("recording_id"), "label")
+    start = (F.col("recording_id") % 7) / 16000.0
+    first, end = AB.sample_range(start, start + (F.lit(20) + F.col("label")) / 16000.0, F.col("n_samples"))
+    chunks = e.join(AB.headers(mono), "recording_id").select("recording_id", F.lit(0).alias("chunk_id"), first.alias("first"), end.alias("end"), "peak", F.struct("label").alias("rest"))
+    s = AU.keep_min_samples(AB.cut(mono, chunks, WAVE_BLOCK), "array", 0.001)
+    return s.select(F.col("recording_id").alias("vec_id"), F.size("array").alias("n_samples"), _micro("array").alias("samples_e6"))
 
 
 QUERIES.update({"wave_condition": q_wave_condition, "wave_slice": q_wave_slice})
@@ -494,7 +508,7 @@ def q_dataset_rejects(spark, sf_dir):
     broken = F.transform("words", lambda w: w.withField("word", F.lit(None).cast("string")))
     words = words.where(k % 29 != 0).withColumn("words", F.when(k % 19 == 0, broken).otherwise(F.col("words")))
     words = words.withColumn("reject_reason", F.when(k % 23 == 0, F.lit("not json")).otherwise(F.col("reject_reason")))
-    return DSB.rejects_of(DSB.plan_chunks(manifest, waves, words, 0.001, 0.0005))
+    return DSB.rejects_of(DSB.plan_chunks(manifest, AB.headers(DSB.sample_blocks(waves)), words, 0.001, 0.0005))
 
 
 def q_dataset_round_trip(spark, sf_dir):

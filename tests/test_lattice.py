@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from vachan.operators import lattice as LT
@@ -206,3 +207,60 @@ def test_align_udtf(spark):
          .createOrReplaceTempView("pairs_t")
     rows = spark.sql("SELECT a.* FROM pairs_t, LATERAL align_words(ref, hyp) a ORDER BY op_pos").collect()
     assert [(r["op"], r["gap"]) for r in rows] == [("match", None), ("ins", 1), ("match", None)]
+
+
+def test_bands_give_the_same_steps(monkeypatch):
+    """Any band size, down to a row a band, follows the same way back."""
+    from vachan.operators import alignment as AL
+
+    rnd = random.Random(8)
+    segs = [([rnd.choice("abc") for _ in range(rnd.randrange(40))], [[rnd.choice("abcd") for _ in range(rnd.randrange(40))] for _ in range(rnd.randrange(7))]) for _ in range(30)]
+    lists = LT._lists(*map(list, zip(*segs, strict=True)))
+
+    def steps():
+        a, out = LT.Aligned(*lists), {}
+        for s in a.batches:
+            o = a.operations(s)
+            for row in zip(o.segment.tolist(), o.system.tolist(), o.place.tolist(), o.step.tolist(), o.position.tolist(), o.ref.tolist(), o.hyp.tolist(), strict=True):
+                out[row[:3]] = row[3:]
+        return out
+
+    want = steps()
+    assert len(want) > 1000
+    for limit, edges in ((1, 2), (60, 3), (700, 32)):
+        monkeypatch.setattr(AL, "BAND_BYTES", limit)
+        monkeypatch.setattr(AL, "EDGES", edges)
+        assert steps() == want
+
+
+def test_alignment_memory_is_linear():
+    """2,500 words against six hypotheses: 6 x 6.25 MB of directions at once before."""
+    import tracemalloc
+
+    from vachan.operators import alignment as AL
+
+    rnd = random.Random(1)
+    ref = [str(rnd.randrange(300)) for _ in range(2500)]
+    hyps = [[t if rnd.random() < 0.8 else "x" for t in ref if rnd.random() < 0.95] for _ in range(6)]
+    limit, AL.BAND_BYTES = AL.BAND_BYTES, 1 << 19
+    try:
+        tracemalloc.start()
+        a = LT.Aligned(*LT._lists([ref], [hyps]))
+        o = a.operations(np.array([0]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        AL.BAND_BYTES = limit
+    assert peak < 20 << 20 and len(o.step) >= 6 * 2500
+
+
+def test_awkward_segments(spark):
+    """Empty references (P7), no hypotheses, empty and null ones, the lattice's own sign as a word."""
+    rows = [(1, [], [["a"]] * 6), (2, ["a"], [[], None, ["a"], ["b"], ["b"], ["b"]]), (3, ["ε", "b"], [["b"]] * 6), (4, ["a"], []), (5, None, [["a"]])]
+    d = spark.createDataFrame(rows, "segment_id long, ref array<string>, hyps array<array<string>>")
+    got = {r["segment_id"]: r for r in LT.segment_reports(d).collect()}
+    assert sorted(got) == [2, 3, 4]
+    assert [(s["subs"], s["dels"], s["ins"], s["hits"]) for s in got[2]["scores"]] == [(0, 1, 0, 0), (0, 1, 0, 0), (0, 0, 0, 1)] + [(1, 0, 0, 0)] * 3
+    assert [tuple(x) for x in got[2]["suspects"]] == [(0, "a", "b", 3)]
+    assert [s["lattice_n"] for s in got[3]["scores"]] == [1] * 6 and [s["lattice_edits"] for s in got[3]["scores"]] == [0] * 6
+    assert got[4]["scores"] == [] and [b["tokens"] for b in got[4]["bins"]] == [["a"]]

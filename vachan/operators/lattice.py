@@ -1,17 +1,17 @@
 """Multi-system alignment, lattice construction and lattice WER.
 
 A segment's reference and its systems' hypotheses sit in one row, so the whole
-evaluation is one narrow stage: ``segment_reports`` (``mapInPandas``) aligns
+evaluation is one narrow stage: ``segment_reports`` (``mapInArrow``) aligns
 the systems of a segment, builds its bins, and scores every system against
 them; only small per-segment results leave it, and the only exchange of a
 summary is its final aggregation.
 
-* E5 alignment — the dynamic program keeps one direction byte per cell and
-  two rows of distances; it is vectorised over the systems of a segment and
-  along each row (running minimum for insertions).  Directions prefer
-  diagonal, then deletion, then insertion, followed back from the end.
+* E5 alignment — ``alignment.align``: the dynamic program of many segments and all
+  their systems at once, in linear memory.  Ties prefer diagonal, then
+  deletion, then insertion, followed back from the end.
 * E7/A8 bins — reference token plus every system token aligned there; A9
-  consensus substitutions and A10 insertions are counts over systems.
+  consensus substitutions and A10 insertions are counts over systems.  All of
+  them are sorted keys of token numbers; strings come back only in the bins.
 * E8 lattice edits — a dynamic program of all hypotheses against the bins.
 
 The relational form of the same definitions (``align`` to one row per
@@ -27,12 +27,16 @@ lets every skip of an optional bin be free (then WER never increases).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vachan.operators import alignment as AL
+
 EPS = "ε"
 
 ALIGN_SCHEMA = ("segment_id long, system string, sys_ord int, op_pos int, ref_pos int, gap int, "
@@ -41,132 +45,114 @@ ALIGN_SCHEMA = ("segment_id long, system string, sys_ord int, op_pos int, ref_po
 
 # ── kernels ─────────────────────────────────────────────────────────────────
 
-def _codes(seqs: list[list], codes: dict) -> list[np.ndarray]:
-    return [np.array([codes.setdefault(t, len(codes)) for t in q], dtype=np.int64) for q in seqs]
-
-
-DIAGONAL, DELETION, INSERTION = 0, 1, 2
-
-
-def directions(ref: list, hyps: list[list]) -> list[np.ndarray]:
-    """Per hypothesis the best last step of every prefix pair, as bytes (R+1, H+1).
-    All hypotheses advance together, padded with a code that matches nothing;
-    a cell depends only on cells to its left and above."""
-    codes: dict = {}
-    rc = _codes([ref], codes)[0]
-    hcs = _codes(hyps, codes)
-    k, r = len(hyps), len(ref)
-    hmax = max((len(h) for h in hyps), default=0)
-    hc = np.full((k, hmax), -1, dtype=np.int64)
-    for i, h in enumerate(hcs):
-        hc[i, :len(h)] = h
-    steps = np.empty((k, r + 1, hmax + 1), dtype=np.uint8)
-    steps[:, 0, :], steps[:, :, 0] = INSERTION, DELETION
-    ar = np.arange(hmax + 1, dtype=np.int32)
-    above = np.tile(ar, (k, 1))
-    for i in range(1, r + 1):
-        both = above[:, :-1] + (hc != rc[i - 1])
-        drop = above[:, 1:] + 1
-        here = np.empty_like(above)
-        here[:, 0] = i
-        np.minimum(both, drop, out=here[:, 1:])
-        here = np.minimum.accumulate(here - ar, axis=1) + ar
-        now = here[:, 1:]
-        steps[:, i, 1:] = np.where(now == both, DIAGONAL, np.where(now == drop, DELETION, INSERTION))
-        above = here
-    return [steps[n, :, :len(h) + 1] for n, h in enumerate(hyps)]
-
-
-def path(steps: np.ndarray) -> np.ndarray:
-    """Step codes from the first to the last operation."""
-    back = []
-    r, h = steps.shape[0] - 1, steps.shape[1] - 1
-    while r or h:
-        back.append(int(steps[r, h]))
-        r -= back[-1] != INSERTION
-        h -= back[-1] != DELETION
-    return np.array(back[::-1], dtype=np.int64)
-
-
-def operations(ref: list, hyp: list, steps: np.ndarray) -> list[tuple]:
-    """``(ref_pos, gap, ref_tok, hyp_tok, op)`` of one alignment."""
-    codes = path(steps)
-    used, said = np.cumsum(codes != INSERTION), np.cumsum(codes != DELETION)
-    out = []
-    for c, i, j in zip(codes.tolist(), used.tolist(), said.tolist(), strict=True):
-        if c == INSERTION:
-            out.append((None, i, None, hyp[j - 1], "ins"))
-        elif c == DELETION:
-            out.append((i - 1, None, ref[i - 1], None, "del"))
-        else:
-            out.append((i - 1, None, ref[i - 1], hyp[j - 1], "match" if ref[i - 1] == hyp[j - 1] else "sub"))
-    return out
+def _strings(*arrays: pa.Array) -> tuple[list[np.ndarray], pa.Array]:
+    """Numbers of the strings of each array, in the order of the strings, and the strings."""
+    whole = pa.concat_arrays([pc.fill_null(x.cast(pa.string()), "") for x in arrays]).dictionary_encode()
+    order = pc.sort_indices(whole.dictionary).to_numpy()  # by bytes, which is by code point
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    ids = rank[whole.indices.to_numpy()] if len(order) else np.zeros(0, np.int32)
+    cut = np.cumsum([len(x) for x in arrays])[:-1]
+    return np.split(ids, cut), whole.dictionary.take(pa.array(order))
+
+
+def _offsets(lists: pa.ListArray) -> np.ndarray:
+    """Offsets into ``lists.flatten()``; a null list is empty."""
+    return np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]).astype(np.int64)
+
+
+@dataclass
+class Operations:
+    """All alignment operations of some segments, in order: arrays of one entry each."""
+
+    segment: np.ndarray  # number of the segment
+    system: np.ndarray  # number of the hypothesis in its segment
+    place: np.ndarray  # position in the alignment
+    step: np.ndarray
+    position: np.ndarray  # reference position, or the gap of an insertion
+    ref: np.ndarray  # token numbers
+    hyp: np.ndarray
+
+
+class Aligned:
+    """Segments of an Arrow batch with their alignments (E5).
+
+    ``refs`` is a list of tokens per segment, ``hyps`` a list of hypotheses."""
+
+    def __init__(self, refs: pa.ListArray, hyps: pa.ListArray):
+        each = hyps.flatten()
+        (self.ref, self.hyp, eps), self.words = _strings(refs.flatten(), each.flatten(), pa.array([EPS]))
+        self.eps = int(eps[0])
+        self.roff, self.soff, self.hoff = _offsets(refs), _offsets(hyps), _offsets(each)
+        self.rlen, self.hlen = np.diff(self.roff), np.diff(self.hoff)
+        self.systems = np.diff(self.soff)
+        longest = np.zeros(len(self.rlen), np.int64)
+        np.maximum.at(longest, np.repeat(np.arange(len(self.rlen)), self.systems), self.hlen)
+        self.batches = list(AL.batches(self.rlen, longest, self.systems))
+
+    def operations(self, segments: np.ndarray) -> Operations:
+        owner = np.repeat(segments, self.systems[segments])
+        pair = np.repeat(self.soff[segments], self.systems[segments]) + _within(self.systems[segments])
+        ref, rlen = AL.padded(self.ref, self.roff, owner, -1)
+        hyp, hlen = AL.padded(self.hyp, self.hoff, pair, -2)
+        steps = AL.align(ref, hyp, rlen, hlen)
+        real = steps != AL.NONE
+        used = np.cumsum((steps == AL.DIAGONAL) | (steps == AL.DELETION), axis=1, dtype=np.int32)[real]
+        said = np.cumsum((steps == AL.DIAGONAL) | (steps == AL.INSERTION), axis=1, dtype=np.int32)[real]
+        place = (np.cumsum(real, axis=1, dtype=np.int32) - 1)[real]
+        n, step = np.repeat(np.arange(len(pair)), real.sum(axis=1)), steps[real]
+        inserted, dropped = step == AL.INSERTION, step == AL.DELETION
+        position = np.where(inserted, used, used - 1)
+        r = np.where(inserted, -1, self.ref[np.minimum(self.roff[owner[n]] + position, len(self.ref) - 1)]) if len(self.ref) else np.full(len(n), -1)
+        h = np.where(dropped, -1, self.hyp[np.minimum(self.hoff[pair[n]] + np.maximum(said - 1, 0), len(self.hyp) - 1)]) if len(self.hyp) else np.full(len(n), -1)
+        return Operations(owner[n], pair[n] - self.soff[owner[n]], place, step, position, r, h)
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0 .. size - 1 for each size, one after another."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+_NAMES = np.array(["match", "sub", "del", "ins"])
+
+
+def _lists(refs: list[list], hyps: list[list[list]]) -> tuple[pa.ListArray, pa.ListArray]:
+    return pa.array(refs, pa.list_(pa.string())), pa.array(hyps, pa.list_(pa.list_(pa.string())))
 
 
 def alignment(ref: list, hyp: list) -> list[tuple]:
     """``(ref_pos, gap, ref_tok, hyp_tok, op)`` in order; tie order diagonal,
     deletion, insertion from the end."""
-    return operations(ref, hyp, directions(ref, [hyp])[0])
-
-
-def _align_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows ``segment_id, system, sys_ord, ref, hyp`` sorted by segment; the
-    systems of a segment share the reference, so their DPs run together (a
-    segment cut by a batch edge is simply handled in two groups)."""
-    cols = ["segment_id", "system", "sys_ord", "op_pos", "ref_pos", "gap", "ref_tok", "hyp_tok", "op"]
-    for pdf in batches:
-        rows = []
-        for _, g in pdf.groupby("segment_id", sort=False):
-            ref = list(g["ref"].iloc[0]) if g["ref"].iloc[0] is not None else []
-            hyps = [list(h) if h is not None else [] for h in g["hyp"]]
-            for seg, system, sys_ord, hyp, steps in zip(g["segment_id"], g["system"], g["sys_ord"], hyps, directions(ref, hyps), strict=True):
-                rows += [(seg, system, sys_ord, k, *op) for k, op in enumerate(operations(ref, hyp, steps))]
-        yield pd.DataFrame(rows, columns=cols).astype(
-            {"ref_pos": "Int32", "gap": "Int32", "op_pos": "int32", "sys_ord": "int32"})
-
-
-def lattice_distances(bins: list, hyps: list[list], mode: str = "coded") -> tuple[list[int], int]:
-    """E8 for several hypotheses against one segment's bins ``[(tokens,
-    optional)]``: edits per hypothesis and N.  Tokens are numbered once, bin
-    membership is one incidence-matrix gather, and the DP rows of all
-    hypotheses advance together (padded, each read at its own length)."""
-    full = [set(toks) | ({EPS} if opt else set()) for toks, opt in bins]
-    n_ref = sum(1 for s in full if EPS not in s)
-    codes: dict = {}
-    hcs = _codes(hyps, codes)
-    for s in full:
-        for t in s:
-            codes.setdefault(t, len(codes))
-    pad = len(codes)
-    inc = np.zeros((len(full), pad + 1), dtype=bool)
-    for i, s in enumerate(full):
-        inc[i, [codes[t] for t in s]] = True
-    k = len(hyps)
-    hmax = max((len(h) for h in hyps), default=0)
-    hc = np.full((k, hmax), pad, dtype=np.int64)
-    for i, h in enumerate(hcs):
-        hc[i, :len(h)] = h
-    col0 = np.array([0 if EPS in s else 1 for s in full], dtype=np.int64)
-    if mode == "coded":
-        skip = np.array([0 if s == {EPS} else 1 for s in full], dtype=np.int64)
-    else:
-        skip = np.array([0 if EPS in s else 1 for s in full], dtype=np.int64)
-    ar = np.arange(hmax + 1, dtype=np.int64)
-    prev = np.tile(ar, (k, 1))
-    t = np.empty((k, hmax + 1), dtype=np.int64)
-    for i in range(len(full)):
-        t[:, 0] = prev[:, 0] + col0[i]
-        if hmax:
-            miss = ~inc[i][hc]
-            np.minimum(prev[:, :-1] + miss, prev[:, 1:] + skip[i], out=t[:, 1:])
-        prev = np.minimum.accumulate(t - ar, axis=1) + ar
-    return [int(prev[n, len(h)]) for n, h in enumerate(hyps)], n_ref
-
-
-def lattice_distance(bins: list, hyp: list, mode: str = "coded") -> tuple[int, int]:
-    """(edits, N) of one hypothesis against bins ``[(tokens, optional)]``."""
-    e, n = lattice_distances(bins, [hyp], mode)
-    return e[0], n
+    a = Aligned(*_lists([ref], [[hyp]]))
+    o = a.operations(np.array([0]))
+    words = a.words.to_pylist()
+    out = []
+    for step, p, r, h in zip(o.step.tolist(), o.position.tolist(), o.ref.tolist(), o.hyp.tolist(), strict=True):
+        if step == AL.INSERTION:
+            out.append((None, p, None, words[h], "ins"))
+        elif step == AL.DELETION:
+            out.append((p, None, words[r], None, "del"))
+        else:
+            out.append((p, None, words[r], words[h], "match" if r == h else "sub"))
+    return out
+
+
+def _align_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``segment_id, system, sys_ord, ref, hyp``: each is a segment of one hypothesis."""
+    for b in batches:
+        hyp = b.column("hyp")
+        one = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32)), hyp)
+        a = Aligned(b.column("ref"), one)
+        for segments in a.batches:
+            o = a.operations(segments)
+            row = pa.array(o.segment)
+            ins, no_ref, no_hyp = o.step == AL.INSERTION, o.ref < 0, o.hyp < 0
+            op = np.where(o.step == AL.DIAGONAL, np.where(o.ref == o.hyp, 0, 1), np.where(ins, 3, 2))
+            at = lambda v, skip: pa.array(v.astype(np.int32), pa.int32(), mask=skip)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("segment_id").take(row), b.column("system").take(row), b.column("sys_ord").take(row), pa.array(o.place, pa.int32()),
+                 at(o.position, ins), at(o.position, ~ins), a.words.take(at(o.ref, no_ref)), a.words.take(at(o.hyp, no_hyp)), pa.array(_NAMES[op], pa.string())],
+                names=["segment_id", "system", "sys_ord", "op_pos", "ref_pos", "gap", "ref_tok", "hyp_tok", "op"])
 
 
 BIN = "struct<pos:int,kind:int,first_sys:int,first_pos:int,tokens:array<string>,optional:boolean>"
@@ -174,34 +160,117 @@ SCORE = "struct<sys_ord:int,subs:bigint,dels:bigint,ins:bigint,hits:bigint,latti
 SUSPECT = "struct<ref_pos:int,ref_tok:string,hyp_tok:string,n_systems:bigint>"
 
 
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order that sorts the keys, first entry of each in that order, how many)."""
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+    return order, first, np.diff(np.append(first, len(k)))
+
+
+def _report(a: Aligned, segments: np.ndarray, thresh: int, mode: str) -> tuple[list, list, list]:
+    """Columns of bins, scores and suspects of some segments, ordered by segment."""
+    o = a.operations(segments)
+    d = len(a.words)
+    both, ins = o.step == AL.DIAGONAL, o.step == AL.INSERTION
+    # Reference positions and the tokens heard there
+    own = np.repeat(segments, a.rlen[segments])
+    pos = _within(a.rlen[segments])
+    said = a.ref[a.roff[own] + pos]
+    here = (a.roff[o.segment[both]] + o.position[both]) * d + o.hyp[both]
+    ref_keys = np.unique(np.concatenate([(a.roff[own] + pos) * d + said, here]))
+    spot = ref_keys // d
+    _, lead, size = _grouped(spot)
+    seg_of = np.searchsorted(a.roff, spot[lead], "right") - 1
+    bins = [seg_of, spot[lead] - a.roff[seg_of], np.zeros(len(lead), np.int64), np.zeros(len(lead), np.int64), np.zeros(len(lead), np.int64), lead, size]
+    token = ref_keys % d
+    # Tokens that several systems put in a reference token's place
+    order, first, many = _grouped(here)
+    k = here[order[first]]
+    at = k // d
+    odd = (many >= thresh) & (a.ref[at] != k % d) if len(k) else np.zeros(0, bool)
+    sus_seg = np.searchsorted(a.roff, at[odd], "right") - 1
+    suspects = [sus_seg, at[odd] - a.roff[sus_seg], a.ref[at[odd]] if len(a.ref) else at[odd], k[odd] % d, many[odd]]
+    # A10: inserted tokens of a gap, first seen by the first system, there first
+    rows = np.flatnonzero(ins)
+    rows = rows[np.lexsort((o.place[rows], o.system[rows]))]
+    gap = (a.roff[o.segment[rows]] + o.segment[rows] + o.position[rows]) * d + o.hyp[rows]
+    order, first, many = _grouped(gap)
+    lead = rows[order[first]]
+    keep = many >= thresh
+    if mode == "coded":
+        keep &= o.position[lead] < a.rlen[o.segment[lead]]
+    lead = lead[keep]
+    added = [o.segment[lead], o.position[lead], np.full(len(lead), 1 if mode == "coded" else -1), o.system[lead] + 1, o.place[lead], len(token) + np.arange(len(lead)), np.ones(len(lead), np.int64)]
+    token = np.concatenate([token, o.hyp[lead]])
+    opt = np.concatenate([np.zeros(len(seg_of), bool), np.ones(len(lead), bool)])
+    bins = [np.concatenate([x, y]) for x, y in zip(bins, added, strict=True)]
+    sort = np.lexsort((bins[4], bins[3], bins[2], bins[1], bins[0]))
+    seg, pos, kind, sys1, place1, start, size = (x[sort] for x in bins)
+    opt = opt[sort]
+    # E8
+    by = np.argsort(segments)
+    number = np.searchsorted(segments[by], seg)  # segments in order, from 0
+    count = np.bincount(number, minlength=len(segments))
+    slot = _within(count)
+    tokens = np.full((len(segments), int(count.max(initial=0)), int(size.max(initial=0)) + 1), -3, np.int32)
+    inner = _within(size)
+    flat = token[np.repeat(start, size) + inner]
+    tokens[np.repeat(number, size), np.repeat(slot, size), inner] = flat
+    tokens[number[opt], slot[opt], size[opt]] = a.eps
+    has = np.zeros(tokens.shape[:2], bool)
+    only = np.zeros(tokens.shape[:2], bool)
+    has[number, slot] = (tokens[number, slot] == a.eps).any(axis=1)
+    only[number, slot] = has[number, slot] & ((tokens[number, slot] == a.eps) | (tokens[number, slot] == -3)).all(axis=1)
+    ordered = segments[by]
+    owner = np.repeat(np.arange(len(ordered)), a.systems[ordered])
+    pair = np.repeat(a.soff[ordered], a.systems[ordered]) + _within(a.systems[ordered])
+    hyp, hlen = AL.padded(a.hyp, a.hoff, pair, -2)
+    edits = AL.lattice(tokens, has, only if mode == "coded" else has, count, owner, hyp, hlen)
+    full = np.bincount(number, weights=~has[number, slot], minlength=len(segments)).astype(np.int64)
+    # E6
+    n = a.soff[o.segment] + o.system
+    tally = [np.bincount(n[m], minlength=len(a.hlen))[pair] for m in (both & (o.ref != o.hyp), o.step == AL.DELETION, ins, both & (o.ref == o.hyp))]
+    scores = [ordered[owner], pair - a.soff[ordered[owner]] + 1, *tally, edits, full[owner]]
+    return [seg, pos, kind, sys1, place1, size, flat, opt], scores, suspects
+
+
+def _structs(count: np.ndarray, fields: list[tuple[str, pa.Array]]) -> pa.ListArray:
+    """A list of structs per row from their columns."""
+    off = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.StructArray.from_arrays([x for _, x in fields], names=[n for n, _ in fields]))
+
+
+def _reports(refs: pa.ListArray, hyps: pa.ListArray, thresh: int, mode: str) -> list[pa.Array]:
+    """Columns ``bins``, ``scores``, ``suspects`` of the segments."""
+    a, n = Aligned(refs, hyps), len(refs)
+    parts = [_report(a, s, thresh, mode) for s in a.batches]
+
+    def joined(k: int, width: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        cols = [np.concatenate([p[k][c] for p in parts]) if parts else np.zeros(0, np.int64) for c in range(width)]
+        return np.argsort(cols[0], kind="stable"), cols
+
+    def word(ids):
+        return a.words.take(pa.array(ids.astype(np.int64)))
+
+    order, (seg, pos, kind, sys1, place1, size, flat, opt) = joined(0, 8)
+    start = np.cumsum(size) - size
+    size = size[order]
+    flat = flat[np.repeat(start[order], size) + _within(size)]
+    tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), word(flat))
+    i32 = lambda v: pa.array(v[order], pa.int32())
+    bins = _structs(np.bincount(seg, minlength=n), [("pos", i32(pos)), ("kind", i32(kind)), ("first_sys", i32(sys1)), ("first_pos", i32(place1)), ("tokens", tokens), ("optional", pa.array(opt[order].astype(bool)))])
+    order, (seg, ordinal, *numbers) = joined(1, 8)
+    names = ("subs", "dels", "ins", "hits", "lattice_edits", "lattice_n")
+    scores = _structs(np.bincount(seg, minlength=n), [("sys_ord", pa.array(ordinal[order], pa.int32())), *[(k, pa.array(v[order], pa.int64())) for k, v in zip(names, numbers, strict=True)]])
+    order, (seg, pos, ref, hyp, many) = joined(2, 5)
+    suspects = _structs(np.bincount(seg, minlength=n), [("ref_pos", pa.array(pos[order], pa.int32())), ("ref_tok", word(ref[order])), ("hyp_tok", word(hyp[order])), ("n_systems", pa.array(many[order], pa.int64()))])
+    return [bins, scores, suspects]
+
+
 def segment_report(ref: list, hyps: list[list], thresh: int = 3, mode: str = "coded") -> tuple[list, list, list]:
-    """(bins, scores per system, suspected reference errors) of one segment."""
-    heard = [{} for _ in ref]          # per reference position: token -> systems
-    added: dict = {}                   # (gap, token) -> [count, first system, first place]
-    counts = []
-    for m, (hyp, steps) in enumerate(zip(hyps, directions(ref, hyps), strict=True), start=1):
-        tally = dict.fromkeys(("sub", "del", "ins", "match"), 0)
-        for place, (pos, gap, _, token, op) in enumerate(operations(ref, hyp, steps)):
-            tally[op] += 1
-            if op == "ins":
-                added.setdefault((gap, token), [0, m, place])[0] += 1
-            elif op != "del":
-                heard[pos][token] = heard[pos].get(token, 0) + 1
-        counts.append(tally)
-    bins = [(p, 0, 0, 0, sorted({ref[p], *heard[p]}), False) for p in range(len(ref))]
-    for (gap, token), (n, m, place) in added.items():
-        if n >= thresh and not (mode == "coded" and gap >= len(ref)):
-            bins.append((gap, 1 if mode == "coded" else -1, m, place, [token], True))
-    bins.sort(key=lambda b: b[:5])
-    edits, n_ref = lattice_distances([(b[4], b[5]) for b in bins], hyps, mode)
-    scores = [(m, t["sub"], t["del"], t["ins"], t["match"], e, n_ref) for m, (t, e) in enumerate(zip(counts, edits, strict=True), start=1)]
-    suspects = [(p, ref[p], token, n) for p, said in enumerate(heard) for token, n in said.items() if token != ref[p] and n >= thresh]
-    return bins, scores, suspects
-
-
-def _named(spec: str, rows: list) -> list[dict]:
-    names = [f.split(":")[0] for f in spec.removeprefix("struct<").removesuffix(">").split(",")]
-    return [dict(zip(names, r, strict=True)) for r in rows]
+    """(bins, scores per system, suspected reference errors) of one segment, as tuples."""
+    return tuple([tuple(x.values()) for x in col.to_pylist()[0]] for col in _reports(*_lists([ref], [hyps]), thresh, mode))
 
 
 def segment_reports(wide: DataFrame, thresh: int = 3, mode: str = "coded", keep: list[str] | None = None) -> DataFrame:
@@ -212,15 +281,11 @@ def segment_reports(wide: DataFrame, thresh: int = 3, mode: str = "coded", keep:
     fields = {f.name: f.dataType.simpleString() for f in wide.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + f", bins array<{BIN}>, scores array<{SCORE}>, suspects array<{SUSPECT}>"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [segment_report(list(r), [list(h) if h is not None else [] for h in hs], thresh, mode)
-                     for r, hs in zip(pdf["ref"], pdf["hyps"], strict=True)]
-            out = pdf[keep].copy()
-            for i, (name, spec) in enumerate((("bins", BIN), ("scores", SCORE), ("suspects", SUSPECT))):
-                out[name] = [_named(spec, f[i]) for f in found]
-            yield out
-    return wide.where(F.size("ref") > 0).mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *_reports(b.column("ref"), b.column("hyps"), thresh, mode)], names=[*keep, "bins", "scores", "suspects"])
+    need = [*keep, *[c for c in ("ref", "hyps") if c not in keep]]
+    return wide.where(F.size("ref") > 0).select(*need).mapInArrow(run, schema)
 
 
 def wide_segments(sheet: DataFrame, systems=None) -> DataFrame:
@@ -260,8 +325,8 @@ def _per_segment(pairs: DataFrame) -> DataFrame:
 def align(pairs: DataFrame) -> DataFrame:
     """E5 (+ V5 surface): ``(segment_id, system, sys_ord, ref, hyp)`` token
     arrays to one row per alignment operation (ALIGN_SCHEMA)."""
-    return (pairs.select("segment_id", "system", "sys_ord", "ref", "hyp").sortWithinPartitions("segment_id")
-                 .mapInPandas(_align_batches, ALIGN_SCHEMA))
+    return (pairs.select(F.col("segment_id").cast("long"), F.col("system").cast("string"), F.col("sys_ord").cast("int"), "ref", "hyp")
+                 .mapInArrow(_align_batches, ALIGN_SCHEMA))
 
 
 def op_counts(aligned: DataFrame) -> DataFrame:

@@ -21,27 +21,31 @@ BAND_BYTES = 8 << 20
 EDGES = 32  # distance rows kept per depth
 
 
+def _distance_type(words: int) -> type:
+    return np.int16 if words < 30_000 else np.int32
+
+
 def _rows(ref: np.ndarray, hyp: np.ndarray, above: np.ndarray, lo: int, hi: int, steps: np.ndarray | None, edges: list | None, each: int) -> np.ndarray:
     """Distances of row ``hi`` from those of row ``lo``; fills ``steps`` with directions, or
-    ``edges`` with every ``each``-th row."""
-    ar = np.arange(above.shape[1], dtype=np.int32)
+    ``edges`` with every ``each``-th row.  A row is (hypothesis words + 1, pairs)."""
+    ar = np.arange(len(above), dtype=above.dtype)[:, None]
     for i in range(lo, hi):
         if edges is not None and (i - lo) % each == 0:
             edges.append(above)
-        both = above[:, :-1] + (hyp != ref[:, i:i + 1])
-        drop = above[:, 1:] + 1
+        both = above[:-1] + (hyp != ref[i])
+        drop = above[1:] + above.dtype.type(1)
         here = np.empty_like(above)
-        here[:, 0] = i + 1
-        np.minimum(both, drop, out=here[:, 1:])
+        here[0] = i + 1
+        np.minimum(both, drop, out=here[1:])
         here -= ar
-        np.minimum.accumulate(here, axis=1, out=here)
+        np.minimum.accumulate(here, axis=0, out=here)
         here += ar
         if steps is not None:
-            now = here[:, 1:]
+            now = here[1:]
             off = now != both
-            steps[i - lo, :, 0] = DELETION
-            steps[i - lo, :, 1:] = off
-            steps[i - lo, :, 1:] += off & (now != drop)
+            steps[i - lo, 0] = DELETION
+            steps[i - lo, 1:] = off
+            steps[i - lo, 1:] += off & (now != drop)
         above = here
     return above
 
@@ -50,8 +54,8 @@ def _back(ref, hyp, above, lo, hi, r, h, out) -> None:
     """Follow every pair that stands in rows lo + 1 .. hi back to row ``lo``; ``r`` and ``h``
     are moved, steps are appended to ``out``."""
     width = int(h.max(initial=0))  # nothing lies to the right of where a pair stands
-    hyp, above = hyp[:, :width], above[:, :width + 1]
-    n = len(ref)
+    hyp, above = hyp[:width], above[:width + 1]
+    n = len(r)
     if hi - lo > 1 and (hi - lo) * n * (width + 1) > BAND_BYTES:
         bands = min(EDGES, -(-(hi - lo) * n * (width + 1) // BAND_BYTES), hi - lo)
         each = -(-(hi - lo) // bands)
@@ -60,13 +64,13 @@ def _back(ref, hyp, above, lo, hi, r, h, out) -> None:
         for b in range(len(edges) - 1, -1, -1):
             _back(ref, hyp, edges.pop(), lo + b * each, min(hi, lo + (b + 1) * each), r, h, out)
         return
-    steps = np.empty((hi - lo, n, width + 1), np.uint8)
+    steps = np.empty((hi - lo, width + 1, n), np.uint8)
     _rows(ref, hyp, above, lo, hi, steps, None, 0)
     while True:
         own = np.flatnonzero(r > lo)
         if not len(own):
             return
-        c = steps[r[own] - lo - 1, own, h[own]]
+        c = steps[r[own] - lo - 1, h[own], own]
         step = np.full(n, NONE, np.uint8)
         step[own] = c
         out.append(step)
@@ -80,11 +84,12 @@ def align(ref: np.ndarray, hyp: np.ndarray, rlen: np.ndarray, hlen: np.ndarray)
     ``ref`` and ``hyp`` hold token numbers, one row a pair, padded with values that
     match nothing.
     """
-    n = len(ref)
+    n, words = len(ref), ref.shape[1] + hyp.shape[1]
     r, h, out = rlen.astype(np.int64), hlen.astype(np.int64), []
-    above = np.tile(np.arange(hyp.shape[1] + 1, dtype=np.int32), (n, 1))
     if n and ref.shape[1]:
-        _back(ref, hyp, above, 0, ref.shape[1], r, h, out)
+        # pairs side by side: a step of the program runs along memory
+        above = np.repeat(np.arange(hyp.shape[1] + 1, dtype=_distance_type(words))[:, None], n, axis=1)
+        _back(np.ascontiguousarray(ref.T), np.ascontiguousarray(hyp.T), above, 0, ref.shape[1], r, h, out)
     for k in range(int(h.max(initial=0))):  # what is left of the hypothesis stands before the reference
         out.append(np.where(h > k, INSERTION, NONE).astype(np.uint8))
     return np.ascontiguousarray(np.array(out[::-1], np.uint8).reshape(len(out), n).T)
@@ -124,22 +129,26 @@ def lattice(tokens: np.ndarray, empty: np.ndarray, free: np.ndarray, count: np.n
     per segment, ``owner`` the segment of each hypothesis.
     """
     width = hyp.shape[1]
-    ar = np.arange(width + 1, dtype=np.int32)
-    prev = np.tile(ar, (len(hyp), 1))
+    kind = _distance_type(width + tokens.shape[1])
+    ar = np.arange(width + 1, dtype=kind)[:, None]
+    prev = np.repeat(ar, len(hyp), axis=1)
     out = np.zeros(len(hyp), np.int64)
-    rows = np.arange(len(hyp))
+    rows, said = np.arange(len(hyp)), np.ascontiguousarray(hyp.T)
     for i in range(tokens.shape[1]):
         t = np.empty_like(prev)
-        t[:, 0] = prev[:, 0] + ~empty[owner, i]
+        t[0] = prev[0] + ~empty[owner, i]
         if width:
-            miss = np.ones(hyp.shape, bool)
-            for w in range(tokens.shape[2]):
-                miss &= hyp != tokens[owner, i, w][:, None]
-            np.minimum(prev[:, :-1] + miss, prev[:, 1:] + ~free[owner, i][:, None], out=t[:, 1:])
+            miss = said != tokens[owner, i, 0]
+            for w in range(1, tokens.shape[2]):
+                more = tokens[:, i, w]
+                if (more < 0).all():
+                    break
+                miss &= said != more[owner]
+            np.minimum(prev[:-1] + miss, prev[1:] + ~free[owner, i], out=t[1:])
         t -= ar
-        np.minimum.accumulate(t, axis=1, out=t)
+        np.minimum.accumulate(t, axis=0, out=t)
         t += ar
         prev = t
         done = count[owner] == i + 1
-        out[done] = prev[rows[done], hlen[done]]
+        out[done] = prev[hlen[done], rows[done]]
     return out

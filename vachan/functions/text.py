@@ -99,19 +99,100 @@ def _java_literal_replacement(s: str) -> str:
 
 
 def rewrite_tokens(c, pairs, mode: str = "coded") -> Column:
-    """Apply ``(variant, canonical)`` rewrites one after another.
+    """Apply ``(variant, canonical)`` rewrites one after another, in the JVM.
 
     Each step rewrites every whole-token occurrence in one left-to-right pass,
-    like a single ``re.sub``.  Each step references the previous one once, so
-    the expression stays linear in the number of rewrites.
+    like a single ``re.sub``.  The input is named once (bound as a lambda variable),
+    so nested lists add up instead of multiplying.
     """
-    x = _col(c)
-    out = x
-    for variant, canon in pairs:
-        out = F.regexp_replace(out, token_pattern(variant, mode), _java_literal_replacement(canon))
-    # one search for any variant decides whether the chain has anything to do: a
-    # rewrite can only make a later one match if some variant was there before
-    return F.when(x.rlike("|".join(java_quote(v) for v, _ in pairs)), out).otherwise(x) if pairs else out
+    def chain(x):
+        out = x
+        for variant, canon in pairs:
+            out = F.regexp_replace(out, token_pattern(variant, mode), _java_literal_replacement(canon))
+        # one search for any variant decides whether the chain has anything to do: a
+        # rewrite can only make a later one match if some variant was there before
+        return F.when(x.rlike("|".join(java_quote(v) for v, _ in pairs)), out).otherwise(x)
+
+    return F.element_at(F.transform(F.array(_col(c)), chain), 1) if pairs else _col(c)
+
+
+class OrderedRewrites:
+    """A list of whole-token rewrites, applied in its order, token by token.
+
+    A rewrite is flanked by characters that are no word characters, so a space
+    bounds what it can see: a text is the rewrites of its tokens, except where a
+    variant with a space might reach over one.  Tokens whose forms (all that the
+    list makes of them on the way) end and begin like the two sides of such a
+    space are taken together, so the result is that of the whole text.  One
+    automaton of all variants finds the tokens that have any; each distinct token
+    is rewritten once and remembered (up to ``REMEMBER`` tokens).
+    """
+
+    REMEMBER = 200_000
+
+    def __init__(self, pairs, mode: str = "coded"):
+        self.pairs, self.mode = [tuple(p) for p in pairs], mode
+        self.known: dict[str, list[str]] = {}
+        self.find = None
+
+    def __getstate__(self):
+        return {"pairs": self.pairs, "mode": self.mode, "known": {}, "find": None}
+
+    def _compile(self) -> None:
+        import regex
+
+        w = WORD if self.mode == "coded" else WORD_WITH_MARKS
+        self.steps = [(regex.compile(f"(?<!{w}){regex.escape(v)}(?!{w})"), c) for v, c in self.pairs]
+        self.find = regex.compile("|".join(regex.escape(v) for v, _ in sorted(self.pairs, key=lambda p: -len(p[0])))).search
+        split = [v.split(" ") for v, _ in self.pairs if " " in v]
+        self.gaps = sorted({(p[k], p[k + 1]) for p in split for k in range(len(p) - 1)})
+        self.edges = tuple({x for g in self.gaps for x in g})
+
+    def forms(self, token: str) -> list[str]:
+        """The token, and what it is after each rewrite that changes it."""
+        out = self.known.get(token)
+        if out is None:
+            out = [token]
+            if self.find(token):
+                for pattern, canon in self.steps:
+                    new = pattern.sub(lambda _, canon=canon: canon, out[-1])
+                    if new != out[-1]:
+                        out.append(new)
+            if len(self.known) >= self.REMEMBER:
+                self.known.clear()
+            self.known[token] = out
+        return out
+
+    def _reaches(self, left: list[str], right: list[str]) -> bool:
+        return any(any(f.endswith(a) for f in left) and any(f.startswith(b) for f in right) for a, b in self.gaps)
+
+    def __call__(self, text: str) -> str:
+        if self.find is None:
+            self._compile()
+        if not self.pairs:
+            return text
+        out, held = [], None
+        for token in text.split(" "):
+            here = self.forms(token)
+            if held is not None and self.gaps and self._reaches(held, here):
+                held = self.forms(f"{held[0]} {token}")
+            else:
+                if held is not None:
+                    out.append(held[-1])
+                held = here
+        out.append(held[-1])
+        return " ".join(out)
+
+
+def ordered_rewrites(c, pairs, mode: str = "coded") -> Column:
+    """``OrderedRewrites`` as a column function, over Arrow batches."""
+    rewrite = OrderedRewrites(pairs, mode)
+
+    @F.pandas_udf(T.StringType())
+    def rewrites(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: rewrite(x) if isinstance(x, str) else x)
+
+    return rewrites(_col(c))
 
 
 def canonicalise(c, convert_number_words: bool = False, mode: str = "coded",
@@ -119,33 +200,44 @@ def canonicalise(c, convert_number_words: bool = False, mode: str = "coded",
                  normalise_unicode: bool = False) -> Column:
     """whitespace, digits, ordinals, [number words], schwa variants, trim.
 
-    ``null_as='empty'`` maps NULL to ``''``; ``'nan'`` maps it to the word
-    ``nan`` (what a string cast of a missing spreadsheet cell yields).
-    ``normalise_unicode=True`` applies NFC first, so precomposed nukta letters
-    (U+0958..U+095F) meet the lexicons' letter + nukta form; off by default,
-    as the original looked up raw code points.
+    The lists are one ordered list for ``ordered_rewrites``.  ``null_as='empty'``
+    maps NULL to ``''``; ``'nan'`` maps it to the word ``nan`` (what a string cast
+    of a missing spreadsheet cell yields).  ``normalise_unicode=True`` applies NFC
+    first, so precomposed nukta letters (U+0958..U+095F) meet the lexicons'
+    letter + nukta form; off by default, as the original looked up raw code
+    points.
     """
     x = _col(c)
     x = F.coalesce(x, F.lit("" if null_as == "empty" else "nan"))
     if normalise_unicode:
         x = nfc(x)
-    x = collapse_ws(x)
-    x = digits_to_ascii(x)
-    x = rewrite_tokens(x, L.ORDINAL_REWRITES if ordinals is None else ordinals, mode)
+    x = digits_to_ascii(collapse_ws(x))
+    pairs = list(L.ORDINAL_REWRITES if ordinals is None else ordinals)
     if convert_number_words:
-        x = rewrite_tokens(x, L.NUMBER_WORD_REWRITES if numerals is None else numerals, mode)
-    x = rewrite_tokens(x, L.SCHWA_REWRITES if schwa is None else schwa, mode)
-    return F.trim(x)
+        pairs += L.NUMBER_WORD_REWRITES if numerals is None else numerals
+    pairs += L.SCHWA_REWRITES if schwa is None else schwa
+    return F.trim(ordered_rewrites(x, pairs, mode))
 
 
 # ── F10-F13: scoring tokens ─────────────────────────────────────────────────
 
 @F.pandas_udf(T.StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    """Unicode NFC (no Spark built-in; Arrow-batched)."""
+def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x) if isinstance(x, str) else x)
 
 
+# The first character that normalisation can touch or that can compose with one before
+# it is U+0300; a text without any from there on is its own NFC.
+NFC_TOUCHES = r"[^\x{0000}-\x{02FF}]"
+
+
+def nfc(c) -> Column:
+    """Unicode NFC (no Spark built-in; Arrow-batched).  Only texts that
+    normalisation could touch reach Python, the others go as NULL and stay as they are."""
+    x = _col(c)
+    return F.coalesce(_nfc(F.when(x.rlike(NFC_TOUCHES), x)), x)
+
+
 def strip_scoring_punct(c) -> Column:
     """each scoring punctuation mark becomes a space."""
     return F.regexp_replace(_col(c), SCORING_PUNCT, " ")

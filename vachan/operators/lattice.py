@@ -442,22 +442,22 @@ def zip_bins(j: DataFrame) -> DataFrame:
 
 
 def nth_segment(df: DataFrame, n: int = 2, order_col: str = "segment_id") -> DataFrame:
-    """T5: rows of the ``n``-th segment in sheet order; none if there are fewer."""
+    """T5: rows of the ``n``-th segment in sheet order; none if there are fewer.  Picked in
+    the sheet, before it is aligned, a single segment is evaluated."""
     first = df.select(order_col).distinct().orderBy(order_col).limit(n)
-    pick = first.agg(F.max(order_col).alias(order_col), F.count(F.lit(1)).alias("__k")).where(F.col("__k") == n)
-    return df.join(pick.drop("__k"), order_col, "left_semi")
+    pick = first.agg(F.max(order_col).alias("__nth"), F.count(F.lit(1)).alias("__k")).where(F.col("__k") == n)
+    return df.join(pick, F.col(order_col) == F.col("__nth"), "left_semi")
 
 
 def register_align_udtf(spark, name: str = "align_words") -> None:
     """V5: SQL surface of E5 — ``SELECT * FROM t, LATERAL align_words(ref, hyp)``
-    yields ``(op_pos, ref_pos, gap, ref_tok, hyp_tok, op)`` rows.  The bulk
-    path is ``align`` (Arrow batches); this UDTF is for ad-hoc SQL."""
+    yields ``(op_pos, ref_pos, gap, ref_tok, hyp_tok, op)`` rows, over Arrow."""
     from pyspark.sql.functions import udtf
 
-    @udtf(returnType="op_pos int, ref_pos int, gap int, ref_tok string, hyp_tok string, op string")
+    @udtf(returnType="op_pos int, ref_pos int, gap int, ref_tok string, hyp_tok string, op string", useArrow=True)
     class AlignWords:
         def eval(self, ref, hyp):
-            for k, (rp, gap, rt, ht, op) in enumerate(alignment(list(ref or []), list(hyp or []))):
+            for k, (rp, gap, rt, ht, op) in enumerate(alignment(list([] if ref is None else ref), list([] if hyp is None else hyp))):
                 yield k, rp, gap, rt, ht, op
 
     spark.udtf.register(name, AlignWords)

@@ -36,9 +36,12 @@ def wer_tier(c) -> Column:
     NaN falls through every comparison and lands in ``high``; a NULL score (an
     utterance without a reference) has no tier, see ``scoring.score_rejects``.
     """
-    x = F.col(c) if isinstance(c, str) else c
-    return (F.when(x.isNull(), F.lit(None).cast("string")).when(F.isnan(x), F.lit("high")).when(x <= 0, F.lit("correct")).when(x <= 15, F.lit("low"))
-             .when(x <= 50, F.lit("medium")).otherwise(F.lit("high")))
+    def tier(x):
+        return (F.when(x.isNull(), F.lit(None).cast("string")).when(F.isnan(x), F.lit("high")).when(x <= 0, F.lit("correct"))
+                 .when(x <= 15, F.lit("low")).when(x <= 50, F.lit("medium")).otherwise(F.lit("high")))
+
+    # the score is named once: Catalyst would work it out again for every mention
+    return F.element_at(F.transform(F.array(F.col(c) if isinstance(c, str) else c), tier), 1)
 
 
 def severity_rank(c) -> Column:
@@ -97,8 +100,9 @@ def interval_sample(df: DataFrame, n: int, order_cols: list[str], group_col: str
 
 
 def tier_counts(scored: DataFrame, wer_col: str = "wer") -> DataFrame:
-    """A3: rows per tier (partial aggregation before the shuffle)."""
-    return scored.where(F.col(wer_col).isNotNull()).groupBy(wer_tier(wer_col).alias("tier")).agg(F.count(F.lit(1)).alias("n"))
+    """A3: rows per tier (partial aggregation before the shuffle).  Rows without a score
+    are a group with no score to count; a filter before it would score twice."""
+    return scored.groupBy(wer_tier(wer_col).alias("tier")).agg(F.count(wer_col).alias("n")).where(F.col("n") > 0)
 
 
 def tier_report(scored: DataFrame, n_per_tier: int = 10, wer_col: str = "wer") -> DataFrame:

@@ -647,6 +647,8 @@ def _over(key: str, select: str) -> str:
 
 
 ORACLES.update({
+    # a pair of two empty texts has no operation, so no row of the lateral join
+    "align_sql": _over("align_ops", "* FROM {q} WHERE subs + dels + ins + hits > 0"),
     "chunk_counts": _over("pack_chunks", "user_id, count(*) AS n_chunks FROM {q} GROUP BY user_id"),
     "second_segment": _over("lattice_inspect", "segment_id, bin_idx, left(ref_tok, 3) AS ref_tok, full_bin, variants "
                             "FROM (SELECT *, dense_rank() OVER (ORDER BY segment_id) AS r FROM {q}) WHERE r = 2"),

@@ -14,6 +14,7 @@ from vachan.functions import text as TX
 from vachan.operators import sampling as SM
 from vachan.operators import scoring as SC
 from vachan.plans import derived as D
+from vachan.session import cut_lineage
 
 
 def systems_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +174,9 @@ def q_hindi_norm_summary(spark, sf_dir):
 
 def q_hindi_preview(spark, sf_dir):
     """T4: a fixed number of rows for the eye; the limit is the feature."""
-    return SC.preview(hindi_before_after(spark, sf_dir).where(F.col("wer_delta").isNotNull())).select("idx", "wer_before_norm", "wer_after_norm")
+    # the score decides which rows are shown, so it is written once, not worked out again by a pushed filter
+    scored = cut_lineage(hindi_before_after(spark, sf_dir))
+    return SC.preview(scored.where(F.col("wer_delta").isNotNull())).select("idx", "wer_before_norm", "wer_after_norm")
 
 
 def q_scoring_rejects(spark, sf_dir):
@@ -277,9 +280,8 @@ def q_suspected_ref_errors(spark, sf_dir):
 def q_lattice_documented(spark, sf_dir):
     """Documented mode: the lattice never scores worse than the plain reference."""
     d = lattice_detail(spark, sf_dir, "documented")
-    s = LT.system_summary(d)
-    worse = d.groupBy("system").agg(F.count_if(F.col("lattice_edits") > F.col("edits")).alias("n_worse"))
-    return s.join(worse, "system").select("system", "plain_edits", "plain_n", "lattice_edits", "lattice_n", "n_worse")
+    return d.groupBy("system").agg(F.sum("edits").alias("plain_edits"), F.sum("n").alias("plain_n"), F.sum("lattice_edits").alias("lattice_edits"),
+                                   F.sum("lattice_n").alias("lattice_n"), F.count_if(F.col("lattice_edits") > F.col("edits")).alias("n_worse"))
 
 
 def q_lattice_inspect(spark, sf_dir):
@@ -289,10 +291,22 @@ def q_lattice_inspect(spark, sf_dir):
 
 def q_second_segment(spark, sf_dir):
     """T5: the bins of the second segment of the sheet, for display (F21: prefixes)."""
-    return LT.nth_segment(q_lattice_inspect(spark, sf_dir), 2).withColumn("ref_tok", TX.display_prefix("ref_tok", 3))
+    sheet = LT.nth_segment(D.systems_wide(spark, sf_dir), 2)
+    r = LT.segment_reports(LT.wide_segments(sheet), 3, "coded", ["segment_id", "ref"])
+    rows = LT.zip_bins(r).select("segment_id", "bin_idx", "ref_tok", F.array_join("full_bin", "/").alias("full_bin"), "variants")
+    return rows.withColumn("ref_tok", TX.display_prefix("ref_tok", 3))
+
+
+def q_align_sql(spark, sf_dir):
+    """V5: the alignment by its SQL name, in a lateral join."""
+    LT.register_align_udtf(spark)
+    return spark.sql("SELECT segment_id, system, count_if(a.op = 'sub') AS subs, count_if(a.op = 'del') AS dels, count_if(a.op = 'ins') AS ins, "
+                     "count_if(a.op = 'match') AS hits FROM {pairs}, LATERAL align_words(ref, hyp) a GROUP BY segment_id, system",
+                     pairs=systems_long(spark, sf_dir).where(F.size("ref") > 0))
 
 
 QUERIES.update({
+    "align_sql": q_align_sql,
     "second_segment": q_second_segment,
     "align_ops": q_align_ops,
     "lattice_bins": q_lattice_bins,

@@ -107,7 +107,8 @@ def tier_counts(scored: DataFrame, wer_col: str = "wer") -> DataFrame:
 
 def tier_report(scored: DataFrame, n_per_tier: int = 10, wer_col: str = "wer") -> DataFrame:
     """A3: per error tier the rows available and sampled, and all errors."""
-    t = tier_counts(scored, wer_col).where(F.col("tier") != "correct")
+    # the condition looks at the count too, so it stays above the aggregation and scores nothing again
+    t = tier_counts(scored, wer_col).where(F.when(F.col("tier") == "correct", F.lit(0)).otherwise(F.col("n")) > 0)
     total = Window.partitionBy(F.lit(0))   # three rows at most
     return t.select("tier", F.col("n").alias("available"), F.least("n", F.lit(n_per_tier).cast("long")).alias("sampled"),
                     F.sum("n").over(total).alias("total_errors"))

@@ -11,7 +11,7 @@ part in one join, at the end: chunks, dealt to the blocks they touch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vachan.operators import audio as AU
@@ -27,12 +27,19 @@ def sample_blocks(waves: DataFrame) -> DataFrame:
     return AB.mono(waves if "block" in waves.columns else AB.to_blocks(waves))
 
 
+# Why a recording may be left out.
+REASONS = ("unparsable url", "missing audio", "sampling rate is not 16 kHz", "channels differ in length", "missing transcript",
+           "not json", "not an object", "malformed word list", "null word text or time")
+
+
 def plan_chunks(manifest: DataFrame, heads: DataFrame, transcripts: DataFrame,
-                max_chunk_sec: float = 29.0, min_chunk_sec: float = 0.5) -> DataFrame:
+                max_chunk_sec: float = 29.0, min_chunk_sec: float = 0.5, counters: Observation | None = None) -> DataFrame:
     """One narrow row per recording: ``recording_id, user_id, chunks, peak, reject_reason``;
     ``chunks`` are those with at least ``min_chunk_sec`` of samples.  Written once.
 
-    ``heads`` are ``audio_blocks.headers``: no sample is read here."""
+    ``heads`` are ``audio_blocks.headers``: no sample is read here.  ``counters`` takes
+    the recordings, and those of each of REASONS (``reject_counts``), in the
+    pass that writes the plan."""
     m = MF.rewrite_urls(manifest, "rec_url_gcp").select("recording_id", "user_id", F.col("reject_reason").alias("m_reason"))
     w = heads.select("recording_id", "sampling_rate", "n_samples", "peak", F.lit(True).alias("has_audio"))
     bad = CH.bad_words("words")
@@ -52,9 +59,20 @@ def plan_chunks(manifest: DataFrame, heads: DataFrame, transcripts: DataFrame,
     placed = F.transform("packed", lambda c: F.struct(c["chunk_id"].alias("chunk_id"), c["text"].alias("text"), c["start"].alias("start"), c["end"].alias("end"), *[
         x.alias(n) for x, n in zip(AB.sample_range(c["start"], c["end"], F.col("n_samples")), ("first", "stop"), strict=True)]))
     planned = j.select("recording_id", "user_id", "peak", reason.alias("reject_reason"), F.when(reason.isNull(), placed).alias("chunks"))
+    if counters is not None:
+        why = F.col("reject_reason")
+        planned = planned.observe(counters, F.count("*").alias("recordings"), *[F.count_if(why == r).alias(r) for r in REASONS], F.count_if(why.isNotNull() & ~why.isin(*REASONS)).alias("other"))
     return cut_lineage(planned.select("recording_id", "user_id", F.filter("chunks", lambda c: c["stop"] - c["first"] >= need).alias("chunks"), "peak", "reject_reason"))
 
 
+def reject_counts(spark: SparkSession, counters: Observation) -> DataFrame:
+    """``reject_reason, n`` as observed while the plan was written (a dozen rows);
+    recordings that were kept have a NULL reason."""
+    seen = counters.get
+    rejected = {r: seen[r] for r in (*REASONS, "other") if seen[r]}
+    return spark.createDataFrame([(None, seen["recordings"] - sum(rejected.values())), *rejected.items()], "reject_reason string, n long")
+
+
 def rejects_of(plan: DataFrame) -> DataFrame:
     """``recording_id, reject_reason``."""
     return plan.where(F.col("reject_reason").isNotNull()).select("recording_id", "reject_reason")

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from vachan.functions import lexicon as L
 from vachan.functions import text as TX
-from vachan.session import input_partitions
+from vachan.session import input_partitions, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -65,9 +66,10 @@ def system_tokens(ref: Column, k: Column, m: int) -> Column:
     return F.flatten(F.transform(ref, at))
 
 
-def systems_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D10 sheet: ``segment_id, url, Human, Model H .. Model n`` (texts)."""
-    u = utterances(spark, sf_dir).withColumn("__ref", TX.tokenise("Human"))
+def systems_wide(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """D10 sheet: ``segment_id, url, Human, Model H .. Model n`` (texts), of all utterances
+    or of ``rows`` of them."""
+    u = (utterances(spark, sf_dir) if rows is None else rows).withColumn("__ref", TX.tokenise("Human"))
     cols = [F.array_join(system_tokens(F.col("__ref"), F.col("segment_id"), m), " ").alias(name)
             for m, name in enumerate(L.SYSTEMS, start=1)]
     return u.select("segment_id", "url", "Human", *cols)

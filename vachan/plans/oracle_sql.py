@@ -660,3 +660,36 @@ ORACLES.update({
                        "WHEN vec_id % 29 = 0 THEN 'missing transcript' WHEN vec_id % 23 = 0 THEN 'not json' "
                        "WHEN vec_id % 19 = 0 THEN 'null word text or time' END AS r FROM embeddings) WHERE r IS NOT NULL",
 })
+
+
+def _latin() -> str:
+    """Code points whose Unicode name starts with LATIN, as a class (own copy of the rule)."""
+    import itertools
+    import unicodedata
+
+    points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000 and unicodedata.name(chr(c), "").startswith("LATIN")]
+    runs = [list(g) for _, g in itertools.groupby(enumerate(points), lambda p: p[1] - p[0])]
+    return "[" + "".join(f"\\x{{{r[0][1]:X}}}-\\x{{{r[-1][1]:X}}}" for r in runs) + "]"
+
+
+ORACLES.update({
+    "sheet_rows": f"WITH utt AS ({D.SQL_UTT}), sy AS ({D.SQL_SYSTEMS}) SELECT row_number() OVER (ORDER BY segment_id) - 1 AS sheet_row, regexp_extract(url, '[^/]*$') AS file, "
+                  "md5(array_to_string(ref, ' ')) AS ref_md5, md5(array_to_string(hyp, ' ')) AS hyp_md5 FROM sy WHERE m = 4",
+    "results_exchange": """WITH u AS (SELECT conv_id * 100 + turn AS k, text AS t FROM conversations)
+SELECT CASE WHEN k % 11 <> 0 THEN k::INTEGER END AS idx, md5(CASE k % 7 WHEN 0 THEN 'say "' || t || '", ok' WHEN 1 THEN 'two' || chr(10) || 'lines ' || t || ' ' WHEN 2 THEN '' ELSE t END) AS reference_md5,
+  md5(translate(t, 'aeiou', 'eioua')) AS hypothesis_md5, CASE WHEN k % 13 <> 0 THEN (k % 400) / 4.0::DOUBLE END AS wer,
+  nullif('bad ' || concat_ws(', ', CASE WHEN k % 11 = 0 THEN 'idx' END, CASE WHEN k % 13 = 0 THEN 'wer' END), 'bad ') AS reject_reason FROM u""",
+    "manifest_exchange": """SELECT event_id AS recording_id, CASE WHEN event_id % 10 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 15 <> 0 THEN (event_id % 90) / 4.0::DOUBLE END AS duration,
+  nullif('bad ' || concat_ws(', ', CASE WHEN event_id % 10 = 0 THEN 'user_id' END, CASE WHEN event_id % 15 = 0 THEN 'duration' END), 'bad ') AS reject_reason FROM events""",
+    "asset_scan": """WITH e AS (SELECT conv_id AS k, count(*) AS n, string_agg(role || length(text), ' ' ORDER BY turn) AS w, k % 4 <> 1 AS t, k % 5 <> 2 AS a, k % 6 = 0 AS bad
+  FROM conversations WHERE conv_id % 4 <> 1 OR conv_id % 5 <> 2 GROUP BY conv_id)
+SELECT k AS recording_id, CASE WHEN a THEN n + 1 END AS length, CASE WHEN a AND t AND NOT bad THEN n END AS n_words, CASE WHEN a AND t AND NOT bad THEN w END AS words,
+  CASE WHEN NOT a THEN 'missing audio' WHEN NOT t THEN 'missing transcript' WHEN bad THEN 'not json' END AS reject_reason FROM e""",
+    "reject_counts": "SELECT r.reject_reason, count(*) AS n FROM embeddings e LEFT JOIN (" + ORACLES["dataset_rejects"] + ") r ON r.recording_id = e.vec_id GROUP BY 1",
+    "incremental_scores": _over("wer_before_after", "idx, wer_before_norm, wer_after_norm, wer_delta FROM {q}"),
+    "script_flags": f"""WITH u AS (SELECT conv_id * 100 + turn AS segment_id, conv_id, text FROM conversations),
+t AS (SELECT *, CASE segment_id % 3 WHEN 0 THEN 'नमस्ते दुनिया ' || text WHEN 1 THEN repeat('नमस्ते दुनिया ', 40) || text ELSE text END AS t FROM u)
+SELECT segment_id, coalesce(2 * length(regexp_replace(t, {lit('[^' + _latin()[1:])}, '', 'g')) > length(t), FALSE) AS roman, regexp_matches(t, {lit(r'[\x{0900}-\x{097F}]')}) AS devanagari,
+  segment_id || '_audio.wav' AS file FROM t""",
+    "lattice_sparse": _over("align_ops", "* FROM {q} WHERE segment_id % 17 <> 0"),
+})

@@ -291,7 +291,7 @@ def q_lattice_inspect(spark, sf_dir):
 
 def q_second_segment(spark, sf_dir):
     """T5: the bins of the second segment of the sheet, for display (F21: prefixes)."""
-    sheet = LT.nth_segment(D.systems_wide(spark, sf_dir), 2)
+    sheet = D.systems_wide(spark, sf_dir, LT.nth_segment(D.utterances(spark, sf_dir), 2))
     r = LT.segment_reports(LT.wide_segments(sheet), 3, "coded", ["segment_id", "ref"])
     rows = LT.zip_bins(r).select("segment_id", "bin_idx", "ref_tok", F.array_join("full_bin", "/").alias("full_bin"), "variants")
     return rows.withColumn("ref_tok", TX.display_prefix("ref_tok", 3))
@@ -515,13 +515,7 @@ def q_dataset_build(spark, sf_dir):
 
 def q_dataset_rejects(spark, sf_dir):
     """S11 of the assembly, over inputs with faults of every kind by rule."""
-    manifest, waves, words = embedding_recordings(spark, sf_dir)
-    k = F.col("recording_id")
-    manifest = manifest.withColumn("rec_url_gcp", F.when(k % 11 == 0, F.lit("no-ids-here")).otherwise(F.col("rec_url_gcp")))
-    waves = waves.where(k % 13 != 0).withColumn("sampling_rate", F.when(k % 17 == 0, F.lit(8000)).otherwise(F.col("sampling_rate")))
-    broken = F.transform("words", lambda w: w.withField("word", F.lit(None).cast("string")))
-    words = words.where(k % 29 != 0).withColumn("words", F.when(k % 19 == 0, broken).otherwise(F.col("words")))
-    words = words.withColumn("reject_reason", F.when(k % 23 == 0, F.lit("not json")).otherwise(F.col("reject_reason")))
+    manifest, waves, words = faulty_recordings(spark, sf_dir)
     return DSB.rejects_of(DSB.plan_chunks(manifest, AB.headers(DSB.sample_blocks(waves)), words, 0.001, 0.0005))
 
 
@@ -536,3 +530,116 @@ def q_dataset_round_trip(spark, sf_dir):
 
 
 QUERIES.update({"dataset_build": q_dataset_build, "dataset_rejects": q_dataset_rejects, "dataset_round_trip": q_dataset_round_trip})
+
+
+# ── files: sheets, CSV exchange, transcripts and assets, streams ────────────
+
+from pyspark.sql import Observation  # noqa: E402
+
+from vachan.session import ensure_checkpoint_dir  # noqa: E402
+from vachan.sources import files as FS  # noqa: E402
+from vachan.streaming.incremental import run_incremental, utterance_scores  # noqa: E402
+
+
+def scratch(spark, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exchange/{name}-{uuid.uuid4().hex}"
+
+
+def q_sheet_rows(spark, sf_dir):
+    """The sheet written in several files and read by position: row numbers run on
+    from file to file, whatever the splits."""
+    path = scratch(spark, "sheet")
+    wide = D.systems_wide(spark, sf_dir).withColumn("Human", F.array_join(TX.tokenise("Human"), " "))
+    FS.write_csv(wide.repartitionByRange(5, "segment_id").sortWithinPartitions("segment_id").drop("segment_id"), path, mode="error")
+    sheet = FS.read_systems_sheet(spark, path)
+    return sheet.select(F.col("segment_id").alias("sheet_row"), TX.url_basename("url").alias("file"), F.md5("Human").alias("ref_md5"), F.md5(F.col("`Model l`")).alias("hyp_md5"))
+
+
+def q_results_exchange(spark, sf_dir):
+    """S2 + S8: results through CSV, with quotes, line ends, white space at the ends, empty
+    fields and values of the wrong type by rule."""
+    path, k = scratch(spark, "results"), F.col("segment_id")
+    ref = F.when(k % 7 == 0, F.concat(F.lit('say "'), F.col("Human"), F.lit('", ok'))).when(k % 7 == 1, F.concat(F.lit("two\nlines "), F.col("Human"), F.lit(" "))).when(k % 7 == 2, F.lit(""))
+    out = D.utterances(spark, sf_dir).select(F.when(k % 11 == 0, F.concat(F.lit("n"), k.cast("string"))).otherwise(k.cast("string")).alias("idx"),
+                                             ref.otherwise(F.col("Human")).alias("reference"), F.translate("Human", "aeiou", "eioua").alias("hypothesis"),
+                                             F.when(k % 13 == 0, F.lit("n/a")).otherwise((k % 400 / 4).cast("string")).alias("wer"))
+    FS.write_csv(out, path, mode="error")
+    r = FS.read_results(spark, path, multi_line=True, with_rejects=True)
+    return r.select("idx", F.md5(F.coalesce("reference", F.lit(""))).alias("reference_md5"), F.md5("hypothesis").alias("hypothesis_md5"), "wer", "reject_reason")
+
+
+def q_manifest_exchange(spark, sf_dir):
+    """S1 + S8: a manifest through CSV, with values that are not of their column's type."""
+    path, k = scratch(spark, "manifest"), F.col("event_id")
+    m = D.table(spark, sf_dir, "events").select(
+        k.cast("string").alias("recording_id"), F.when(k % 10 == 0, F.lit("someone")).otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.format_string("https://h/c/hq/hi/%d/%d_audio.wav", "user_id", k).alias("rec_url_gcp"), F.when(k % 15 == 0, F.lit("long, very")).otherwise((k % 90 / 4).cast("string")).alias("duration"), F.lit("x").alias("more"))
+    FS.write_csv(m, path, mode="error")
+    return FS.read_manifest(spark, path).select("recording_id", "user_id", "duration", "reject_reason")
+
+
+def q_asset_scan(spark, sf_dir):
+    """S3 + S5 + S7: transcripts and audio as files, one a recording (a conversation: a
+    segment per turn, over several lines), written by rule, found by scanning their
+    folders and paired by the id in their paths."""
+    root, k = scratch(spark, "assets"), F.col("recording_id")
+    word = F.format_string('{"words":[{"word":"%s%d","start":%d,"end":%d}]}', "role", F.length("text"), "turn", F.col("turn") + 1)
+    c = D.table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("recording_id")).agg(F.sort_array(F.collect_list(F.struct("turn", word.alias("w")))).alias("t"))
+    doc = F.when(k % 6 == 0, F.lit("no json")).otherwise(F.concat(F.lit('{"segments":['), F.array_join("t.w", ",\n"), F.lit("]}")))
+    for name, rows in (("transc", c.where(k % 4 != 1).select("recording_id", doc.alias("value"))), ("audio", c.where(k % 5 != 2).select("recording_id", F.repeat(F.lit("."), F.size("t")).alias("value")))):
+        rows.repartition(8, "recording_id").write.mode("error").partitionBy("recording_id").text(f"{root}/{name}")
+    by_folder = r"recording_id=([0-9]+)/"
+    audio = FS.read_assets(spark, f"{root}/audio/*/*.txt", by_folder)
+    return FS.pair_assets(audio, TS.read_transcripts(spark, f"{root}/transc/*/*.txt", by_folder)).select(
+        "recording_id", "length", F.size("words").alias("n_words"), F.array_join("words.word", " ").alias("words"), "reject_reason")
+
+
+def faulty_recordings(spark, sf_dir):
+    """Inputs of the assembly with faults of every kind by rule."""
+    manifest, waves, words = embedding_recordings(spark, sf_dir)
+    k = F.col("recording_id")
+    manifest = manifest.withColumn("rec_url_gcp", F.when(k % 11 == 0, F.lit("no-ids-here")).otherwise(F.col("rec_url_gcp")))
+    waves = waves.where(k % 13 != 0).withColumn("sampling_rate", F.when(k % 17 == 0, F.lit(8000)).otherwise(F.col("sampling_rate")))
+    broken = F.transform("words", lambda w: w.withField("word", F.lit(None).cast("string")))
+    words = words.where(k % 29 != 0).withColumn("words", F.when(k % 19 == 0, broken).otherwise(F.col("words")))
+    return manifest, waves, words.withColumn("reject_reason", F.when(k % 23 == 0, F.lit("not json")).otherwise(F.col("reject_reason")))
+
+
+def q_reject_counts(spark, sf_dir):
+    """Rejects by reason, counted by the pass that writes the plan."""
+    manifest, waves, words = faulty_recordings(spark, sf_dir)
+    counters = Observation("rejects")
+    DSB.plan_chunks(manifest, AB.headers(DSB.sample_blocks(waves)), words, 0.001, 0.0005, counters)
+    return DSB.reject_counts(spark, counters)
+
+
+def q_incremental_scores(spark, sf_dir):
+    """SURVEY 2.14: E4 as a stream over files that arrive a few at a time; the sink holds
+    what a batch over all of them gives."""
+    root = scratch(spark, "stream")
+    D.results_table(spark, sf_dir).repartition(6, "idx").write.mode("error").parquet(f"{root}/in")
+    schema = "idx long, reference string, hypothesis string"
+    run_incremental(spark, f"{root}/in", schema, utterance_scores, f"{root}/out", f"{root}/progress", max_files_per_trigger=2)
+    return spark.read.parquet(f"{root}/out").select("idx", "wer_before_norm", "wer_after_norm", "wer_delta")
+
+
+def q_script_flags(spark, sf_dir):
+    """Script of a text, of mixed ones too, and the file that a URL ends in."""
+    u, d = D.utterances(spark, sf_dir), F.lit("नमस्ते दुनिया ")
+    k = F.col("segment_id")
+    text = F.when(k % 3 == 0, F.concat(d, "Human")).when(k % 3 == 1, F.concat(F.repeat(d, 40), "Human")).otherwise(F.col("Human"))
+    return u.select("segment_id", text.alias("t"), "url").select("segment_id", TX.is_roman_script("t").alias("roman"), TX.has_devanagari("t").alias("devanagari"), TX.url_basename("url").alias("file"))
+
+
+def q_lattice_sparse(spark, sf_dir):
+    """A sheet in which some references are empty; those segments are left out."""
+    u = D.utterances(spark, sf_dir)
+    wide = D.systems_wide(spark, sf_dir, u).withColumn("Human", F.when(F.col("segment_id") % 17 == 0, F.lit(" , ")).otherwise(F.col("Human")))
+    r = LT.segment_reports(LT.wide_segments(wide), 3, "coded", ["segment_id", "systems"])
+    return r.select("segment_id", "systems", F.explode("scores").alias("s")).select(
+        "segment_id", F.element_at("systems", F.col("s.sys_ord")).alias("system"), "s.subs", "s.dels", "s.ins", "s.hits")
+
+
+QUERIES.update({"sheet_rows": q_sheet_rows, "results_exchange": q_results_exchange, "manifest_exchange": q_manifest_exchange, "asset_scan": q_asset_scan, "reject_counts": q_reject_counts,
+                "incremental_scores": q_incremental_scores, "script_flags": q_script_flags, "lattice_sparse": q_lattice_sparse})

@@ -45,14 +45,28 @@ def get_spark(app: str = "vachan", master: str | None = None, shuffle_partitions
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def workers_find_package() -> bool:
+    """Whether Python workers import this package by themselves: it is installed, or its
+    folder is on the PYTHONPATH that they inherit."""
+    import site
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    inherited = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    return root in inherited or root in [os.path.abspath(p) for p in [*site.getsitepackages(), site.getusersitepackages()]]
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors (``addPyFile`` of a zip), for clusters on
-    which it isn't installed; workers import the kernels by module name."""
+    """Send this package to the executors (``addPyFile`` of a zip), once a session, unless
+    they find it by themselves; workers import the kernels by module name."""
     import zipfile
 
+    sc = spark.sparkContext
+    if getattr(sc, "_vachan_shipped", False) or workers_find_package():
+        return
     here = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="vachan-pkg-"), "vachan.zip")
     with zipfile.ZipFile(path, "w") as z:
@@ -61,7 +75,8 @@ def ship_package(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     full = os.path.join(folder, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(here)))
-    spark.sparkContext.addPyFile(path)
+    sc.addPyFile(path)
+    sc._vachan_shipped = True
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

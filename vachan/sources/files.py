@@ -9,17 +9,19 @@ inside a quoted field is doubled (not escaped by a backslash), as Python's
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vachan.functions import lexicon as L
+from vachan.session import cut_lineage
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("recording_id", T.LongType()), T.StructField("user_id", T.LongType()),
     T.StructField("rec_url_gcp", T.StringType()), T.StructField("duration", T.DoubleType())])
 
-CSV = {"header": True, "quote": '"', "escape": '"'}
+# white space at the ends of a field belongs to it, in both directions
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 WAVE_SCHEMA = "recording_id long, sampling_rate int, channels array<array<float>>"
 
@@ -37,35 +39,55 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[t.alias(c) for c, t in typed.items()], F.when(bad != "", F.concat(F.lit("bad "), bad)).alias("reject_reason"))
 
 
-def read_results(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+RESULT_TYPES = {"idx": "int", "sample_id": "int", "severity_rank": "int"}
+
+
+def read_results(spark: SparkSession, path: str, multi_line: bool = False, with_rejects: bool = False) -> DataFrame:
     """Per-utterance results CSV; ``reference`` and ``hypothesis`` are
-    required, ``idx``/``wer`` are typed when present."""
+    required, ``idx``/``wer`` are typed when present.  A value that isn't of its
+    type becomes NULL; ``with_rejects`` names such columns in ``reject_reason``."""
     raw = spark.read.options(**CSV, multiLine=multi_line).csv(path)
     if "reference" not in raw.columns or "hypothesis" not in raw.columns:
         raise ValueError("results table must have 'reference' and 'hypothesis' columns")
-    cols = []
-    for c in raw.columns:
-        if c in ("idx", "sample_id", "severity_rank"):
-            cols.append(F.col(c).try_cast("int").alias(c))
-        elif c.startswith("wer"):
-            cols.append(F.col(c).try_cast("double").alias(c))
-        else:
-            cols.append(F.col(c))
+    types = {c: RESULT_TYPES.get(c) or ("double" if c.startswith("wer") else None) for c in raw.columns}
+    cols = [F.col(c).try_cast(t).alias(c) if t else F.col(c) for c, t in types.items()]
+    if with_rejects:
+        bad = F.concat_ws(", ", *[F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in types.items() if t])
+        cols.append(F.when(bad != "", F.concat(F.lit("bad "), bad)).alias("reject_reason"))
     return raw.select(*cols)
 
 
+def number_rows(df: DataFrame, out: str = "row") -> DataFrame:
+    """Add the 0-based number that each row has in its files, taken in order of path.
+
+    ``df`` is read from files.  A file may be read in many blocks, which tasks take
+    in any order; within a block rows come in file order.  Each row is written
+    once with its block and its place there; the rows before a block are a sum over
+    the blocks before it in its file and over the files before that, so the
+    numbers don't depend on how the files were split.
+    """
+    rows = cut_lineage(df.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"),
+                                 F.monotonically_increasing_id().alias("__place")))
+    blocks = rows.groupBy("__path", "__block").agg(F.min("__place").alias("__first"), F.count("*").alias("__n"))
+    files = blocks.groupBy("__path").agg(F.sum("__n").alias("__n"))
+    # one row per file here, and per block of a file there: their number is that of splits, not of rows
+    files = files.select("__path", F.coalesce(F.sum("__n").over(Window.orderBy("__path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__files"))
+    blocks = blocks.select("__path", "__block", "__first", F.coalesce(F.sum("__n").over(Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__blocks"))
+    placed = rows.join(blocks.join(files, "__path"), ["__path", "__block"])
+    return placed.withColumn(out, F.col("__files") + F.col("__blocks") + F.col("__place") - F.col("__first")).drop("__path", "__block", "__place", "__first", "__blocks", "__files")
+
+
 def read_systems_sheet(spark: SparkSession, path: str, fmt: str = "csv", systems=None, multi_line: bool = False) -> DataFrame:
     """The multi-system sheet read by **position** (url, reference, one
-    column per system); empty or missing cells become ``''``.  A
-    ``segment_id`` (sheet row order) is added for ordering."""
+    column per system); empty or missing cells become ``''``.  ``segment_id`` is
+    the row's number in the sheet (``number_rows``)."""
     systems = systems or L.SYSTEMS
     reader = spark.read.options(**CSV, multiLine=multi_line) if fmt == "csv" else spark.read
     raw = reader.format(fmt).load(path)
     names = ["url", "Human", *systems]
     cols = raw.columns[:len(names)]
-    df = raw.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(cols, names)])
-    df = df.select(*[F.col("url")] + [F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names[1:]])
-    return df.withColumn("segment_id", F.monotonically_increasing_id())
+    df = number_rows(raw, "__row").select("__row", *[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(cols, names)])
+    return df.select(*[F.col("url")] + [F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names[1:]], F.col("__row").alias("segment_id"))
 
 
 def systems_long(sheet: DataFrame, systems=None) -> DataFrame:
@@ -101,6 +123,18 @@ def read_assets(spark: SparkSession, pattern: str, id_pattern: str = r"([0-9]+)\
     return df.select(F.regexp_extract("path", id_pattern, 1).try_cast("long").alias("recording_id"), "path", "length")
 
 
+def pair_assets(audio: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """S7 + S11: the two halves of each recording by the id in their file names:
+    ``recording_id, length, words, reject_reason``; a half without the other, or a file
+    whose name holds no id, is a reject."""
+    a = audio.select("recording_id", "length", F.lit(True).alias("__a"))
+    t = transcripts.select("recording_id", "words", F.col("reject_reason").alias("__why"), F.lit(True).alias("__t"))
+    j = a.join(t, "recording_id", "full_outer")
+    reason = (F.when(F.col("recording_id").isNull(), F.lit("file name without an id")).when(F.col("__a").isNull(), F.lit("missing audio"))
+               .when(F.col("__t").isNull(), F.lit("missing transcript")).otherwise(F.col("__why")))
+    return j.select("recording_id", "length", F.when(reason.isNull(), F.col("words")).alias("words"), reason.alias("reject_reason"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV, no index column."""
     df.write.mode(mode).options(**CSV).csv(path)

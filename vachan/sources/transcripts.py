@@ -1,6 +1,6 @@
 """Transcript JSON documents to timed-word arrays.
 
-Each document is one string (``read.text(wholetext=True)``) parsed to a
+Each document is one string (``read.text(path, wholetext=True)``) parsed to a
 VARIANT.  Schema priority is by key **presence**: ``words`` > ``segments`` >
 ``transcript``/``text``.  Word text is the first present of ``word``,
 ``text`` (else ``""``); times are the first present of ``start`` /
@@ -96,7 +96,7 @@ def _resolve(v: Column) -> Column:
 def read_transcripts(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)\.json$") -> DataFrame:
     """S3 + S7: one row per JSON file, ``recording_id`` from the file name,
     ``words`` and ``reject_reason`` from ``parse_transcript``."""
-    raw = spark.read.option("wholetext", True).text(path).select(
+    raw = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
     rid = F.regexp_extract("path", id_pattern, 1)
     return raw.select(F.coalesce(rid.try_cast("long"), F.lit(None).cast("long")).alias("recording_id"), "path",

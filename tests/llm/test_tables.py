@@ -209,6 +209,25 @@ def test_exact_dedup_batches(spark, awkward):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_exact_dedup_always_asks_the_index(spark, awkward, monkeypatch):
+    """The first batch too is anti-joined with the bucketed index, which isn't shuffled."""
+    plans = []
+    real = exact_dedup.open_index
+
+    def seen(spark, table, buckets):
+        t = real(spark, table, buckets)
+        plans.append(awkward.select(exact_dedup.digest(F.col("text")).alias("digest")).distinct().join(t.select("digest").hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString())
+        return t
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(exact_dedup, "open_index", seen)
+    table = f"test_index_{uuid.uuid4().hex}"
+    exact_dedup.dedup_batch(awkward, table, "one").count()
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "LeftAnti" in plans[0] and "Bucketed: true" in plans[0]
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_exact_dedup_keeps_whole_rows(spark, awkward, none):
     table = f"test_index_{uuid.uuid4().hex}"
     kept = exact_dedup.keep_rows(awkward, table, "one")

@@ -257,11 +257,50 @@ def test_rounding_is_fair():
     assert abs(total / runs - 0.3).max() < 0.09
 
 
-def test_expanded_mix_has_the_words(awkward):
-    mixed = mixing.mix(awkward, block=20)
-    docs = mixing.expand(awkward, mixed)
+def test_expanded_mix_has_whole_texts(awkward):
+    """Each document as often as its share says, the one with a part by a draw; no text is cut."""
+    mixed = mixing.mix(awkward, block=20).collect()
+    docs = mixing.expand(awkward, mixing.mix(awkward, block=20))
     assert docs.columns == awkward.columns
-    assert sum(len(R.words(r.text)) for r in docs.collect()) == sum(r.taken for r in mixed.collect())
+    got = Counter((r.doc_id, r.text) for r in docs.collect())
+    given = Counter((r.doc_id, r.text) for r in awkward.collect())
+    assert set(got) <= set(given)
+    least, most, size = Counter(), Counter(), {}
+    for r in mixed:
+        least[r.id] += r.whole
+        most[r.id] += r.whole + (r.part > 0)
+    for i in given:
+        size[i[0]] = size.get(i[0], 0) + got[i]
+    assert all(least[i] <= n <= most[i] for i, n in size.items())
+    assert sum(r.part > 0 for r in mixed) <= len({r.source for r in mixed})
+
+
+def test_the_last_part_is_drawn_fairly(spark):
+    from pyspark.sql import functions as F
+
+    mixed = spark.range(4000).select(F.col("id"), F.col("id").alias("tie"), F.lit(0).cast("long").alias("whole"), F.lit(30).cast("long").alias("part"), F.lit(100).cast("long").alias("size"))
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    mixed = mixed.withColumn("tie", F.xxhash64(F.col("id").cast("string")))
+    assert 1080 < mixing.expand(docs, mixed).count() < 1320
+
+
+def test_stages_keep_columns_of_any_name(spark, awkward):
+    """Every name that the stages use inside, as a column of the table."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from vachan.llm import exact_dedup, ngram_join
+
+    names = ["__id", "__d", "__t", "__k", "__n", "__ns", "__tie", "__many", "__row", "__cut", "whole", "times", "shares", "copy", "tie", "mark", "kept", "copies", "a.b", "last", "rank", "c", "g_1"]
+    d = awkward.select("doc_id", "text", "lang", "source", "n_chars", "row", "key", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    given = Counter(tuple(r) for r in d.collect())
+    index = f"test_index_{uuid.uuid4().hex}"
+    for out in (quality.keep_clean(d), exact_dedup.keep_rows(d, index, "one"), ngram_join.keep_one(d), mixing.expand(d, mixing.mix(d))):
+        assert out.columns == d.columns
+        rows = [tuple(r) for r in out.collect()]
+        assert rows and set(rows) <= set(given)
+    spark.sql(f"DROP TABLE {index}")
 
 
 def test_mix_without_rows(none):

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vachan.session import ensure_checkpoint_dir
@@ -195,6 +195,27 @@ def join_hot(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int
     return joined.drop("__hk", "__h", "__lk", "__l", "__k")
 
 
+def known_id(col: Column) -> Column:
+    """An id as a long, NO_ID for a null one."""
+    return F.coalesce(col.cast("long"), F.lit(NO_ID))
+
+
+def with_keys(docs: DataFrame, keys: list[Column], names: list[str]) -> DataFrame:
+    """(one struct of all columns, keys): whatever the columns are called, none clashes."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), *[k.alias(n) for k, n in zip(keys, names, strict=True)])
+
+
+def rows_with_keys(docs: DataFrame, keys: list[Column], wanted: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each row of ``wanted`` (distinct keys), with its columns.
+
+    Rows equal in all keys pass one after another and the first stays; they are
+    already together where the join has put them, so nothing is shuffled for it.
+    """
+    names = wanted.columns
+    found = with_keys(docs, keys, names).join(wanted, names, "left_semi").dropDuplicates(names)
+    return found.select("whole.*")
+
+
 # ---------------------------------------------------------------- packed pairs
 
 def pack_pairs(key: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:

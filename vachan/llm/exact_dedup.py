@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm.common import join_hot, store
+from vachan.llm.common import join_hot, known_id, rows_with_keys, store
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -29,8 +29,11 @@ def digest(text) -> F.Column:
     return F.sha2(F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower()), 256)
 
 
-def read_index(spark: SparkSession, table: str) -> DataFrame | None:
-    return spark.table(table) if spark.catalog.tableExists(table) else None
+def open_index(spark: SparkSession, table: str, buckets: int) -> DataFrame:
+    """The index, created without rows if it isn't there yet."""
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {table} (digest STRING, keep_id BIGINT, keep_row BIGINT, copies BIGINT, batch STRING)
+                  USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS""")
+    return spark.table(table)
 
 
 def dedup_batch(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id", text_col: str = "text",
@@ -48,8 +51,7 @@ def dedup_batch(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id",
                                 digest(F.col(text_col)).alias("digest")), "digests")
     total = rows.count()
     groups = rows.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("last"), F.count("*").alias("group_size"))
-    index = read_index(spark, table)
-    fresh = groups if index is None else groups.join(index.select("digest").hint("merge"), "digest", "left_anti")
+    fresh = groups.join(open_index(spark, table, buckets).select("digest").hint("merge"), "digest", "left_anti")
     (fresh.select("digest", F.col("last.id").alias("keep_id"), F.col("last.row").alias("keep_row"),
                   F.col("group_size").alias("copies"), F.lit(batch).alias("batch"))
      .repartition(buckets, "digest")
@@ -64,10 +66,6 @@ def dedup_batch(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id",
 
 def keep_rows(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.  Ids may repeat:
-    of equal rows one is kept."""
-    judged, _ = store(dedup_batch(docs, table, batch, id_col, text_col).filter("kept").select(F.col("id").alias("__id"), F.col("digest").alias("__digest")), "kept")
-    rows = docs.withColumn("__d", digest(F.col(text_col)))
-    same = rows.join(judged, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")), "left_semi")
-    # rows that repeat id and text all match the one that was kept: only then is text shuffled to single one out
-    repeats = rows.groupBy(id_col, "__d").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
-    return (same.dropDuplicates([id_col, "__d"]) if repeats else same).drop("__d")
+    of rows equal in id and text one is kept."""
+    judged, _ = store(dedup_batch(docs, table, batch, id_col, text_col).filter("kept").select(known_id(F.col("id")).alias("key"), "digest"), "kept")
+    return rows_with_keys(docs, [known_id(F.col(id_col)), digest(F.col(text_col))], judged)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, modest_batches, slices, store, words
+from vachan.llm.common import known_id, modest_batches, NO_ID, slices, store, with_keys, words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -150,20 +150,17 @@ def _bounded(sizes: DataFrame, limit: int = 100_000) -> bool:
     return sizes.limit(limit + 1).count() <= limit
 
 
-def expand(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The mix itself: each document ``whole`` times, then cut to its first ``part``
-    words, with the columns of ``docs``.  Only (id, copies) rows are joined."""
-    m = mixed.filter("whole > 0 OR part > 0").select(F.col("id").alias("__id"), F.col("tie").alias("__tie"), F.struct("whole", "part").alias("__n"))
+def expand(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> DataFrame:
+    """The mix itself: each document as often as it is taken, whole, with the columns of
+    ``docs``.  The one document of a source that is left with a part is taken once
+    more by a fair draw (its share of words is the chance), so no text is cut.
+    Only (id, copies) rows are joined."""
+    draw = F.pmod(F.xxhash64(known_id(F.col("id")), "tie", F.lit(seed + 99)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    times = F.col("whole") + F.when(draw * F.col("size") < F.col("part"), F.lit(1)).otherwise(F.lit(0))
+    m = mixed.select(known_id(F.col("id")).alias("key"), "tie", times.cast("int").alias("times")).filter("times > 0")
     # rows that repeat an id are told apart by text; equal rows share their copies in any order
-    m = m.groupBy("__id", "__tie").agg(F.sort_array(F.collect_list("__n"), asc=False).alias("__ns"))
-    nth = Window.partitionBy(id_col, "__t").orderBy(F.lit(0))
-    rows = docs.withColumn("__t", F.xxhash64(text_col)).withColumn("__k", F.row_number().over(nth))
-    rows = rows.join(m, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__tie")))
-    rows = rows.withColumn("__n", F.get("__ns", F.col("__k") - 1)).filter("__n IS NOT NULL")
-    # pieces of the form white space, word; the text is the pieces joined
-    pieces = F.split(F.col(text_col), "(?<=[^ \\t-\\r])(?=[ \\t-\\r])")
-    head = F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.col("__n.part"), F.lit(1)).cast("int")), "")
-    copies = F.concat(F.array_repeat(F.lit(False), F.col("__n.whole").cast("int")),
-                      F.when(F.col("__n.part") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    cut = rows.withColumn("__cut", F.explode(copies)).withColumn(text_col, F.when(F.col("__cut"), head).otherwise(F.col(text_col)))
-    return cut.select(*docs.columns)
+    m = m.groupBy("key", "tie").agg(F.sort_array(F.collect_list("times"), asc=False).alias("shares"))
+    rows = with_keys(docs, [known_id(F.col(id_col)), F.xxhash64(text_col)], ["key", "tie"]).join(m, ["key", "tie"])
+    nth = F.row_number().over(Window.partitionBy("key", "tie").orderBy(F.lit(0)))  # rows lie together after the join
+    rows = rows.select("whole", F.get("shares", nth - 1).alias("times")).filter("times > 0")
+    return rows.select("whole", F.explode(F.array_repeat(F.lit(True), F.col("times"))).alias("copy")).select("whole.*")

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vachan.llm.common import NO_ID, Bloom, Spans, join_hot, mix, modest_batches, slices, store, words
+from vachan.llm.common import Bloom, join_hot, known_id, mix, modest_batches, NO_ID, rows_with_keys, slices, Spans, store, words
 from vachan.llm.components import components
 
 N = 5
@@ -602,13 +602,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of ``docs`` without near duplicates: of each component one row stays, the
     first by id, a null id before all others, and text hash; of rows equal in both, any
     one.  Empty sets all stay."""
-    judged, _ = store(cluster(docs, id_col, text_col).select("id", "tie", "n_shingles", "kept"), "judged")
-    full = F.col("n_shingles") > 0
-    keys = judged.groupBy("id", "tie").agg(F.max("kept").alias("kept"), (F.max(full) & (F.count("*") > 1)).alias("__many")).filter("kept")
-    keys, _ = store(keys.select(F.col("id").alias("__id"), F.col("tie").alias("__tie"), "__many"), "kept")
-    rows = docs.withColumn("__t", F.xxhash64(F.col(text_col).cast("string")))
-    rows = rows.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__tie")))
-    # rows that repeat id and text all match the one that is kept: only those are shuffled to single one out
-    if keys.filter("__many").limit(1).count():
-        rows = rows.filter("NOT __many").unionByName(rows.filter("__many").dropDuplicates(["__id", "__tie"]))
-    return rows.drop("__id", "__tie", "__many", "__t")
+    judged, _ = store(cluster(docs, id_col, text_col).select(known_id(F.col("id")).alias("key"), "tie", "n_shingles", "kept"), "judged")
+    text = F.col(text_col).cast("string")
+    keys = [known_id(F.col(id_col)), F.xxhash64(text)]
+    with_words = judged.filter("kept AND n_shingles > 0").select("key", "tie").distinct()
+    # empty sets stay, every row of them; they have no words, so a text tells by itself
+    blank = F.coalesce(~text.rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
+    return docs.filter(blank).unionByName(rows_with_keys(docs.filter(~blank), keys, with_words))

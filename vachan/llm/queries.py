@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vachan.llm import exact_dedup, html_extract, line_dedup, merkle, mixing, ngram_join, packing, period_runs, pii, quality, suffix_dedup, token_files, warc
-from vachan.llm.common import scratch_path
+from vachan.llm.common import scratch_path, store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,8 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = f"llm_digest_index_{uuid.uuid4().hex}"
-    d = exact_dedup.dedup_batch(table(spark, sf_dir, "documents"), index, "batch-0")
+    d, _ = store(exact_dedup.dedup_batch(table(spark, sf_dir, "documents"), index, "batch-0"), "op8")
+    spark.sql(f"DROP TABLE {index}")  # no later run reads this one's index
     return d.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

@@ -26,7 +26,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, A-Z lowered, by a digest index of this run (op 8)."""
-    return exact_dedup.keep_rows(docs, f"llm_pipeline_index_{uuid.uuid4().hex}", "batch-0")
+    index = f"llm_pipeline_index_{uuid.uuid4().hex}"
+    kept = exact_dedup.keep_rows(docs, index, "batch-0")
+    spark.sql(f"DROP TABLE {index}")  # the rows to keep are written already; no later run reads this index
+    return kept
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

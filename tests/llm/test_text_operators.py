@@ -100,6 +100,73 @@ def test_layout_classes_do_not_drop_content():
     assert html_extract.extract("<body class='no-js has-sidebar'><div class='content with-sidebar'><p>Kept, all of it.</p></div><div class='sidebar'>gone</div>") == "Kept, all of it."
 
 
+def test_long_text_outside_wins_over_a_teaser():
+    body = [f"Paragraph {i} of the main text, which runs on for a while; it has commas, and it ends here." for i in range(4)]
+    page = "<article class=card><h3>Read more here. Go.</h3></article><div class=x1>" + "".join(f"<p>{b}</p>" for b in body) + "</div>"
+    text = html_extract.extract(page)
+    assert text.endswith(" ".join(body))
+
+
+def test_deep_pages_keep_their_text():
+    for depth in (450, 3000):
+        page = "<div>" * depth + "<article><p>First paragraph, in full.</p>" + "</div>" * 0 + "<section>" * depth + "x" + "</section>" * depth + "<p>Second paragraph, in full.</p></article>" + "</div>" * depth
+        assert html_extract.extract(page) == "First paragraph, in full. x Second paragraph, in full."
+    page = "<div>" * 450 + "<article><p>First paragraph, in full.</p>" + "<div>" * 40 + "</div>" * 40 + "<p>Second paragraph, in full.</p></article>"
+    assert html_extract.extract(page) == "First paragraph, in full. Second paragraph, in full."
+
+
+def opaque_page(rnd: random.Random, k: int) -> tuple[str, str]:
+    """A page without article, main or telling names: (html, its main text)."""
+    def sentence(n):
+        return (" ".join(R.prose(rnd, n).split()) + ".").capitalize()
+
+    body = [", ".join(sentence(rnd.randrange(8, 20)) for _ in range(rnd.randrange(2, 6))) for _ in range(rnd.randrange(4, 12))]
+    title = " ".join(R.prose(rnd, 5).split())
+    links = "".join(f"<li><a href=/{i}>{R.prose(rnd, 1)}</a></li>" for i in range(9))
+    page = (f"<body><div class=k{k}><ul>{links}</ul></div><div class=z{k}><span>{R.prose(rnd, 3)}</span></div><div class=q{k}><h1>{title}</h1>" + "".join(f"<p>{b}</p>" for b in body)
+            + f"<ul><li>{title}</ul></div><div class=r{k}><a href=/t>{R.prose(rnd, 2)}</a> {R.prose(rnd, 2)}</div></body>")
+    return page, " ".join([title, *(" ".join(b.split()) for b in body), title])
+
+
+def test_ratios_decide_without_names(monkeypatch):
+    """With every list of names emptied, the text still comes out and the rest doesn't."""
+    for n in ("DROP_NAMES", "DROP_ROLES", "DROP_WORDS", "TOP_WORDS", "CONTENT_NAMES"):
+        monkeypatch.setattr(html_extract, n, set())
+    rnd = random.Random(21)
+    for k in range(60):
+        page, text = opaque_page(rnd, k)
+        assert html_extract.extract(page) == text
+
+
+def test_ratios_by_brute_force():
+    """Ratios, smoothing and fusion of a page, worked out block by block."""
+    import math
+
+    page, _ = opaque_page(random.Random(4), 1)
+    found = html_extract.blocks(page)
+    got = html_extract.ratios(found)
+    full = {id(b): "".join(b.text) for b in found}
+
+    def own(path):
+        mine = [b for b in found if b.path == path]
+        n, chars = len(mine), sum(len(full[id(b)]) for b in mine)
+        marks, linked = sum(len(re.findall(r"[.,;:!?]", full[id(b)])) for b in mine), sum(b.linked for b in mine)
+        return 0.0 if linked > 0.6 * chars else math.log1p(chars / n) * (1 + math.log1p(marks / n)) * (1 - linked / chars)
+
+    def chars(paths):
+        return sum(len(full[id(b)]) for b in found if b.path in paths)
+
+    paths = {b.path for b in found}
+    tops = {p[0] for p in paths}
+    for p in paths:
+        f = own(p)
+        for d in range(1, len(p)) if f else ():
+            below = {q for q in paths if q[:d] == p[:d]}
+            f = max(f, max(0.6, 0.9 ** (len(p) - d)) * sum(own(q) * chars({q}) for q in below) / chars(below))
+        share = chars({q for q in paths if q[0] == p[0]}) / max(chars({q for q in paths if q[0] == t}) for t in tops)
+        assert math.isclose(got[p, False, False], f * share ** 0.3, rel_tol=1e-9)
+
+
 @pytest.mark.parametrize(("page", "text"), [("", ""), ("   ", ""), ("just text", "just text"), ("<article>a &am b", "a &am b"), ("<article><p>cut off &quo", "cut off &quo"),
                                             ("<article>a<!-- b", "a"), ("<article>x <a href='y>z'>w</a>", "x w"), ("<p>a &nbsp; b", "a b"), ("<script>never closed", "")])
 def test_small_pages(page, text):
@@ -114,7 +181,7 @@ def test_pages_table(spark):
 
 
 def test_long_pages_are_linear():
-    for page in ("<" * 200_000, "<div>" * 40_000 + "x", "<a " * 60_000, "<p>x" * 40_000, "&" * 200_000):
+    for page in ("<" * 200_000, "<div>" * 40_000 + "x", "<div>" * 40_000 + "</p></li></b>" * 20_000, "<div><li><p>" * 9_000 + "x<a>" * 9_000, "<a " * 60_000, "<p>x" * 40_000, "&" * 200_000):
         html_extract.extract(page)
 
 

@@ -1,20 +1,29 @@
 """Main text of web pages by tag-path ratios (op 4).
 
-A page is cut into blocks of text, each with its root-to-leaf tag path.  Per
-path the text length, punctuation and link text of its blocks are aggregated
-and give a ratio: how much running text a node of this path holds.  Ratios are
-smoothed over paths that share a prefix, fused with the ratio of the node's
-nearest container, and paths below a threshold, a share of the best fused
-ratio, are dropped.  Paths through elements that are boilerplate by name
-(nav, footer, aside, form, ...) or by class and id words (ad, sidebar,
-comments, cookie, ...) have ratio 0; an article or main element outranks what
-stands outside it.
+A page is cut into blocks of text, each with its root-to-leaf tag path (names of
+elements with their first class or id, which here only tells paths apart).
+
+1. Per path, text length, punctuation and link text of its blocks are aggregated
+   and give a ratio: how much running text a node of this path holds.  A path
+   with mostly links has ratio 0.
+2. Ratios are smoothed: every prefix of a path has the ratio of all that is below
+   it, weighed by text.
+3. Both are fused: a path has the best of its own ratio and its containers'
+   smoothed ones, which weigh less with distance (``NEAR`` a level, ``FAR`` at
+   least), times the share of the page's text that its part of the page holds
+   (to the power ``MASS``; parts are what structural elements divide a page into).
+4. Names are a prior.  A path through an element that is boilerplate by name, role
+   or class words counts ``BOILER`` times, one inside article or main counts more
+   the more of the text that element holds (``INSIDE``).
+5. Paths below ``THRESHOLD`` of the best are dropped, with all their blocks.
 
 White space inside a block becomes one space, blocks are joined by one space
-in page order.  A page is one row's work, linear in its length.
+in page order.  A page is one row's work, linear in its length: labels of a path
+are cut in the middle beyond ``LABELS``, elements are all kept.
 
-Defined results: null or empty html gives an empty text; a page without an
-end, unclosed tags and cut-off character references are read as browsers read
+Defined results: null or empty html gives an empty text, as does a page that has
+nothing but elements that are boilerplate by name; a page without an end,
+unclosed tags and cut-off character references are read as browsers read
 them; rows that repeat an id are extracted each; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -24,7 +33,7 @@ from __future__ import annotations
 import html as htmllib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -56,13 +65,16 @@ DROP_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adverti
 TOP_WORDS = {"header"}
 MODIFIERS = {"has", "with", "without", "no", "is", "js"}
 CONTENT_NAMES = {"article", "main"}
-CONTENT_WORDS = {"article", "content", "post", "entry", "story", "body", "text", "main"}
+STRUCTURE = {"div", "section", "table", "td", "center", "article", "main", "aside", "header", "footer", "nav", "form", "fieldset"}
 # End of fixed values.
 
 LINK_SHARE = 0.6  # a path with more of its text in links is a menu
-THRESHOLD = 0.12  # share of the best fused ratio
-OWN = 0.5  # weight of a path's own smoothed ratio against its container's
-RANK = 100.0  # factor of paths inside an article or main element
+THRESHOLD = 0.25  # share of the best fused ratio
+NEAR, FAR = 0.9, 0.6  # what a container's ratio is worth a level below it, and at least
+MASS = 0.3
+BOILER = 0.02
+INSIDE = 60.0  # an article that holds all of the text counts 1 + INSIDE times, half of it 1 + INSIDE / 4
+LABELS = 32  # names kept at either end of a path
 
 
 @dataclass(slots=True)
@@ -86,11 +98,12 @@ def node(name: str, attrs: str, parent: Node | None) -> Node:
     drop = name in DROP_NAMES or (parent is not None and parent.drop)
     inside = parent is not None and parent.content
     words: set[str] = set()
-    role = ""
+    role = first = ""
     if attrs and not attrs.isspace():
         for m in ATTRIBUTE.finditer(attrs):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
+                first = first or value.split(None, 1)[0] if value.strip() else first
                 for token in value.split():
                     parts = [w.lower() for w in WORD.findall(token)]
                     if parts and parts[0] not in MODIFIERS:  # has-sidebar says what stands beside the element
@@ -107,15 +120,22 @@ def node(name: str, attrs: str, parent: Node | None) -> Node:
             drop = True
     elif is_content and parent is not None and parent.content and words & DROP_WORDS:
         drop = True  # an article inside the article: a comment
-    label = name + ("." + ".".join(sorted(words & CONTENT_WORDS)) if words & CONTENT_WORDS else "")
-    return Node(name, label, drop, inside or is_content)
+    return Node(name, f"{name}.{first}" if first else name, drop, inside or is_content)
+
+
+def path(stack: list[Node]) -> tuple[str, ...]:
+    """Labels from the root to the innermost block element; of a very deep path those at its ends."""
+    ends = stack if len(stack) <= 4 * LABELS else [*stack[:2 * LABELS], *stack[-2 * LABELS:]]
+    names = [n.label for n in ends if n.name not in INLINE and n.name not in ("html", "body")]
+    return tuple(names if len(names) <= 2 * LABELS else [*names[:LABELS], *names[-LABELS:]])
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with their paths."""
     out: list[Block] = []
     stack: list[Node] = []
-    fresh, links = True, 0
+    opened: Counter[str] = Counter()  # names on the stack
+    fresh = True
 
     def text(s: str) -> None:
         nonlocal fresh
@@ -126,24 +146,28 @@ def blocks(page: str) -> list[Block]:
         if fresh or not out:
             if s.isspace():
                 return
-            base = [n for n in stack if n.name not in INLINE]
-            out.append(Block(tuple(n.label for n in base), top is not None and top.drop, top is not None and top.content))
+            out.append(Block(path(stack), top is not None and top.drop, top is not None and top.content))
             fresh = False
         elif top is not None and top.drop and not out[-1].drop:
             return  # a dropped inline element inside a block
         elif out[-1].drop and not (top is not None and top.drop):
             # running text after a dropped inline element
-            base = [n for n in stack if n.name not in INLINE]
-            out.append(Block(tuple(n.label for n in base), False, top is not None and top.content))
+            out.append(Block(path(stack), False, top is not None and top.content))
         out[-1].text.append(s)
-        if links:
+        if opened["a"]:
             out[-1].linked += len(s)
 
+    def leave(i: int) -> None:
+        opened.subtract(n.name for n in stack[i:])
+        del stack[i:]
+
     def close(names: set[str], until: set[str]) -> None:
         nonlocal fresh
+        if not any(opened[n] for n in names):
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i].name in names:
-                del stack[i:]
+                leave(i)
                 fresh = True
                 return
             if stack[i].name in until:
@@ -160,10 +184,9 @@ def blocks(page: str) -> list[Block]:
         if closing:
             if name not in INLINE:
                 fresh = True
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[i].name == name:
-                    links -= sum(n.name == "a" for n in stack[i:])
-                    del stack[i:]
+                    leave(i)
                     break
                 if name in INLINE and stack[i].name not in INLINE:
                     break
@@ -176,8 +199,7 @@ def blocks(page: str) -> list[Block]:
             fresh = fresh or name not in INLINE
             continue
         if name in CLOSES_P:
-            if any(n.name == "p" for n in stack):
-                close({"p"}, {"article", "div", "section", "td", "th", "li", "body", "blockquote"})
+            close({"p"}, {"article", "div", "section", "td", "th", "li", "body", "blockquote"})
         if name in SIBLING:
             close(SIBLING[name], SCOPE[name])
         if name not in INLINE:
@@ -186,19 +208,17 @@ def blocks(page: str) -> list[Block]:
         if attrs and attrs.rstrip().endswith("/") and name not in INLINE:
             continue
         stack.append(node(name, attrs or "", stack[-1] if stack else None))
-        links = sum(n.name == "a" for n in stack) if name == "a" else links
-        if len(stack) > 400:
-            del stack[200:-100]  # depth that no document means; the ends of the path are kept
+        opened[name] += 1
     text(page[at:])
     return out
 
 
-def ratios(found: list[Block]) -> dict[tuple[tuple[str, ...], bool], float]:
-    """Smoothed and fused text ratio of each path."""
+def ratios(found: list[Block]) -> dict[tuple, float]:
+    """Smoothed, fused and weighed text ratio by (path, drop, content)."""
     stats: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
     for b in found:
         s = "".join(b.text)
-        x = stats[b.path, b.content]
+        x = stats[b.path, b.drop, b.content]
         x[0] += 1
         x[1] += len(s)
         x[2] += len(PUNCTUATION.findall(s))
@@ -208,37 +228,50 @@ def ratios(found: list[Block]) -> dict[tuple[tuple[str, ...], bool], float]:
         link = linked / chars if chars else 0.0
         raw[k] = 0.0 if link > LINK_SHARE else math.log1p(chars / n) * (1.0 + math.log1p(marks / n)) * (1.0 - link)
 
-    # sums per prefix carry both the smoothing (paths with a long common prefix) and the containers
+    plain = [k for k in raw if not k[1]]
     prefix: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0])
-    for (path, content), r in raw.items():
-        n, chars = stats[path, content][:2]
-        for d in range(max(0, len(path) - 3), len(path) + 1):
-            p = prefix[path[:d], content]
-            p[0] += r * chars
-            p[1] += chars
+    for k in plain:
+        for d in range(1, len(k[0]) + 1):
+            p = prefix[k[0][:d]]
+            p[0] += raw[k] * stats[k][1]
+            p[1] += stats[k][1]
+    # parts of the page: the first structural element in which the paths differ
+    frame = {k: tuple(x for x in k[0] if x.split(".", 1)[0] in STRUCTURE) for k in plain}
+    common = 0
+    if plain:
+        least, most = min(frame.values()), max(frame.values())
+        while common < min(len(least), len(most)) and least[common] == most[common]:
+            common += 1
+    part: dict[tuple, float] = defaultdict(float)
+    for k in plain:
+        part[frame[k][:common + 1]] += stats[k][1]
+    largest = max(part.values(), default=1.0) or 1.0
+    total = sum(stats[k][1] for k in plain) or 1.0
+    inside = 1.0 + INSIDE * (sum(stats[k][1] for k in plain if k[2]) / total) ** 2
+
     fused = {}
-    for (path, content), r in raw.items():
-        own = weight = 0.0
-        for d in range(max(0, len(path) - 3), len(path) + 1):
-            s, chars = prefix[path[:d], content]
-            w = math.exp(-0.5 * (len(path) - d) ** 2)
-            own += w * s / max(chars, 1.0)
-            weight += w
-        container = prefix[path[:-1], content]
-        f = OWN * own / weight + (1 - OWN) * container[0] / max(container[1], 1.0)
-        # a menu-like path outside an article has nothing to inherit
-        fused[path, content] = RANK * f if content else f if r > 0 else 0.0
+    for k, r in raw.items():
+        path, drop, content = k
+        if drop:
+            fused[k] = BOILER * r
+            continue
+        f = r
+        if r > 0 or content:  # a menu outside an article has nothing to inherit
+            for d in range(1, len(path)):
+                s, chars = prefix[path[:d]]
+                f = max(f, max(FAR, NEAR ** (len(path) - d)) * s / max(chars, 1.0))
+        fused[k] = f * inside if content else f * (part[frame[k][:common + 1]] / largest) ** MASS
     return fused
 
 
 def extract(page: str) -> str:
     """Main text of one page."""
-    found = [b for b in blocks(page) if not b.drop]
-    if not found:
+    found = blocks(page)
+    if all(b.drop for b in found):
         return ""
     fused = ratios(found)
     least = max(THRESHOLD * max(fused.values()), 1e-9)
-    kept = (" ".join("".join(b.text).split()) for b in found if fused[b.path, b.content] >= least)
+    kept = (" ".join("".join(b.text).split()) for b in found if fused[b.path, b.drop, b.content] >= least)
     return " ".join(t for t in kept if t)
 
 

@@ -50,7 +50,8 @@ def dedup_batch(docs: DataFrame, table: str, batch: str, id_col: str = "doc_id",
     rows, _ = store(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
                                 digest(F.col(text_col)).alias("digest")), "digests")
     total = rows.count()
-    groups = rows.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("last"), F.count("*").alias("group_size"))
+    # written before the anti-join, which the optimizer would otherwise push below the aggregation, on all rows
+    groups, _ = store(rows.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("last"), F.count("*").alias("group_size")), "groups")
     fresh = groups.join(open_index(spark, table, buckets).select("digest").hint("merge"), "digest", "left_anti")
     (fresh.select("digest", F.col("last.id").alias("keep_id"), F.col("last.row").alias("keep_row"),
                   F.col("group_size").alias("copies"), F.lit(batch).alias("batch"))

@@ -20,77 +20,80 @@ from pyspark.sql import functions as F
 WORD_TYPE = "array<struct<word:string,start:double,end:double>>"
 
 
-def _present(v: Column, key: str) -> Column:
-    return F.variant_get(v, f"$.{key}", "variant").isNotNull()
+# what a word object may hold; an absent key is NULL, a JSON null is a variant
+_TIMED = "struct<`word`: variant, `text`: variant, `start`: variant, `start_time`: variant, `end`: variant, `end_time`: variant>"
+_HEAD = "struct<`transcript`: variant, `text`: variant, `duration`: variant>"
 
 
-def _string(v: Column, key: str) -> Column:
-    x = F.variant_get(v, f"$.{key}", "variant")
-    return F.when(F.schema_of_variant(x) == "STRING", F.variant_get(v, f"$.{key}", "string"))
+def _string(x: Column) -> Column:
+    return F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))
 
 
-def _number(v: Column, key: str) -> Column:
-    return F.try_variant_get(v, f"$.{key}", "double")
+def _number(x: Column) -> Column:
+    return F.try_variant_get(x, "$", "double")
 
 
-def _first(v: Column, keys, getter, default) -> Column:
-    out = None
-    for k in keys:
-        out = F.when(_present(v, k), getter(v, k)) if out is None else out.when(_present(v, k), getter(v, k))
-    return out.otherwise(default)
+def _first(item: Column, keys, getter, default) -> Column:
+    """The first present key of a struct of variants, read by ``getter``."""
+    x = F.coalesce(*[item[k] for k in keys])
+    return F.when(x.isNull(), default).otherwise(getter(x))
 
 
 def _word(w: Column, start_keys, end_keys) -> Column:
-    return F.struct(_first(w, ["word", "text"], _string, F.lit("")).alias("word"),
-                    _first(w, start_keys, _number, F.lit(0.0)).alias("start"),
-                    _first(w, end_keys, _number, F.lit(0.0)).alias("end"))
+    """A timed word; NULL for an item that was no object."""
+    return F.when(w.isNotNull(), F.struct(_first(w, ["word", "text"], _string, F.lit("")).alias("word"),
+                                          _first(w, start_keys, _number, F.lit(0.0)).alias("start"),
+                                          _first(w, end_keys, _number, F.lit(0.0)).alias("end")))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.element_at(F.transform(F.array(F.struct(value.alias("x"))), lambda p: body(p["x"])), 1)
 
 
 def parse_transcript(raw) -> Column:
     """``struct<words WORD_TYPE, reject_reason STRING>`` of one JSON document.
 
     The document is parsed once: the VARIANT is bound as a lambda variable and
-    every schema branch reads it."""
+    every schema branch reads it.  A list of words is taken out by one typed get
+    (items that are no objects come out NULL), not key by key."""
     raw = F.col(raw) if isinstance(raw, str) else raw
-    return F.element_at(F.transform(F.array(F.struct(F.try_parse_json(raw).alias("v"))), lambda p: _resolve(p["v"])), 1)
+    return _let(F.try_parse_json(raw), _resolve)
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def _resolve(v: Column) -> Column:
+    def has(key):
+        return F.variant_get(v, f"$.{key}", "variant").isNotNull()
 
+    def listed(key, item, body):
+        """``body`` of the list at ``key``; a present key that holds no list gives NULL words."""
+        return lambda rest: _let(F.try_variant_get(v, f"$.{key}", f"array<{item}>"), lambda xs: F.when(xs.isNotNull() | has(key), body(xs)).otherwise(rest))
 
-def _objects(items: Column) -> Column:
-    """The array if all of its items are objects, else NULL."""
-    return F.when(~F.exists(items, lambda x: ~_is_object(x)), items)
+    def timed(xs):
+        return F.transform(xs, lambda w: _word(w, ["start", "start_time"], ["end", "end_time"]))
 
+    def in_segments(segs):
+        lists = F.transform(segs, lambda s: F.when(s.isNull(), F.lit(None)).when(s["words"].isNull(), F.array().cast(f"array<{_TIMED}>"))
+                            .otherwise(F.try_variant_get(s["words"], "$", f"array<{_TIMED}>")))
+        # flatten gives NULL where a segment is no object or holds no list
+        return F.transform(F.flatten(lists), lambda w: _word(w, ["start"], ["end"]))
 
-def _resolve(v: Column) -> Column:
-    has = lambda k: F.coalesce(_present(v, k), F.lit(False))
-
-    words1 = F.transform(_objects(F.try_variant_get(v, "$.words", "array<variant>")),
-                         lambda w: _word(w, ["start", "start_time"], ["end", "end_time"]))
-    segs = _objects(F.try_variant_get(v, "$.segments", "array<variant>"))
-    lists = F.transform(segs, lambda s: F.when(_present(s, "words"), F.try_variant_get(s, "$.words", "array<variant>"))
-                        .otherwise(F.array().cast("array<variant>")))
-    # a segment without a list, or with an item that isn't an object, spoils the document
-    words2 = F.transform(_objects(F.when(~F.exists(lists, lambda x: x.isNull()), F.flatten(lists))),
-                         lambda w: _word(w, ["start"], ["end"]))
-    text = _first(v, ["transcript", "text"], _string, F.lit(""))
-    dur = F.when(_present(v, "duration"), _number(v, "duration")).otherwise(F.lit(30.0))
-    words3 = F.array(F.struct(text.alias("word"), F.lit(0.0).alias("start"), dur.alias("end")))
-
-    words = (F.when(has("words"), words1).when(has("segments"), words2)
-              .when(has("transcript") | has("text"), words3)
-              .otherwise(F.array().cast(WORD_TYPE)))
+    def whole(head):
+        text = _first(head, ["transcript", "text"], _string, F.lit(""))
+        one = F.struct(text.alias("word"), F.lit(0.0).alias("start"), _first(head, ["duration"], _number, F.lit(30.0)).alias("end"))
+        return F.when(head["transcript"].isNotNull() | head["text"].isNotNull(), F.array(one)).otherwise(F.array().cast(WORD_TYPE))
+
+    is_object = F.try_variant_get(v, "$", _HEAD).isNotNull()
+    words = listed("words", _TIMED, timed)(listed("segments", "struct<`words`: variant>", in_segments)(_let(F.try_variant_get(v, "$", _HEAD), whole)))
 
     def checked(ws):
-        bad = F.exists(ws, lambda w: w["word"].isNull() | w["start"].isNull() | w["end"].isNull())
-        reason = (F.when(v.isNull(), F.lit("not json")).when(~_is_object(v), F.lit("not an object"))
-                   .when(ws.isNull(), F.lit("malformed word list")).when(bad, F.lit("null word text or time")))
-        return F.struct(F.when(reason.isNull(), ws).alias("words"), reason.alias("reject_reason"))
+        reason = (F.when(v.isNull(), F.lit("not json")).when(~is_object, F.lit("not an object"))
+                   .when(ws.isNull() | F.exists(ws, lambda w: w.isNull()), F.lit("malformed word list"))
+                   .when(F.exists(ws, lambda w: w["word"].isNull() | w["start"].isNull() | w["end"].isNull()), F.lit("null word text or time")))
+        return _let(reason, lambda r: F.struct(F.when(r.isNull(), ws).alias("words"), r.alias("reject_reason")))
 
     # the resolved word list is bound once (it feeds the checks and the output)
-    return F.element_at(F.transform(F.array(F.struct(words.alias("w"))), lambda x: checked(x["w"])), 1)
+    return _let(words, checked)
 
 
 def read_transcripts(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)\.json$") -> DataFrame:

@@ -65,6 +65,59 @@ def test_one_statistic_alone_rejects(spark):
     assert kept == Counter({0: 400})
 
 
+def brute_mcd(x, starts=200):
+    """Minimum covariance determinant over many random starts, exact nearest sets."""
+    rnd, floor = np.random.default_rng(0), np.diag(np.array(list(quality.FLOORS.values())) ** 2)
+    h, best = int(np.ceil(quality.SUPPORT * len(x))), (np.inf, None, None)
+
+    def estimate(rows):
+        return rows.mean(0), quality.CONSISTENCY * np.cov(rows.T, bias=True) + floor
+
+    for _ in range(starts):
+        m, c = estimate(x[rnd.choice(len(x), 6, replace=False)])
+        last = np.inf
+        while True:
+            d2 = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            m2, c2 = estimate(x[np.argsort(d2, kind="stable")[:h]])
+            det = np.linalg.slogdet(c2)[1]
+            if det >= last - 1e-12:
+                break
+            m, c, last = m2, c2, det
+        if last < best[0]:
+            best = (last, m, c)
+    return best
+
+
+def test_verdicts_match_brute_force_mcd(spark):
+    rnd = random.Random(5)
+
+    def doc(i):
+        t = R.prose(rnd, rnd.randrange(60, 500), 2000)
+        if i % 10 == 0:  # symbols
+            t = re.sub(r"(\w+)", lambda m: m[1] + "#" * (rnd.random() < 0.05 * (1 + i % 4)), t)
+        if i % 7 == 0:  # repeated lines
+            t += "\nagain and again\n" * (i % 5)
+        return t
+
+    d = spark.createDataFrame([(i, doc(i), "en", "ab"[i % 3 == 0]) for i in range(600)], "doc_id long, text string, lang string, source string")
+    found = quality.score(d).collect()
+    for source in "ab":
+        rows = [r for r in found if ("ab"[r.id % 3 == 0]) == source and not r.base_failed]
+
+        def logit(k, n):
+            s = k / max(n, 1)
+            return np.log((s + quality.NEAR_ZERO) / (1 + quality.NEAR_ZERO - s))
+
+        x = np.array([[np.log(max(r.word_chars, 1) / r.n_words), np.log1p(10 * r.n_symbols / r.n_words), logit(r.n_dup_lines, r.n_lines), logit(r.n_repeat_words, r.n_words)] for r in rows])
+        x = np.round(x * quality.GRID) / quality.GRID
+        _, m, c = brute_mcd(x)
+        d2 = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+        assert (d2 > quality.CUTOFF).sum() >= 5
+        for r, want in zip(rows, d2, strict=True):
+            if not 0.9 < want / quality.CUTOFF < 1.1:
+                assert r.kept == (want <= quality.CUTOFF)
+
+
 def test_quality_without_rows(none):
     assert quality.score(none).count() == 0
     assert quality.keep_clean(none).columns == none.columns

@@ -3,15 +3,17 @@
 Each document becomes a vector of transformed statistics.  Per language and
 source the minimum-covariance-determinant estimate of its centre and scatter
 is found by concentration steps: take the three quarters of the rows that lie
-nearest by Mahalanobis distance, estimate again from those, repeat.  Two
-deterministic starts are carried along and the one with the smaller
-determinant wins.  A document is rejected when its squared distance exceeds a
+nearest by Mahalanobis distance, estimate again from those, repeat until the
+determinant no longer falls.  Two deterministic starts are carried along and the
+one with the smaller determinant wins.  A document is rejected when its squared distance exceeds a
 chi-square quantile.
 
 A step is two aggregations of narrow rows: a histogram of distances per group
 (the nearest three quarters are a cut in it) and the moments of the rows below
 the cut.  Both pre-aggregate in the tasks, so a hot source costs no more than
-a small one; estimates stay a table with one row per group.  Statistics
+a small one; estimates stay a table with one row per group, and groups that
+have settled take no part in further steps.  Every step that counts lowers the log
+determinant by SETTLED at least, and the floors bound it below, so steps end.  Statistics
 that are constant in clean text (symbols, repeated lines) have no scatter, so
 each coordinate has a noise floor that is added to the diagonal.  Floors are
 small against the range of their coordinate, and shares go through a logit, so
@@ -46,7 +48,7 @@ X = list(FLOORS)
 P = len(X)
 GRID = 1024.0  # coordinates are rounded to 1/1024, which keeps their sums exact
 SUPPORT = 0.75
-STEPS = 3
+SETTLED = 1e-4  # a step that lowers the log determinant by less is the last
 MIN_ROWS = 60
 TAIL = 1e-3
 BINS = 32.0  # histogram bins per doubling of the squared distance
@@ -187,20 +189,28 @@ def fit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     bounded = data.join(small(quant.drop("n")), "g").select(
         "g", *[F.greatest(F.least(F.col(x), F.get(f"q_{x}", 4)), F.get(f"q_{x}", 0)).alias(x) for x in X])
     second = bounded.groupBy("g").agg(*moments()).withColumn("start", F.lit(1))
-    est, _ = store(first.unionByName(second).mapInPandas(estimates(1.0), ESTIMATE), "estimate")
+    est = first.unionByName(second).mapInPandas(estimates(1.0), ESTIMATE)
+    # a start's own determinant is not one of a concentrated subset
+    est, _ = store(est.withColumn("logdet", F.lit(math.inf)).withColumn("moving", F.lit(True)), "estimate")
 
     sizes = quant.select("g", F.ceil(F.col("n") * SUPPORT).alias("h"))
-    for _ in range(STEPS):
+    values = [c for c in est.columns if c not in ("g", "start", "moving")]
+    while not est.filter("moving").isEmpty():
         bin_ = F.floor(F.log2(F.col("d2") + 1e-6) * BINS)
-        near = data.join(small(est.drop("n", "logdet")), "g").withColumn("d2", distance()).select("g", "start", *X, bin_.alias("bin"))
+        moving = est.filter("moving").drop("n", "logdet", "moving")
+        near = data.join(small(moving), "g").withColumn("d2", distance()).select("g", "start", *X, bin_.alias("bin"))
         hist = near.groupBy("g", "start", "bin").agg(F.count("*").alias("k"))
         upto = F.sum("k").over(Window.partitionBy("g", "start").orderBy("bin"))
         cut = (hist.withColumn("upto", upto).join(small(sizes), "g").filter(F.col("upto") >= F.col("h"))
                .groupBy("g", "start").agg(F.min("bin").alias("cut")))
         cut, _ = store(cut, "cut")
         inner = near.join(small(cut), ["g", "start"]).filter(F.col("bin") <= F.col("cut"))
-        est, _ = store(inner.groupBy("g", "start").agg(*moments()).mapInPandas(estimates(CONSISTENCY), ESTIMATE), "estimate")
-    best = est.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("logdet", "start"))).filter("r = 1").drop("r", "n", "logdet", "start")
+        step = inner.groupBy("g", "start").agg(*moments()).mapInPandas(estimates(CONSISTENCY), ESTIMATE)
+        step = step.select("g", "start", F.struct(*values).alias("new"))
+        better = F.coalesce(F.col("new.logdet") < F.col("logdet") - SETTLED, F.lit(False))
+        est, _ = store(est.join(step, ["g", "start"], "left").select(
+            "g", "start", *[F.when(better, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in values], better.alias("moving")), "estimate")
+    best = est.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("logdet", "start"))).filter("r = 1").drop("r", "n", "logdet", "start", "moving")
     return groups, best
 
 

@@ -172,6 +172,22 @@ def test_token_files_round_trip(spark, awkward):
     flat = np.concatenate(tokens)[np.concatenate(mask)]
     assert len(flat) == m.n_tokens and np.concatenate(mask).sum() == m.n_tokens
     assert (flat == np.concatenate(list(shard.span(0, m.n_tokens)))).all()
+    for column in ("tokens", "mask"):  # views of the memory map: neither owns its data
+        assert not shard.batch(0, column).flags.owndata and not shard.batch(0, column).flags.writeable
+
+
+def test_id_width_is_checked(spark, none):
+    assert token_files.id_width(65_535) == "<u2" and token_files.id_width(65_536) == "<u4"
+    with pytest.raises(ValueError, match="doesn't fit"):
+        token_files.id_width(65_536, "<u2")
+    with pytest.raises(ValueError, match="doesn't fit"):
+        token_files.write(none, scratch_path(spark, "test-sequences"), BYTE_BPE, width="<u1")
+    folder = scratch_path(spark, "test-sequences")
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    token_files.write(docs, folder, BYTE_BPE, end_id=70_000)
+    assert token_files.Shard(folder, 0).batch(0).dtype == np.uint32
+    ids = [*library(BYTE_BPE)("some words"), 70_000]
+    assert [(r.id, r.n_tokens, r.ids_crc32) for r in token_files.read(spark, folder).sort("id").collect()] == [(1, len(ids), crc(ids)), (2, 1, crc([70_000]))]
 
 
 def test_token_files_without_rows(spark, none):

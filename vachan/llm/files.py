@@ -8,10 +8,19 @@ import uuid
 from contextlib import contextmanager
 
 from pyarrow import fs as pafs
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with scheme and host.  Spark takes a path without scheme from the
+    default filesystem; tasks are to write where it reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    """Arrow filesystem and plain path of a folder given as a path or URI."""
+    """Arrow filesystem and plain path of a folder given as a URI; a path without
+    scheme is local (jobs qualify theirs before)."""
     if "://" not in folder and not folder.startswith("file:"):
         return pafs.LocalFileSystem(), os.path.abspath(folder)
     return pafs.FileSystem.from_uri(folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder)

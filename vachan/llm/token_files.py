@@ -5,10 +5,10 @@ of ``seq_len``; each shard holds a contiguous range of documents as one Arrow
 IPC file (the stream format plus a footer) whose batches have BATCH rows of
 
     tokens  fixed_size_list<uint16 or uint32>[seq_len]
-    mask    fixed_size_list<bool>[seq_len]     (false: padding)
+    mask    fixed_size_list<uint8>[seq_len]    (0: padding)
 
 so sequence i of a shard is row i % BATCH of batch i // BATCH, at a fixed
-place in a memory map, without a copy.  Only the last sequence of a shard is
+place in a memory map; tokens and mask are views of it, without a copy.  Only the last sequence of a shard is
 padded.  Beside it lies a small Arrow file with (id, start, n_tokens) of the
 shard's documents, and the manifest, a Parquet table, lists the committed
 shards; shard starts in the whole stream are running sums over it.
@@ -35,12 +35,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vachan.llm.common import NO_ID, modest_batches, slices, store
-from vachan.llm.files import committed, open_input
-from vachan.llm.tokens import TOKEN_SLICE, encoder
+from vachan.llm.files import committed, open_input, qualified
+from vachan.llm.tokens import TOKEN_SLICE, encoder, largest_id
 
 SEQ_LEN = 2048
 BATCH = 64
 SHARD_TEXT = 16 << 20  # bytes of text per shard, on average
+MAX_SHARDS = 1 << 16  # beyond 1 TB of text shards grow instead, so their bounds stay below 1 MB
 
 MANIFEST = "shard long, n_docs long, n_tokens long, n_sequences long"
 
@@ -49,7 +50,7 @@ def bounds(docs: DataFrame, id_col: str, text_col: str, shard_text: int) -> np.n
     """Least keys of the shards after the first: quantiles of the ids."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    shards = max(1, -(-size // shard_text))
+    shards = min(MAX_SHARDS, max(1, -(-size // shard_text)))
     if shards == 1:
         return np.zeros(0, np.int64)
     at = docs.agg(F.percentile_approx(key, [i / shards for i in range(1, shards)], 20 * shards)).first()[0]
@@ -83,7 +84,7 @@ class ShardWriter:
 
     def __init__(self, sink, seq_len: int, width: str):
         self.seq_len, self.width = seq_len, np.dtype(width)
-        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(self.width), seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
+        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(self.width), seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
         self.out = pa.ipc.new_file(sink, self.schema)
         self.parts: list[np.ndarray] = []
         self.held = self.sequences = 0
@@ -105,7 +106,7 @@ class ShardWriter:
         flat = np.zeros(n * self.seq_len, self.width)
         flat[:self.held] = np.concatenate(self.parts)
         tokens = pa.FixedSizeListArray.from_arrays(pa.array(flat), self.seq_len)
-        mask = pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(flat)) < self.held), self.seq_len)
+        mask = pa.FixedSizeListArray.from_arrays(pa.array((np.arange(len(flat)) < self.held).view(np.uint8)), self.seq_len)
         self.out.write_batch(pa.RecordBatch.from_arrays([tokens, mask], schema=self.schema))
         self.sequences += n
         self.parts, self.held = [], 0
@@ -115,10 +116,20 @@ class ShardWriter:
         self.out.close()
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, seq_len: int = SEQ_LEN, width: str = "<u2",
+def id_width(largest: int, width: str | None = None) -> str:
+    """The narrowest integer type that holds all ids; a given one is checked."""
+    chosen = width or ("<u2" if largest <= np.iinfo("<u2").max else "<u4")
+    if largest > np.iinfo(chosen).max:
+        raise ValueError(f"id {largest} doesn't fit into {chosen}")
+    return chosen
+
+
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, seq_len: int = SEQ_LEN, width: str | None = None,
           id_col: str = "doc_id", text_col: str = "text", shard_text: int = SHARD_TEXT) -> DataFrame:
     """Write the shards and the manifest below ``folder``; return the manifest.
-    ``width`` is <u2 for vocabularies up to 65,536 ids, else <u4."""
+    ``width`` comes from the vocabulary: <u2 up to 65,536 ids, else <u4; a given
+    one that is too narrow raises."""
+    width, folder = id_width(max(largest_id(tokenizer), end_id), width), qualified(docs.sparkSession, folder)
 
     def one(shard: int, batches) -> pa.RecordBatch:
         codec, index, at = pa.Codec("zstd", 1), {"id": [], "start": [], "n_tokens": []}, 0
@@ -166,9 +177,9 @@ class Shard:
         self.seq_len = self.file.schema.field("tokens").type.list_size
 
     def batch(self, i: int, column: str = "tokens") -> np.ndarray:
-        """A whole batch as a (rows, seq_len) array; tokens are a view of the file."""
-        flat = self.file.get_batch(i).column(column).flatten()
-        return (flat.to_numpy() if column == "tokens" else flat.to_numpy(zero_copy_only=False)).reshape(-1, self.seq_len)
+        """A whole batch as a (rows, seq_len) array, a view of the file; the mask is boolean."""
+        flat = self.file.get_batch(i).column(column).flatten().to_numpy(zero_copy_only=True)
+        return (flat.view(bool) if column == "mask" else flat).reshape(-1, self.seq_len)
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         return self.batch(i // BATCH)[i % BATCH], self.batch(i // BATCH, "mask")[i % BATCH]
@@ -185,6 +196,7 @@ class Shard:
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, from the files."""
+    folder = qualified(spark, folder)
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     starts, _ = store(manifest.withColumn("first", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long"))).select("shard", "first"), "shards")

@@ -29,15 +29,18 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vachan.llm.common import NO_ID, join_hot, modest_batches, store
-from vachan.llm.files import committed, open_input
+from vachan.llm.files import committed, open_input, qualified
 
 SHARD_BYTES = 16 << 20  # payload bytes of a shard
+MAX_SHARDS = 1 << 18  # beyond 4 TB of payload shards grow instead, so their bounds stay below 2 MB
 ROLL_BYTES = 4 << 20  # compressed bytes after which a file is closed
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -116,41 +119,49 @@ class Roller:
             self.sink, self.part = None, self.part + 1
 
 
-def describe(pages: DataFrame, shard_bytes: int, min_bytes: int) -> tuple[DataFrame, list[int]]:
+def describe(pages: DataFrame, shard_bytes: int, min_bytes: int) -> tuple[DataFrame, np.ndarray]:
     """One row per (key, sha) with the key of the response to its payload; and the
     least key of each shard after the first, from running sums of payload bytes in
-    key order (one number per shard)."""
+    key order (one number per shard, MAX_SHARDS at most)."""
     narrow = pages.select("key", F.sha1(F.coalesce("html", F.lit(""))).alias("sha"), F.coalesce(F.octet_length("html"), F.lit(0)).alias("n"))
     rows = narrow.groupBy("key", "sha").agg(F.sum("n").alias("bytes"), F.max("n").alias("n"))
     rows, _ = store(rows.repartitionByRange("key", "sha").sortWithinPartitions("key", "sha").withColumn("at", F.monotonically_increasing_id()), "records")
     part = F.shiftright("at", 33)
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
     parts = rows.groupBy(part.alias("part")).agg(F.sum("bytes").alias("b"))
-    parts = parts.select("part", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("first"))
+    parts = parts.select("part", F.coalesce(F.sum("b").over(before), F.lit(0)).alias("first"),
+                         (F.coalesce(F.sum("b").over(before), F.lit(0)) + F.col("b")).alias("upto"))
     running = F.sum("bytes").over(Window.partitionBy("p").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
     placed = rows.withColumn("p", part).withColumn("running", F.coalesce(running, F.lit(0))).join(F.broadcast(parts), F.col("p") == F.col("part"))
-    shard = F.floor((F.col("first") + F.col("running")) / shard_bytes)
-    cuts = [r["key"] for r in placed.groupBy(shard.alias("shard")).agg(F.min("key").alias("key")).orderBy("shard").collect()]
+    total = parts.agg(F.max("upto")).first()[0] or 0
+    shard = F.floor((F.col("first") + F.col("running")) / max(shard_bytes, -(-total // MAX_SHARDS)))
+    cuts = placed.groupBy(shard.alias("shard")).agg(F.min("key").alias("key")).select("key").toArrow().column("key").to_numpy()
     first = rows.filter(F.col("n") >= min_bytes).groupBy("sha").agg(F.min("key").alias("first_key"), F.count("*").alias("n_equal"))
     joined = join_hot(rows, first, "sha", "n_equal", rows.count(), "at")
-    return joined.select("key", "sha", F.col("g.first_key").alias("first_key")), sorted(set(cuts))[1:]
+    return joined.select("key", "sha", F.col("g.first_key").alias("first_key")), np.unique(cuts)[1:]
 
 
-def shard_of(key, cuts: list[int]) -> F.Column:
-    """Number of ``cuts`` that are not above ``key``, by binary search."""
-    if not cuts:
-        return F.lit(0)
-    steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
-    table = F.lit(cuts)
-    return F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when((at + step <= len(cuts)) & (F.get(table, at + step - 1) <= key), at + step).otherwise(at))
+def shard_of(spark: SparkSession, cuts: np.ndarray):
+    """Function of a key column: the number of ``cuts`` that are not above the key.  The
+    bounds go to the executors once, not into the plan; only keys pass through Python."""
+    if not len(cuts):
+        return lambda key: F.lit(0).cast("long")
+    table = spark.sparkContext.broadcast(cuts)
+
+    @F.pandas_udf("long")
+    def find(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(table.value, key.to_numpy(), "right"))
+
+    return find
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
           shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, min_bytes: int = 0) -> DataFrame:
     """Write the archives and the manifest below ``folder``; return the manifest."""
     d = modest_batches(pages).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    folder = qualified(pages.sparkSession, folder)
     info, cuts = describe(d, shard_bytes, min_bytes)
-    shard = shard_of(F.col("key"), cuts).cast("long").alias("shard")
+    shard = shard_of(pages.sparkSession, cuts)(F.col("key")).alias("shard")
     # what is known of a payload comes just before its pages; html is shuffled once
     heads = info.select(shard, "key", "sha", F.lit(0).alias("kind"), "first_key", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     bodies = d.select(shard, "key", F.sha1(F.coalesce("html", F.lit(""))).alias("sha"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first_key"), "url", "html")
@@ -207,6 +218,7 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the manifest's files; digests are computed again."""
+    folder = qualified(spark, folder)
     manifest, _ = store(spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("name"), "names")
 
     def page(text: str) -> int | None:

@@ -5,10 +5,10 @@ of ``seq_len``; each shard holds a contiguous range of documents as one Arrow
 IPC file (the stream format plus a footer) whose batches have BATCH rows of
 
     tokens  fixed_size_list<uint16 or uint32>[seq_len]
-    mask    fixed_size_list<uint8>[seq_len]    (0: padding)
+    mask    fixed_size_list<bool>[seq_len]     (false: padding; one bit each)
 
 so sequence i of a shard is row i % BATCH of batch i // BATCH, at a fixed
-place in a memory map; tokens and mask are views of it, without a copy.  Only the last sequence of a shard is
+place in a memory map; tokens and mask bits are views of it, without a copy.  Only the last sequence of a shard is
 padded.  Beside it lies a small Arrow file with (id, start, n_tokens) of the
 shard's documents, and the manifest, a Parquet table, lists the committed
 shards; shard starts in the whole stream are running sums over it.
@@ -84,7 +84,7 @@ class ShardWriter:
 
     def __init__(self, sink, seq_len: int, width: str):
         self.seq_len, self.width = seq_len, np.dtype(width)
-        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(self.width), seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
+        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(self.width), seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
         self.out = pa.ipc.new_file(sink, self.schema)
         self.parts: list[np.ndarray] = []
         self.held = self.sequences = 0
@@ -106,7 +106,7 @@ class ShardWriter:
         flat = np.zeros(n * self.seq_len, self.width)
         flat[:self.held] = np.concatenate(self.parts)
         tokens = pa.FixedSizeListArray.from_arrays(pa.array(flat), self.seq_len)
-        mask = pa.FixedSizeListArray.from_arrays(pa.array((np.arange(len(flat)) < self.held).view(np.uint8)), self.seq_len)
+        mask = pa.FixedSizeListArray.from_arrays(pa.array(np.arange(len(flat)) < self.held), self.seq_len)
         self.out.write_batch(pa.RecordBatch.from_arrays([tokens, mask], schema=self.schema))
         self.sequences += n
         self.parts, self.held = [], 0
@@ -176,13 +176,18 @@ class Shard:
         self.docs = pa.ipc.open_file(open_input(folder, f"shard-{shard:06d}.docs.arrow"))
         self.seq_len = self.file.schema.field("tokens").type.list_size
 
-    def batch(self, i: int, column: str = "tokens") -> np.ndarray:
-        """A whole batch as a (rows, seq_len) array, a view of the file; the mask is boolean."""
-        flat = self.file.get_batch(i).column(column).flatten().to_numpy(zero_copy_only=True)
-        return (flat.view(bool) if column == "mask" else flat).reshape(-1, self.seq_len)
+    def batch(self, i: int) -> np.ndarray:
+        """The tokens of a whole batch as a (rows, seq_len) array, a view of the file."""
+        return self.file.get_batch(i).column("tokens").flatten().to_numpy(zero_copy_only=True).reshape(-1, self.seq_len)
+
+    def mask(self, i: int) -> pa.BooleanArray:
+        """The mask of sequence i, an Arrow view of the file's bits."""
+        at = i % BATCH * self.seq_len
+        return self.file.get_batch(i // BATCH).column("mask").flatten()[at:at + self.seq_len]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        return self.batch(i // BATCH)[i % BATCH], self.batch(i // BATCH, "mask")[i % BATCH]
+        """Tokens (a view) and mask, whose bits are unpacked for this sequence alone."""
+        return self.batch(i // BATCH)[i % BATCH], self.mask(i).to_numpy(zero_copy_only=False)
 
     def span(self, start: int, n: int):
         """The ids [start, start + n) of the shard, a view per batch."""

@@ -11,7 +11,7 @@ import pytest
 import rows as R
 
 import public_tokenizers
-from vachan.llm import exact_dedup, ngram_join, packing, suffix_dedup, token_files, warc
+from vachan.llm import exact_dedup, ngram_join, packing, suffix_dedup, token_files, tokens, warc
 from vachan.llm.common import Bloom, join_hot, rank_within, scratch_path, slices
 from vachan.llm.components import components
 from vachan.llm.tokens import Encoder, encoder
@@ -33,11 +33,13 @@ def crc(ids) -> int:
 
 # ---------------------------------------------------------------- token ids
 
+@pytest.mark.parametrize("remembered", [1_500_000, 300])
 @pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
-def test_pieces_give_the_library_s_ids(path):
+def test_pieces_give_the_library_s_ids(path, remembered, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", remembered)
     rnd = random.Random(3)
     parts = ["a", "B", "é", "1", "2", ".", ",", "'s", "'", "!", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", " ", " ", "　", "\u0085", "\x1c", "日本", "ß", "İ", "é", "́", "😀", "᠎",
-             "​", "<|endoftext|>", "<|startoftext|>", "_", "-"]
+             "​", "<|endoftext|>", "<|startoftext|>", "_", "-", ":", ";", "?", ")", '"', "]", "(", "<|", "|>", "Σ", "'LL", "2.5", "½"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(60))) for _ in range(4000)]
     enc, want = Encoder(path), library(path)
     for _, data, off in slices(pa.RecordBatch.from_pydict({"text": texts}), "text", 1 << 14):

@@ -2,10 +2,12 @@
 
 Both vocabularies split a text at white space before anything else, so a text
 may be cut before a run of white space that follows another character (and
-after a lone line end) without changing any id.  The pieces of a slice of
-documents are dictionary-encoded by Arrow; only distinct pieces that this
-worker has not met go through the tokenizers library, and ids are put
-together again by whole-array gathers.
+after a lone line end) without changing any id.  Both then part letters, digits
+and other characters, so a text may also be cut between an ASCII letter or
+digit and one of STOPS, which no special token and no contraction contains.
+The pieces of a slice of documents are dictionary-encoded by Arrow; only
+distinct pieces that this worker has not met go through the tokenizers
+library, and ids are put together again by whole-array gathers.
 """
 
 from __future__ import annotations
@@ -14,13 +16,19 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from vachan.llm.common import SPACE
 
-CACHE_PIECES = 700_000  # pieces that a worker remembers; above, it starts anew
+CACHE_PIECES = 1_500_000  # pieces that a worker remembers; above, it starts anew
 TOKEN_SLICE = 8 << 20  # bytes of text per call; longer slices repeat more words
 GROUP = 100  # new pieces per call of the library
 
+STOPS = np.zeros(256, bool)
+STOPS[list(b'.,;:!?)"]')] = True
+WORD = np.zeros(256, bool)
+WORD[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -44,6 +52,7 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     n = len(data)
     at = np.zeros(n + 1, bool)
     at[off] = True
+    at[1:n] |= STOPS[data[1:]] & WORD[data[:-1]]
     if n > 2:
         plain, gap = SPACE[data], spaces(data)
         at[1:n] |= plain[1:] & ~gap[:-1]
@@ -68,41 +77,43 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.known = pa.array([], pa.binary())  # pieces in the order of their slots
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1, np.int64)
         self.used = 0
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces, many of them in one call with walls between."""
-        if self.wall:
-            odd = [p for p in pieces if any(n in p for n in self.names)]
-            if odd:
-                pieces = [p for p in pieces if not any(n in p for n in self.names)]
-        else:
-            odd, pieces = pieces, []
-        joined = [self.wall.join(pieces[i:i + GROUP]) + self.wall for i in range(0, len(pieces), GROUP)]
+    def learn(self, pieces: pa.Array) -> np.ndarray:
+        """Encode new pieces, many of them in one call with walls between; return their slots."""
+        text = pieces.cast(pa.string())
+        odd = np.full(len(text), not self.wall)
+        for name in self.names:
+            odd |= pc.match_substring(text, name).to_numpy(zero_copy_only=False)
+        order = np.argsort(odd, kind="stable")
+        plain, special = (text.take(pa.array(np.flatnonzero(x))).to_pylist() for x in (~odd, odd))
+        slots = np.empty(len(text), np.int64)
+        slots[order] = len(self.known) + np.arange(len(text))
+        self.known = pa.concat_arrays([self.known, pieces.take(pa.array(order))])
+        joined = [self.wall.join(plain[i:i + GROUP]) + self.wall for i in range(0, len(plain), GROUP)]
         found = [np.array(e.ids, np.uint32) for e in self.walled.encode_batch_fast(joined, add_special_tokens=False)]
         if found:
             ids = np.concatenate(found)
             walls = np.flatnonzero(ids == self.wall_id)
-            self.append(pieces, np.diff(walls, prepend=-1) - 1, np.delete(ids, walls))
-        if odd:
+            self.append(np.diff(walls, prepend=-1) - 1, np.delete(ids, walls))
+        if special:
             if self.single is None:
                 from tokenizers import Tokenizer
 
                 self.single = Tokenizer.from_file(self.path)
                 self.single.encode_special_tokens = True  # their strings in a text are ordinary text
-            single = [e.ids for e in self.single.encode_batch_fast(odd, add_special_tokens=False)]
+            single = [e.ids for e in self.single.encode_batch_fast(special, add_special_tokens=False)]
             lens = np.fromiter(map(len, single), np.int64, len(single))
-            self.append(odd, lens, np.fromiter((i for x in single for i in x), np.uint32, int(lens.sum())))
+            self.append(lens, np.fromiter((i for x in single for i in x), np.uint32, int(lens.sum())))
+        return slots
 
-    def append(self, pieces: list[str], lens: np.ndarray, new: np.ndarray) -> None:
+    def append(self, lens: np.ndarray, new: np.ndarray) -> None:
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used:self.used + len(new)] = new
-        at = len(self.slot)
-        self.slot.update(zip(pieces, range(at, at + len(pieces)), strict=True))
         self.start = np.concatenate([self.start, self.used + np.cumsum(lens)])
         self.used += len(new)
 
@@ -110,15 +121,15 @@ class Encoder:
         """Ids of all documents of a slice, one after another, and their offsets."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-        if len(self.slot) > CACHE_PIECES:
+        if len(self.known) > CACHE_PIECES:
             self.clear()
         at = cuts(data, off)
         pieces = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        values = pieces.dictionary.cast(pa.string()).to_pylist()
-        slot = self.slot
-        if missing := [v for v in values if v not in slot]:
-            self.learn(missing)
-        slots = np.fromiter((slot[v] for v in values), np.int64, len(values))[pieces.indices.to_numpy()]
+        slots = pc.index_in(pieces.dictionary, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = self.learn(pieces.dictionary.take(pa.array(new)))
+        slots = slots[pieces.indices.to_numpy()]
         begin = self.start[slots]
         lens = self.start[slots + 1] - begin
         end = np.cumsum(lens)

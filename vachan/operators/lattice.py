@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from vachan.operators import alignment as AL
 
 EPS = "ε"
+PIECE = 512  # segments taken from an Arrow batch at a time, so that memory doesn't follow the batch
 
 ALIGN_SCHEMA = ("segment_id long, system string, sys_ord int, op_pos int, ref_pos int, gap int, "
                 "ref_tok string, hyp_tok string, op string")
@@ -449,15 +450,37 @@ def nth_segment(df: DataFrame, n: int = 2, order_col: str = "segment_id") -> Dat
     return df.join(pick, F.col(order_col) == F.col("__nth"), "left_semi")
 
 
-def register_align_udtf(spark, name: str = "align_words") -> None:
-    """V5: SQL surface of E5 — ``SELECT * FROM t, LATERAL align_words(ref, hyp)``
-    yields ``(op_pos, ref_pos, gap, ref_tok, hyp_tok, op)`` rows, over Arrow."""
-    from pyspark.sql.functions import udtf
+OPERATION = "struct<op_pos:int,ref_pos:int,gap:int,ref_tok:string,hyp_tok:string,op:string>"
+
 
-    @udtf(returnType="op_pos int, ref_pos int, gap int, ref_tok string, hyp_tok string, op string", useArrow=True)
-    class AlignWords:
-        def eval(self, ref, hyp):
-            for k, (rp, gap, rt, ht, op) in enumerate(alignment(list([] if ref is None else ref), list([] if hyp is None else hyp))):
-                yield k, rp, gap, rt, ht, op
+def _aligned_lists(ref: pa.ListArray, hyp: pa.ListArray) -> pa.ListArray:
+    """The operations of each pair as a list of OPERATION structs; a null list is empty."""
+    a = Aligned(ref, pa.ListArray.from_arrays(pa.array(np.arange(len(hyp) + 1, dtype=np.int32)), hyp))
+    parts = [a.operations(segments) for segments in a.batches]
+    row, place, step, position, r, h = (np.concatenate([getattr(o, k) for o in parts] or [np.zeros(0, np.int64)]) for k in ("segment", "place", "step", "position", "ref", "hyp"))
+    order = np.lexsort((place, row))
+    step, r, h = step[order], r[order], h[order]
+    ins = step == AL.INSERTION
+    op = np.where(step == AL.DIAGONAL, np.where(r == h, 0, 1), np.where(ins, 3, 2))
+    at = lambda v, skip: pa.array(v.astype(np.int32), pa.int32(), mask=skip)
+    return _structs(np.bincount(row, minlength=len(ref)), [
+        ("op_pos", pa.array(place[order], pa.int32())), ("ref_pos", at(position[order], ins)), ("gap", at(position[order], ~ins)),
+        ("ref_tok", a.words.take(at(r, r < 0))), ("hyp_tok", a.words.take(at(h, h < 0))), ("op", pa.array(_NAMES[op], pa.string()))])
 
-    spark.udtf.register(name, AlignWords)
+
+def register_align_udtf(spark, name: str = "align_words") -> None:
+    """V5: SQL surface of E5 — ``SELECT * FROM t, LATERAL align_words(ref, hyp)``
+    yields ``(op_pos, ref_pos, gap, ref_tok, hyp_tok, op)`` rows.  A SQL table function
+    over an Arrow function, so many rows are aligned at once; a Python table
+    function would be called, and its rows converted, pair by pair."""
+    @F.arrow_udf(f"array<{OPERATION}>")
+    def align_lists(ref: pa.Array, hyp: pa.Array) -> pa.Array:
+        if len(ref) == 0:
+            return _aligned_lists(ref, hyp)
+        parts = [_aligned_lists(ref.slice(i, PIECE), hyp.slice(i, PIECE)) for i in range(0, len(ref), PIECE)]
+        return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+
+    spark.udf.register(f"{name}_lists", align_lists)
+    columns = OPERATION[len("struct<"):-1].replace(":", " ").replace(",", ", ")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(ref ARRAY<STRING>, hyp ARRAY<STRING>) RETURNS TABLE({columns}) "
+              f"RETURN SELECT inline({name}_lists(ref, hyp))")

@@ -57,3 +57,15 @@ def test_nfc_by_quick_check(spark):
     texts = ["plain", "é", "é", "क़", "क़", "가", "", None, "ạ̇", "ạ̇"]
     got = spark.createDataFrame([(t,) for t in texts], "x string").select(TX.nfc("x").alias("y")).collect()
     assert [r.y for r in got] == [t and unicodedata.normalize("NFC", t) for t in texts]
+
+
+def test_remembered_tokens_are_bounded_by_characters():
+    """Long tokens: what is remembered stays under the bound, the results stay whole."""
+    pairs = [("ab", "x"), ("x", "yz")]
+    rewrite = TX.OrderedRewrites(pairs)
+    rewrite.REMEMBER_CHARS = 5000
+    for k in range(200):
+        long = f"{k}" + "q" * 300
+        assert rewrite(f"ab {long} x") == f"yz {long} yz"
+        assert sum(len(f) for forms in rewrite.known.values() for f in forms) <= 5000
+    assert rewrite("q" * 9000 + " ab") == "q" * 9000 + " yz"

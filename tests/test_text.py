@@ -65,3 +65,19 @@ def test_shell_split(spark):
                      TX.token_suffix("x").alias("s")).collect()
     assert [tuple(r) for r in rows] == [('"', "job", '"'), ("", "ok.", ""), ("-", "", ""), ("।", "हाँ", "!")]
     assert F is not None
+
+
+def test_nfc_of_a_batch_names_its_input_once(spark):
+    """Texts that normalisation touches, others and NULL in one batch."""
+    rows = [(0, "e\u0301tude"), (1, "caf\u00e9"), (2, None), (3, ""), (4, "=\u0338"), (5, "\u0958")] * 300
+    d = spark.createDataFrame(rows, "k int, x string").coalesce(1).select("k", TX.nfc(F.reverse(F.reverse("x"))).alias("y"))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("reverse(reverse(") == 1
+    assert {(r["k"], r["y"]) for r in d.collect()} == {(0, "\u00e9tude"), (1, "caf\u00e9"), (2, None), (3, ""), (4, "\u2260"), (5, "\u0915\u093c")}
+
+
+def test_rewrites_of_a_batch_longer_than_a_piece(spark):
+    n = 2 * TX.PIECE + 7
+    d = spark.range(n).coalesce(1).select("id", F.when(F.col("id") % 5 > 0, F.concat(F.lit("ab "), F.col("id").cast("string"))).alias("x"))
+    got = d.select("id", TX.ordered_rewrites("x", [("ab", "z")]).alias("y")).collect()
+    assert {r["id"]: r["y"] for r in got} == {k: f"z {k}" if k % 5 else None for k in range(n)}

@@ -25,6 +25,17 @@ def _distance_type(words: int) -> type:
     return np.int16 if words < 30_000 else np.int32
 
 
+def _lowest_so_far(x: np.ndarray) -> np.ndarray:
+    """Running minimum down the first axis, in whole-array steps of 1, 2, 4, ...;
+    ``np.minimum.accumulate`` along that axis goes entry by entry.  ``x`` is overwritten."""
+    other, step = np.empty_like(x), 1
+    while step < len(x):
+        other[:step] = x[:step]
+        np.minimum(x[step:], x[:-step], out=other[step:])
+        x, other, step = other, x, 2 * step
+    return x
+
+
 def _rows(ref: np.ndarray, hyp: np.ndarray, above: np.ndarray, lo: int, hi: int, steps: np.ndarray | None, edges: list | None, each: int) -> np.ndarray:
     """Distances of row ``hi`` from those of row ``lo``; fills ``steps`` with directions, or
     ``edges`` with every ``each``-th row.  A row is (hypothesis words + 1, pairs)."""
@@ -38,7 +49,7 @@ def _rows(ref: np.ndarray, hyp: np.ndarray, above: np.ndarray, lo: int, hi: int,
         here[0] = i + 1
         np.minimum(both, drop, out=here[1:])
         here -= ar
-        np.minimum.accumulate(here, axis=0, out=here)
+        here = _lowest_so_far(here)
         here += ar
         if steps is not None:
             now = here[1:]
@@ -146,7 +157,7 @@ def lattice(tokens: np.ndarray, empty: np.ndarray, free: np.ndarray, count: np.n
                 miss &= said != more[owner]
             np.minimum(prev[:-1] + miss, prev[1:] + ~free[owner, i], out=t[1:])
         t -= ar
-        np.minimum.accumulate(t, axis=0, out=t)
+        t = _lowest_so_far(t)
         t += ar
         prev = t
         done = count[owner] == i + 1

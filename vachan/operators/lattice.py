@@ -274,19 +274,29 @@ def segment_report(ref: list, hyps: list[list], thresh: int = 3, mode: str = "co
     return tuple([tuple(x.values()) for x in col.to_pylist()[0]] for col in _reports(*_lists([ref], [hyps]), thresh, mode))
 
 
+def _report_batches(batches: Iterator[pa.RecordBatch], keep: list[str], thresh: int, mode: str) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, PIECE):
+            b = whole.slice(at, PIECE)
+            b = b.filter(pc.greater(pc.list_value_length(b.column("ref")), 0))  # a null list isn't kept
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *_reports(b.column("ref"), b.column("hyps"), thresh, mode)], names=[*keep, "bins", "scores", "suspects"])
+
+
 def segment_reports(wide: DataFrame, thresh: int = 3, mode: str = "coded", keep: list[str] | None = None) -> DataFrame:
     """``(segment_id, ref, hyps, ...)`` plus ``bins``, ``scores`` and ``suspects``;
     ``keep`` names the input columns that pass through (all by default).
-    Segments with an empty reference are left out (P7)."""
+    Segments with an empty reference are left out (P7).  An Arrow batch is taken
+    ``PIECE`` segments at a time: memory follows these, not the batch."""
     keep = wide.columns if keep is None else keep
     fields = {f.name: f.dataType.simpleString() for f in wide.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + f", bins array<{BIN}>, scores array<{SCORE}>, suspects array<{SUSPECT}>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *_reports(b.column("ref"), b.column("hyps"), thresh, mode)], names=[*keep, "bins", "scores", "suspects"])
+        return _report_batches(batches, keep, thresh, mode)
     need = [*keep, *[c for c in ("ref", "hyps") if c not in keep]]
-    return wide.where(F.size("ref") > 0).select(*need).mapInArrow(run, schema)
+    # empty references are left out there: a filter here would be pushed below what makes the
+    # reference, which then is made twice, by one more Python worker a task
+    return wide.select(*need).mapInArrow(run, schema)
 
 
 def wide_segments(sheet: DataFrame, systems=None) -> DataFrame:

@@ -93,6 +93,17 @@ def test_streaming_equals_batch(spark, tmpdir_path):
     assert streamed == batch and len(streamed) == 30
 
 
+def test_stream_deals_rows_of_a_single_file(spark, tmpdir_path):
+    """One small file a trigger: its rows are worked on by all cores, not by the task that reads it."""
+    from pyspark.sql import functions as F
+
+    spark.range(0, 400, 1, 1).write.parquet(f"{tmpdir_path}/in")
+    run_incremental(spark, f"{tmpdir_path}/in", "id long", lambda d: d.withColumn("task", F.spark_partition_id()), f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", max_files_per_trigger=2)
+    rows = spark.read.parquet(f"{tmpdir_path}/out").collect()
+    assert sorted(r["id"] for r in rows) == list(range(400))
+    assert len({r["task"] for r in rows}) == spark.sparkContext.defaultParallelism > 1
+
+
 def test_systems_sheet_by_position(spark, tmpdir_path):
     from vachan.operators import lattice as LT
 

@@ -18,11 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 def run_incremental(spark: SparkSession, source: str, schema, transform: Callable[[DataFrame], DataFrame],
                     sink: str, checkpoint: str, fmt: str = "parquet", sink_fmt: str = "parquet",
                     max_files_per_trigger: int | None = None) -> None:
-    """Apply ``transform`` to new files under ``source`` and append to ``sink``."""
+    """Apply ``transform`` to new files under ``source`` and append to ``sink``.
+
+    A trigger's files may be few, and a file is read by one task or a few: their rows
+    are dealt over the cores before ``transform``, which is where the work is."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = transform(reader.load(source))
+    stream = transform(reader.load(source).repartition(spark.sparkContext.defaultParallelism))
     q = (stream.writeStream.format(sink_fmt).outputMode("append")
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start(sink))

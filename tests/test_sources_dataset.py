@@ -104,6 +104,17 @@ def test_stream_deals_rows_of_a_single_file(spark, tmpdir_path):
     assert len({r["task"] for r in rows}) == spark.sparkContext.defaultParallelism > 1
 
 
+def test_files_below_a_folder_by_name(spark, tmpdir_path):
+    """Scanned by folder, whatever its depth; other names and empty folders give nothing."""
+    for path in ("a/recording_id=1/x.txt", "a/b/recording_id=2/y.txt", "a/recording_id=3/x.json", "a/_SUCCESS"):
+        write(f"{tmpdir_path}/{path}", '{"transcript":"one\ntwo"}')
+    os.makedirs(f"{tmpdir_path}/none")
+    by = r"recording_id=([0-9]+)/"
+    assert sorted((r["recording_id"], r["length"]) for r in FS.read_assets(spark, f"{tmpdir_path}/a", by, "*.txt").collect()) == [(1, 24), (2, 24)]
+    assert sorted(r["recording_id"] for r in TS.read_transcripts(spark, f"{tmpdir_path}/a", by, "*.txt").collect()) == [1, 2]
+    assert FS.read_assets(spark, f"{tmpdir_path}/none", by, "*.txt").count() == TS.read_transcripts(spark, f"{tmpdir_path}/none", by, "*.txt").count() == 0
+
+
 def test_systems_sheet_by_position(spark, tmpdir_path):
     from vachan.operators import lattice as LT
 

@@ -588,10 +588,10 @@ def q_asset_scan(spark, sf_dir):
     c = D.table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("recording_id")).agg(F.sort_array(F.collect_list(F.struct("turn", word.alias("w")))).alias("t"))
     doc = F.when(k % 6 == 0, F.lit("no json")).otherwise(F.concat(F.lit('{"segments":['), F.array_join("t.w", ",\n"), F.lit("]}")))
     for name, rows in (("transc", c.where(k % 4 != 1).select("recording_id", doc.alias("value"))), ("audio", c.where(k % 5 != 2).select("recording_id", F.repeat(F.lit("."), F.size("t")).alias("value")))):
-        rows.repartition(8, "recording_id").write.mode("error").partitionBy("recording_id").text(f"{root}/{name}")
+        rows.repartition(max(8, 2 * spark.sparkContext.defaultParallelism), "recording_id").write.mode("error").partitionBy("recording_id").text(f"{root}/{name}")
     by_folder = r"recording_id=([0-9]+)/"
-    audio = FS.read_assets(spark, f"{root}/audio/*/*.txt", by_folder)
-    return FS.pair_assets(audio, TS.read_transcripts(spark, f"{root}/transc/*/*.txt", by_folder)).select(
+    audio = FS.read_assets(spark, f"{root}/audio", by_folder, "*.txt")
+    return FS.pair_assets(audio, TS.read_transcripts(spark, f"{root}/transc", by_folder, "*.txt")).select(
         "recording_id", "length", F.size("words").alias("n_words"), F.array_join("words.word", " ").alias("words"), "reject_reason")
 
 

@@ -115,11 +115,18 @@ def read_waves(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(WAVE_SCHEMA).parquet(path)
 
 
-def read_assets(spark: SparkSession, pattern: str, id_pattern: str = r"([0-9]+)\.[A-Za-z0-9]+$") -> DataFrame:
+def scan_options(names: str | None) -> dict:
+    """Reader options to take every file of that name (a glob) below a folder.  Folders are
+    listed by tasks; a glob in the path is expanded on the driver, folder by folder."""
+    return {"recursiveFileLookup": True, "pathGlobFilter": names} if names else {}
+
+
+def read_assets(spark: SparkSession, pattern: str, id_pattern: str = r"([0-9]+)\.[A-Za-z0-9]+$", names: str | None = None) -> DataFrame:
     """Files matched by ``pattern`` as ``(recording_id, path, length)``,
     the id taken from the file name (``{rec_id}.wav``); contents are not
-    loaded here (``binaryFile`` reads lazily per selected column)."""
-    df = spark.read.format("binaryFile").load(pattern).select("path", "length")
+    loaded here (``binaryFile`` reads lazily per selected column).  With ``names``,
+    ``pattern`` is a folder, and the files so named anywhere below it are taken."""
+    df = spark.read.format("binaryFile").options(**scan_options(names)).load(pattern).select("path", "length")
     return df.select(F.regexp_extract("path", id_pattern, 1).try_cast("long").alias("recording_id"), "path", "length")
 
 

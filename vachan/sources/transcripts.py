@@ -96,10 +96,13 @@ def _resolve(v: Column) -> Column:
     return _let(words, checked)
 
 
-def read_transcripts(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)\.json$") -> DataFrame:
+def read_transcripts(spark: SparkSession, path: str, id_pattern: str = r"([^/]+)\.json$", names: str | None = None) -> DataFrame:
     """S3 + S7: one row per JSON file, ``recording_id`` from the file name,
-    ``words`` and ``reject_reason`` from ``parse_transcript``."""
-    raw = spark.read.text(path, wholetext=True).select(
+    ``words`` and ``reject_reason`` from ``parse_transcript``.  With ``names``, ``path`` is
+    a folder, and the files so named anywhere below it are taken."""
+    from vachan.sources.files import scan_options
+
+    raw = spark.read.options(**scan_options(names)).text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
     rid = F.regexp_extract("path", id_pattern, 1)
     return raw.select(F.coalesce(rid.try_cast("long"), F.lit(None).cast("long")).alias("recording_id"), "path",

@@ -55,6 +55,12 @@ def test_runs_of_any_words(docs):
     assert caught(docs, least=2, times=3) == [brute_runs(d, 2, 3) for d in docs]
 
 
+def test_runs_of_three_periods_at_odd_places():
+    """Such a run may hold a single whole block that is caught."""
+    for d in ([2, 2, 0, 1, 2, 1, 2, 1, 2, 0], ([0, 2, 0, 0, 1, 2] * 40)[:141] + [2, 0]):
+        assert caught([d], least=2, times=3) == [brute_runs(d, 2, 3)]
+
+
 def test_runs_of_special_words():
     fib = ["a", "ab"]
     while len(fib[-1]) < 900:

@@ -12,7 +12,7 @@ the same distance are caught together, and what they cover is extended word
 by word to both sides until a word differs: squares merge into the run with
 period d.  A stretch inside a run of a lower level repeats that run's period and
 is left out.  A run of four periods holds two consecutive blocks of its level,
-so single hits need no look.
+so single hits need no look; one of three periods may hold a single one.
 
 All documents of a slice are handled at once as one array, each closed by a word
 of its own; documents too short for a level leave it.  Work is O(words x
@@ -60,7 +60,7 @@ def stretches(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def catch(word: np.ndarray, off: np.ndarray, least: int = LEAST, times: int = TIMES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, start, length, period) of all runs, ordered; ``word`` holds a number of
-    each word, documents lie at ``off``."""
+    each word, documents lie at ``off``; ``times`` is 3 at least."""
     count = np.diff(off)
     docs = len(count)
     # documents one after another, each with a closing word that occurs nowhere else
@@ -85,8 +85,8 @@ def catch(word: np.ndarray, off: np.ndarray, least: int = LEAST, times: int = TI
         # place i against the last completed block before it: distance size + i % size
         block = np.repeat(code[::size], size)[:max(0, m - size)]
         hit = code[size:] == block
-        both = np.zeros(len(hit), bool)
-        if len(hit) > size:
+        both = hit.copy() if times < 4 else np.zeros(len(hit), bool)
+        if times >= 4 and len(hit) > size:
             pair = hit[:-size] & hit[size:]
             both[:-size] |= pair
             both[size:] |= pair
